@@ -10,8 +10,15 @@ orders and customers as search results and cars, ...).  Each function takes
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
-from tidemark.operators import change
+from tidemark.config import DEFAULT_SITE
+from tidemark.functions.digest import sha1_hex
+from tidemark.functions.regex import regex_matches
+from tidemark.functions.urls import from_template, url_host, host_allowed
+from tidemark.operators import change, extract, frontier as fr, levels, lineage, markup, sinks, spec
+from tidemark.schemas import VERSION, ColumnRule
+from tidemark.sources.dimensions import spec_dictionary
 from tidemark.sources.tables import read_table
 
 
@@ -77,6 +84,354 @@ def q_latest_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return change.latest_by_key(caps, "page_uid", "capture_seq", ["capture_seq", "data_uid"])
 
 
+
+# --------------------------------------------------------------------------
+# extraction
+# --------------------------------------------------------------------------
+
+ANCHOR_PATTERN = r'<a href="(.*?)">(.*?)</a>'
+LINK_TEMPLATE = "https://links.example/%s?from=%s"
+
+
+def _anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
+    return extract.extract_matches(pages, "html", ANCHOR_PATTERN, {"href": 1, "text": 2})
+
+
+def q_extracted_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2 + F3 + B5: anchors as entities with a templated URL."""
+    a = _anchors(spark, sf_dir)
+    first_seg = F.coalesce(F.get(F.filter(F.split("href", "/"), lambda x: x != F.lit("")), 0),
+                           F.lit(""))
+    return a.select("page_id", F.col("pos").cast("int").alias("pos"), "href", "text",
+                    from_template(LINK_TEMPLATE, first_seg, F.col("page_id").cast("string"))
+                    .alias("url"))
+
+
+def q_json_map_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3-H5 + H18: JSONP body -> one row per key, typed with try_cast."""
+    ev = read_table(spark, sf_dir, "events")
+    bodies = ev.select("event_id", F.concat(F.lit("cb("), F.col("props"), F.lit(");")).alias("body"))
+    rows = extract.explode_json_map(bodies, "body", StringType())
+    return rows.select("event_id", F.col("pos").cast("int").alias("pos"), "key",
+                       F.expr("try_cast(value AS INT)").alias("value"))
+
+
+SEARCH_BUCKET = 100
+
+
+def search_captures(items: DataFrame, level: str, item: str, site=DEFAULT_SITE) -> DataFrame:
+    """Search result pages built from (level, item) rows: pages hold at most
+    ``SEARCH_BUCKET`` items (bucketed by item key, so no group is unbounded)
+    and report the level's total ``Count``."""
+    counts = items.groupBy(level).agg(F.count(F.lit(1)).alias("_count"))
+    bucket = F.floor(F.col(item) / F.lit(SEARCH_BUCKET)).cast("long")
+    pages = items.withColumn("page", bucket).groupBy(level, "page").agg(
+        F.sort_array(F.collect_list(F.col(item))).alias("_ids"))
+    pages = pages.join(counts, level)
+    body = F.to_json(F.struct(
+        F.col("_count").alias("Count"),
+        F.transform("_ids", lambda x: F.struct(x.alias("SerialId"))).alias("ResList")))
+    return pages.select(level, "page", F.col("page").alias("capture_seq"),
+                        from_template(site.level_search, F.col(level).cast("string"),
+                                      F.col("page").cast("string"),
+                                      F.lit(str(site.page_size))).alias("url"),
+                        body.alias("body"))
+
+
+def q_json_array_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H6: search pages (orders per customer) parsed back to rows."""
+    orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    caps = search_captures(orders, "o_custkey", "o_orderkey")
+    rows = extract.search_rows(caps)
+    return rows.select(F.col("o_custkey").alias("level_id"), "page", "car_third_id",
+                       "reported_count")
+
+
+def q_entity_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 + B11 + A9: version lists (JSONP, dynamic keys) -> typed versions."""
+    ev = read_table(spark, sf_dir, "events")
+    value = F.struct(
+        F.col("event_id").alias("id"),
+        F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("event_type")).alias("name"),
+        F.col("user_id").alias("pid"),
+        F.round(F.col("value") * 100).cast("long").cast("string").alias("referprice"),
+        F.upper("event_type").alias("salestate"),
+        F.date_format("ts", "yyyy").alias("goname"),
+        F.col("props").alias("tt"))
+    body = F.concat(F.lit("x="), F.to_json(F.create_map(
+        F.concat(F.lit("e"), F.col("event_id").cast("string")), value)))
+    caps = ev.select(F.col("event_id").alias("capture_seq"), body.alias("body"))
+    rows = extract.version_rows(caps).filter(extract.non_empty("name"))
+    ok, _bad = sinks.split_valid(sinks.conform(rows, VERSION))
+    return ok
+
+
+def q_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 + D5 + C7: documents keyed by text digest; the existing table holds
+    the English documents; first document per digest by id is added."""
+    docs = read_table(spark, sf_dir, "documents")
+    src = docs.select(sha1_hex("text").alias("doc_key"), "doc_id", "lang", "source")
+    target = src.filter(F.col("lang") == "en").select("doc_key")
+    return sinks.insert_if_absent(target, src, ["doc_key"], ["doc_id"])
+
+
+def q_insert_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 + G1: (part, supplier) pairs first seen in (order, line) order,
+    minus pairs already stored (those of returned lines)."""
+    li = read_table(spark, sf_dir, "lineitem")
+    src = li.select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber")
+    target = li.filter(F.col("l_returnflag") == "R").select("l_partkey", "l_suppkey")
+    return sinks.insert_if_absent(target, src, ["l_partkey", "l_suppkey"],
+                                  ["l_orderkey", "l_linenumber"])
+
+
+PART_RULES = [
+    ColumnRule("p_partkey", "bigint", nullable=False),
+    ColumnRule("p_name", "string", max_len=10),
+    ColumnRule("p_brand", "string", nullable=False, max_len=8),
+    ColumnRule("p_size", "tinyint", nullable=False),
+]
+
+
+def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 + A9: rows breaking NOT NULL / length / type rules, with reasons."""
+    part = read_table(spark, sf_dir, "part")
+    conformed = sinks.conform(part, PART_RULES)
+    _ok, bad = sinks.split_valid(conformed)
+    return bad.select("p_partkey", "reason")
+
+
+ROUTES = {"signup": "brand", "view": "car", "click": "version", "purchase": "version_attr"}
+
+
+def q_routed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed routing; unknown types ('error') are ignored."""
+    ev = read_table(spark, sf_dir, "events")
+    tagged = sinks.tag_records(ev, "event_type", ROUTES)
+    return tagged.groupBy("sink").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.round(F.col("value") * 100).cast("long")).alias("value_cents"))
+
+
+def q_attached_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 + B13: customers as brands; the asset manifest comes from orders
+    (ok = status F, position = order key)."""
+    cust = read_table(spark, sf_dir, "customer")
+    orders = read_table(spark, sf_dir, "orders")
+    brands = cust.select(F.col("c_custkey").alias("third_id"), F.col("c_name").alias("name"),
+                         from_template(DEFAULT_SITE.brand_logo, F.col("c_custkey").cast("string"))
+                         .alias("remote_logo"))
+    manifest = orders.select(
+        from_template(DEFAULT_SITE.brand_logo, F.col("o_custkey").cast("string")).alias("url"),
+        F.col("o_orderkey").alias("pos"), (F.col("o_orderstatus") == "F").alias("ok"),
+        F.format_string("full/%s.png", F.col("o_orderkey").cast("string")).alias("path"))
+    return sinks.attach_asset(brands, manifest)
+
+
+# --------------------------------------------------------------------------
+# levels: customers as cars, nations and regions as levels
+# --------------------------------------------------------------------------
+
+DRIVER_SYNONYMS = {"NATION_7": "AMERICA", "NATION_11": "NATION_12"}
+
+
+def _cars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cust = read_table(spark, sf_dir, "customer")
+    en = F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit("  ")).otherwise(F.lower("c_name"))
+    return cust.select(F.col("c_custkey").alias("third_id"), en.alias("en_name"))
+
+
+def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search results: orders with status F put their customer in level
+    100 + order key mod 3."""
+    o = read_table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+    return o.select(F.col("o_custkey").alias("car_third_id"),
+                    (F.lit(100) + F.col("o_orderkey") % 3).cast("int").alias("level_id"),
+                    F.col("o_orderkey").alias("capture_seq"), F.lit(0).alias("pos"))
+
+
+def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = read_table(spark, sf_dir, "region")
+    n = read_table(spark, sf_dir, "nation")
+    top = r.select((F.col("r_regionkey") + 1).cast("long").alias("id"),
+                   (F.col("r_regionkey") + 1).cast("int").alias("level_id"),
+                   F.col("r_name").alias("level_name"), F.lit(0).alias("parent_level_id"))
+    sub = n.select((F.col("n_nationkey") + 100).cast("long").alias("id"),
+                   (F.col("n_nationkey") + 100).cast("int").alias("level_id"),
+                   F.col("n_name").alias("level_name"),
+                   (F.col("n_regionkey") + 1).cast("int").alias("parent_level_id"))
+    return top.unionByName(sub)
+
+
+def _headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headline per customer: 'NATION_k第n名'; machinery customers give the
+    bare name, furniture customers have no headline node."""
+    cust = read_table(spark, sf_dir, "customer")
+    nation = read_table(spark, sf_dir, "nation")
+    j = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
+    text = (F.when(F.col("c_mktsegment") == "FURNITURE", F.lit(None).cast("string"))
+             .when(F.col("c_mktsegment") == "MACHINERY", F.col("n_name"))
+             .otherwise(F.concat(F.col("n_name"), F.lit("第"),
+                                 (F.col("c_custkey") % 9 + 1).cast("string"), F.lit("名"))))
+    return j.select(F.col("c_custkey").alias("car_third_id"),
+                    F.col("c_custkey").alias("capture_seq"), text.alias("headline"))
+
+
+def q_unassigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return levels.unassigned(_cars(spark, sf_dir), _links(spark, sf_dir))
+
+
+def q_level_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = levels.classify(_headlines(spark, sf_dir), _levels(spark, sf_dir),
+                          synonyms=DRIVER_SYNONYMS)
+    return out.select("car_third_id", F.col("level_id").cast("int").alias("level_id"))
+
+
+def q_level_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = levels.assign_levels(_links(spark, sf_dir), _cars(spark, sf_dir),
+                               _headlines(spark, sf_dir), _levels(spark, sf_dir),
+                               synonyms=DRIVER_SYNONYMS)
+    return out.select("car_third_id", "level_id", "branch")
+
+
+def q_reported_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 + H9: parts listed per brand on search pages; the first page's
+    Count per level, its page count, and the grand total."""
+    part = read_table(spark, sf_dir, "part").select("p_brand", "p_partkey")
+    rows = extract.search_rows(search_captures(part, "p_brand", "p_partkey"))
+    totals = levels.reported_totals(rows, level="p_brand")
+    return totals.select(F.col("p_brand").alias("level"), "reported_count", "n_pages",
+                         F.lit(levels.grand_total(totals)).alias("total"))
+
+
+def q_page_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H9 + H10 + B5: search page URLs per part type."""
+    part = read_table(spark, sf_dir, "part")
+    counts = part.groupBy(F.col("p_type").alias("level")).agg(F.count(F.lit(1)).alias("n"))
+    pages = fr.expand_pages(counts, "n", DEFAULT_SITE.page_size)
+    return pages.select("level", "page", from_template(
+        DEFAULT_SITE.level_search, F.col("level"), F.col("page").cast("string"),
+        F.lit(str(DEFAULT_SITE.page_size))).alias("url"))
+
+
+def q_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 + G2 + F2: link children (priority by position in the page) and
+    one spec-page child per page (priority 0), ordered."""
+    a = _anchors(spark, sf_dir).withColumn("capture_seq", F.col("page_id"))
+    links = fr.requests(a, "link", from_template("http://links.example%s", F.col("href")),
+                        fr.position_priority(10000), "page_id")
+    pages = read_table(spark, sf_dir, "pages").select(
+        "page_id", F.col("page_id").alias("capture_seq"), F.lit(0).alias("pos"))
+    specs = fr.requests(pages, "spec_page",
+                        from_template(DEFAULT_SITE.spec_page, F.col("page_id").cast("string")),
+                        F.lit(0), "page_id")
+    return fr.frontier([links, specs], ordered=True)
+
+
+def q_allowed_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.filter(host_allowed("url", ["example.com"])).select(
+        "page_id", url_host("url").alias("host"))
+
+
+def q_breadcrumbs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C5 + B6 + B7: captures joined up their lineage (user -> customer ->
+    nation -> region); breadcrumb and audit label with the change mark."""
+    st = change.change_status(_fingerprinted_events(spark, sf_dir))
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id")
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    nation = read_table(spark, sf_dir, "nation")
+    region = read_table(spark, sf_dir, "region")
+    j = (st.join(ev, st.capture_seq == ev.event_id)
+           .join(cust, F.col("user_id") == F.col("c_custkey"))
+           .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+           .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
+    crumb = lineage.breadcrumb("r_name", "n_name", "c_name")
+    return j.select("event_id", crumb.alias("breadcrumb"),
+                    lineage.audit_label("kind", crumb).alias("label"))
+
+
+# --------------------------------------------------------------------------
+# specification documents: orders as spec pages
+# --------------------------------------------------------------------------
+
+def _spec_source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label rows per order, in page order, as the tokeniser would emit them
+    (labels still end with their colon).  Status P orders list only an
+    unknown label and an empty one, so their document is '{}'."""
+    o = read_table(spark, sf_dir, "orders")
+    empty = F.array().cast("array<string>")
+    no_col = F.array().cast("array<struct<title:string,style:string>>")
+
+    def row(label, info=None, alt=None, colours=None):
+        return F.struct(F.lit(label).alias("label"),
+                        (info if info is not None else empty).alias("info"),
+                        (alt if alt is not None else empty).alias("alt"),
+                        (colours if colours is not None else no_col).alias("colours"))
+
+    status = F.col("o_orderstatus")
+    mark = F.when(status == "F", F.lit("●")).otherwise(F.lit("-"))
+    colour = F.array(
+        F.struct(F.lit("白").alias("title"),
+                 F.format_string("background:#%06X", (F.col("o_custkey") * 7919) % 16777216)
+                 .alias("style")),
+        F.struct(F.lit("黑").alias("title"),
+                 F.format_string("background:#%06X;", (F.col("o_orderkey") * 104729) % 16777216)
+                 .alias("style")))
+    full = F.array(
+        row("长：", F.array(F.floor("o_totalprice").cast("string"))),
+        row("定速巡航：", F.array(mark)),
+        row("中控彩色液晶屏：", F.when(status == "O", F.array(F.lit("●"))).otherwise(empty),
+            F.array(F.col("o_orderpriority"))),
+        row("供油方式：", None, F.split(F.col("o_orderpriority"), "-")),
+        row("车身颜色：", None, None, colour),
+        row("未知：", F.array(F.lit("x"))),
+        row("长：", F.when(F.col("o_orderkey") % 2 == 0,
+                           F.array(F.col("o_custkey").cast("string"))).otherwise(empty),
+            F.array(F.lit("n/a"))),
+        row("\tLED日间行车灯：", F.array(F.lit("●"), F.lit("x"))),
+    )
+    only_unknown = F.array(row("未知：", F.array(F.lit("x"))), row("：", F.array(F.lit("y"))))
+    rows = F.when(status == "P", only_unknown).otherwise(full)
+    return o.select(F.col("o_orderkey").alias("page_id"), F.posexplode(rows).alias("pos", "r")) \
+            .select("page_id", F.col("pos").cast("int").alias("pos"), "r.label", "r.info",
+                    "r.alt", "r.colours")
+
+
+def q_spec_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vals = spec.spec_values(_spec_source_rows(spark, sf_dir), spec_dictionary(spark))
+    return vals.select("page_id", "pos", "grp", "item", "value", "is_flag")
+
+
+def q_spec_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vals = spec.spec_values(_spec_source_rows(spark, sf_dir), spec_dictionary(spark))
+    pages = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("page_id"))
+    return spec.assemble_documents(vals, pages)
+
+
+def q_colour_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H12 + D4: per page, anchors as (title = text, style = href) entries."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
+    m = F.transform(
+        regex_matches("html", ANCHOR_PATTERN, {"style": 1, "title": 2}),
+        lambda x: F.struct(x["title"].alias("title"), x["style"].alias("style")))
+    return pages.select("page_id", spec.colour_list(m).alias("colours"))
+
+
+H1_PATH = [markup.Step("h1")]
+
+
+def q_headline_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("body"))
+    return markup.headline_text(pages, H1_PATH)
+
+
+def q_spec_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("body"))
+    return markup.link_table(pages)
+
+
 QUERIES = {
     "fingerprints": q_fingerprints,
     "capture_status": q_capture_status,
@@ -84,4 +439,26 @@ QUERIES = {
     "resumed_log_delta": q_resumed_log_delta,
     "fetch_decision": q_fetch_decision,
     "latest_fingerprint": q_latest_fingerprint,
+    "extracted_entities": q_extracted_entities,
+    "json_map_rows": q_json_map_rows,
+    "json_array_rows": q_json_array_rows,
+    "entity_projection": q_entity_projection,
+    "insert_if_absent": q_insert_if_absent,
+    "insert_pairs": q_insert_pairs,
+    "quarantine": q_quarantine,
+    "routed_counts": q_routed_counts,
+    "attached_assets": q_attached_assets,
+    "unassigned": q_unassigned,
+    "level_assignment": q_level_assignment,
+    "level_union": q_level_union,
+    "reported_total": q_reported_total,
+    "page_plan": q_page_plan,
+    "frontier": q_frontier,
+    "allowed_hosts": q_allowed_hosts,
+    "breadcrumbs": q_breadcrumbs,
+    "spec_values": q_spec_values,
+    "spec_documents": q_spec_documents,
+    "colour_lists": q_colour_lists,
+    "headline_text": q_headline_text,
+    "spec_rows": q_spec_rows,
 }

@@ -37,6 +37,18 @@ def extract_matches(df: DataFrame, body: str, pattern: str, groups: dict[str, in
     return out.select(*keep, pos, *[F.col("_m")[g].alias(g) for g in groups])
 
 
+def dict_entries(m: Column) -> Column:
+    """Entries of a parsed JSON object with dict semantics: a repeated key
+    keeps the position of its first occurrence and the value of its last
+    (``from_json`` keeps every occurrence)."""
+    e = F.map_entries(m)
+    firsts = F.filter(e, lambda x, i: ~F.exists(F.slice(e, F.lit(1), i),
+                                                lambda y: y["key"] == x["key"]))
+    return F.transform(firsts, lambda x: F.struct(
+        x["key"].alias("key"),
+        F.element_at(F.filter(e, lambda y: y["key"] == x["key"]), -1)["value"].alias("value")))
+
+
 def explode_json_map(df: DataFrame, body: str, value_schema: DataType,
                      pos: str = "pos", key: str = "key", value: str = "value",
                      drop_body: bool = True) -> DataFrame:
@@ -45,20 +57,24 @@ def explode_json_map(df: DataFrame, body: str, value_schema: DataType,
     ``unparsable``)."""
     parsed = parse_lenient(json_object_text(body), MapType(StringType(), value_schema))
     keep = [c for c in df.columns if not (drop_body and c == body)]
-    return df.select(*keep, F.posexplode(parsed).alias(pos, key, value))
+    out = df.select(*keep, F.posexplode(dict_entries(parsed)).alias(pos, "_e"))
+    return out.select(*keep, pos, F.col("_e.key").alias(key), F.col("_e.value").alias(value))
 
 
 def explode_json_array(df: DataFrame, body: str, schema: DataType | str, array_field: str,
                        pos: str = "pos", element: str = "element",
                        keep_fields: list[str] | None = None,
-                       drop_body: bool = True) -> DataFrame:
+                       drop_body: bool = True, outer: bool = False) -> DataFrame:
     """H6: strict-shaped JSON object -> its array field, one row per element;
-    other top-level fields listed in ``keep_fields`` are carried."""
+    other top-level fields listed in ``keep_fields`` are carried; ``outer``
+    keeps a document with an empty array as one row with a NULL element."""
     keep = [c for c in df.columns if not (drop_body and c == body)]
     parsed = F.from_json(F.col(body), schema)
     tmp = df.select(*keep, parsed.alias("_doc"))
     extra = [F.col("_doc")[f].alias(f) for f in (keep_fields or [])]
-    return tmp.select(*keep, *extra, F.posexplode(F.col("_doc")[array_field]).alias(pos, element))
+    gen = F.posexplode_outer if outer else F.posexplode
+    src = tmp.filter(F.col("_doc").isNotNull()) if outer else tmp
+    return src.select(*keep, *extra, gen(F.col("_doc")[array_field]).alias(pos, element))
 
 
 def unparsable(df: DataFrame, body: str, schema: DataType, reason: str = "unparsable") -> DataFrame:
@@ -112,9 +128,11 @@ def version_rows(version_list_captures: DataFrame, body: str = "body") -> DataFr
 
 
 def search_rows(search_captures: DataFrame, body: str = "body") -> DataFrame:
-    """Level search page -> (Count, SerialId) rows, typed with try_cast."""
+    """Level search page -> (Count, SerialId) rows, typed with try_cast;
+    a page with an empty list gives one row with a NULL car (its Count still
+    counts)."""
     m = explode_json_array(search_captures, body, SEARCH_SCHEMA, "ResList",
-                           element="_row", keep_fields=["Count"])
+                           element="_row", keep_fields=["Count"], outer=True)
     keep = [c for c in m.columns if c not in ("Count", "_row")]
     return m.select(*keep,
                     F.expr("try_cast(Count AS INT)").alias("reported_count"),

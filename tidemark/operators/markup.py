@@ -31,7 +31,7 @@ IMPLIED = {
 SCOPE_STOP = {"table", "ul", "ol", "dl", "div", "nav", "body", "html"}
 
 
-@dataclass
+@dataclass(eq=False, repr=False)
 class Node:
     tag: str
     attrs: dict
@@ -50,16 +50,20 @@ class Node:
         return [c for c in self.children if isinstance(c, str)]
 
     def descendants(self) -> Iterator["Node"]:
-        for c in self.children:
-            if isinstance(c, Node):
-                yield c
-                yield from c.descendants()
+        """Element descendants in document order (iterative: deep pages
+        do not hit the recursion limit)."""
+        stack = list(reversed(self.elements()))
+        while stack:
+            n = stack.pop()
+            yield n
+            stack.extend(reversed(n.elements()))
 
     def following_siblings(self) -> list["Node"]:
         if self.parent is None:
             return []
         sib = self.parent.elements()
-        return sib[sib.index(self) + 1:]
+        idx = next(i for i, s in enumerate(sib) if s is self)
+        return sib[idx + 1:]
 
 
 class _TreeBuilder(HTMLParser):
@@ -225,50 +229,51 @@ def link_rows(root: Node, container: str = "nav") -> list[dict]:
 
 # ------------------------------------------------------------------ Spark jobs
 
-SPEC_ROW_SCHEMA = ("page_id {key_type}, pos int, label string, info array<string>, "
-                   "alt array<string>, colours array<struct<title: string, style: string>>")
+def _run_rule(df: DataFrame, keys: list[str], body: str, rule: Callable[[Node], list[dict]],
+              out_schema: str, columns: list[str]) -> DataFrame:
+    """Run ``rule`` over each body; ``keys`` columns are carried to every row."""
+    key_schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    schema = f"{key_schema}, pos int, {out_schema}"
 
-
-def _run_rule(df: DataFrame, key: str, body: str, rule: Callable[[Node], list[dict]],
-              schema: str, columns: list[str]) -> DataFrame:
     def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for k, html in zip(pdf[key], pdf[body]):
+            for vals, html in zip(zip(*[pdf[k] for k in keys]), pdf[body]):
                 if html is None:
                     continue
                 for pos, r in enumerate(rule(parse_html(html))):
-                    rows.append({key: k, "pos": pos, **r})
-            yield pd.DataFrame(rows, columns=[key, "pos"] + columns)
-    return df.select(key, body).mapInPandas(per_batch, schema)
+                    rows.append({**dict(zip(keys, vals)), "pos": pos, **r})
+            yield pd.DataFrame(rows, columns=keys + ["pos"] + columns)
+    return df.select(*keys, body).mapInPandas(per_batch, schema)
 
 
-def _key_type(df: DataFrame, key: str) -> str:
-    return df.schema[key].dataType.simpleString()
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
 
 
-def spec_rows(pages: DataFrame, key: str = "page_id", body: str = "body", **opts) -> DataFrame:
-    """J1 as a Spark job: (key, pos, label, info, alt, colours)."""
-    schema = (f"{key} {_key_type(pages, key)}, pos int, label string, info array<string>, "
-              "alt array<string>, colours array<struct<title: string, style: string>>")
-    return _run_rule(pages, key, body, lambda r: spec_sheet_rows(r, **opts), schema,
+def spec_rows(pages: DataFrame, key: str | list[str] = "page_id", body: str = "body",
+              **opts) -> DataFrame:
+    """J1 as a Spark job: (keys..., pos, label, info, alt, colours)."""
+    schema = ("label string, info array<string>, alt array<string>, "
+              "colours array<struct<title: string, style: string>>")
+    return _run_rule(pages, _keys(key), body, lambda r: spec_sheet_rows(r, **opts), schema,
                      ["label", "info", "alt", "colours"])
 
 
-def headline_text(pages: DataFrame, path: list[Step], key: str = "page_id",
+def headline_text(pages: DataFrame, path: list[Step], key: str | list[str] = "page_id",
                   body: str = "body", out: str = "headline") -> DataFrame:
-    """J2 as a Spark job: (key, headline) for pages where the path has text."""
-    schema = f"{key} {_key_type(pages, key)}, pos int, text string"
-    rows = _run_rule(pages, key, body, lambda r: first_path_text(r, path), schema, ["text"])
-    return rows.select(key, rows["text"].alias(out))
+    """J2 as a Spark job: (keys..., headline) for pages where the path has text."""
+    keys = _keys(key)
+    rows = _run_rule(pages, keys, body, lambda r: first_path_text(r, path), "text string",
+                     ["text"])
+    return rows.select(*keys, rows["text"].alias(out))
 
 
-def link_table(pages: DataFrame, key: str = "page_id", body: str = "body",
+def link_table(pages: DataFrame, key: str | list[str] = "page_id", body: str = "body",
                container: str = "nav") -> DataFrame:
-    """Link rows of a container as a Spark job: (key, pos, label, href)."""
-    schema = f"{key} {_key_type(pages, key)}, pos int, label string, href string"
-    return _run_rule(pages, key, body, lambda r: link_rows(r, container), schema,
-                     ["label", "href"])
+    """Link rows of a container as a Spark job: (keys..., pos, label, href)."""
+    return _run_rule(pages, _keys(key), body, lambda r: link_rows(r, container),
+                     "label string, href string", ["label", "href"])
 
 
 # Fixed value: where the car page states its level (second dl of the price box).

@@ -29,15 +29,19 @@ def _any(cols: list[Column]) -> Column:
 # ------------------------------------------------------------ A9 / A8
 
 def conform(df: DataFrame, spec: TargetSpec | list[ColumnRule],
-            carry: list[str] | None = None) -> DataFrame:
+            carry: list[str] | None = None, required: list[str] | None = None) -> DataFrame:
     """Typed target columns plus ``reasons`` (array of broken rules).
 
     Text is converted with ``try_cast``; a value that does not convert, an
     explicit NULL in a NOT NULL column and text longer than the column are
-    the reject reasons (``type:c``, ``null:c``, ``length:c``).
+    the reject reasons (``type:c``, ``null:c``, ``length:c``).  ``required``
+    source fields must be present (``missing:c``): a record lacking them
+    would have aborted its whole response.
     """
     rules = spec.columns if isinstance(spec, TargetSpec) else tuple(spec)
     typed, checks = [], []
+    for req in required or []:
+        checks.append(F.when(F.col(req).isNull(), F.lit(f"missing:{req}")))
     for r in rules:
         src = r.source or r.name
         if src in df.columns:

@@ -120,6 +120,7 @@ ORACLE_SQL = {
     "latest_fingerprint": f"""
         SELECT page_uid, max(event_id) AS capture_seq, arg_max(data_uid, event_id) AS data_uid
         FROM ({_EVENT_CAPTURES}) GROUP BY page_uid""",
+    "stream_log_delta": f"SELECT event_id, page_uid, data_uid FROM ({_STATUS}) WHERE status <> 'unchanged'",
     "extracted_entities": f"""
         SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, h AS href, t AS text,
                printf('https://links.example/%s?from=%s',

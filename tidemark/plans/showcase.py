@@ -419,6 +419,34 @@ def q_colour_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", spec.colour_list(m).alias("colours"))
 
 
+STREAM_PARTS = 3
+
+
+def q_stream_log_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1 + I3: captures land in three increments (by id range); after each
+    the refresh stream runs with ``availableNow`` on the same checkpoint.
+    The accumulated log equals the batch log delta."""
+    from tidemark.session import shared_path
+    from tidemark.sources.captures import read_captures
+    from tidemark.streaming.refresh import RefreshSink, start_refresh_stream
+
+    root = shared_path(spark, "stream-log-delta")
+    inbox, sink = f"{root}/inbox", RefreshSink(f"{root}/out")
+    caps = event_captures(spark, sf_dir)
+    lo, hi = caps.agg(F.min("capture_seq"), F.max("capture_seq")).first()
+    if lo is not None:
+        step = (hi - lo) // STREAM_PARTS + 1
+        for i in range(STREAM_PARTS):
+            part = caps.filter((F.col("capture_seq") >= lo + i * step) &
+                               (F.col("capture_seq") < lo + (i + 1) * step))
+            part.write.mode("append").parquet(inbox)
+            q = start_refresh_stream(read_captures(spark, inbox, stream=True), sink,
+                                     f"{root}/checkpoint")
+            q.awaitTermination()
+    log = spark.read.parquet(sink.log) if lo is not None else None
+    return log.select(F.col("capture_seq").alias("event_id"), "page_uid", "data_uid")
+
+
 H1_PATH = [markup.Step("h1")]
 
 
@@ -461,4 +489,5 @@ QUERIES = {
     "colour_lists": q_colour_lists,
     "headline_text": q_headline_text,
     "spec_rows": q_spec_rows,
+    "stream_log_delta": q_stream_log_delta,
 }

@@ -9,8 +9,10 @@ Scale notes
   large share of all captures, so the window is salted by a range bucket of
   the order column: ``lag`` runs per (page, bucket), and the first row of each
   bucket takes the last digest of the page's previous non-empty bucket from a
-  per-bucket summary (one row per page and bucket, computed without a second
-  shuffle of the captures).  No window group is larger than ``bucket_span``
+  per-bucket summary (one row per page and bucket, aggregated map-side).
+* The input should be keys and digests only: callers hash bodies once and
+  materialise the fingerprints (``checkpoint`` or a written table) before
+  this operator, which reads its input twice (window and summary).  No window group is larger than ``bucket_span``
   consecutive order values, however hot a page is.
 * A resumed run reads the compacted state (one row per page), never the log.
 * Bodies are dropped right after hashing: shuffles carry keys and digests.
@@ -69,16 +71,18 @@ def change_status(captures: DataFrame, page: str = "page_uid", digest: str = "da
         seed = seed.join(captures.select(page).distinct(), page, "left_semi")
         cur = cur.unionByName(seed, allowMissingColumns=True)
     cur = cur.withColumn("_bucket", F.floor(F.col(order) / F.lit(bucket_span)).cast("long"))
+    # a capture has a page and an order
+    cur = cur.filter(F.col(page).isNotNull() & F.col("_bucket").isNotNull())
 
     in_bucket = Window.partitionBy(page, "_bucket").orderBy(order)
     cur = cur.withColumn("_prev", F.lag(digest).over(in_bucket))
 
-    # last digest of each (page, bucket); grouping by the window's own keys
-    # reuses its partitioning, so this adds no shuffle of the captures
+    # last digest per (page, bucket): an aggregation that combines map-side,
+    # so it shuffles one row per bucket and map task, not the captures; the
+    # carry is the last digest of the page's previous non-empty bucket
     summary = cur.groupBy(page, "_bucket").agg(F.max_by(digest, order).alias("_last"))
     by_bucket = Window.partitionBy(page).orderBy("_bucket")
-    summary = summary.select(page, "_bucket",
-                             F.lag("_last").over(by_bucket).alias("_carry"))
+    summary = summary.select(page, "_bucket", F.lag("_last").over(by_bucket).alias("_carry"))
 
     out = cur.join(summary, [page, "_bucket"], "left")
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))

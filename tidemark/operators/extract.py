@@ -41,7 +41,11 @@ def dict_entries(m: Column) -> Column:
     """Entries of a parsed JSON object with dict semantics: a repeated key
     keeps the position of its first occurrence and the value of its last
     (``from_json`` keeps every occurrence)."""
-    e = F.map_entries(m)
+    return _dict_order(F.map_entries(m))
+
+
+def _dict_order(e: Column) -> Column:
+    """``dict_entries`` over an array of (key, value) entries."""
     firsts = F.filter(e, lambda x, i: ~F.exists(F.slice(e, F.lit(1), i),
                                                 lambda y: y["key"] == x["key"]))
     return F.transform(firsts, lambda x: F.struct(
@@ -57,7 +61,10 @@ def explode_json_map(df: DataFrame, body: str, value_schema: DataType,
     ``unparsable``)."""
     parsed = parse_lenient(json_object_text(body), MapType(StringType(), value_schema))
     keep = [c for c in df.columns if not (drop_body and c == body)]
-    out = df.select(*keep, F.posexplode(dict_entries(parsed)).alias(pos, "_e"))
+    # parse once into a column; the dedup lambdas then read that column
+    # (an expensive expression referenced several times is not inlined)
+    tmp = df.select(*keep, F.map_entries(parsed).alias("_m"))
+    out = tmp.select(*keep, F.posexplode(_dict_order(F.col("_m"))).alias(pos, "_e"))
     return out.select(*keep, pos, F.col("_e.key").alias(key), F.col("_e.value").alias(value))
 
 

@@ -76,7 +76,9 @@ def assemble_documents(values: DataFrame, pages: DataFrame | None = None,
     matching entry get '{}'."""
     v = values.select(page, "pos", "grp", "item", "value", "is_flag")
     if pages is not None:
-        marker = pages.select(page).distinct().select(
+        # one marker row per listed page (duplicates fall into the same empty
+        # group, so no distinct -- and no extra shuffle -- is needed)
+        marker = pages.select(
             page, F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("grp"),
             F.lit(None).cast("string").alias("item"), F.lit(None).cast("string").alias("value"),
             F.lit(None).cast("boolean").alias("is_flag"))

@@ -21,10 +21,15 @@ class RefreshResult:
 
 
 def refresh(captures: DataFrame, prior_state: DataFrame | None = None,
-            policy: dict[str, change.KindPolicy] | None = None) -> RefreshResult:
-    """H1 + C6 + E2 + I2 + A5.  Bodies are hashed and dropped before the
-    shuffle of the change window."""
+            policy: dict[str, change.KindPolicy] | None = None,
+            materialize: bool = True) -> RefreshResult:
+    """H1 + C6 + E2 + I2 + A5.  Bodies are hashed once and dropped; the
+    fingerprints (keys and digests only) are checkpointed into the shared
+    checkpoint folder, so the change window and its summary never re-read
+    bodies and a lost executor does not recompute the hashing."""
     fp = change.add_fingerprints(captures.select("capture_seq", "kind", "url", "body")).drop("body")
+    if materialize:
+        fp = fp.checkpoint(eager=True)
     status = change.change_status(fp, prior_state=prior_state)
     decisions = change.fetch_decision(status, policy=policy)
     gated = decisions.filter(

@@ -50,6 +50,9 @@ class RefreshSink:
     def log_of(self, batch_id: int) -> str:
         return f"{self.log}/batch_id={batch_id}"
 
+    def fingerprints_of(self, batch_id: int) -> str:
+        return f"{self.root}/fingerprints/batch_id={batch_id}"
+
 
 def _prior_state(spark: SparkSession, sink: RefreshSink, batch_id: int) -> DataFrame | None:
     if batch_id > 0:
@@ -63,7 +66,10 @@ def refresh_batch(batch: DataFrame, batch_id: int, sink: RefreshSink) -> None:
     """foreachBatch body: status against earlier batches, log delta, new state."""
     spark = batch.sparkSession
     prior = _prior_state(spark, sink, batch_id)
-    caps = change.add_fingerprints(batch).drop("body")
+    # bodies are hashed once; the change window reads keys and digests only
+    change.add_fingerprints(batch.select("capture_seq", "kind", "url", "body")).drop("body") \
+        .write.mode("overwrite").parquet(sink.fingerprints_of(batch_id))
+    caps = spark.read.parquet(sink.fingerprints_of(batch_id))
     status = change.change_status(caps, prior_state=prior)
     delta = change.log_delta(status).select(*LOG_COLUMNS)
     delta.write.mode("overwrite").parquet(sink.log_of(batch_id))

@@ -51,3 +51,9 @@ def spaced_concat(*cols: Column | str) -> Column:
             parts.append(F.lit(" "))
         parts.append(_c(c))
     return F.concat(*parts)
+
+
+def utf8_text(c: Column | str) -> Column:
+    """Bodies landed as bytes are decoded as UTF-8; text passes through."""
+    col = _c(c)
+    return F.decode(col, "UTF-8")

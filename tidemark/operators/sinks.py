@@ -101,6 +101,24 @@ def insert_if_absent(target: DataFrame | None, source: DataFrame, keys: list[str
     return first.join(existing, cond, "left_anti")
 
 
+def with_audit_columns(df: DataFrame, created: str = "created_time",
+                       updated: str = "updated_time") -> DataFrame:
+    """Insert time and an update time that stays NULL (rows are never
+    updated).  Added at write time only, outside oracle-checked queries."""
+    return df.withColumn(created, F.current_timestamp()).withColumn(
+        updated, F.lit(None).cast("timestamp"))
+
+
+def append_rows(df: DataFrame, path: str, batch_id: int | None = None,
+                fmt: str = "parquet") -> None:
+    """A3/A5 write: plain append, or one folder per batch (or run) id,
+    overwritten on replay, so a retried batch adds nothing twice."""
+    if batch_id is None:
+        df.write.mode("append").format(fmt).save(path)
+    else:
+        df.write.mode("overwrite").format(fmt).save(f"{path}/run_id={batch_id}")
+
+
 # ------------------------------------------------------------ A6 / B13
 
 def tag_records(df: DataFrame, tag_source: str, mapping: dict[str, str],

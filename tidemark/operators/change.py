@@ -25,6 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.digest import sha1_hex
+from tidemark.operators.partitioning import spread
 
 NEW, CHANGED, UNCHANGED = "new", "changed", "unchanged"
 DEFAULT_BUCKET_SPAN = 1 << 20
@@ -33,7 +34,7 @@ DEFAULT_BUCKET_SPAN = 1 << 20
 def add_fingerprints(df: DataFrame, url: str = "url", body: str = "body",
                      page_col: str = "page_uid", digest_col: str = "data_uid") -> DataFrame:
     """H1: SHA-1 hex of the url (page identity) and of the body (content)."""
-    return df.withColumn(page_col, sha1_hex(url)).withColumn(digest_col, sha1_hex(body))
+    return spread(df).withColumn(page_col, sha1_hex(url)).withColumn(digest_col, sha1_hex(body))
 
 
 def latest_by_key(df: DataFrame, keys: list[str] | str, order: str,

@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructFi
 
 from tidemark.functions.json import json_object_text, parse_lenient
 from tidemark.functions.regex import regex_matches
+from tidemark.operators.partitioning import spread
 from tidemark.config import DEFAULT_SITE, SiteTemplates
 from tidemark.functions.urls import from_template
 
@@ -33,7 +34,7 @@ def extract_matches(df: DataFrame, body: str, pattern: str, groups: dict[str, in
     """H2: one row per regex match with its position and named groups."""
     m = regex_matches(body, pattern, groups)
     keep = [c for c in df.columns if not (drop_body and c == body)]
-    out = df.select(*keep, F.posexplode(m).alias(pos, "_m"))
+    out = spread(df).select(*keep, F.posexplode(m).alias(pos, "_m"))
     return out.select(*keep, pos, *[F.col("_m")[g].alias(g) for g in groups])
 
 
@@ -45,12 +46,16 @@ def dict_entries(m: Column) -> Column:
 
 
 def _dict_order(e: Column) -> Column:
-    """``dict_entries`` over an array of (key, value) entries."""
+    """``dict_entries`` over an array of (key, value) entries.  Objects without
+    a repeated key (the normal case, checked with a hash-based distinct) are
+    passed through; only the rest pay for the pairwise lambdas."""
+    unique = F.size(F.array_distinct(F.transform(e, lambda x: x["key"]))) == F.size(e)
     firsts = F.filter(e, lambda x, i: ~F.exists(F.slice(e, F.lit(1), i),
                                                 lambda y: y["key"] == x["key"]))
-    return F.transform(firsts, lambda x: F.struct(
+    deduped = F.transform(firsts, lambda x: F.struct(
         x["key"].alias("key"),
         F.element_at(F.filter(e, lambda y: y["key"] == x["key"]), -1)["value"].alias("value")))
+    return F.when(unique, e).otherwise(deduped)
 
 
 def explode_json_map(df: DataFrame, body: str, value_schema: DataType,
@@ -63,7 +68,7 @@ def explode_json_map(df: DataFrame, body: str, value_schema: DataType,
     keep = [c for c in df.columns if not (drop_body and c == body)]
     # parse once into a column; the dedup lambdas then read that column
     # (an expensive expression referenced several times is not inlined)
-    tmp = df.select(*keep, F.map_entries(parsed).alias("_m"))
+    tmp = spread(df).select(*keep, F.map_entries(parsed).alias("_m"))
     out = tmp.select(*keep, F.posexplode(_dict_order(F.col("_m"))).alias(pos, "_e"))
     return out.select(*keep, pos, F.col("_e.key").alias(key), F.col("_e.value").alias(value))
 
@@ -77,7 +82,7 @@ def explode_json_array(df: DataFrame, body: str, schema: DataType | str, array_f
     keeps a document with an empty array as one row with a NULL element."""
     keep = [c for c in df.columns if not (drop_body and c == body)]
     parsed = F.from_json(F.col(body), schema)
-    tmp = df.select(*keep, parsed.alias("_doc"))
+    tmp = spread(df).select(*keep, parsed.alias("_doc"))
     extra = [F.col("_doc")[f].alias(f) for f in (keep_fields or [])]
     gen = F.posexplode_outer if outer else F.posexplode
     src = tmp.filter(F.col("_doc").isNotNull()) if outer else tmp

@@ -18,6 +18,8 @@ from typing import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from tidemark.operators.partitioning import spread
+
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
         "param", "source", "track", "wbr"}
 # start tag -> open elements it closes implicitly (HTML's optional end tags)
@@ -244,7 +246,7 @@ def _run_rule(df: DataFrame, keys: list[str], body: str, rule: Callable[[Node],
                 for pos, r in enumerate(rule(parse_html(html))):
                     rows.append({**dict(zip(keys, vals)), "pos": pos, **r})
             yield pd.DataFrame(rows, columns=keys + ["pos"] + columns)
-    return df.select(*keys, body).mapInPandas(per_batch, schema)
+    return spread(df.select(*keys, body)).mapInPandas(per_batch, schema)
 
 
 def _keys(key: str | list[str]) -> list[str]:

@@ -1,0 +1,16 @@
+"""Parallelism for CPU-heavy narrow work."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a small input round-robin over the task slots before CPU-heavy
+    narrow work (tokenising, parsing).  An input that already has at least
+    that many partitions -- any large table -- is returned as it is, so this
+    adds no shuffle at scale."""
+    if df.isStreaming:
+        return df
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

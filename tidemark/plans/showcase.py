@@ -16,6 +16,7 @@ from tidemark.config import DEFAULT_SITE
 from tidemark.functions.digest import sha1_hex
 from tidemark.functions.regex import regex_matches
 from tidemark.functions.urls import from_template, url_host, host_allowed
+from tidemark.operators.partitioning import spread
 from tidemark.operators import change, extract, frontier as fr, levels, lineage, markup, sinks, spec
 from tidemark.schemas import VERSION, ColumnRule
 from tidemark.sources.dimensions import spec_dictionary
@@ -360,7 +361,7 @@ def _spec_source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label rows per order, in page order, as the tokeniser would emit them
     (labels still end with their colon).  Status P orders list only an
     unknown label and an empty one, so their document is '{}'."""
-    o = read_table(spark, sf_dir, "orders")
+    o = spread(read_table(spark, sf_dir, "orders"))
     empty = F.array().cast("array<string>")
     no_col = F.array().cast("array<struct<title:string,style:string>>")
 

@@ -113,3 +113,15 @@ def test_unassigned_blank_names(spark):
     cars = spark.createDataFrame([(1, "a"), (2, "  "), (3, None), (4, "")], "third_id int, en_name string")
     links = spark.createDataFrame([(9, 1)], "car_third_id int, level_id int")
     assert sorted(r.third_id for r in levels.unassigned(cars, links).collect()) == [1]
+
+
+def test_level_dimension_scan(spark):
+    from tidemark.session import shared_path
+    from tidemark.sources.dimensions import level_dimension
+    path = shared_path(spark, "t-levels")
+    spark.createDataFrame(LEVELS, "id long, level_id int, level_name string, parent_level_id int") \
+         .withColumn("extra", F.lit(1)).write.parquet(path)
+    dim = level_dimension(spark, path)
+    assert dim.columns == ["id", "level_id", "level_name", "parent_level_id"]
+    first = {r.level_name: r.level_id for r in levels.first_level_per_name(dim).collect()}
+    assert first["皮卡"] == 12                    # smallest id wins (C2)

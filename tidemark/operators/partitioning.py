@@ -12,5 +12,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     adds no shuffle at scale."""
     if df.isStreaming:
         return df
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session)
+        return df
+    return df.repartition(n) if have < n else df

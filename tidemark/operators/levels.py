@@ -21,8 +21,10 @@ RANK_SEPARATOR = "第"
 
 def unassigned(cars: DataFrame, links: DataFrame, car_key: str = "third_id",
                link_key: str = "car_third_id", name: str = "en_name") -> DataFrame:
-    """C1 + B10: cars with a non-blank name and no link (anti join)."""
-    linked = links.select(F.col(link_key).alias("_linked"))
+    """C1 + B10: cars with a non-blank name and no link (anti join).  The
+    linked ids are deduplicated map-side first; the anti join reuses that
+    partitioning, so a car with many links costs no extra shuffle."""
+    linked = links.select(F.col(link_key).alias("_linked")).distinct()
     named = cars.filter(F.rtrim(F.col(name)) > F.lit(""))
     return named.join(linked, named[car_key] == F.col("_linked"), "left_anti")
 

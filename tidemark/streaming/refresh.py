@@ -1,12 +1,15 @@
 """Incremental refresh of the change log (I1, I3, P4 as a stream).
 
 ``foreachBatch`` form (the default):
-  batch N reads the state snapshot written by batch N-1 (one row per page:
-  latest logged digest), runs the batch ``change_status`` against it, writes
-  the log delta to ``log/batch_id=N`` and the next snapshot to
-  ``state/batch_id=N`` (both overwrite, so a replayed batch rewrites the same
-  output and never reads its own first attempt).  The delta is read back from
-  its written table before compaction, which also cuts the lineage.
+  the state (latest logged digest per page) is kept log-structured: each
+  batch writes only its own changes (``state_delta/batch_id=N``, one row per
+  page changed in the batch), and every ``compact_every`` batches a full
+  snapshot is written (``state/batch_id=N``).  Batch N reads the last
+  snapshot before it plus at most ``compact_every - 1`` deltas, compacts them
+  to one row per page and restricts them to the pages it holds; it never
+  rewrites the whole state per micro-batch.  All outputs are written per batch
+  id with overwrite, and a batch reads only outputs of earlier ids, so a
+  replayed batch rewrites the same rows.  Written tables also cut lineage.
 
 ``transformWithStateInPandas`` form (``stateful_changes``):
   the last digest per page lives in the state store as a value state; rows of
@@ -30,11 +33,15 @@ from tidemark.operators import change
 LOG_COLUMNS = ["capture_seq", "kind", "url", "page_uid", "data_uid", "status"]
 
 
+STATE_SCHEMA = "page_uid string, capture_seq long, data_uid string"
+
+
 @dataclass(frozen=True)
 class RefreshSink:
     """Folders (in the shared checkpoint area or a table location)."""
     root: str
     initial_state: str | None = None     # compacted state of earlier runs
+    compact_every: int = 10              # snapshot period, in batches
 
     @property
     def log(self) -> str:
@@ -47,6 +54,16 @@ class RefreshSink:
     def state_of(self, batch_id: int) -> str:
         return f"{self.state}/batch_id={batch_id}"
 
+    def delta_of(self, batch_id: int) -> str:
+        return f"{self.root}/state_delta/batch_id={batch_id}"
+
+    def is_snapshot(self, batch_id: int) -> bool:
+        return (batch_id + 1) % self.compact_every == 0
+
+    def last_snapshot_before(self, batch_id: int) -> int | None:
+        s = (batch_id // self.compact_every) * self.compact_every - 1
+        return s if s >= 0 else None
+
     def log_of(self, batch_id: int) -> str:
         return f"{self.log}/batch_id={batch_id}"
 
@@ -54,16 +71,35 @@ class RefreshSink:
         return f"{self.root}/fingerprints/batch_id={batch_id}"
 
 
+def _merged_state(spark: SparkSession, sink: RefreshSink, batch_id: int,
+                  upto: int) -> DataFrame | None:
+    """Last snapshot before ``batch_id`` plus the deltas of batches from
+    that snapshot up to ``upto`` (exclusive), compacted."""
+    snap = sink.last_snapshot_before(batch_id)
+    parts: list[DataFrame] = []
+    if snap is not None:
+        parts.append(spark.read.schema(STATE_SCHEMA).parquet(sink.state_of(snap)))
+    elif sink.initial_state:
+        parts.append(spark.read.schema(STATE_SCHEMA).parquet(sink.initial_state))
+    first_delta = (snap + 1) if snap is not None else 0
+    parts += [spark.read.schema(STATE_SCHEMA).parquet(sink.delta_of(b))
+              for b in range(first_delta, upto)]
+    if not parts:
+        return None
+    merged = parts[0]
+    for p in parts[1:]:
+        merged = merged.unionByName(p)
+    return merged if len(parts) == 1 else change.compact_state(merged)
+
+
 def _prior_state(spark: SparkSession, sink: RefreshSink, batch_id: int) -> DataFrame | None:
-    if batch_id > 0:
-        return spark.read.parquet(sink.state_of(batch_id - 1))
-    if sink.initial_state:
-        return spark.read.parquet(sink.initial_state)
-    return None
+    """State as of the end of batch ``batch_id - 1``."""
+    return _merged_state(spark, sink, batch_id, batch_id)
 
 
 def refresh_batch(batch: DataFrame, batch_id: int, sink: RefreshSink) -> None:
-    """foreachBatch body: status against earlier batches, log delta, new state."""
+    """foreachBatch body: status against earlier batches, log delta, state delta
+    (and a snapshot every ``compact_every`` batches)."""
     spark = batch.sparkSession
     prior = _prior_state(spark, sink, batch_id)
     # bodies are hashed once; the change window reads keys and digests only
@@ -74,9 +110,12 @@ def refresh_batch(batch: DataFrame, batch_id: int, sink: RefreshSink) -> None:
     delta = change.log_delta(status).select(*LOG_COLUMNS)
     delta.write.mode("overwrite").parquet(sink.log_of(batch_id))
     written = spark.read.parquet(sink.log_of(batch_id))
-    fresh = change.compact_state(written)
-    merged = fresh if prior is None else prior.unionByName(fresh)
-    change.compact_state(merged).write.mode("overwrite").parquet(sink.state_of(batch_id))
+    change.compact_state(written).select("page_uid", "capture_seq", "data_uid") \
+        .write.mode("overwrite").parquet(sink.delta_of(batch_id))
+    if sink.is_snapshot(batch_id):
+        snap = _merged_state(spark, sink, batch_id, batch_id + 1)
+        snap.select("page_uid", "capture_seq", "data_uid") \
+            .write.mode("overwrite").parquet(sink.state_of(batch_id))
 
 
 def start_refresh_stream(captures: DataFrame, sink: RefreshSink, checkpoint: str,

@@ -40,6 +40,8 @@ def test_run_twice_then_change(spark):
     assert out1["version_attr"].first().content.startswith('{"body":{"color"')
     assert sorted((r.car_third_id, r.level_id) for r in out1["car2level"].collect()) == \
         [(11, 2), (21, 2), (21, 5)]
+    lines = sorted(r.line for r in out1["audit"].collect())
+    assert "[品牌] + 甲" in lines and "[车款] + 1.5L" in lines
     plan = {(r.kind, r.parent_id, r.priority) for r in out1["plan"].collect()}
     assert ("car_list", "9", 9999) in plan and ("spec_page", "101", 0) in plan
 
@@ -47,6 +49,7 @@ def test_run_twice_then_change(spark):
     out2 = run_batch(spark, _captures(spark, 100), root, 2, 1, level_dim=dim)
     for t in ("brand", "car", "version", "version_attr", "car2level", "spider_logs"):
         assert out2[t].count() == 0, t
+    assert "[品牌] 甲" in {r.line for r in out2["audit"].collect()}
     kinds = {r.kind for r in out2["plan"].collect()}
     assert kinds == {"car_list", "version_list"}     # flagged lists still fan out
 

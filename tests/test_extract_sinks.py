@@ -24,6 +24,27 @@ def test_seed_regex_and_edges(spark):
     assert r0.remote_logo.endswith("m_9_100.png")
 
 
+def test_seed_line_separators_and_empty_id(spark):
+    body = ('{type:"mb",id:7,name:"a\u2028b",url:"/a/",cur:0},{type:"mb",id:8,name:"c\u0085d",url:"/b/",cur:0}'
+            ',{type:"mb",id:,name:"e",url:"/c/",cur:0},{type:"mb",id:7,name:"again",url:"/d/",cur:0}')
+    df = caps(spark, [(1, "seed", "s", body, None)])
+    got = [(r.third_id, r.name) for r in extract.brand_rows(df).orderBy("pos").collect()]
+    assert got == [("7", "a\u2028b"), ("8", "c\u0085d"), ("", "e"), ("7", "again")]
+    out = catalogue.brands(df)
+    assert sorted((r.third_id, r.name) for r in out.added.collect()) == [(7, "a\u2028b"), (8, "c\u0085d")]
+    assert [r.reason for r in out.quarantine.collect()] == ["type:third_id"]
+
+
+def test_json_raw_newline_and_shapes(spark):
+    rows = [(1, "version_list", "u", 'x={"n":{"id":1,"name":"a\nb","pid":2}}', None),
+            (2, "version_list", "u", 'x=[1, 2]', None),
+            (3, "version_list", "u", 'x={"n":1}', None)]
+    df = caps(spark, rows)
+    got = [(r.third_id, r.name) for r in extract.version_rows(df).collect()]
+    assert got == [("1", "a\nb")]
+    assert sorted(r.capture_seq for r in catalogue.unparsable_captures(df).collect()) == [2, 3]
+
+
 def test_seed_record_without_name_runs_on(spark):
     body = '{type:"a",id:1,url:"/x/",cur:0},{type:"b",id:2,name:"N",url:"/y/",cur:0}'
     r = extract.brand_rows(caps(spark, [(1, "seed", "s", body, None)])).collect()

@@ -7,6 +7,21 @@ from pyspark.sql import Column, functions as F
 from tidemark.functions.text import spaced_concat
 from tidemark.operators.change import UNCHANGED
 
+# The console tags of the crawl, by capture kind.
+KIND_TAGS = {
+    "seed": "品牌",
+    "car_list": "车型",
+    "version_list": "车款",
+    "spec_page": "车款配置",
+}
+
+
+def kind_tag(kind: Column | str, tags: dict[str, str] | None = None) -> Column:
+    """The console tag of a kind (the kind itself when it has none)."""
+    k = F.col(kind) if isinstance(kind, str) else kind
+    m = F.create_map(*[F.lit(x) for kv in (tags or KIND_TAGS).items() for x in kv])
+    return F.coalesce(F.element_at(m, k), k)
+
 
 def breadcrumb(*names: Column | str) -> Column:
     """B6: 'brand car version' joined by spaces; NULL when a part is NULL."""

@@ -54,9 +54,14 @@ def versions(captures: DataFrame, target: DataFrame | None = None) -> EntityOutp
 
 
 def unparsable_captures(captures: DataFrame) -> DataFrame:
-    """Captures of list kinds whose JSON does not parse (quarantined whole)."""
-    lists = captures.filter(F.col("kind").isin("car_list", "version_list"))
-    schema = "map<string,string>"
+    """Captures of list kinds whose JSON does not parse as an object of
+    records (no '{', truncated, wrong shape); quarantined whole.  Trailing
+    text after the object (';', ')') is accepted."""
     from pyspark.sql.types import MapType, StringType
-    return extract.unparsable(lists, "body", MapType(StringType(), StringType()),
-                              reason="unparsable:" + schema).drop("body")
+    out = None
+    for kind, fields in (("car_list", extract.CAR_FIELDS), ("version_list", extract.VERSION_FIELDS)):
+        schema = MapType(StringType(), extract.string_struct(fields))
+        bad = extract.unparsable(captures.filter(F.col("kind") == kind), "body", schema,
+                                 reason=f"unparsable:{kind}").drop("body")
+        out = bad if out is None else out.unionByName(bad)
+    return out

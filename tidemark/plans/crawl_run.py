@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.config import DEFAULT_SITE, SiteTemplates
-from tidemark.operators import extract, sinks
+from tidemark.operators import extract, lineage, sinks
 from tidemark.plans import catalogue, fetch_plan, level_assignment, refresh as rf, spec_documents
 from tidemark.sources.dimensions import spec_dictionary
 
@@ -103,6 +103,27 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
     sinks.append_rows(sinks.with_audit_columns(res.log_delta), p.table("spider_logs"), run_id)
     res.next_state.write.mode("overwrite").parquet(f"{p.table('state')}/run_id={run_id}")
     out["spider_logs"] = res.log_delta
+    # B6/B7 + C5: the console lines as data -- one per extracted entity of a
+    # non-dropped capture, '+ ' when its items were emitted
+    emitted = res.decisions.select("capture_seq", "emit_items", "decision")
+    lines = []
+    for kind, rows in (("seed", extract.brand_rows(captures.filter(F.col("kind") == "seed"), site=site)),
+                       ("car_list", extract.car_rows(captures.filter(F.col("kind") == "car_list"))),
+                       ("version_list", extract.version_rows(
+                           captures.filter(F.col("kind") == "version_list")))):
+        name = F.col("name")
+        if kind == "car_list" and "brand_name" in captures.columns:
+            name = lineage.breadcrumb("brand_name", "name")
+        if kind == "version_list" and "brand_name" in captures.columns:
+            name = lineage.breadcrumb("brand_name", "car_name", "name")
+        lines.append(rows.join(emitted, "capture_seq").filter(F.col("decision") != "drop").select(
+            "capture_seq", "pos",
+            lineage.audit_label(lineage.kind_tag(F.lit(kind)), name,
+                                F.when(F.col("emit_items"), F.lit("new")).otherwise(F.lit("unchanged")))
+            .alias("line")))
+    audit = lines[0].unionByName(lines[1]).unionByName(lines[2])
+    out["audit"] = audit
+
     # children are followed per the decision table, also for flagged
     # (unchanged) list pages; positions restart in every response
     follow = rf.gate(captures, res.decisions, flag="follow_children")

@@ -13,7 +13,9 @@ CAP = "capture_seq long, kind string, url string, body string, parent_id string"
 SEED = '{type:"mb",id:9,name:"甲",url:"/a/",cur:0},{type:"mb",id:10,name:"B B",url:"/b/",cur:0}'
 CARS = ('x={"s1":{"id":"11","name":"甲一","showName":"甲 甲一","urlSpell":"jiayi","pid":"9",'
         '"goid":"5","goname":"厂","csSale":"0"},"s2":{"id":"21","name":"乙","showName":"乙",'
-        '"urlSpell":"yi","pid":"9","goid":"5","goname":"厂","csSale":"1"}}')
+        '"urlSpell":"yi","pid":"9","goid":"5","goname":"厂","csSale":"1"},'
+        '"s3":{"id":"31","name":"丙","showName":"丙","urlSpell":"bing","pid":"9","goid":"5",'
+        '"goname":"厂","csSale":"2"}}')
 VERS = ('x={"n1":{"id":101,"name":"1.5L","pid":11,"referprice":"9.98","salestate":"在销",'
         '"goname":"2018","tt":"t"}}')
 SEARCH = '{"Count":1,"ResList":[{"SerialId":11}]}'
@@ -35,7 +37,7 @@ def test_run_twice_then_change(spark):
     dim = spark.createDataFrame(LEVELS, "id long, level_id int, level_name string, parent_level_id int")
     out1 = run_batch(spark, _captures(spark, 0), root, 1, None, level_dim=dim)
     assert sorted(r.third_id for r in out1["brand"].collect()) == [9, 10]
-    assert sorted(r.third_id for r in out1["car"].collect()) == [11, 21]
+    assert sorted(r.third_id for r in out1["car"].collect()) == [11, 21, 31]
     assert [r.third_id for r in out1["version"].collect()] == [101]
     assert out1["version_attr"].first().content.startswith('{"body":{"color"')
     assert sorted((r.car_third_id, r.level_id) for r in out1["car2level"].collect()) == \
@@ -44,6 +46,9 @@ def test_run_twice_then_change(spark):
     assert "[品牌] + 甲" in lines and "[车款] + 1.5L" in lines
     plan = {(r.kind, r.parent_id, r.priority) for r in out1["plan"].collect()}
     assert ("car_list", "9", 9999) in plan and ("spec_page", "101", 0) in plan
+    assert sorted(r.third_id for r in out1["unassigned"].collect()) == [31]
+    car_pages = [r.url for r in out1["plan"].collect() if r.kind == "car_page"]
+    assert car_pages == [DEFAULT_SITE.car_page % "bing"]
 
     # the same content landed again: nothing new, nothing logged
     out2 = run_batch(spark, _captures(spark, 100), root, 2, 1, level_dim=dim)
@@ -51,7 +56,8 @@ def test_run_twice_then_change(spark):
         assert out2[t].count() == 0, t
     assert "[品牌] 甲" in {r.line for r in out2["audit"].collect()}
     kinds = {r.kind for r in out2["plan"].collect()}
-    assert kinds == {"car_list", "version_list"}     # flagged lists still fan out
+    # flagged lists still fan out; the car without a level is asked for again
+    assert kinds == {"car_list", "version_list", "car_page"}
 
     # a changed car list: the new car is added, the old one is kept as it was
     changed = CARS.replace('"name":"甲一"', '"name":"renamed"').replace('"id":"21"', '"id":"22"')

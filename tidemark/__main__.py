@@ -31,12 +31,14 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--max-files-per-trigger", type=int)
+    for p in (r, s):
+        p.add_argument("--cluster", action="store_true", help="apply the cluster sizing profile")
     args = ap.parse_args(argv)
 
     from tidemark.session import get_session
     from tidemark.sources.captures import read_captures
 
-    spark = get_session(app=f"tidemark-{args.cmd}")
+    spark = get_session(app=f"tidemark-{args.cmd}", cluster=args.cluster)
     if args.cmd == "run":
         from tidemark.plans.crawl_run import run_batch
         from tidemark.sources.dimensions import level_dimension

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.config import DEFAULT_SITE, SiteTemplates
-from tidemark.operators import extract, lineage, sinks
+from tidemark.operators import extract, levels as lv, lineage, sinks
 from tidemark.plans import catalogue, fetch_plan, level_assignment, refresh as rf, spec_documents
 from tidemark.sources.dimensions import spec_dictionary
 
@@ -93,6 +93,11 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
         sinks.append_rows(added_links, p.table("car2level"), run_id)
         out["car2level"] = added_links
         out["level_totals"] = lr.totals
+        # cars still without a level after this run get their car page fetched
+        linked = added_links.select("car_third_id")
+        if links is not None:
+            linked = links.select("car_third_id").unionByName(linked)
+        out["unassigned"] = lv.unassigned(cars_now, linked)
 
     q = quarantine[0]
     for x in quarantine[1:]:
@@ -131,5 +136,6 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
         brands=extract.brand_rows(follow.filter(F.col("kind") == "seed"), site=site),
         cars=extract.car_rows(follow.filter(F.col("kind") == "car_list")),
         versions=extract.version_rows(follow.filter(F.col("kind") == "version_list")),
-        search_totals=out.get("level_totals"), site=site, ordered=False)
+        search_totals=out.get("level_totals"), unassigned_cars=out.get("unassigned"),
+        site=site, ordered=False)
     return out

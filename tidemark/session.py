@@ -19,14 +19,33 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (thousands of executors, ~100 TB of captures).
+# Reads are split at 256 MiB; shuffles start wide and AQE coalesces them to
+# ~256 MiB each, so no task holds more than a few hundred MiB whatever the
+# data size; skewed partitions (> 5x the median and > 1 GiB) of sort-merge
+# joins are split by AQE.  Hot keys of windows and aggregations are handled
+# by the operators themselves (salting, map-side combine).
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 << 20),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
+
+
 def get_session(master: str | None = None, app: str = "tidemark",
                 shuffle_partitions: int | None = None,
-                extra: dict[str, str] | None = None) -> SparkSession:
-    """Build (or reuse) a session with the engine defaults."""
+                extra: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
+    """Build (or reuse) a session with the engine defaults (plus
+    ``CLUSTER_CONF`` when ``cluster``)."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **(CLUSTER_CONF if cluster else {})}.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

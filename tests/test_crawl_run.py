@@ -52,7 +52,7 @@ def test_run_twice_then_change(spark):
 
     # the same content landed again: nothing new, nothing logged
     out2 = run_batch(spark, _captures(spark, 100), root, 2, 1, level_dim=dim)
-    for t in ("brand", "car", "version", "version_attr", "car2level", "spider_logs"):
+    for t in ("brand", "car", "version", "version_attr", "car2level", "change_log"):
         assert out2[t].count() == 0, t
     assert "[品牌] 甲" in {r.line for r in out2["audit"].collect()}
     kinds = {r.kind for r in out2["plan"].collect()}
@@ -66,7 +66,7 @@ def test_run_twice_then_change(spark):
     stored = {r.third_id: r.name for r in spark.read.parquet(f"{root}/car").collect()}
     assert stored[11] == "甲一"
     # level search and car pages never touch the change log: 4 gated kinds + 1 change
-    assert spark.read.parquet(f"{root}/spider_logs").count() == 4 + 1
+    assert spark.read.parquet(f"{root}/change_log").count() == 4 + 1
 
 
 def test_utf8_text(spark):

@@ -21,7 +21,7 @@ from tidemark.operators import extract, levels as lv, lineage, sinks
 from tidemark.plans import catalogue, fetch_plan, level_assignment, refresh as rf, spec_documents
 from tidemark.sources.dimensions import spec_dictionary
 
-TABLES = ("brand", "car", "version", "version_attr", "car2level", "spider_logs", "quarantine",
+TABLES = ("brand", "car", "version", "version_attr", "car2level", "change_log", "quarantine",
           "state")
 
 
@@ -105,9 +105,9 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
     sinks.append_rows(q, p.table("quarantine"), run_id)
 
     # log last, then the next state; the state is rewritten whole
-    sinks.append_rows(sinks.with_audit_columns(res.log_delta), p.table("spider_logs"), run_id)
+    sinks.append_rows(sinks.with_audit_columns(res.log_delta), p.table("change_log"), run_id)
     res.next_state.write.mode("overwrite").parquet(f"{p.table('state')}/run_id={run_id}")
-    out["spider_logs"] = res.log_delta
+    out["change_log"] = res.log_delta
     # B6/B7 + C5: the console lines as data -- one per extracted entity of a
     # non-dropped capture, '+ ' when its items were emitted
     emitted = res.decisions.select("capture_seq", "emit_items", "decision")

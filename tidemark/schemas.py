@@ -71,7 +71,7 @@ CAR2LEVEL = TargetSpec("car2level", (
     ColumnRule("level_id", "smallint", nullable=False),
 ), keys=("car_third_id", "level_id"))
 
-CHANGE_LOG = TargetSpec("spider_logs", (
+CHANGE_LOG = TargetSpec("change_log", (
     ColumnRule("page_name", "string", max_len=100),
     ColumnRule("page_uid", "string", max_len=64),
     ColumnRule("page_url", "string", max_len=4000),

@@ -70,6 +70,12 @@ def main() -> None:
         spark.sparkContext.setJobDescription(f"{group}:bucket={bucket}")
         st = change.change_status(caps, bucket_span=bucket)
         results[group] = st.groupBy("status").count().orderBy("status").collect()
+    # first write wins with one key holding a third of the rows (copies)
+    from tidemark.operators import sinks
+    src = caps.select("capture_seq", F.when(F.col("capture_seq") % 3 == 0, F.lit("copy"))
+                      .otherwise(F.col("page_uid")).alias("doc_key"), "data_uid")
+    spark.sparkContext.setJobDescription("3:first_by_key")
+    firsts = sinks.first_by_key(src, ["doc_key"], ["capture_seq"]).count()
     spark.sparkContext.setJobDescription(None)
     spark.stop()
     mx = max_task_records(log_dir)
@@ -79,6 +85,8 @@ def main() -> None:
         "max_task_shuffle_records_salted": mx.get(1),
         "max_task_shuffle_records_unsalted": mx.get(2),
         "status_counts": {r["status"]: r["count"] for r in results[1]},
+        "first_by_key_rows": firsts,
+        "max_task_shuffle_records_first_by_key": mx.get(3),
     }))
 
 

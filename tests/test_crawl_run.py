@@ -72,3 +72,32 @@ def test_run_twice_then_change(spark):
 def test_utf8_text(spark):
     df = spark.createDataFrame([(bytearray("甲".encode()),)], "b binary")
     assert df.select(utf8_text("b").alias("t")).first().t == "甲"
+
+
+def test_crawl_stream_equals_batch(spark):
+    from tidemark.sources.captures import CAPTURE_SCHEMA, read_captures
+    from tidemark.streaming.crawl_stream import start_crawl_stream
+    root = shared_path(spark, "t-crawl-stream")
+    dim = spark.createDataFrame(LEVELS, "id long, level_id int, level_name string, parent_level_id int")
+    caps = _captures(spark, 0)
+    full = caps.select(*[F.col(c) if c in caps.columns else
+                         F.lit(None).cast(CAPTURE_SCHEMA[c].dataType).alias(c) for c in CAPTURE_SCHEMA.names])
+    for lo, hi in ((1, 3), (4, 6)):
+        full.filter((F.col("capture_seq") >= lo) & (F.col("capture_seq") <= hi)) \
+            .write.mode("append").parquet(f"{root}/in")
+        start_crawl_stream(read_captures(spark, f"{root}/in", stream=True), f"{root}/out",
+                           f"{root}/ckpt", level_dim=dim).awaitTermination()
+    batch = run_batch(spark, caps, f"{root}/batch", 0, None, level_dim=dim)
+    for t in ("brand", "car", "version", "version_attr"):
+        streamed = sorted(r[0] for r in spark.read.parquet(f"{root}/out/{t}").select(
+            spark.read.parquet(f"{root}/out/{t}").columns[0]).collect())
+        batched = sorted(r[0] for r in batch[t].select(batch[t].columns[0]).collect())
+        assert streamed == batched, t
+
+
+def test_version_full_names(spark):
+    from tidemark.operators.lineage import version_full_names
+    v = spark.createDataFrame([(101, 11, "1.5L"), (102, 99, "x")], "third_id int, car_third_id int, name string")
+    c = spark.createDataFrame([(11, "甲一", 9)], "third_id int, name string, brand_third_id int")
+    b = spark.createDataFrame([(9, "甲")], "third_id int, name string")
+    assert [r.full_name for r in version_full_names(v, c, b).collect()] == ["甲 甲一 1.5L"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import spaced_concat
 from tidemark.operators.change import UNCHANGED
@@ -36,3 +36,16 @@ def audit_label(kind_label: Column | str, name: Column | str,
     s = F.col(status) if isinstance(status, str) else status
     mark = F.when(s == F.lit(UNCHANGED), F.lit("")).otherwise(F.lit("+ "))
     return F.concat(F.lit("["), k, F.lit("] "), mark, n)
+
+
+def version_full_names(versions: DataFrame, cars: DataFrame, brands: DataFrame) -> DataFrame:
+    """C5 by joins: versions with 'brand car version' names through
+    version.car_third_id = car.third_id and car.brand_third_id = brand.third_id
+    (inner: a version needs its car and brand)."""
+    c = cars.select(F.col("third_id").alias("_car_id"), F.col("name").alias("_car_name"),
+                    F.col("brand_third_id").alias("_brand_ref"))
+    b = brands.select(F.col("third_id").alias("_brand_id"), F.col("name").alias("_brand_name"))
+    j = (versions.join(c, versions["car_third_id"] == F.col("_car_id"))
+                 .join(b, F.col("_brand_ref") == F.col("_brand_id")))
+    return j.select(*[versions[x] for x in versions.columns],
+                    breadcrumb("_brand_name", "_car_name", versions["name"]).alias("full_name"))

@@ -101,3 +101,13 @@ def test_version_full_names(spark):
     c = spark.createDataFrame([(11, "甲一", 9)], "third_id int, name string, brand_third_id int")
     b = spark.createDataFrame([(9, "甲")], "third_id int, name string")
     assert [r.full_name for r in version_full_names(v, c, b).collect()] == ["甲 甲一 1.5L"]
+
+
+def test_run_quarantines_broken_list(spark):
+    root = shared_path(spark, "t-run-bad")
+    caps = spark.createDataFrame([(1, "car_list", "http://api.catalogue.example/x", "oops", "9"),
+                                  (2, "version_list", "http://api.catalogue.example/y",
+                                   'x={"n":{"id":"abc","name":"q","pid":1}}', "1")], CAP)
+    run_batch(spark, caps, root, 1)
+    got = sorted((r.target, r.capture_seq, r.reason) for r in spark.read.parquet(f"{root}/quarantine").collect())
+    assert got == [("capture", 1, "unparsable:car_list"), ("version", 2, "type:third_id")]

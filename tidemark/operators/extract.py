@@ -60,17 +60,22 @@ def _dict_order(e: Column) -> Column:
 
 def explode_json_map(df: DataFrame, body: str, value_schema: DataType,
                      pos: str = "pos", key: str = "key", value: str = "value",
-                     drop_body: bool = True) -> DataFrame:
+                     drop_body: bool = True, outer: bool = False) -> DataFrame:
     """H3-H5: JSONP text -> object with dynamic keys -> one row per entry,
     in the order of the text.  A body that does not parse gives no rows (see
-    ``unparsable``)."""
+    ``unparsable``); with ``outer`` every body also keeps one row when it has
+    no entries (``pos`` NULL) and a ``parsed_ok`` flag, so entity rows and
+    parse failures come out of one scan."""
     parsed = parse_lenient(json_object_text(body), MapType(StringType(), value_schema))
     keep = [c for c in df.columns if not (drop_body and c == body)]
     # parse once into a column; the dedup lambdas then read that column
     # (an expensive expression referenced several times is not inlined)
     tmp = spread(df).select(*keep, F.map_entries(parsed).alias("_m"))
-    out = tmp.select(*keep, F.posexplode(_dict_order(F.col("_m"))).alias(pos, "_e"))
-    return out.select(*keep, pos, F.col("_e.key").alias(key), F.col("_e.value").alias(value))
+    gen = F.posexplode_outer if outer else F.posexplode
+    extra = [F.col("_m").isNotNull().alias("parsed_ok")] if outer else []
+    out = tmp.select(*keep, *extra, gen(_dict_order(F.col("_m"))).alias(pos, "_e"))
+    return out.select(*keep, *(["parsed_ok"] if outer else []), pos,
+                      F.col("_e.key").alias(key), F.col("_e.value").alias(value))
 
 
 def explode_json_array(df: DataFrame, body: str, schema: DataType | str, array_field: str,
@@ -113,9 +118,9 @@ def brand_rows(seed_captures: DataFrame, body: str = "body",
         (F.lit(10000) - F.col("pos") - 1).alias("priority"))
 
 
-def car_rows(car_list_captures: DataFrame, body: str = "body") -> DataFrame:
+def car_rows(car_list_captures: DataFrame, body: str = "body", outer: bool = False) -> DataFrame:
     """B2: cars from a brand's list; JSON names renamed to column names."""
-    m = explode_json_map(car_list_captures, body, string_struct(CAR_FIELDS))
+    m = explode_json_map(car_list_captures, body, string_struct(CAR_FIELDS), outer=outer)
     v = F.col("value")
     keep = [c for c in m.columns if c not in ("key", "value")]
     return m.select(
@@ -127,9 +132,10 @@ def car_rows(car_list_captures: DataFrame, body: str = "body") -> DataFrame:
         (F.lit(9000) - F.col("pos") - 1).alias("priority"))
 
 
-def version_rows(version_list_captures: DataFrame, body: str = "body") -> DataFrame:
+def version_rows(version_list_captures: DataFrame, body: str = "body",
+                 outer: bool = False) -> DataFrame:
     """Versions (trims) of a car; ``goname`` is the model year here."""
-    m = explode_json_map(version_list_captures, body, string_struct(VERSION_FIELDS))
+    m = explode_json_map(version_list_captures, body, string_struct(VERSION_FIELDS), outer=outer)
     v = F.col("value")
     keep = [c for c in m.columns if c not in ("key", "value")]
     return m.select(

@@ -16,7 +16,7 @@ from html.parser import HTMLParser
 from typing import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.partitioning import spread
 
@@ -232,8 +232,10 @@ def link_rows(root: Node, container: str = "nav") -> list[dict]:
 # ------------------------------------------------------------------ Spark jobs
 
 def _run_rule(df: DataFrame, keys: list[str], body: str, rule: Callable[[Node], list[dict]],
-              out_schema: str, columns: list[str]) -> DataFrame:
-    """Run ``rule`` over each body; ``keys`` columns are carried to every row."""
+              out_schema: str, columns: list[str], prefilter=None) -> DataFrame:
+    """Run ``rule`` over each body; ``keys`` columns are carried to every row.
+    ``prefilter`` (a Column) drops, JVM-side, bodies the rule cannot match, so
+    they never reach Python."""
     key_schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{key_schema}, pos int, {out_schema}"
 
@@ -246,7 +248,22 @@ def _run_rule(df: DataFrame, keys: list[str], body: str, rule: Callable[[Node],
                 for pos, r in enumerate(rule(parse_html(html))):
                     rows.append({**dict(zip(keys, vals)), "pos": pos, **r})
             yield pd.DataFrame(rows, columns=keys + ["pos"] + columns)
-    return spread(df.select(*keys, body)).mapInPandas(per_batch, schema)
+    src = df.select(*keys, body)
+    if prefilter is not None:
+        src = src.filter(prefilter)
+    return spread(src).mapInPandas(per_batch, schema)
+
+
+def _has_tag(body: str, tag: str):
+    return F.col(body).rlike(f"(?i)<{tag}[\\s/>]")
+
+
+def _path_prefilter(body: str, path: list[Step]):
+    first = path[0]
+    test = _has_tag(body, first.tag)
+    if first.cls:
+        test = test & (F.instr(F.col(body), first.cls) > 0)
+    return test
 
 
 def _keys(key: str | list[str]) -> list[str]:
@@ -258,8 +275,11 @@ def spec_rows(pages: DataFrame, key: str | list[str] = "page_id", body: str = "b
     """J1 as a Spark job: (keys..., pos, label, info, alt, colours)."""
     schema = ("label string, info array<string>, alt array<string>, "
               "colours array<struct<title: string, style: string>>")
+    scope = opts.get("scope_class", "config-section")
+    inner = opts.get("inner_class", "special-layout-18")
+    pre = (F.instr(F.col(body), scope) > 0) & (F.instr(F.col(body), inner) > 0)
     return _run_rule(pages, _keys(key), body, lambda r: spec_sheet_rows(r, **opts), schema,
-                     ["label", "info", "alt", "colours"])
+                     ["label", "info", "alt", "colours"], prefilter=pre)
 
 
 def headline_text(pages: DataFrame, path: list[Step], key: str | list[str] = "page_id",
@@ -267,7 +287,7 @@ def headline_text(pages: DataFrame, path: list[Step], key: str | list[str] = "pa
     """J2 as a Spark job: (keys..., headline) for pages where the path has text."""
     keys = _keys(key)
     rows = _run_rule(pages, keys, body, lambda r: first_path_text(r, path), "text string",
-                     ["text"])
+                     ["text"], prefilter=_path_prefilter(body, path))
     return rows.select(*keys, rows["text"].alias(out))
 
 
@@ -275,7 +295,8 @@ def link_table(pages: DataFrame, key: str | list[str] = "page_id", body: str = "
                container: str = "nav") -> DataFrame:
     """Link rows of a container as a Spark job: (keys..., pos, label, href)."""
     return _run_rule(pages, _keys(key), body, lambda r: link_rows(r, container),
-                     "label string, href string", ["label", "href"])
+                     "label string, href string", ["label", "href"],
+                     prefilter=_has_tag(body, container))
 
 
 # Fixed value: where the car page states its level (second dl of the price box).

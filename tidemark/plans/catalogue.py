@@ -32,9 +32,9 @@ def _store(rows: DataFrame, spec: TargetSpec, target: DataFrame | None,
     return EntityOutput(added.select(*spec.column_names, *ORDER), bad)
 
 
-def brands(captures: DataFrame, manifest: DataFrame | None = None,
-           target: DataFrame | None = None, site: SiteTemplates = DEFAULT_SITE) -> EntityOutput:
-    rows = extract.brand_rows(captures.filter(F.col("kind") == "seed"), site=site)
+def store_brands(rows: DataFrame, manifest: DataFrame | None = None,
+                 target: DataFrame | None = None) -> EntityOutput:
+    """A7 + A9/A8 + A3 for extracted brand rows."""
     if manifest is not None:
         rows = sinks.attach_asset(rows, manifest)
     else:
@@ -42,17 +42,30 @@ def brands(captures: DataFrame, manifest: DataFrame | None = None,
     return _store(rows, BRAND, target)
 
 
-def cars(captures: DataFrame, target: DataFrame | None = None) -> EntityOutput:
-    rows = extract.car_rows(captures.filter(F.col("kind") == "car_list"))
+def store_cars(rows: DataFrame, target: DataFrame | None = None) -> EntityOutput:
     # the stored table never receives the parsed sale state (default 0)
     return _store(rows.drop("sale_state_raw"), CAR, target, required=["third_id", "name"])
 
 
-def versions(captures: DataFrame, target: DataFrame | None = None) -> EntityOutput:
-    rows = extract.version_rows(captures.filter(F.col("kind") == "version_list"))
+def store_versions(rows: DataFrame, target: DataFrame | None = None) -> EntityOutput:
     return _store(rows, VERSION, target, required=["third_id", "name"])
 
 
+def brands(captures: DataFrame, manifest: DataFrame | None = None,
+           target: DataFrame | None = None, site: SiteTemplates = DEFAULT_SITE) -> EntityOutput:
+    rows = extract.brand_rows(captures.filter(F.col("kind") == "seed"), site=site)
+    return store_brands(rows, manifest, target)
+
+
+def cars(captures: DataFrame, target: DataFrame | None = None) -> EntityOutput:
+    return store_cars(extract.car_rows(captures.filter(F.col("kind") == "car_list")), target)
+
+
+def versions(captures: DataFrame, target: DataFrame | None = None) -> EntityOutput:
+    return store_versions(extract.version_rows(captures.filter(F.col("kind") == "version_list")),
+                          target)
+
+
 def unparsable_captures(captures: DataFrame) -> DataFrame:
     """Captures of list kinds whose JSON does not parse as an object of
     records (no '{', truncated, wrong shape); quarantined whole.  Trailing

@@ -58,24 +58,51 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
     _existing = lambda s, path: _earlier(s, path, run_id)
     state = _state(spark, p.table("state"), prior_run_id)
     res = rf.refresh(captures, prior_state=state)
-    kept = rf.gate(captures, res.decisions)
+    # one row per capture, used by every branch below: computed once
+    decisions = res.decisions.select("capture_seq", "kind", "decision", "emit_items",
+                                     "follow_children").checkpoint(eager=True)
+
+    def emitted(rows: DataFrame) -> DataFrame:
+        return rows.join(decisions.filter(F.col("emit_items")).select("capture_seq"),
+                         "capture_seq", "left_semi")
+
+    # list bodies are read once: entity rows (and parse failures) of every
+    # list capture, checkpointed; items, audit lines and the plan are cut
+    # from them by joining the decisions, never by re-reading bodies
+    lin = ["capture_seq", "parent_id"] + [c for c in ("brand_name", "car_name")
+                                          if c in captures.columns]
+    b_rows = extract.brand_rows(captures.filter(F.col("kind") == "seed").select(*lin, "body"),
+                                site=site).checkpoint(eager=True)
+    c_all = extract.car_rows(captures.filter(F.col("kind") == "car_list").select(*lin, "body"),
+                             outer=True).checkpoint(eager=True)
+    v_all = extract.version_rows(captures.filter(F.col("kind") == "version_list")
+                                 .select(*lin, "body"), outer=True).checkpoint(eager=True)
+    c_rows = c_all.filter(F.col("pos").isNotNull()).drop("parsed_ok")
+    v_rows = v_all.filter(F.col("pos").isNotNull()).drop("parsed_ok")
 
     out: dict[str, DataFrame] = {}
     quarantine = []
-    for name, fn in (("brand", lambda t: catalogue.brands(kept, manifest, t, site)),
-                     ("car", lambda t: catalogue.cars(kept, t)),
-                     ("version", lambda t: catalogue.versions(kept, t))):
-        target = _existing(spark, p.table(name))
-        r = fn(target)
+    for name, fn in (("brand", lambda t: catalogue.store_brands(emitted(b_rows), manifest, t)),
+                     ("car", lambda t: catalogue.store_cars(emitted(c_rows), t)),
+                     ("version", lambda t: catalogue.store_versions(emitted(v_rows), t))):
+        r = fn(_existing(spark, p.table(name)))
         added = r.added.drop("capture_seq", "pos")
         sinks.append_rows(sinks.with_audit_columns(added), p.table(name), run_id)
         out[name] = added
         quarantine.append(r.quarantine.select(F.lit(name).alias("target"), "capture_seq",
                                               F.col("reason")))
-    quarantine.append(catalogue.unparsable_captures(kept).select(
-        F.lit("capture").alias("target"), "capture_seq", "reason"))
-
-    docs = spec_documents.documents(kept, spec_dictionary(spark))
+    for kind, rows in (("car_list", c_all), ("version_list", v_all)):
+        bad = rows.filter(~F.col("parsed_ok")).select("capture_seq").distinct()
+        bad = bad.join(decisions.filter(F.col("decision") != "drop").select("capture_seq"),
+                       "capture_seq", "left_semi")
+        quarantine.append(bad.select(F.lit("capture").alias("target"), "capture_seq",
+                                     F.lit(f"unparsable:{kind}").alias("reason")))
+
+    # spec pages: gated first (a semi join on capture_seq; Spark's runtime
+    # bloom filter keeps unchanged bodies out of the shuffle), then tokenised
+    spec_pages = emitted(captures.filter(F.col("kind") == "spec_page")
+                         .select("capture_seq", "kind", "parent_id", "body"))
+    docs = spec_documents.documents(spec_pages, spec_dictionary(spark))
     attrs, bad = spec_documents.store(docs, _existing(spark, p.table("version_attr")))
     sinks.append_rows(attrs.drop("capture_seq", "pos"), p.table("version_attr"), run_id)
     out["version_attr"] = attrs
@@ -87,8 +114,9 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
         if before is not None:
             cars_now = before.select("third_id", "en_name").unionByName(cars_now)
         links = _existing(spark, p.table("car2level"))
-        lr = level_assignment.assign(kept, cars_now.select("third_id", "en_name"), level_dim,
-                                     existing=links)
+        level_caps = emitted(captures.filter(F.col("kind").isin("level_search", "car_page"))
+                             .select("capture_seq", "kind", "url", "parent_id", "body"))
+        lr = level_assignment.assign(level_caps, cars_now, level_dim, existing=links)
         added_links = lr.added.select("car_third_id", F.col("level_id").cast("smallint"))
         sinks.append_rows(added_links, p.table("car2level"), run_id)
         out["car2level"] = added_links
@@ -104,38 +132,33 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
         q = q.unionByName(x)
     sinks.append_rows(q, p.table("quarantine"), run_id)
 
-    # log last, then the next state; the state is rewritten whole
+    # log last, then the next state
     sinks.append_rows(sinks.with_audit_columns(res.log_delta), p.table("change_log"), run_id)
     res.next_state.write.mode("overwrite").parquet(f"{p.table('state')}/run_id={run_id}")
     out["change_log"] = res.log_delta
-    # B6/B7 + C5: the console lines as data -- one per extracted entity of a
-    # non-dropped capture, '+ ' when its items were emitted
-    emitted = res.decisions.select("capture_seq", "emit_items", "decision")
+
+    # B6/B7 + C5: the console lines as data -- one per entity of a non-dropped
+    # capture, '+ ' when its items were emitted
+    shown = decisions.filter(F.col("decision") != "drop").select("capture_seq", "emit_items")
     lines = []
-    for kind, rows in (("seed", extract.brand_rows(captures.filter(F.col("kind") == "seed"), site=site)),
-                       ("car_list", extract.car_rows(captures.filter(F.col("kind") == "car_list"))),
-                       ("version_list", extract.version_rows(
-                           captures.filter(F.col("kind") == "version_list")))):
+    for kind, rows in (("seed", b_rows), ("car_list", c_rows), ("version_list", v_rows)):
         name = F.col("name")
-        if kind == "car_list" and "brand_name" in captures.columns:
+        if kind == "car_list" and "brand_name" in rows.columns:
             name = lineage.breadcrumb("brand_name", "name")
-        if kind == "version_list" and "brand_name" in captures.columns:
+        if kind == "version_list" and "car_name" in rows.columns:
             name = lineage.breadcrumb("brand_name", "car_name", "name")
-        lines.append(rows.join(emitted, "capture_seq").filter(F.col("decision") != "drop").select(
+        mark = F.when(F.col("emit_items"), F.lit("new")).otherwise(F.lit("unchanged"))
+        lines.append(rows.join(shown, "capture_seq").select(
             "capture_seq", "pos",
-            lineage.audit_label(lineage.kind_tag(F.lit(kind)), name,
-                                F.when(F.col("emit_items"), F.lit("new")).otherwise(F.lit("unchanged")))
-            .alias("line")))
-    audit = lines[0].unionByName(lines[1]).unionByName(lines[2])
-    out["audit"] = audit
+            lineage.audit_label(lineage.kind_tag(F.lit(kind)), name, mark).alias("line")))
+    out["audit"] = lines[0].unionByName(lines[1]).unionByName(lines[2])
 
     # children are followed per the decision table, also for flagged
     # (unchanged) list pages; positions restart in every response
-    follow = rf.gate(captures, res.decisions, flag="follow_children")
+    follow = decisions.filter(F.col("follow_children")).select("capture_seq")
+    kids = lambda rows: rows.join(follow, "capture_seq", "left_semi")
     out["plan"] = fetch_plan.next_requests(
-        brands=extract.brand_rows(follow.filter(F.col("kind") == "seed"), site=site),
-        cars=extract.car_rows(follow.filter(F.col("kind") == "car_list")),
-        versions=extract.version_rows(follow.filter(F.col("kind") == "version_list")),
+        brands=kids(b_rows), cars=kids(c_rows), versions=kids(v_rows),
         search_totals=out.get("level_totals"), unassigned_cars=out.get("unassigned"),
         site=site, ordered=False)
     return out

@@ -98,8 +98,8 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
         quarantine.append(bad.select(F.lit("capture").alias("target"), "capture_seq",
                                      F.lit(f"unparsable:{kind}").alias("reason")))
 
-    # spec pages: gated first (a semi join on capture_seq; Spark's runtime
-    # bloom filter keeps unchanged bodies out of the shuffle), then tokenised
+    # spec pages: gated first (a semi join on capture_seq, which shuffles the
+    # spec bodies), then tokenised; unchanged pages never reach Python
     spec_pages = emitted(captures.filter(F.col("kind") == "spec_page")
                          .select("capture_seq", "kind", "parent_id", "body"))
     docs = spec_documents.documents(spec_pages, spec_dictionary(spark))

@@ -444,7 +444,9 @@ def q_stream_log_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
             q = start_refresh_stream(read_captures(spark, inbox, stream=True), sink,
                                      f"{root}/checkpoint")
             q.awaitTermination()
-    log = spark.read.parquet(sink.log) if lo is not None else None
+    if lo is None:                      # no captures: an empty log
+        return spark.createDataFrame([], "event_id long, page_uid string, data_uid string")
+    log = spark.read.parquet(sink.log)
     return log.select(F.col("capture_seq").alias("event_id"), "page_uid", "data_uid")
 
 

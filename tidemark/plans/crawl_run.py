@@ -160,5 +160,5 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
     out["plan"] = fetch_plan.next_requests(
         brands=kids(b_rows), cars=kids(c_rows), versions=kids(v_rows),
         search_totals=out.get("level_totals"), unassigned_cars=out.get("unassigned"),
-        site=site, ordered=False)
+        site=site, ordered=True)
     return out

@@ -2,7 +2,8 @@
 
 Long form in: ``spec_rows(page_id, pos, label, info, alt, colours)`` from the
 page tokeniser.  Values are normalised with built-ins, labels are joined to
-the dictionary (a fixed 142-row table, broadcast), and each page's entries
+the dictionary (a fixed 142-row table; the planner broadcasts it by its
+statistics), and each page's entries
 are assembled into a two-level map written as JSON text with sorted keys.
 
 Scale notes: the only shuffle is one ``repartition`` by page; the three
@@ -60,7 +61,9 @@ def spec_values(rows: DataFrame, dictionary: DataFrame, page: str = "page_id",
     value, is_flag = normalise_marker(text)
     normalised = prepared.select(page, "pos", "label", value.alias("value"),
                                  is_flag.alias("is_flag"))
-    joined = normalised.join(F.broadcast(dictionary), "label", "inner")
+    # the dictionary is tiny (142 rows) and its size is known from statistics,
+    # so the planner broadcasts it; a larger one falls back to a shuffled join
+    joined = normalised.join(dictionary, "label", "inner")
     return joined.select(page, "pos", "grp", "item", "value", "is_flag")
 
 

@@ -37,7 +37,8 @@ def event_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("capture_seq"),
         F.element_at(kinds, (F.col("user_id") % len(CAPTURE_KIND_CYCLE) + 1).cast("int")).alias("kind"),
         F.format_string("user/%d", F.col("user_id")).alias("url"),
-        F.col("event_type").alias("body"))
+        F.col("event_type").alias("body"),
+        F.col("user_id").cast("string").alias("parent_id"))
 
 
 def _fingerprinted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,12 +341,12 @@ def q_breadcrumbs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C5 + B6 + B7: captures joined up their lineage (user -> customer ->
     nation -> region); breadcrumb and audit label with the change mark."""
     st = change.change_status(_fingerprinted_events(spark, sf_dir))
-    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    j = (st.join(ev, st.capture_seq == ev.event_id)
-           .join(cust, F.col("user_id") == F.col("c_custkey"))
+    # the capture carries its lineage (parent = user); no self-join back to events
+    j = (st.withColumnRenamed("capture_seq", "event_id")
+           .join(cust, F.col("parent_id").cast("long") == F.col("c_custkey"))
            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
            .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
     crumb = lineage.breadcrumb("r_name", "n_name", "c_name")

@@ -33,7 +33,9 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
     "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # Arrow batches into the tokeniser are bounded by rows only; pages can be
+    # megabytes, so a small row count keeps a batch in the tens of MiB
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
 }
 
 

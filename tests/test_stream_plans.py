@@ -116,3 +116,21 @@ def test_plan_shapes(spark):
     from tidemark.plans.showcase import q_insert_pairs
     p = _plan(q_insert_pairs(spark, sf))
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)" in p
+
+
+def test_python_only_in_tokeniser_queries(spark):
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.001"
+    python_nodes = ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "PythonUDF")
+    for name, fn in E.queries().items():
+        if name == "stream_log_delta":        # runs a stream when called
+            continue
+        plan = _plan(fn(spark, sf))
+        has_python = any(n in plan for n in python_nodes)
+        assert has_python == (name in ("headline_text", "spec_rows")), name
+
+
+def test_level_join_is_broadcast(spark):
+    from tidemark.plans.showcase import q_level_assignment
+    p = _plan(q_level_assignment(spark, "/root/testdata/sf0.001"))
+    assert "BroadcastHashJoin" in p

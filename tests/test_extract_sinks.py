@@ -1,6 +1,5 @@
 """Extraction (FIXTURES A.2-A.4, A.7) and sinks (A.10, A.11, A9 rules)."""
 
-from pyspark.sql import functions as F
 
 from tidemark.operators import extract, sinks
 from tidemark.plans import catalogue

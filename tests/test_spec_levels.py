@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import levels, markup, spec
+from tidemark.operators import levels, markup
 from tidemark.plans import level_assignment, spec_documents
 from tidemark.sources.dimensions import spec_dictionary
 

@@ -1,7 +1,6 @@
 """Streaming = batch, the state-store variant, refresh (P4), fetch plan (P5),
 replay, and plan shapes."""
 
-import os
 
 from pyspark.sql import functions as F
 

@@ -7,7 +7,7 @@ narrow stage: no shuffle, no Python.  The body is scanned once per capture.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, MapType, StringType, StructField, StructType
 
 from tidemark.functions.json import json_object_text, parse_lenient
 from tidemark.functions.regex import regex_matches

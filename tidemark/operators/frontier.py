@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.paging import page_count, page_numbers
-from tidemark.functions.urls import from_template, host_allowed
+from tidemark.functions.urls import host_allowed
 
 REQUEST_COLUMNS = ["parent_id", "kind", "url", "priority", "capture_seq", "pos"]
 

@@ -270,4 +270,36 @@ ORACLE_SQL = {
     "spec_rows": f"""
         SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, {_decode("t")} AS label, {_decode("h")} AS href
         FROM ({_ANCHORS})""",
+    "catalogue_brands": f"""
+        SELECT CAST(n_nationkey AS INTEGER) AS third_id, n_name AS name,
+               printf('{_TPL_LOGO}', CAST(n_nationkey AS VARCHAR)) AS remote_logo,
+               CAST(NULL AS VARCHAR) AS logo, CAST(n_regionkey AS BIGINT) AS capture_seq,
+               CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS INTEGER)
+                   AS pos
+        FROM nation""",
+    "catalogue_cars": """
+        SELECT CAST(c_custkey AS INTEGER) AS third_id, c_name AS name,
+               c_name || ' ' || c_mktsegment AS show_name,
+               lower(replace(c_name, '#', '')) AS en_name,
+               CAST(c_nationkey AS INTEGER) AS brand_third_id,
+               CAST(c_nationkey * 10 AS INTEGER) AS factory_third_id,
+               c_mktsegment AS factory_name, CAST(0 AS TINYINT) AS sale_state,
+               CAST(c_nationkey AS BIGINT) * 1000000 + CAST(floor(c_custkey / 100) AS BIGINT) AS capture_seq,
+               CAST(row_number() OVER (PARTITION BY c_nationkey, floor(c_custkey / 100)
+                                       ORDER BY c_custkey) - 1 AS INTEGER) AS pos
+        FROM customer""",
+    "spec_sheet_documents": f"""
+        WITH {_SPEC_SRC},
+        last AS (SELECT *, row_number() OVER (PARTITION BY page_id, grp, item ORDER BY pos DESC) AS rn
+                 FROM joined),
+        inner_docs AS (SELECT page_id, grp,
+                              '{{' || string_agg(to_json(item) || ':' ||
+                                  CASE WHEN is_flag THEN '1' ELSE to_json(value) END, ',' ORDER BY item)
+                              || '}}' AS m
+                       FROM last WHERE rn = 1 GROUP BY page_id, grp),
+        docs AS (SELECT page_id, '{{' || string_agg(to_json(grp) || ':' || m, ',' ORDER BY grp) || '}}'
+                        AS content FROM inner_docs GROUP BY page_id)
+        SELECT o_orderkey AS capture_seq, CAST(o_orderkey AS VARCHAR) AS car_version_third_id,
+               coalesce(content, '{{}}') AS content
+        FROM orders LEFT JOIN docs ON docs.page_id = orders.o_orderkey""",
 }

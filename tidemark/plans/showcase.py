@@ -421,6 +421,112 @@ def q_colour_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", spec.colour_list(m).alias("colours"))
 
 
+# --------------------------------------------------------------------------
+# the catalogue's own extraction paths on bodies derived from driver tables
+# --------------------------------------------------------------------------
+
+def q_catalogue_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 brands: one seed script per region listing its nations as brand
+    records -> regex extraction (B1, H2) -> conform -> first write wins."""
+    from tidemark.plans import catalogue
+    n = read_table(spark, sf_dir, "nation")
+    record = F.format_string('{type:"mb",id:%s,name:"%s",url:"/n/",cur:0}',
+                             F.col("n_nationkey").cast("string"), F.col("n_name"))
+    # a seed script lists the rows of the (fixed, small) nation dimension
+    seeds = n.groupBy("n_regionkey").agg(
+        F.sort_array(F.collect_list(F.struct("n_nationkey", record.alias("r")))).alias("_r"))
+    caps = seeds.select(F.col("n_regionkey").cast("long").alias("capture_seq"),
+                        F.lit("seed").alias("kind"),
+                        F.concat(F.lit("var tree=["),
+                                 F.array_join(F.transform("_r", lambda x: x["r"]), ","),
+                                 F.lit("];")).alias("body"))
+    out = catalogue.brands(caps)
+    return out.added.select("third_id", "name", "remote_logo", "logo", "capture_seq", "pos")
+
+
+def car_list_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brand car lists (JSONP, dynamic keys) built from customers: one page
+    per nation and block of 100 customer keys, so no page is unbounded."""
+    c = read_table(spark, sf_dir, "customer")
+    value = F.struct(
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
+        F.concat_ws(" ", "c_name", "c_mktsegment").alias("showName"),
+        F.lower(F.regexp_replace("c_name", "#", "")).alias("urlSpell"),
+        F.col("c_nationkey").cast("string").alias("pid"),
+        (F.col("c_nationkey") * 10).cast("string").alias("goid"),
+        F.col("c_mktsegment").alias("goname"), F.lit("0").alias("csSale"))
+    block = F.floor(F.col("c_custkey") / F.lit(100)).cast("long")
+    pages = c.withColumn("_block", block).groupBy("c_nationkey", "_block").agg(
+        F.sort_array(F.collect_list(F.struct(
+            "c_custkey", F.concat(F.lit("s"), F.col("c_custkey").cast("string")).alias("k"),
+            value.alias("v")))).alias("_e"))
+    entries = F.transform("_e", lambda x: F.struct(x["k"].alias("key"), x["v"].alias("value")))
+    body = F.concat(F.lit('requestDatalist["x"]='), F.to_json(F.map_from_entries(entries)), F.lit(";"))
+    return pages.select(
+        (F.col("c_nationkey").cast("long") * 1000000 + F.col("_block")).alias("capture_seq"),
+        F.lit("car_list").alias("kind"), F.col("c_nationkey").cast("string").alias("parent_id"),
+        body.alias("body"))
+
+
+def q_catalogue_cars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 cars: JSONP lists -> dict-semantics explode (H3-H5) -> renames
+    (B2) -> conform (A9) -> first write wins (A3)."""
+    from tidemark.plans import catalogue
+    out = catalogue.cars(car_list_captures(spark, sf_dir))
+    return out.added
+
+
+def _spec_page_html(o: DataFrame) -> DataFrame:
+    """A spec sheet page per order, with the same label rows as
+    ``_spec_source_rows`` (title spans end with a colon)."""
+    def info(*vals):
+        return F.concat(*[F.concat(F.lit('<span class="info">'), v, F.lit("</span>")) for v in vals])
+
+    def alt(v):
+        return F.concat(F.lit('<div class="l">'), v, F.lit("</div>"))
+
+    def row(label, cell):
+        return F.concat(F.lit(f'<tr><td><span class="title">{label}</span></td><td>'), cell,
+                        F.lit("</td></tr>\n"))
+
+    status = F.col("o_orderstatus")
+    mark = F.when(status == "F", F.lit("●")).otherwise(F.lit("-"))
+    colours = F.concat(
+        F.lit('<div class="focus-color-warp"><ul><li><a title="白"><span style="'),
+        F.format_string("background:#%06X", (F.col("o_custkey") * 7919) % 16777216),
+        F.lit('"></span></a></li><li><a title="黑"><span style="'),
+        F.format_string("background:#%06X;", (F.col("o_orderkey") * 104729) % 16777216),
+        F.lit('"></span></a></li></ul></div>'))
+    prio_parts = F.array_join(F.transform(F.split("o_orderpriority", "-"), alt), "")
+    full = F.concat(
+        row("长：", info(F.floor("o_totalprice").cast("string"))),
+        row("定速巡航：", info(mark)),
+        row("中控彩色液晶屏：", F.concat(
+            F.when(status == "O", info(F.lit("●"))).otherwise(F.lit("")),
+            alt(F.col("o_orderpriority")))),
+        row("供油方式：", prio_parts),
+        row("车身颜色：", colours),
+        row("未知：", info(F.lit("x"))),
+        row("长：", F.concat(
+            F.when(F.col("o_orderkey") % 2 == 0, info(F.col("o_custkey").cast("string")))
+             .otherwise(F.lit("")), alt(F.lit("n/a")))),
+        row("\tLED日间行车灯：", info(F.lit("●"), F.lit("x"))))
+    only_unknown = F.concat(row("未知：", info(F.lit("x"))), row("：", info(F.lit("y"))))
+    rows = F.when(status == "P", only_unknown).otherwise(full)
+    html = F.concat(F.lit('<html><body><div class="box config-section"><div class="special-layout-18">'
+                          '<table>\n'), rows, F.lit("</table></div></div></body></html>"))
+    return o.select(F.col("o_orderkey").alias("capture_seq"), F.lit("spec_page").alias("kind"),
+                    F.col("o_orderkey").cast("string").alias("parent_id"), html.alias("body"))
+
+
+def q_spec_sheet_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 end to end: spec sheet HTML -> tokeniser rule (J1) -> dictionary
+    (C4) -> normalised values (H11-H13, H17) -> documents (D3, H15)."""
+    from tidemark.plans import spec_documents
+    caps = _spec_page_html(read_table(spark, sf_dir, "orders"))
+    return spec_documents.documents(caps, spec_dictionary(spark))
+
+
 STREAM_PARTS = 3
 
 
@@ -494,4 +600,7 @@ QUERIES = {
     "headline_text": q_headline_text,
     "spec_rows": q_spec_rows,
     "stream_log_delta": q_stream_log_delta,
+    "catalogue_brands": q_catalogue_brands,
+    "catalogue_cars": q_catalogue_cars,
+    "spec_sheet_documents": q_spec_sheet_documents,
 }

@@ -53,15 +53,19 @@ def test_state_store_variant(spark):
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     root = shared_path(spark, "t-tws")
     df = spark.createDataFrame(ROWS, CAP)
-    change.add_fingerprints(df).drop("body").write.parquet(f"{root}/in")
+    fp = change.add_fingerprints(df).drop("body")
+    # three increments, one file each, so the state must carry across batches
+    for lo, hi in ((1, 3), (4, 7), (8, 10)):
+        fp.filter((F.col("capture_seq") >= lo) & (F.col("capture_seq") <= hi)).coalesce(1) \
+          .write.mode("append").parquet(f"{root}/in")
     schema = spark.read.parquet(f"{root}/in").schema
-    stream = spark.readStream.schema(schema).parquet(f"{root}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/in")
     q = (stateful_changes(stream).writeStream.format("parquet")
          .option("checkpointLocation", f"{root}/ckpt").option("path", f"{root}/out")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    assert len(q.recentProgress) >= 3
     got = {r.capture_seq: r.status for r in spark.read.parquet(f"{root}/out").collect()}
-    fp = change.add_fingerprints(df).drop("body")
     want = {r.capture_seq: r.status for r in change.change_status(fp).collect()}
     assert got == want
 

@@ -30,3 +30,12 @@ def test_cli_run(spark, capsys):
     plan = spark.read.parquet(printed["plan"])
     assert plan.filter(F.col("kind") == "car_list").count() == 2
     assert sorted(r.third_id for r in spark.read.parquet(f"{root}/out/brand").collect()) == [9, 10]
+
+
+def test_binary_bodies_decoded_in_scan(spark):
+    from tidemark.sources.captures import read_captures
+    path = shared_path(spark, "t-binary")
+    spark.createDataFrame([(1, "seed", "u", bytearray('{type:"mb",id:9,name:"甲",url:"/a/",cur:0}'.encode()))],
+                          "capture_seq long, kind string, url string, body binary").write.parquet(path)
+    df = read_captures(spark, path, kinds=["seed"], body_binary=True)
+    assert df.first().body.startswith('{type:"mb",id:9,name:"甲"')

@@ -72,9 +72,11 @@ class RefreshSink:
 
 
 def _merged_state(spark: SparkSession, sink: RefreshSink, batch_id: int,
-                  upto: int) -> DataFrame | None:
+                  upto: int, pages: DataFrame | None = None) -> DataFrame | None:
     """Last snapshot before ``batch_id`` plus the deltas of batches from
-    that snapshot up to ``upto`` (exclusive), compacted."""
+    that snapshot up to ``upto`` (exclusive), compacted.  With ``pages``
+    every part is first restricted to those pages (a semi join), so only
+    the state of pages in the batch is shuffled and compacted."""
     snap = sink.last_snapshot_before(batch_id)
     parts: list[DataFrame] = []
     if snap is not None:
@@ -86,26 +88,29 @@ def _merged_state(spark: SparkSession, sink: RefreshSink, batch_id: int,
               for b in range(first_delta, upto)]
     if not parts:
         return None
+    if pages is not None:
+        parts = [p.join(pages, "page_uid", "left_semi") for p in parts]
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p)
     return merged if len(parts) == 1 else change.compact_state(merged)
 
 
-def _prior_state(spark: SparkSession, sink: RefreshSink, batch_id: int) -> DataFrame | None:
-    """State as of the end of batch ``batch_id - 1``."""
-    return _merged_state(spark, sink, batch_id, batch_id)
+def _prior_state(spark: SparkSession, sink: RefreshSink, batch_id: int,
+                 pages: DataFrame | None = None) -> DataFrame | None:
+    """State as of the end of batch ``batch_id - 1`` (for ``pages`` only)."""
+    return _merged_state(spark, sink, batch_id, batch_id, pages)
 
 
 def refresh_batch(batch: DataFrame, batch_id: int, sink: RefreshSink) -> None:
     """foreachBatch body: status against earlier batches, log delta, state delta
     (and a snapshot every ``compact_every`` batches)."""
     spark = batch.sparkSession
-    prior = _prior_state(spark, sink, batch_id)
     # bodies are hashed once; the change window reads keys and digests only
     change.add_fingerprints(batch.select("capture_seq", "kind", "url", "body")).drop("body") \
         .write.mode("overwrite").parquet(sink.fingerprints_of(batch_id))
     caps = spark.read.parquet(sink.fingerprints_of(batch_id))
+    prior = _prior_state(spark, sink, batch_id, caps.select("page_uid").distinct())
     status = change.change_status(caps, prior_state=prior)
     delta = change.log_delta(status).select(*LOG_COLUMNS)
     delta.write.mode("overwrite").parquet(sink.log_of(batch_id))

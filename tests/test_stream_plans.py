@@ -130,7 +130,8 @@ def test_python_only_in_tokeniser_queries(spark):
             continue
         plan = _plan(fn(spark, sf))
         has_python = any(n in plan for n in python_nodes)
-        assert has_python == (name in ("headline_text", "spec_rows", "spec_sheet_documents")), name
+        assert has_python == (name in ("headline_text", "spec_rows", "spec_sheet_documents",
+                                       "level_pages")), name
 
 
 def test_level_join_is_broadcast(spark):

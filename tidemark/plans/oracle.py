@@ -302,4 +302,21 @@ ORACLE_SQL = {
         SELECT o_orderkey AS capture_seq, CAST(o_orderkey AS VARCHAR) AS car_version_third_id,
                coalesce(content, '{{}}') AS content
         FROM orders LEFT JOIN docs ON docs.page_id = orders.o_orderkey""",
+    "level_pages": f"""
+        WITH s AS (SELECT o_custkey AS car_third_id, CAST(100 + o_orderkey % 3 AS INTEGER) AS level_id,
+                          0 AS branch, o_orderkey AS seq, 0 AS pos
+                   FROM orders WHERE o_orderstatus = 'F'),
+             {_LEVELS},
+             cand AS (SELECT c_custkey FROM customer c
+                      WHERE c_mktsegment <> 'HOUSEHOLD' AND rtrim(lower(c_name)) > ''
+                        AND NOT EXISTS (SELECT 1 FROM s WHERE s.car_third_id = c.c_custkey)),
+             t AS (SELECT c_custkey AS car_third_id, CAST(level_id AS INTEGER) AS level_id, 1 AS branch,
+                          c_custkey AS seq, 0 AS pos FROM matched WHERE c_custkey IN (SELECT c_custkey FROM cand)
+                   UNION ALL
+                   SELECT c_custkey, CAST(parent AS INTEGER), 1, c_custkey, 1 FROM matched
+                   WHERE parent <> 0 AND c_custkey IN (SELECT c_custkey FROM cand)),
+             u AS (SELECT * FROM s UNION ALL SELECT * FROM t),
+             r AS (SELECT *, row_number() OVER (PARTITION BY car_third_id, level_id
+                                                ORDER BY branch, seq, pos) AS rn FROM u)
+        SELECT CAST(car_third_id AS INTEGER) AS car_third_id, level_id, branch FROM r WHERE rn = 1""",
 }

@@ -303,6 +303,38 @@ def q_level_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("car_third_id", "level_id", "branch")
 
 
+def q_level_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 end to end on pages: search result pages (JSON, orders with status F
+    listing their customers under level 100 + order key mod 3) and car pages
+    (HTML with the headline in the second dl of the price box) -> search
+    parse, anti join, headline rule (J2), synonyms, first level per name,
+    parents, union with first write wins."""
+    from tidemark.plans import level_assignment
+    o = read_table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+    items = o.select((F.lit(100) + F.col("o_orderkey") % 3).cast("int").alias("level"),
+                     "o_custkey")
+    search = search_captures(items, "level", "o_custkey").select(
+        (F.col("level").cast("long") * 1000000 + F.col("page")).alias("capture_seq"),
+        F.lit("level_search").alias("kind"), "url",
+        F.col("level").cast("string").alias("parent_id"), "body")
+    heads = _headlines(spark, sf_dir)
+    box = F.when(F.col("headline").isNull(),
+                 F.lit('<div class="car-price"><dl><dd>price</dd></dl></div>')) \
+           .otherwise(F.concat(F.lit('<div class="car-price"><dl><dd>price</dd></dl><dl><dt>level</dt>'
+                                     '<dd>'), F.col("headline"), F.lit("</dd></dl></div>")))
+    car_seq_base = 1 << 40          # car pages arrive after every search page
+    pages = heads.select("car_third_id", box.alias("_box")) \
+        .select((F.lit(car_seq_base) + F.col("car_third_id")).alias("capture_seq"),
+                F.lit("car_page").alias("kind"),
+                F.format_string(DEFAULT_SITE.car_page, F.col("car_third_id").cast("string")).alias("url"),
+                F.col("car_third_id").cast("string").alias("parent_id"),
+                F.concat(F.lit("<html><body><h1>car</h1>"), F.col("_box"),
+                         F.lit("</body></html>")).alias("body"))
+    res = level_assignment.assign(search.unionByName(pages), _cars(spark, sf_dir),
+                                  _levels(spark, sf_dir), synonyms=DRIVER_SYNONYMS)
+    return res.added.select("car_third_id", "level_id", "branch")
+
+
 def q_reported_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 + H9: parts listed per brand on search pages; the first page's
     Count per level, its page count, and the grand total."""
@@ -608,6 +640,7 @@ QUERIES = {
     "headline_text": q_headline_text,
     "spec_rows": q_spec_rows,
     "stream_log_delta": q_stream_log_delta,
+    "level_pages": q_level_pages,
     "catalogue_brands": q_catalogue_brands,
     "catalogue_cars": q_catalogue_cars,
     "spec_sheet_documents": q_spec_sheet_documents,

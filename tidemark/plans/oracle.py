@@ -98,6 +98,8 @@ _STATUS = f"""
 _TPL_LOGO = DEFAULT_SITE.brand_logo
 _TPL_SEARCH = DEFAULT_SITE.level_search
 _TPL_SPEC = DEFAULT_SITE.spec_page
+_TPL_CARS = DEFAULT_SITE.car_list
+_TPL_VERSIONS = DEFAULT_SITE.version_list
 
 ORACLE_SQL = {
     "fingerprints": "SELECT page_id, sha1(url) AS page_uid, sha1(html) AS data_uid FROM pages",
@@ -319,4 +321,22 @@ ORACLE_SQL = {
              r AS (SELECT *, row_number() OVER (PARTITION BY car_third_id, level_id
                                                 ORDER BY branch, seq, pos) AS rn FROM u)
         SELECT CAST(car_third_id AS INTEGER) AS car_third_id, level_id, branch FROM r WHERE rn = 1""",
+    "refresh_log": f"SELECT event_id, page_uid, data_uid FROM ({_STATUS}) WHERE status <> 'unchanged'",
+    "fetch_plan": f"""
+        SELECT CAST(n_nationkey AS VARCHAR) AS parent_id, 'car_list' AS kind,
+               printf('{_TPL_CARS}', CAST(n_nationkey AS VARCHAR), CAST(n_nationkey AS VARCHAR)) AS url,
+               CAST(10000 - row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS INTEGER)
+                   AS priority,
+               CAST(n_regionkey AS BIGINT) AS capture_seq,
+               CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS INTEGER) AS pos
+        FROM nation
+        UNION ALL
+        SELECT CAST(c_custkey AS VARCHAR), 'version_list',
+               printf('{_TPL_VERSIONS}', CAST(c_custkey AS VARCHAR), CAST(c_custkey AS VARCHAR)),
+               CAST(9000 - row_number() OVER (PARTITION BY c_nationkey, floor(c_custkey / 100)
+                                              ORDER BY c_custkey) AS INTEGER),
+               CAST(c_nationkey AS BIGINT) * 1000000 + CAST(floor(c_custkey / 100) AS BIGINT),
+               CAST(row_number() OVER (PARTITION BY c_nationkey, floor(c_custkey / 100)
+                                       ORDER BY c_custkey) - 1 AS INTEGER)
+        FROM customer""",
 }

@@ -567,6 +567,33 @@ def q_spec_sheet_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spec_documents.documents(caps, spec_dictionary(spark))
 
 
+def q_refresh_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 composite: fingerprints (checkpointed), change window, decision
+    table, gate and log delta, on the event captures."""
+    from tidemark.plans import refresh as rf
+    res = rf.refresh(event_captures(spark, sf_dir))
+    return res.log_delta.select(F.col("capture_seq").alias("event_id"), "page_uid", "data_uid")
+
+
+def q_fetch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 composite: children of the brand scripts (car lists, priority
+    10000 - n per script) and of the car lists (version lists, 9000 - n per
+    list page), templated, host-checked and in frontier order."""
+    from tidemark.plans import fetch_plan
+    n = read_table(spark, sf_dir, "nation")
+    record = F.format_string('{type:"mb",id:%s,name:"%s",url:"/n/",cur:0}',
+                             F.col("n_nationkey").cast("string"), F.col("n_name"))
+    seeds = n.groupBy("n_regionkey").agg(
+        F.sort_array(F.collect_list(F.struct("n_nationkey", record.alias("r")))).alias("_r"))
+    seed_caps = seeds.select(F.col("n_regionkey").cast("long").alias("capture_seq"),
+                             F.concat(F.lit("var tree=["),
+                                      F.array_join(F.transform("_r", lambda x: x["r"]), ","),
+                                      F.lit("];")).alias("body"))
+    brands = extract.brand_rows(seed_caps)
+    cars = extract.car_rows(car_list_captures(spark, sf_dir))
+    return fetch_plan.next_requests(brands=brands, cars=cars, ordered=True)
+
+
 STREAM_PARTS = 3
 
 
@@ -641,6 +668,8 @@ QUERIES = {
     "spec_rows": q_spec_rows,
     "stream_log_delta": q_stream_log_delta,
     "level_pages": q_level_pages,
+    "refresh_log": q_refresh_log,
+    "fetch_plan": q_fetch_plan,
     "catalogue_brands": q_catalogue_brands,
     "catalogue_cars": q_catalogue_cars,
     "spec_sheet_documents": q_spec_sheet_documents,

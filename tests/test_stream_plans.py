@@ -138,3 +138,17 @@ def test_level_join_is_broadcast(spark):
     from tidemark.plans.showcase import q_level_assignment
     p = _plan(q_level_assignment(spark, "/root/testdata/sf0.001"))
     assert "BroadcastHashJoin" in p
+
+
+def test_refresh_batches_with_repeated_pages(spark):
+    """A page logged several times in one batch (A, B) must seed the next
+    batch with its latest digest (B), not an arbitrary one."""
+    from tidemark.streaming.refresh import refresh_batch
+    rows = [(1, "seed", "p", "A", None), (2, "seed", "p", "B", None), (3, "seed", "p", "A", None),
+            (4, "seed", "p", "B", None), (5, "seed", "p", "B", None)]
+    df = spark.createDataFrame(rows, CAP)
+    sink = RefreshSink(shared_path(spark, "t-repeat"))
+    refresh_batch(df.filter("capture_seq <= 3"), 0, sink)
+    refresh_batch(df.filter("capture_seq > 3"), 1, sink)
+    got = sorted(r.capture_seq for r in spark.read.parquet(sink.log).collect())
+    assert got == [1, 2, 3, 4]

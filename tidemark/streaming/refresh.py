@@ -1,10 +1,10 @@
 """Incremental refresh of the change log (I1, I3, P4 as a stream).
 
 ``foreachBatch`` form (the default):
-  the state (latest logged digest per page) is kept log-structured: each
-  batch writes only its own changes (``state_delta/batch_id=N``, one row per
-  page changed in the batch), and every ``compact_every`` batches a full
-  snapshot is written (``state/batch_id=N``).  Batch N reads the last
+  the state (latest logged digest per page) is kept log-structured: the log
+  delta a batch writes (``log/batch_id=N``) is itself the state change of that
+  batch, and every ``compact_every`` batches a full snapshot is written
+  (``state/batch_id=N``).  Batch N reads the last
   snapshot before it plus at most ``compact_every - 1`` deltas, compacts them
   to one row per page and restricts them to the pages it holds; it never
   rewrites the whole state per micro-batch.  All outputs are written per batch
@@ -55,7 +55,8 @@ class RefreshSink:
         return f"{self.state}/batch_id={batch_id}"
 
     def delta_of(self, batch_id: int) -> str:
-        return f"{self.root}/state_delta/batch_id={batch_id}"
+        """The state change of a batch is its log delta."""
+        return self.log_of(batch_id)
 
     def is_snapshot(self, batch_id: int) -> bool:
         return (batch_id + 1) % self.compact_every == 0
@@ -84,8 +85,9 @@ def _merged_state(spark: SparkSession, sink: RefreshSink, batch_id: int,
     elif sink.initial_state:
         parts.append(spark.read.schema(STATE_SCHEMA).parquet(sink.initial_state))
     first_delta = (snap + 1) if snap is not None else 0
-    parts += [spark.read.schema(STATE_SCHEMA).parquet(sink.delta_of(b))
+    deltas = [spark.read.schema(STATE_SCHEMA).parquet(sink.delta_of(b))
               for b in range(first_delta, upto)]
+    parts += deltas
     if not parts:
         return None
     if pages is not None:
@@ -93,7 +95,9 @@ def _merged_state(spark: SparkSession, sink: RefreshSink, batch_id: int,
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p)
-    return merged if len(parts) == 1 else change.compact_state(merged)
+    # a snapshot is one row per page; a log delta may hold several rows of a
+    # page, so anything with deltas in it is compacted to the latest row
+    return change.compact_state(merged) if deltas else merged
 
 
 def _prior_state(spark: SparkSession, sink: RefreshSink, batch_id: int,
@@ -103,8 +107,9 @@ def _prior_state(spark: SparkSession, sink: RefreshSink, batch_id: int,
 
 
 def refresh_batch(batch: DataFrame, batch_id: int, sink: RefreshSink) -> None:
-    """foreachBatch body: status against earlier batches, log delta, state delta
-    (and a snapshot every ``compact_every`` batches)."""
+    """foreachBatch body: status against earlier batches and the log delta
+    (which is also the batch's state change); a snapshot every
+    ``compact_every`` batches."""
     spark = batch.sparkSession
     # bodies are hashed once; the change window reads keys and digests only
     change.add_fingerprints(batch.select("capture_seq", "kind", "url", "body")).drop("body") \
@@ -114,9 +119,6 @@ def refresh_batch(batch: DataFrame, batch_id: int, sink: RefreshSink) -> None:
     status = change.change_status(caps, prior_state=prior)
     delta = change.log_delta(status).select(*LOG_COLUMNS)
     delta.write.mode("overwrite").parquet(sink.log_of(batch_id))
-    written = spark.read.parquet(sink.log_of(batch_id))
-    change.compact_state(written).select("page_uid", "capture_seq", "data_uid") \
-        .write.mode("overwrite").parquet(sink.delta_of(batch_id))
     if sink.is_snapshot(batch_id):
         snap = _merged_state(spark, sink, batch_id, batch_id + 1)
         snap.select("page_uid", "capture_seq", "data_uid") \

@@ -65,8 +65,9 @@ def change_status(captures: DataFrame, page: str = "page_uid", digest: str = "da
     cols = captures.columns
     cur = captures.withColumn("_prior", F.lit(False))
     if prior_state is not None:
+        # prior rows sort before every capture, whatever the order values are
         seed = prior_state.select(
-            F.col(page), F.col(digest), F.lit(-1).cast("long").alias(order),
+            F.col(page), F.col(digest), F.lit(-(1 << 63)).cast("long").alias(order),
             F.lit(True).alias("_prior"))
         # prior rows only matter for pages captured now
         seed = seed.join(captures.select(page).distinct(), page, "left_semi")

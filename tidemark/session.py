@@ -65,7 +65,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; only when it is unset
     (local runs and tests) a private folder is created and set.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote session has no context view
+        sc = None
+    if sc is None:
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", current)
+        return current
     current = sc.getCheckpointDir()
     if not current:
         current = sc.getConf().get("spark.checkpoint.dir", None)

@@ -152,3 +152,15 @@ def test_refresh_batches_with_repeated_pages(spark):
     refresh_batch(df.filter("capture_seq > 3"), 1, sink)
     got = sorted(r.capture_seq for r in spark.read.parquet(sink.log).collect())
     assert got == [1, 2, 3, 4]
+
+
+def test_scale_shapes(spark):
+    from tidemark.operators import sinks
+    src = spark.range(1000).selectExpr("id AS seq", "id % 7 AS k", "cast(id AS string) AS v")
+    p = _plan(sinks.first_by_key(src, ["k"], ["seq"]))
+    assert "partial_min" in p                      # combined map-side before the shuffle
+    caps = spark.range(100).selectExpr("id AS capture_seq", "cast(id % 3 AS string) AS page_uid",
+                                       "cast(id % 2 AS string) AS data_uid")
+    p = _plan(change.change_status(caps))
+    assert "hashpartitioning(page_uid" in p and "_bucket" in p.split("hashpartitioning(page_uid")[1][:40]
+    assert "partial_max_by" in p                   # the bucket summary combines map-side

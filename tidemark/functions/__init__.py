@@ -10,6 +10,7 @@ from tidemark.functions.text import (
     joined_or_fallback,
     remap,
     spaced_concat,
+    utf8_text,
 )
 from tidemark.functions.urls import from_template, host_allowed, url_host
 from tidemark.functions.paging import page_count, page_numbers
@@ -17,6 +18,6 @@ from tidemark.functions.paging import page_count, page_numbers
 __all__ = [
     "sha1_hex", "json_object_text", "parse_lenient", "python_dot",
     "regex_matches", "colour_entry", "drop_last_char", "head_before",
-    "joined_or_fallback", "remap", "spaced_concat", "from_template",
+    "joined_or_fallback", "remap", "spaced_concat", "utf8_text", "from_template",
     "host_allowed", "url_host", "page_count", "page_numbers",
 ]

@@ -60,7 +60,7 @@ def test_batch_equals_any_split(spark, seq, cuts):
     df = spark.createDataFrame(rows, "capture_seq long, kind string, url string, body string")
     fp = change.add_fingerprints(df).drop("body")
     want = sorted(r.capture_seq for r in change.log_delta(change.change_status(fp)).collect())
-    sink = RefreshSink(shared_path(spark, "t-split"), compact_every=2)
+    sink = RefreshSink(shared_path(spark, "t-split"), compact_every=2, state_buckets=4)
     bounds = [0] + sorted(c for c in cuts if c < len(rows)) + [len(rows)]
     for bid, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
         refresh_batch(df.filter((F.col("capture_seq") > lo) & (F.col("capture_seq") <= hi)), bid, sink)

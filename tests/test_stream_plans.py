@@ -164,3 +164,27 @@ def test_scale_shapes(spark):
     p = _plan(change.change_status(caps))
     assert "hashpartitioning(page_uid" in p and "_bucket" in p.split("hashpartitioning(page_uid")[1][:40]
     assert "partial_max_by" in p                   # the bucket summary combines map-side
+
+
+def test_snapshot_buckets_pruned(spark):
+    import glob
+    from tidemark.streaming.refresh import refresh_batch
+    rows = [(i, "seed", f"u{i % 5}", "A" if i % 2 else "B", None) for i in range(1, 21)]
+    df = spark.createDataFrame(rows, CAP)
+    root = shared_path(spark, "t-buckets")
+    sink = RefreshSink(root, compact_every=1, state_buckets=8)
+    refresh_batch(df.filter("capture_seq <= 10"), 0, sink)
+    local = root.replace("file:", "")
+    assert glob.glob(f"{local}/state/batch_id=0/page_bucket=*")
+    refresh_batch(df.filter("capture_seq > 10"), 1, sink)
+    got = sorted(r.capture_seq for r in spark.read.parquet(sink.log).collect())
+    fp = change.add_fingerprints(df).drop("body")
+    want = sorted(r.capture_seq for r in change.log_delta(change.change_status(fp)).collect())
+    assert got == want
+    # a batch touching one page reads one bucket folder of the snapshot
+    from tidemark.streaming.refresh import _read_snapshot
+    one = spark.createDataFrame([("x",)], "page_uid string").select(
+        change.sha1_hex("page_uid").alias("page_uid"))
+    assert "page_bucket" not in _read_snapshot(spark, sink, 1, one).columns
+    p = _plan(_read_snapshot(spark, sink, 1, one))
+    assert "PartitionFilters: [isnotnull(page_bucket" in p

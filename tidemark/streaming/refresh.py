@@ -4,7 +4,8 @@
   the state (latest logged digest per page) is kept log-structured: the log
   delta a batch writes (``log/batch_id=N``) is itself the state change of that
   batch, and every ``compact_every`` batches a full snapshot is written
-  (``state/batch_id=N``).  Batch N reads the last
+  (``state/batch_id=N``, partitioned by a hash bucket of the page, so a
+  batch reads only the buckets its pages fall in).  Batch N reads the last
   snapshot before it plus at most ``compact_every - 1`` deltas, compacts them
   to one row per page and restricts them to the pages it holds; it never
   rewrites the whole state per micro-batch.  All outputs are written per batch
@@ -42,6 +43,7 @@ class RefreshSink:
     root: str
     initial_state: str | None = None     # compacted state of earlier runs
     compact_every: int = 10              # snapshot period, in batches
+    state_buckets: int = 1024            # hash buckets of the snapshot layout
 
     @property
     def log(self) -> str:
@@ -72,6 +74,25 @@ class RefreshSink:
         return f"{self.root}/fingerprints/batch_id={batch_id}"
 
 
+def page_bucket(sink: RefreshSink):
+    """Hash bucket of a page in the snapshot layout."""
+    from pyspark.sql import functions as F
+    return F.pmod(F.xxhash64("page_uid"), F.lit(sink.state_buckets)).cast("int")
+
+
+def _read_snapshot(spark: SparkSession, sink: RefreshSink, snap: int,
+                   pages: DataFrame | None) -> DataFrame:
+    """A snapshot, reading only the buckets the batch's pages fall in (the
+    bucket list is bounded by ``state_buckets``; partition pruning skips the
+    other folders)."""
+    from pyspark.sql import functions as F
+    df = spark.read.parquet(sink.state_of(snap))
+    if pages is not None:
+        buckets = [r[0] for r in pages.select(page_bucket(sink).alias("b")).distinct().collect()]
+        df = df.filter(F.col("page_bucket").isin(buckets))
+    return df.select("page_uid", "capture_seq", "data_uid")
+
+
 def _merged_state(spark: SparkSession, sink: RefreshSink, batch_id: int,
                   upto: int, pages: DataFrame | None = None) -> DataFrame | None:
     """Last snapshot before ``batch_id`` plus the deltas of batches from
@@ -81,7 +102,7 @@ def _merged_state(spark: SparkSession, sink: RefreshSink, batch_id: int,
     snap = sink.last_snapshot_before(batch_id)
     parts: list[DataFrame] = []
     if snap is not None:
-        parts.append(spark.read.schema(STATE_SCHEMA).parquet(sink.state_of(snap)))
+        parts.append(_read_snapshot(spark, sink, snap, pages))
     elif sink.initial_state:
         parts.append(spark.read.schema(STATE_SCHEMA).parquet(sink.initial_state))
     first_delta = (snap + 1) if snap is not None else 0
@@ -121,8 +142,8 @@ def refresh_batch(batch: DataFrame, batch_id: int, sink: RefreshSink) -> None:
     delta.write.mode("overwrite").parquet(sink.log_of(batch_id))
     if sink.is_snapshot(batch_id):
         snap = _merged_state(spark, sink, batch_id, batch_id + 1)
-        snap.select("page_uid", "capture_seq", "data_uid") \
-            .write.mode("overwrite").parquet(sink.state_of(batch_id))
+        snap.select("page_uid", "capture_seq", "data_uid", page_bucket(sink).alias("page_bucket")) \
+            .write.mode("overwrite").partitionBy("page_bucket").parquet(sink.state_of(batch_id))
 
 
 def start_refresh_stream(captures: DataFrame, sink: RefreshSink, checkpoint: str,

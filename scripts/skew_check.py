@@ -76,6 +76,9 @@ def main() -> None:
                       .otherwise(F.col("page_uid")).alias("doc_key"), "data_uid")
     spark.sparkContext.setJobDescription("3:first_by_key")
     firsts = sinks.first_by_key(src, ["doc_key"], ["capture_seq"]).count()
+    # latest digest per page (the compacted state) with the hot page
+    spark.sparkContext.setJobDescription("4:latest_by_key")
+    latest = change.latest_by_key(caps, "page_uid", "capture_seq", ["capture_seq", "data_uid"]).count()
     spark.sparkContext.setJobDescription(None)
     spark.stop()
     mx = max_task_records(log_dir)
@@ -87,6 +90,8 @@ def main() -> None:
         "status_counts": {r["status"]: r["count"] for r in results[1]},
         "first_by_key_rows": firsts,
         "max_task_shuffle_records_first_by_key": mx.get(3),
+        "latest_by_key_rows": latest,
+        "max_task_shuffle_records_latest_by_key": mx.get(4),
     }))
 
 

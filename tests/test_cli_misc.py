@@ -39,3 +39,12 @@ def test_binary_bodies_decoded_in_scan(spark):
                           "capture_seq long, kind string, url string, body binary").write.parquet(path)
     df = read_captures(spark, path, kinds=["seed"], body_binary=True)
     assert df.first().body.startswith('{type:"mb",id:9,name:"甲"')
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    from tidemark.session import ensure_checkpoint_dir, get_session
+    configured = spark.sparkContext.getCheckpointDir()
+    assert ensure_checkpoint_dir(spark) == configured
+    assert shared_path(spark, "x").startswith(configured.rstrip("/") + "/x-")
+    # building the session again keeps the configured folder
+    assert ensure_checkpoint_dir(get_session()) == configured

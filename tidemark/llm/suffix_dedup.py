@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,13 +47,13 @@ LENGTH = 50
 GRAM = 28
 TINY = 5
 #: Window starts hashed at a time, and bytes of text held at a time (or one text).
-CHUNK = 1 << 18
+CHUNK = 1 << 14
 SLICE = 4 << 20
 #: Anchors that a task packs together, and text bytes for each bucket.
 PACK = 2_000_000
 BUCKET_BYTES = 16 << 20
 #: Symbols of one Burrows-Wheeler transform, unless one gram has more.
-SYMBOLS = 1_500_000
+SYMBOLS = 400_000
 
 U = np.uint64
 
@@ -87,8 +88,8 @@ def window_anchors(padded: np.ndarray, lo: int, hi: int, length: int) -> np.ndar
 
 
 def anchors(padded: np.ndarray, starts: np.ndarray, ends: np.ndarray,
-            length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(document, first window, windows, hashed gram) of every run of windows; documents are
+            length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(document, first window, windows, gram, its hash) of every run of windows; documents are
     the ranges [starts, ends) of ``padded``, chunk by chunk."""
     n = int(ends[-1]) if len(ends) else 0
     for lo in range(0, n - length + 1, CHUNK):
@@ -104,10 +105,7 @@ def anchors(padded: np.ndarray, starts: np.ndarray, ends: np.ndarray,
         heads = np.flatnonzero(np.concatenate(([True], pick[1:] != pick[:-1])))
         windows = np.diff(np.append(heads, len(at)))
         first, gram = at[heads], pick[heads]
-        h = np.zeros(len(gram), dtype=U)
-        for offset in (*range(0, GRAM - 8, 8), GRAM - 8):
-            h = _mixed(h * U(3) + _words(padded, n)[gram + offset])
-        yield np.searchsorted(ends, first, "right"), first, windows, h
+        yield np.searchsorted(ends, first, "right"), first, windows, gram, _gram_hashes(padded, n, gram)
 
 
 def _joined(raw: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
@@ -125,18 +123,38 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _grouped(order_by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, heads) that sort ``order_by`` and start its runs of equal values."""
-    order = np.argsort(order_by, kind="stable")
+    """(order, heads) that sort ``order_by`` and start its runs of equal values, each in any order."""
+    order = np.argsort(order_by)
     s = order_by[order]
     return order, np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1]))) if len(s) else np.empty(0, np.int64)
 
 
-def _blob(array: np.ndarray, kind: str) -> bytes:
+def _plain(array: np.ndarray, kind: str) -> bytes:
     return np.ascontiguousarray(array.astype(kind, copy=False)).tobytes()
 
 
+def _blob(array: np.ndarray, kind: str) -> bytes:
+    """The array's bytes, first all lowest ones, compressed."""
+    a = np.ascontiguousarray(array.astype(kind, copy=False))
+    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes())
+
+
+def _unpacked(blob: bytes | None, kind: str) -> np.ndarray:
+    if not blob:
+        return np.empty(0, dtype=kind)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def _read(blobs: list[bytes | None], kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(x or b"" for x in blobs), dtype=kind)
+    return np.concatenate([_unpacked(x, kind) for x in blobs]) if blobs else np.empty(0, dtype=kind)
+
+
+def _gram_hashes(padded: np.ndarray, n: int, gram: np.ndarray) -> np.ndarray:
+    h = np.zeros(len(gram), dtype=U)
+    for offset in (*range(0, GRAM - 8, 8), GRAM - 8):
+        h = _mixed(h * U(3) + _words(padded, n)[gram + offset])
+    return h
 
 
 # -- which grams other documents have -------------------------------------------
@@ -146,7 +164,7 @@ REPEATED = np.uint32(0xFFFFFFFF)
 
 
 def _shared_grams(rows: DataFrame, bits: int, length: int) -> DataFrame:
-    """(id, hash, wanted): the cut-down grams of each document that others may have too."""
+    """(id, hash, wanted): the last 32 bits of the cut-down grams that others may have too."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, n_parts = task_id() << 32, 0
@@ -172,7 +190,8 @@ def _shared_grams(rows: DataFrame, bits: int, length: int) -> DataFrame:
             bucket = (first_g >> U(32)).astype(np.int64)
             edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))).tolist()
             for a, b in zip(edges, [*edges[1:], len(bucket)]):
-                out.append((0, int(bucket[a]), _blob(first_g[a:b] & U(0xFFFFFFFF), "<u4"),
+                low = (first_g[a:b] & U(0xFFFFFFFF)).astype(np.uint32)
+                out.append((0, int(bucket[a]), _blob(np.diff(low, prepend=np.uint32(0)), "<u4"),
                             _blob(first_d[a:b], "<u4"), None))
             kind, key, gs, ds, hs = zip(*out)
             yield batch(kind=pa.array(kind, pa.int32()), key=pa.array(key, pa.int64()),
@@ -181,7 +200,7 @@ def _shared_grams(rows: DataFrame, bits: int, length: int) -> DataFrame:
 
         for b in _slices(batches):
             _, padded, starts, ends = _joined(b.column("raw").to_pylist())
-            for d, _, _, g in anchors(padded, starts, ends, length):
+            for d, _, _, _, g in anchors(padded, starts, ends, length):
                 doc.append(d + len(ids))
                 gram.append(g)
                 held += len(g)
@@ -198,8 +217,9 @@ def _shared_grams(rows: DataFrame, bits: int, length: int) -> DataFrame:
         if table.column("kind")[0].as_py():
             return table
         part, gram, doc = (table.column(c).to_pylist() for c in ("part", "gram", "doc"))
-        g, d = _read(gram, "<u4"), _read(doc, "<u4")
-        where = np.repeat(np.arange(len(gram)), [len(x) // 4 for x in gram])
+        grams = [np.cumsum(_unpacked(x, "<u4"), dtype=np.uint32) for x in gram]
+        g, d = np.concatenate(grams), _read(doc, "<u4")
+        where = np.repeat(np.arange(len(gram)), [len(x) for x in grams])
         order, heads = _grouped(g)
         sizes = np.diff(np.append(heads, len(g)))
         asked = np.empty(len(g), dtype=bool)
@@ -214,14 +234,14 @@ def _shared_grams(rows: DataFrame, bits: int, length: int) -> DataFrame:
     def answer(table: pa.Table) -> pa.Table:
         kind, gram, doc, hash_ = (table.column(c).to_pylist() for c in ("kind", "gram", "doc", "hash"))
         own = kind.index(2)
-        ids, hashes = np.frombuffer(doc[own], "<i8"), np.frombuffer(hash_[own], "<i8")
+        ids, hashes = _unpacked(doc[own], "<i8"), _unpacked(hash_[own], "<i8")
         g = _read(gram, "<u8")
         d = _read([x for k, x in zip(kind, doc) if k == 1], "<u4")
         order, heads = _grouped(d)
         g, edges = g[order], np.append(heads, len(d)).tolist()
         mine = d[order][heads]
         return pa.table({"id": pa.array(ids[mine]), "hash": pa.array(hashes[mine]),
-                         "wanted": pa.array([_blob(g[a:b], "<u8") for a, b in zip(edges, edges[1:])], pa.binary())})
+                         "wanted": pa.array([_plain(g[a:b], "<u4") for a, b in zip(edges, edges[1:])], pa.binary())})
 
     sent = map_batches(rows, send, SENT)
     seen = sent.groupBy("kind", "key").applyInArrow(compare, SENT)
@@ -248,19 +268,27 @@ def suffix_array(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
         ended[:n - k] |= there == 0
         key[:n - k] = (key[:n - k] << U(9)) | np.where(ended[:n - k], U(0), there)
         key[n - k:] <<= U(9)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
+    slots = np.flatnonzero(ended[order])                 # equal suffixes stay in the order of their separators
+    mine = order[slots]
+    order[slots] = mine[np.lexsort((mine, key[mine]))]
     sorted_key = key[order]
     new = np.concatenate(([True], (sorted_key[1:] != sorted_key[:-1]) | ended[order[1:]]))
-    rank = np.empty(n, dtype=np.int64)
-    rank[order] = np.cumsum(new) - 1
-    while not new.all():
-        after = np.zeros(n, dtype=np.int64)
-        after[:n - width] = rank[width:]
-        key = (rank * (n + 1) + after).astype(U)
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        new = np.concatenate(([True], sorted_key[1:] != sorted_key[:-1]))
-        rank[order] = np.cumsum(new) - 1
+    rank = np.empty(n, dtype=np.int32)                   # of a group of suffixes that look alike: its first place
+    heads = np.flatnonzero(new)
+    sizes_ = np.diff(np.append(heads, n))
+    rank[order] = np.repeat(heads, sizes_)
+    slots = np.flatnonzero(np.repeat(sizes_ > 1, sizes_))
+    while len(slots):                                    # such suffixes have no separator in ``width`` symbols
+        mine = order[slots]
+        key = rank[mine].astype(U) << U(32) | rank[mine + width].astype(U)
+        by = np.argsort(key)
+        mine, key = mine[by], key[by]
+        order[slots] = mine
+        heads = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        sizes_ = np.diff(np.append(heads, len(key)))
+        rank[mine] = np.repeat(slots[heads], sizes_)
+        slots = slots[np.repeat(sizes_ > 1, sizes_)]
         width *= 2
     return order, rank, starts
 
@@ -277,13 +305,14 @@ def interval_starts(order: np.ndarray, rank: np.ndarray, first: np.ndarray, leng
     border = np.concatenate(([True], first[1:] != first[:-1]))
     shorter = rank[np.minimum(order + 1, n - 1)]         # place of the suffix without its first symbol
     open_ = np.flatnonzero(~border)
+    high, low = shorter[open_], shorter[open_ - 1]
     for _ in range(1, length):
-        seen = np.cumsum(border)
-        found = seen[shorter[open_]] > seen[shorter[open_ - 1]]
+        seen = np.cumsum(border, dtype=np.int32)
+        found = seen[high] > seen[low]
         if not found.any():
             break                                        # no border of this value, so none of a larger one
         border[open_[found]] = True
-        open_ = open_[~found]
+        open_, high, low = open_[~found], high[~found], low[~found]
     return border
 
 
@@ -321,6 +350,7 @@ def _spans(rows: DataFrame, bits: int, length: int) -> DataFrame:
         base, n_parts = task_id() << 32, 0
         entries: dict[bytes, int] = {}
         grams: list[int] = []
+        offsets: list[int] = []
         ids: list[int] = []
         hashes: list[int] = []
         seen: list[tuple[np.ndarray, ...]] = []
@@ -335,39 +365,48 @@ def _spans(rows: DataFrame, bits: int, length: int) -> DataFrame:
             most = np.full(len(entries), -LAST_ID - 1, dtype=np.int64)
             np.minimum.at(least, entry, of[doc])
             np.maximum.at(most, entry, of[doc])
+            gram, offsets_, segments = np.array(grams, dtype=U), np.array(offsets), list(entries)
+            order = np.argsort(gram)
+            number = np.empty(len(order), dtype=np.int64)        # entries count in the order they are sent
+            number[order] = np.arange(len(order))
             out = [dict(kind=2, key=part, part=part, least=_blob(of, "<i8"),
                         most=_blob(np.array(hashes, dtype=np.int64), "<i8")),
-                   dict(kind=1, key=part, part=part, entry=_blob(entry, "<u4"), gram=_blob(doc, "<u4"),
+                   dict(kind=1, key=part, part=part, entry=_blob(number[entry], "<u4"), gram=_blob(doc, "<u4"),
                         least=_blob(start, "<i8"))]
-            gram, segments = np.array(grams, dtype=U), list(entries)
-            order = np.argsort(gram, kind="stable")
             bucket = (gram[order] >> U(64 - bits)).astype(np.int64)
             edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))).tolist()
             for a, b in zip(edges, [*edges[1:], len(bucket)]):
                 mine = order[a:b]
                 some = [segments[i] for i in mine.tolist()]
-                out.append(dict(kind=0, key=int(bucket[a]), part=part, entry=_blob(mine, "<u4"),
-                                gram=_blob(gram[mine], "<u8"), size=_blob(np.array(list(map(len, some))), "<u4"),
-                                bytes=b"".join(some), least=_blob(least[mine], "<i8"),
-                                most=_blob(most[mine], "<i8")))
+                out.append(dict(kind=0, key=int(bucket[a]), part=part, entry=_plain(np.array([a]), "<i8"),
+                                gram=_blob(offsets_[mine], "<u4"), size=_blob(np.array(list(map(len, some))), "<u4"),
+                                bytes=zstandard.ZstdCompressor(level=1).compress(b"".join(some)),
+                                least=_blob(least[mine], "<i8"), most=_blob(most[mine] - least[mine], "<i8")))
             yield from pa.Table.from_pylist(out, schema=_SEGMENT_SCHEMA).to_batches()
 
         for b in _slices(batches):
             buf, padded, starts, ends = _joined(b.column("raw").to_pylist())
             asked = b.column("wanted").to_pylist()
-            known = np.concatenate([np.frombuffer(x, "<u8") for x in asked])
-            salt = np.arange(len(asked), dtype=U) * U(0xD6E8FEB86659FD93)
-            known = np.unique(known ^ np.repeat(salt, [len(x) // 8 for x in asked]))
-            for d, first, windows, g in anchors(padded, starts, ends, length):
-                there = np.isin((g >> U(32 - bits)) ^ salt[d], known)
-                d, first, windows, g = d[there], first[there], windows[there], g[there]
-                entry = np.empty(len(d), dtype=np.int64)
-                for k, (s, e, x) in enumerate(zip(first.tolist(), (first + windows + length - 1).tolist(),
-                                                  g.tolist())):
-                    segment = buf[s:e]
-                    n = entry[k] = entries.setdefault(segment, len(entries))
+            known = np.concatenate([np.frombuffer(x, "<u4") for x in asked]).astype(U)
+            salt = np.arange(len(asked), dtype=U) << U(32)
+            known = np.unique(known | np.repeat(salt, [len(x) // 4 for x in asked]))
+            table = np.zeros(1 << 20, dtype=bool)
+            table[_mixed(known) >> U(44)] = True
+            for d, first, windows, gram, g in anchors(padded, starts, ends, length):
+                own = ((g >> U(32 - bits)) & U(0xFFFFFFFF)) | salt[d]
+                there = np.flatnonzero(table[_mixed(own) >> U(44)])
+                at = np.minimum(np.searchsorted(known, own[there]), len(known) - 1)
+                there = there[known[at] == own[there]]
+                d, first, windows, gram, g = d[there], first[there], windows[there], gram[there], g[there]
+                entry = []
+                for s, e, x, y in zip(first.tolist(), (first + windows + length - 1).tolist(), g.tolist(),
+                                      (gram - first).tolist()):
+                    n = entries.setdefault(buf[s:e], len(entries))
+                    entry.append(n)
                     if n == len(grams):
                         grams.append(x)
+                        offsets.append(y)
+                entry = np.array(entry, dtype=np.int64)
                 if len(d):
                     seen.append((entry, d + len(ids), first - starts[d]))
                     held += len(d)
@@ -375,7 +414,7 @@ def _spans(rows: DataFrame, bits: int, length: int) -> DataFrame:
             hashes += b.column("hash").to_pylist()
             if held >= PACK // 8:
                 yield from pack()
-                entries, grams, ids, hashes, seen, held = {}, [], [], [], [], 0
+                entries, grams, offsets, ids, hashes, seen, held = {}, [], [], [], [], [], 0
         if held:
             yield from pack()
 
@@ -386,14 +425,21 @@ def _spans(rows: DataFrame, bits: int, length: int) -> DataFrame:
             return table
         part, sent, gram, size, raw, least, most = (table.column(c).to_pylist() for c in (
             "part", "entry", "gram", "size", "bytes", "least", "most"))
-        entry, gram, least, most = (_read(sent, "<u4"), _read(gram, "<u8"), _read(least, "<i8"), _read(most, "<i8"))
-        where = np.repeat(np.arange(len(sent)), [len(x) // 4 for x in sent])
+        size = [_unpacked(x, "<u4") for x in size]
+        raw = [zstandard.ZstdDecompressor().decompress(x) for x in raw]
+        sent_sizes = [len(x) for x in size]
+        where = np.repeat(np.arange(len(sent)), sent_sizes)
+        entry = np.concatenate([np.frombuffer(x, "<i8") + np.arange(n) for x, n in zip(sent, sent_sizes)])
+        least = _read(least, "<i8")
+        most = least + _read(most, "<i8")
+        joined, gram_at = b"".join(raw), np.cumsum(np.concatenate(size)) - np.concatenate(size) + _read(gram, "<u4")
+        gram = _gram_hashes(np.frombuffer(joined + bytes(16), dtype=np.uint8), len(joined), gram_at.astype(np.int64))
         distinct: dict[bytes, int] = {}
         of = np.empty(len(entry), dtype=np.int64)            # each entry's distinct segment
         k = 0
         for sizes, some in zip(size, raw):
             at = 0
-            for n in np.frombuffer(sizes, "<u4").tolist():
+            for n in sizes.tolist():
                 of[k] = distinct.setdefault(some[at:at + n], len(distinct))
                 at, k = at + n, k + 1
         segments = list(distinct)
@@ -477,7 +523,7 @@ def _spans(rows: DataFrame, bits: int, length: int) -> DataFrame:
         doc, lo, hi = doc[heads], lo[heads], reach[np.append(heads[1:], len(doc)) - 1]
         edges = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
         pairs = np.stack([lo, hi], axis=1)
-        spans = [_blob(pairs[a:b], "<i8") for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(doc)])]
+        spans = [_plain(pairs[a:b], "<i8") for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(doc)])]
         mine = doc[edges]
         return pa.table({"id": pa.array(ids[mine]), "hash": pa.array(hashes[mine]),
                          "spans": pa.array(spans, pa.binary())})

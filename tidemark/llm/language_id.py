@@ -31,7 +31,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -48,9 +48,12 @@ UNKNOWN = "und"
 #: Characters of a text read at a time, and distinct words that a task holds.
 PART = 1 << 20
 WORDS = 200_000
+#: Characters scored at a time, or one part.
+TOGETHER = 1 << 18
 
 U = np.uint64
 _letters = re.compile(r"[^\W\d_]+")
+_is_letter = np.array([chr(c).isalpha() for c in range(0x10000)])
 
 
 def fold(id_col: Column) -> Column:
@@ -58,56 +61,54 @@ def fold(id_col: Column) -> Column:
     return (F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % FOLDS).cast("int")
 
 
-def words_of(text: str | None) -> Iterator[list[str]]:
-    """The lower-cased words of a text, part by part."""
+def parts_of(text: str | None) -> Iterator[str]:
+    """A text in lower case, in parts that end between words."""
     text = text or ""
     at = 0
     while at < len(text):
         end = at + PART
         while end < len(text) and end - at < 2 * PART and text[end].isalpha():
             end += 1
-        yield _letters.findall(text[at:end].lower())
+        yield text[at:end].lower()
         at = end
 
 
+def symbols(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, part of each) of all words of some parts: a space, then each word and a space."""
+    codes = np.frombuffer((" ".join(parts) + " ").encode("utf-32-le", "surrogatepass"), "<u4")
+    of = np.repeat(np.arange(len(parts)), np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) + 1)
+    letter = _is_letter[np.minimum(codes, 0xFFFF)]
+    high = np.flatnonzero(codes > 0xFFFF)
+    if len(high):
+        kinds, at = np.unique(codes[high], return_inverse=True)
+        letter[high] = np.array([chr(c).isalpha() for c in kinds.tolist()])[at]
+    keep = letter.copy()
+    keep[1:] |= letter[:-1]                                    # what follows a word ends it
+    codes = np.where(letter, codes, 32)[keep].astype(U)
+    return np.concatenate([[U(32)], codes]), np.concatenate([[-1], of[keep]])
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
     return x ^ (x >> U(31))
 
 
-@dataclass
-class Positions:
-    """Every predicted character of some words, with its n-grams' hashes by order."""
-
-    word: np.ndarray
-    valid: list[np.ndarray] = field(default_factory=list)      # positions with enough of the word before
-    gram: list[np.ndarray] = field(default_factory=list)
-    context: list[np.ndarray] = field(default_factory=list)
-    starts: list[np.ndarray] = field(default_factory=list)     # the n-gram begins with the space before the word
+def depths(codes: np.ndarray) -> np.ndarray:
+    """For each symbol but the first, how many symbols of its word are before it, the space included."""
+    at = np.arange(len(codes))
+    return at[1:] - np.maximum.accumulate(np.where(codes == 32, at, 0))[:-1]
 
 
-def positions(words: list[str], order: int = ORDER) -> Positions:
-    codes = np.frombuffer((" " + " ".join(words) + " ").encode("utf-32-le", "surrogatepass"), "<u4").astype(U)
-    at = np.arange(len(codes))
-    space = codes == 32
-    before = np.maximum.accumulate(np.where(space, at, 0))
-    depth = at[1:] - before[:-1]                               # characters before it, the space included
-    out = Positions(np.cumsum(space)[:-1] - 1)
-    n = len(codes) - 1
-    power = U(1)
-    shorter_raw = np.zeros(len(codes), dtype=U)
+def unmixed(codes: np.ndarray, order: int) -> list[np.ndarray]:
+    """For 0 to ``order``: the sum that hashes the so many symbols that end at each symbol."""
+    power, sums = U(1), [np.zeros(len(codes), dtype=U)]
     for k in range(1, order + 1):
-        raw = shorter_raw.copy()
-        raw[k - 1:] += (codes[:len(codes) - k + 1] + U(1)) * power
+        longer = sums[-1].copy()
+        longer[k - 1:] += (codes[:len(codes) - k + 1] + U(1)) * power
         power = U(int(power) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-        valid = np.flatnonzero(depth >= k - 1)
-        out.valid.append(valid)
-        out.gram.append(_mixed(raw[1:][valid] + U(k)))
-        out.context.append(_mixed(shorter_raw[:n][valid] + U(k - 1)))
-        out.starts.append(depth[valid] == k - 1)
-        shorter_raw = raw
-    return out
+        sums.append(longer)
+    return sums
 
 
 # -- training -------------------------------------------------------------------
@@ -123,25 +124,26 @@ def _counts(docs: DataFrame, order: int) -> DataFrame:
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, counter in seen.items():
-                p = positions(list(counter), order)
-                times = np.fromiter(counter.values(), dtype=np.int64, count=len(counter))[p.word]
-                shorter = np.zeros(len(p.word), dtype=U)
+                codes = np.frombuffer((" " + " ".join(counter) + " ").encode("utf-32-le", "surrogatepass"), "<u4").astype(U)
+                word = np.cumsum(codes == 32)[:-1] - 1
+                times = np.fromiter(counter.values(), dtype=np.int64, count=len(counter))[word]
+                depth, sums = depths(codes), unmixed(codes, order)
                 for k in range(1, order + 1):
-                    valid = p.valid[k - 1]
-                    gram, first, of = np.unique(p.gram[k - 1], return_index=True, return_inverse=True)
+                    valid = np.flatnonzero(depth >= k - 1)
+                    gram, first, of = np.unique(_mixed(sums[k][1:][valid] + U(k)), return_index=True, return_inverse=True)
+                    at = valid[first]
                     yield batch(lang=pa.array([lang] * len(gram), pa.string()),
                                 order=np.full(len(gram), k, dtype=np.int32), gram=gram.view(np.int64),
-                                context=p.context[k - 1][first].view(np.int64),
-                                shorter=shorter[valid][first].view(np.int64), starts=p.starts[k - 1][first],
+                                context=_mixed(sums[k - 1][at] + U(k - 1)).view(np.int64),
+                                shorter=_mixed(sums[k - 1][at + 1] + U(k - 1)).view(np.int64),
+                                starts=depth[at] == k - 1,
                                 n=np.bincount(of, weights=times[valid], minlength=len(gram)).astype(np.int64))
-                    shorter = np.zeros(len(p.word), dtype=U)
-                    shorter[valid] = p.gram[k - 1]
             seen.clear()
 
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-                for words in words_of(text):
-                    seen.setdefault(lang, Counter()).update(words)
+                for part in parts_of(text):
+                    seen.setdefault(lang, Counter()).update(_letters.findall(part))
                     if sum(map(len, seen.values())) > WORDS:
                         yield from flush()
         yield from flush()
@@ -149,61 +151,98 @@ def _counts(docs: DataFrame, order: int) -> DataFrame:
     return map_batches(docs.select("lang", "text"), run, COUNTS)
 
 
+class SortedHashes:
+    """A sorted array of hashes, with where each run of equal leading bits starts in it."""
+
+    BITS = 16
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        self.start = np.searchsorted(hashes, np.arange(1 << self.BITS, dtype=U) << U(64 - self.BITS))
+        self.start = np.append(self.start, len(hashes)).astype(np.int32)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """The place of each hash, or -1."""
+        run = (wanted >> U(64 - self.BITS)).astype(np.int32)
+        at, end = self.start[run], self.start[run + 1]
+        out = np.full(len(wanted), -1, dtype=np.int32)
+        open_ = np.flatnonzero(at < end)
+        while len(open_):
+            here = self.hashes[at[open_]]
+            same = here == wanted[open_]
+            out[open_[same]] = at[open_[same]]
+            at[open_] += 1
+            open_ = open_[(here < wanted[open_]) & (at[open_] < end[open_])]
+        return out
+
+
 @dataclass
 class Model:
     langs: list[str]
     order: int
-    alphabet: list[int]
-    grams: list[np.ndarray]             # by order: sorted hashes, and a column of logs for each language
-    logs: list[np.ndarray]
-    contexts: list[np.ndarray]
-    backoffs: list[np.ndarray]
-    mean: np.ndarray | None = None      # of the cross-entropy, by language; its deviation for one character
+    grams: np.ndarray                   # sorted hashes of all orders
+    logs: np.ndarray                    # their log2, a column for each language; a last row for symbols never seen
+    contexts: np.ndarray
+    backoffs: np.ndarray
+    mean: np.ndarray | None = None      # of the cross-entropy, by language; its deviation, and that of one symbol
     spread: np.ndarray | None = None
     noise: np.ndarray | None = None
     slope: float = 4.0
     offset: float = 0.0
 
-    def word_logs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(log2-probability by language, characters) of each word."""
-        p = positions(words, self.order)
-        out = np.tile(-np.log2(np.array(self.alphabet, dtype=np.float64)), (len(p.word), 1))
-        for k in range(self.order):
-            valid = p.valid[k]
-            value = out[valid]
-            if len(self.contexts[k]):
-                at = np.minimum(np.searchsorted(self.contexts[k], p.context[k]), len(self.contexts[k]) - 1)
-                value += np.where((self.contexts[k][at] == p.context[k])[:, None], self.backoffs[k][at], 0.0)
-            if len(self.grams[k]):
-                at = np.minimum(np.searchsorted(self.grams[k], p.gram[k]), len(self.grams[k]) - 1)
-                known = np.where((self.grams[k][at] == p.gram[k])[:, None], self.logs[k][at], np.nan)
-                value = np.where(np.isnan(known), value, known)
-            out[valid] = value
-        heads = np.searchsorted(p.word, np.arange(len(words)))
-        return np.add.reduceat(out, heads, axis=0), np.diff(np.append(heads, len(p.word)))
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "lookups"}
+
+    def lookup(self) -> tuple[SortedHashes, SortedHashes]:
+        if "lookups" not in self.__dict__:                       # built once in each worker
+            self.lookups = SortedHashes(self.grams), SortedHashes(self.contexts)
+        return self.lookups
+
+    def symbol_logs(self, codes: np.ndarray) -> np.ndarray:
+        """log2-probability, by language, of each symbol but the first."""
+        grams, contexts = self.lookup()
+        sums = unmixed(codes, self.order)
+        order = np.minimum(depths(codes) + 1, self.order)
+        row = np.full(len(order), -1, dtype=np.int32)            # of ``logs``; the last for what was never seen
+        left: list[tuple[np.ndarray, np.ndarray]] = []           # symbols whose context leaves something, its rows
+        at = np.empty(0, dtype=np.int64)
+        for k in range(self.order, 0, -1):                       # what has, or is left with, k - 1 symbols before it
+            at = np.concatenate([at, np.flatnonzero(order == k)])
+            place = grams.find(_mixed(sums[k][at + 1] + U(k)))
+            row[at] = place
+            at = at[place < 0]
+            place = contexts.find(_mixed(sums[k - 1][at] + U(k - 1)))
+            left.append((at[place >= 0], place[place >= 0]))
+        out = np.take(self.logs, row, axis=0, mode="wrap")
+        for mine, place in left:
+            out[mine] += self.backoffs[place]
+        return out
 
     def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(cross-entropy in bits per character by language, characters) of each text."""
-        index: dict[str, int] = {}
+        """(cross-entropy in bits per symbol by language, symbols) of each text."""
         total, chars = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), dtype=np.int64)
-        waiting: list[tuple[int, np.ndarray]] = []
+        parts: list[str] = []
+        of: list[int] = []
+        held = 0
 
         def settle() -> None:
-            if not index:
-                return
-            logs, n = self.word_logs(list(index))
-            for i, ids in waiting:
-                total[i] += logs[ids].sum(axis=0)
-                chars[i] += int(n[ids].sum())
-            index.clear(), waiting.clear()
+            codes, part = symbols(parts)
+            if len(codes) > 1:
+                logs, part = self.symbol_logs(codes), part[1:]
+                heads = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+                mine = np.array(of)[part[heads]]
+                np.add.at(total, mine, np.add.reduceat(logs, heads, axis=0))
+                np.add.at(chars, mine, np.diff(np.append(heads, len(part))))
 
         for i, text in enumerate(texts):
-            for words in words_of(text):
-                if words:
-                    waiting.append((i, np.array([index.setdefault(w, len(index)) for w in words])))
-                    if len(index) > WORDS:
-                        settle()
-        settle()
+            for part in parts_of(text):
+                parts.append(part), of.append(i)
+                held += len(part)
+                if held >= TOGETHER:
+                    settle()
+                    parts, of, held = [], [], 0
+        if parts:
+            settle()
         return -total / np.maximum(chars, 1)[:, None], chars
 
     def decide(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
@@ -244,7 +283,7 @@ def _model(counted: DataFrame, order: int, share: float) -> Model:
     of = {(r.lang, r.order): r for r in stats}
     discount = {k: min(max(r.n1 / (r.n1 + 2 * r.n2) if r.n1 and r.n2 else 0.5, 0.1), 0.95) for k, r in of.items()}
     if not langs:
-        return Model([], order, [], [], [], [], [])
+        return Model([], order, *[np.empty(0)] * 4)
     of_row = F.create_map(*[F.lit(x) for k, r in of.items() for x in (f"{k[1]} {k[0]}", float(discount[k]))])
     least = F.create_map(*[F.lit(x) for lang in langs for x in (lang, float(share * of[lang, 1].n))])
     sums = mod.groupBy("lang", "order", "context").agg(F.sum("m").alias("all"))
@@ -252,33 +291,36 @@ def _model(counted: DataFrame, order: int, share: float) -> Model:
     kept_all = mod.filter(F.col("n") >= least[F.col("lang")]).join(sums, ["lang", "order", "context"]).select(
         "lang", "order", "gram", "context", "shorter",
         ((F.col("m") - of_row[F.concat_ws(" ", F.col("order").cast("string"), "lang")]) / F.col("all")).alias("p"))
-    tables_of = dict(list(kept_all.toPandas().groupby(["lang", "order"])))
-    grams, logs, contexts, backoffs = [], [], [], []
-    alphabet = [of[lang, 1].kinds + 1 for lang in langs]
-    known: list[dict[int, float]] = [{} for _ in langs]       # of the order below
+    kept_all = kept_all.toPandas()
+    alphabet = np.array([of[lang, 1].kinds + 1 for lang in langs], dtype=np.float64)
+    number = {lang: x for x, lang in enumerate(langs)}
+    orders: list[tuple[np.ndarray, np.ndarray]] = []          # sorted hashes, probabilities by language
+    bows: list[tuple[np.ndarray, np.ndarray]] = []
     for k in range(1, order + 1):
-        tables: list[dict[int, float]] = [{} for _ in langs]
-        gammas: list[dict[int, float]] = [{} for _ in langs]
-        for x, lang in enumerate(langs):
-            if (lang, k) not in tables_of:
-                continue
-            kept = tables_of[lang, k]
-            gram, context, shorter = (kept[c].to_numpy(np.int64).view(U) for c in ("gram", "context", "shorter"))
-            p = kept["p"].to_numpy()
-            ctx, at = np.unique(context, return_inverse=True)
-            gamma = np.maximum(1 - np.bincount(at, weights=p, minlength=len(ctx)), 1e-9)
-            below = (np.full(len(p), 1 / alphabet[x]) if k == 1
-                     else np.array([known[x].get(s, 1 / alphabet[x]) for s in shorter.tolist()]))
-            tables[x] = dict(zip(gram.tolist(), (p + gamma[at] * below).tolist()))
-            gammas[x] = dict(zip(ctx.tolist(), gamma.tolist()))
-        for tables_, hashes, values in ((tables, grams, logs), (gammas, contexts, backoffs)):
-            all_ = np.array(sorted(set().union(*tables_)), dtype=U)
-            missing = np.nan if hashes is grams else 1.0
-            hashes.append(all_)
-            values.append(np.log2(np.array([[t.get(h, missing) for t in tables_] for h in all_.tolist()],
-                                           dtype=np.float64).reshape(len(all_), len(langs))))
-        known = tables
-    return Model(langs, order, alphabet, grams, logs, contexts, backoffs)
+        kept = kept_all[kept_all["order"] == k]
+        lang = kept["lang"].map(number).to_numpy(np.int64)
+        gram, context, shorter = (kept[c].to_numpy(np.int64).view(U) for c in ("gram", "context", "shorter"))
+        gram, first, at = np.unique(gram, return_index=True, return_inverse=True)
+        own = np.full((len(gram), len(langs)), 0.0)
+        own[at, lang] = kept["p"].to_numpy()
+        contexts, of_context = np.unique(context, return_inverse=True)
+        gamma = np.ones((len(contexts), len(langs)))           # what a context leaves to the shorter one
+        np.subtract.at(gamma, (of_context, lang), kept["p"].to_numpy())
+        gamma = np.maximum(gamma, 1e-9)
+        if k == 1:
+            below = np.tile(1 / alphabet, (len(gram), 1))
+        else:                                                  # kept, as it occurs at least as often
+            below = orders[-1][1][np.searchsorted(orders[-1][0], shorter[first])]
+        orders.append((gram, own + gamma[of_context[first]] * below))
+        bows.append((contexts, gamma))
+
+    def merged(tables: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        hashes = np.concatenate([h for h, _ in tables])
+        by = np.argsort(hashes)
+        return hashes[by], np.log2(np.concatenate([v for _, v in tables])[by])
+
+    grams, logs = merged(orders)
+    return Model(langs, order, grams, np.vstack([logs, -np.log2(alphabet)]), *merged(bows))
 
 
 def train(docs: DataFrame, order: int = ORDER, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text",

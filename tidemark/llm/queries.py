@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (decontamination, language_id, license_scan, packing, sharding, simhash, suffix_dedup,
                           token_counts, url_filter, vector_search)
-from tidemark.llm.common import documents
+from tidemark.llm.common import documents, written
 from tidemark.sources.tables import read_table
 
 
@@ -33,7 +33,8 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.limits(token_counts.histogram(documents(spark, sf_dir)))
+    # written, as the limits read it twice
+    return token_counts.limits(written(token_counts.histogram(documents(spark, sf_dir)), "length-histogram"))
 
 
 def op7_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -205,9 +205,14 @@ def fit(negatives: list[str]) -> Classifier:
 
 
 def negatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
-    """Lines of ``NEGATIVE_DOCS`` documents that resemble no licence text."""
-    sample = docs.select(F.xxhash64(id_col, text_col).alias("h"), F.substring(text_col, 1, 20_000).alias("text")) \
-        .filter("text is not null").orderBy("h").limit(NEGATIVE_DOCS).collect()
+    """Lines of ``NEGATIVE_DOCS`` documents (of each, the first 20,000 characters) that resemble no
+    licence text: a sample to train on; ``scan`` reads all texts whole."""
+    rows = docs.filter(F.col(text_col).isNotNull()).select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("text"))
+    least = rows.select("h").orderBy("h").limit(NEGATIVE_DOCS).collect()      # the hashes first, then their texts
+    if not least:
+        return []
+    sample = rows.filter(F.col("h") <= least[-1].h).orderBy("h", F.xxhash64("text")).limit(NEGATIVE_DOCS).select(
+        F.substring("text", 1, 20_000).alias("text")).collect()
     lines = [line for r in sample for line in r.text.split("\n")][:NEGATIVE_LINES]
     alike = lambda words: max(similarity(words, f) for f in TEMPLATES)
     return [line for line in lines if (words := words_of(line)) and alike(words) < SIMILARITY / 2]

@@ -51,7 +51,7 @@ CHUNK = 1 << 14
 SLICE = 4 << 20
 #: Anchors that a task packs together, and text bytes for each bucket.
 PACK = 2_000_000
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 2 << 20
 #: Symbols of one Burrows-Wheeler transform, unless one gram has more.
 SYMBOLS = 400_000
 

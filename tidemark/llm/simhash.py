@@ -33,10 +33,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batch, map_batches, task_id, texts, written
+from tidemark.llm.common import LAST_ID, batch, map_batches, task_id, texts, written
 from tidemark.llm.graph import components, roots
 
 SHINGLE = 4
@@ -83,28 +83,15 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): one row per document, fp as a signed long."""
+    """(doc_id, h, fp): one row per document; h is a hash of its text, fp a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(raw, shingle, seed) for raw in b.column("raw").to_pylist()], dtype=U)
-            yield batch(doc_id=b.column("doc_id"), fp=fp.view(np.int64))
+            yield batch(doc_id=b.column("doc_id"), h=b.column("h"), fp=fp.view(np.int64))
 
-    return map_batches(texts(docs, id_col, text_col), run, "doc_id long, fp long")
-
-
-def with_fingerprint(docs: DataFrame, text_col: str = "text", name: str = "fp",
-                     shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``docs`` with its fingerprint as a last column ``name``."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    at = docs.columns.index(text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fp = np.array([fingerprint((t or "").encode(), shingle, seed) for t in b.column(at).to_pylist()], dtype=U)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp.view(np.int64))], names=[*b.schema.names, name])
-
-    return map_batches(docs, run, f"{schema}, `{name}` long")
+    return map_batches(texts(docs, id_col, text_col).withColumn("h", F.xxhash64("raw")), run,
+                       "doc_id long, h long, fp long")
 
 
 # -- Gray order -----------------------------------------------------------------
@@ -368,13 +355,14 @@ def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE, shingle:
 def one_of_each(docs: DataFrame, max_distance: int = MAX_DISTANCE, shingle: int = SHINGLE,
                 seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the one of the smallest doc_id (a null id
-    where there is no other); of repeated rows, the first by text."""
-    from pyspark.sql import Window
-
-    fp, root, least = "__fp", "__root", "__least"
-    prints = written(with_fingerprint(docs, text_col, fp, shingle, seed), "documents-fingerprinted")
-    found = groups(prints.select(F.col(id_col).cast("long").alias("doc_id"), F.col(fp).alias("fp")), max_distance)
-    found = found.select(F.col("fp").alias(fp), F.col("root").alias(root), F.col("component_id").alias(least))
-    kept = prints.join(found, fp).filter(F.col(id_col).eqNullSafe(F.col(least)))
-    n = F.row_number().over(Window.partitionBy(root).orderBy(fp, F.hash(*docs.columns)))
-    return kept.withColumn("__n", n).filter("__n = 1").select(*docs.columns)
+    where there is no other); of rows with the same id and text, the first by a hash."""
+    prints = written(fingerprints(docs, id_col, text_col, shingle, seed), "document-fingerprints")
+    found = groups(prints, max_distance)
+    kept = prints.join(found, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("__id"), F.col("h").alias("__h"))).alias("kept"))
+    # a text is moved once, by the id and text that the join and the window share
+    rows = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)),
+                             "__h": F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))})
+    rows = rows.join(kept.select("kept.*"), ["__id", "__h"], "left_semi")
+    n = F.row_number().over(Window.partitionBy("__id", "__h").orderBy(F.hash(*docs.columns)))
+    return rows.withColumn("__n", n).filter("__n = 1").select(*docs.columns)

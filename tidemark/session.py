@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -56,6 +58,7 @@ def get_session(master: str | None = None, app: str = "tidemark",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -72,8 +75,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is None:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
-            current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", current)
+            raise RuntimeError("name a shared folder in spark.checkpoint.dir")
         return current
     current = sc.getCheckpointDir()
     if not current:
@@ -81,12 +83,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if current:
             sc.setCheckpointDir(current)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("name a shared folder in spark.checkpoint.dir")
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir()
     return current
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application, so that
+    tasks can import it from whatever folder they run in."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemark_shipped", False):
+        return
+    top = pathlib.Path(__file__).resolve().parent
+    path = pathlib.Path(tempfile.mkdtemp(prefix="tidemark-package-")) / "tidemark.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(top.rglob("*.py")):
+            archive.write(file, file.relative_to(top.parent))
+    sc.addPyFile(str(path))                # Spark's own file server hands it out
+    sc._tidemark_shipped = True
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -25,7 +25,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.digest import sha1_hex
-from tidemark.operators.partitioning import spread
 
 NEW, CHANGED, UNCHANGED = "new", "changed", "unchanged"
 DEFAULT_BUCKET_SPAN = 1 << 20
@@ -34,7 +33,7 @@ DEFAULT_BUCKET_SPAN = 1 << 20
 def add_fingerprints(df: DataFrame, url: str = "url", body: str = "body",
                      page_col: str = "page_uid", digest_col: str = "data_uid") -> DataFrame:
     """H1: SHA-1 hex of the url (page identity) and of the body (content)."""
-    return spread(df).withColumn(page_col, sha1_hex(url)).withColumn(digest_col, sha1_hex(body))
+    return df.withColumn(page_col, sha1_hex(url)).withColumn(digest_col, sha1_hex(body))
 
 
 def latest_by_key(df: DataFrame, keys: list[str] | str, order: str,
@@ -58,9 +57,8 @@ def change_status(captures: DataFrame, page: str = "page_uid", digest: str = "da
     """E2 + C6: add ``prev_digest`` and ``status`` (new / changed / unchanged).
 
     ``prior_state`` holds (page, digest) of the latest logged capture per page
-    from earlier runs; it seeds the first capture of each page.  Digests are
-    never NULL (bodies are validated before hashing), so a NULL previous
-    digest means the page was never seen.
+    from earlier runs; it seeds the first capture of each page.  A page is new
+    only where no capture came before; a NULL digest (a NULL body) is one of its own.
     """
     cols = captures.columns
     cur = captures.withColumn("_prior", F.lit(False))
@@ -77,22 +75,23 @@ def change_status(captures: DataFrame, page: str = "page_uid", digest: str = "da
     cur = cur.filter(F.col(page).isNotNull() & F.col("_bucket").isNotNull())
 
     in_bucket = Window.partitionBy(page, "_bucket").orderBy(order)
-    cur = cur.withColumn("_prev", F.lag(digest).over(in_bucket))
+    seen = F.struct(F.col(digest).alias("digest"))     # NULL only where no capture came before
+    cur = cur.withColumn("_prev", F.lag(seen).over(in_bucket))
 
     # last digest per (page, bucket): an aggregation that combines map-side,
     # so it shuffles one row per bucket and map task, not the captures; the
     # carry is the last digest of the page's previous non-empty bucket
-    summary = cur.groupBy(page, "_bucket").agg(F.max_by(digest, order).alias("_last"))
+    summary = cur.groupBy(page, "_bucket").agg(F.max_by(seen, F.col(order)).alias("_last"))
     by_bucket = Window.partitionBy(page).orderBy("_bucket")
     summary = summary.select(page, "_bucket", F.lag("_last").over(by_bucket).alias("_carry"))
 
     out = cur.join(summary, [page, "_bucket"], "left")
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
     status = (F.when(prev.isNull(), F.lit(NEW))
-               .when(prev == F.col(digest), F.lit(UNCHANGED))
+               .when(prev["digest"].eqNullSafe(F.col(digest)), F.lit(UNCHANGED))
                .otherwise(F.lit(CHANGED)))
     return (out.filter(~F.col("_prior"))
-               .select(*[F.col(c) for c in cols], prev.alias("prev_digest"),
+               .select(*[F.col(c) for c in cols], prev["digest"].alias("prev_digest"),
                        status.alias("status")))
 
 

@@ -90,10 +90,13 @@ def assign_levels(search_links: DataFrame, cars: DataFrame, headlines: DataFrame
 
 
 def reported_totals(search_rows: DataFrame, level: str = "level_id", page: str = "page",
-                    count: str = "reported_count", page_size: int = 100) -> DataFrame:
+                    count: str = "reported_count", page_size: int = 100,
+                    seq: str | None = None) -> DataFrame:
     """D1 + H9: per level the ``Count`` reported on its first page and the
-    page count; a level whose first page reports nothing counts 0."""
-    first = search_rows.groupBy(level).agg(F.min_by(count, page).alias("_c"))
+    page count; a level whose first page reports nothing counts 0.  Of several
+    captures of that page, the first by ``seq`` counts."""
+    by = F.struct(F.col(page), F.col(seq)) if seq else F.col(page)
+    first = search_rows.groupBy(level).agg(F.min_by(count, by).alias("_c"))
     c = F.coalesce(F.col("_c"), F.lit(0))
     return first.select(level, c.alias(count), page_count(c, page_size).alias("n_pages"))
 

@@ -18,7 +18,6 @@ from typing import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.partitioning import spread
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
         "param", "source", "track", "wbr"}
@@ -251,7 +250,7 @@ def _run_rule(df: DataFrame, keys: list[str], body: str, rule: Callable[[Node],
     src = df.select(*keys, body)
     if prefilter is not None:
         src = src.filter(prefilter)
-    return spread(src).mapInPandas(per_batch, schema)
+    return src.mapInPandas(per_batch, schema)
 
 
 def _has_tag(body: str, tag: str):

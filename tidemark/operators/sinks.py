@@ -96,7 +96,8 @@ def insert_if_absent(target: DataFrame | None, source: DataFrame, keys: list[str
     first = first_by_key(source, keys, order)
     if target is None:
         return first
-    existing = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+    # once each, combined map-side: a key that fills the target is one row here
+    existing = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys]).distinct()
     cond = [F.col(k) == F.col(f"_t_{k}") for k in keys]
     return first.join(existing, cond, "left_anti")
 

@@ -106,9 +106,7 @@ ORACLE_SQL = {
     "capture_status": f"SELECT event_id, page_uid, data_uid, status FROM ({_STATUS})",
     "log_delta": f"SELECT event_id, page_uid, data_uid FROM ({_STATUS}) WHERE status <> 'unchanged'",
     "resumed_log_delta": f"""
-        SELECT event_id, page_uid, data_uid FROM ({_STATUS})
-        WHERE status <> 'unchanged'
-          AND event_id >= (SELECT (min(event_id) + max(event_id)) // 2 FROM events)""",
+        SELECT event_id, page_uid, data_uid FROM ({_STATUS}) WHERE status <> 'unchanged'""",
     "fetch_decision": f"""
         SELECT event_id, kind, status,
                CASE WHEN status <> 'unchanged' THEN 'emit'

@@ -16,7 +16,6 @@ from tidemark.config import DEFAULT_SITE
 from tidemark.functions.digest import sha1_hex
 from tidemark.functions.regex import regex_matches
 from tidemark.functions.urls import from_template, url_host, host_allowed
-from tidemark.operators.partitioning import spread
 from tidemark.operators import change, extract, frontier as fr, levels, lineage, markup, sinks, spec
 from tidemark.schemas import VERSION, ColumnRule
 from tidemark.sources.dimensions import spec_dictionary
@@ -72,13 +71,15 @@ def q_resumed_log_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = ids.agg(F.expr("(min(event_id) + max(event_id)) div 2")).first()[0]
     if cut is None:
         return spark.createDataFrame([], "event_id long, page_uid string, data_uid string")
-    first_log = change.log_delta(change.change_status(caps.filter(F.col("capture_seq") < cut)))
-    # the first run's state is a stored table when a run resumes; here it is
+    # the first run's log is a stored table when a run resumes; here it is
     # checkpointed so the second run reads it instead of recomputing run one
-    state = change.compact_state(first_log).checkpoint(eager=True)
-    second = change.change_status(caps.filter(F.col("capture_seq") >= cut), prior_state=state)
-    return change.log_delta(second).select(
-        F.col("capture_seq").alias("event_id"), "page_uid", "data_uid")
+    log = ["capture_seq", "page_uid", "data_uid"]
+    first_log = change.log_delta(change.change_status(caps.filter(F.col("capture_seq") < cut)),
+                                 keep=log).checkpoint(eager=True)
+    second = change.change_status(caps.filter(F.col("capture_seq") >= cut),
+                                  prior_state=change.compact_state(first_log))
+    return first_log.unionByName(change.log_delta(second, keep=log)).withColumnRenamed(
+        "capture_seq", "event_id")
 
 
 def q_fetch_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,7 +403,7 @@ def _spec_source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label rows per order, in page order, as the tokeniser would emit them
     (labels still end with their colon).  Status P orders list only an
     unknown label and an empty one, so their document is '{}'."""
-    o = spread(read_table(spark, sf_dir, "orders"))
+    o = read_table(spark, sf_dir, "orders")
     empty = F.array().cast("array<string>")
     no_col = F.array().cast("array<struct<title:string,style:string>>")
 

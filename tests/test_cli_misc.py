@@ -4,19 +4,47 @@ import json
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.partitioning import spread
 from tidemark.session import shared_path
 from tidemark.sources.captures import CAPTURE_SCHEMA
 
 from test_crawl_run import _captures
 
 
-def test_spread_only_small_inputs(spark):
-    n = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == n
-    many = spark.range(1000).repartition(n * 2)
-    assert spread(many) is many
+def test_building_starts_no_job(spark):
+    from tidemark.operators import change
+    tracker = spark.sparkContext.statusTracker()
+    grouped = spark.range(100).selectExpr("id % 7 AS id").groupBy("id").count().selectExpr(
+        "cast(id AS string) AS url", "cast(count AS string) AS body")
+    before = len(tracker.getJobIdsForGroup(None))
+    change.add_fingerprints(grouped)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_unreadable_target_fails(spark):
+    import pytest
+    from tidemark.plans.crawl_run import _earlier
+    root = shared_path(spark, "t-unreadable")
+    assert _earlier(spark, f"{root}/none", 1) is None
+    spark.createDataFrame([("x",)], "value string").write.text(f"{root}/text")
+    with pytest.raises(Exception):
+        _earlier(spark, f"{root}/text", 1)
+
+
+def test_null_digest_keeps_a_page_seen(spark):
+    from tidemark.operators import change
+    df = spark.createDataFrame([(1, "p", "A"), (2, "p", None), (3, "p", "A")],
+                               "capture_seq long, page_uid string, data_uid string")
+    got = {r.capture_seq: r.status for r in change.change_status(df).collect()}
+    assert got == {1: "new", 2: "changed", 3: "changed"}
+
+
+def test_first_capture_of_the_first_page_counts(spark):
+    from tidemark.operators import levels
+    rows = [(1, 1, 9, 40), (1, 1, 3, 90), (1, 2, 1, 7)]
+    for some in (rows, rows[::-1]):
+        df = spark.createDataFrame(some, "level_id int, page int, capture_seq long, reported_count int")
+        [r] = levels.reported_totals(df, seq="capture_seq").collect()
+        assert r.reported_count == 90
 
 
 def test_cli_run(spark, capsys):

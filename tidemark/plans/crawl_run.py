@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.config import DEFAULT_SITE, SiteTemplates
@@ -37,7 +38,9 @@ def _earlier(spark: SparkSession, path: str, run_id: int) -> DataFrame | None:
     None when nothing was written yet."""
     try:
         df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - a missing folder means an empty target
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return df.filter(F.col("run_id") < run_id).drop("run_id")
 
@@ -116,7 +119,7 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
         level_caps = emitted(captures.filter(F.col("kind").isin("level_search", "car_page"))
                              .select("capture_seq", "kind", "url", "parent_id", "body"))
         lr = level_assignment.assign(level_caps, cars_now, level_dim, existing=links)
-        added_links = lr.added.select("car_third_id", F.col("level_id").cast("smallint"))
+        added_links = lr.added.select("car_third_id", F.col("level_id").try_cast("smallint"))
         sinks.append_rows(added_links, p.table("car2level"), run_id)
         out["car2level"] = added_links
         out["level_totals"] = lr.totals

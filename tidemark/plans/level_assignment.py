@@ -22,7 +22,7 @@ class LevelResult:
 
 def search_result_rows(search_captures: DataFrame) -> DataFrame:
     caps = search_captures.filter(F.col("kind") == "level_search").select(
-        "capture_seq", F.col("parent_id").cast("int").alias("level_id"),
+        "capture_seq", F.col("parent_id").try_cast("int").alias("level_id"),
         F.expr(r"try_cast(regexp_extract(url, '[?&]page=([0-9]+)', 1) AS INT)").alias("page"),
         "body")
     return extract.search_rows(caps)
@@ -32,14 +32,21 @@ def assign(captures: DataFrame, cars: DataFrame, level_dim: DataFrame,
            existing: DataFrame | None = None,
            synonyms: dict[str, str] | None = None) -> LevelResult:
     rows = search_result_rows(captures)
-    links = rows.filter(F.col("car_third_id").isNotNull()).select(
+    links = rows.filter(F.col("car_third_id").isNotNull() & F.col("level_id").isNotNull()).select(
         "car_third_id", "level_id", "capture_seq", "pos")
     car_pages = captures.filter(F.col("kind") == "car_page").select(
-        "capture_seq", F.col("parent_id").cast("int").alias("car_third_id"), "body")
+        "capture_seq", F.col("parent_id").try_cast("int").alias("car_third_id"), "body")
+    # only pages of cars without a level are tokenised
+    linked = links.select("car_third_id")
+    if existing is not None:
+        linked = linked.unionByName(existing.select("car_third_id"))
+    open_cars = levels.unassigned(cars, linked).select(F.col("third_id").alias("car_third_id"))
+    car_pages = car_pages.join(open_cars, "car_third_id", "left_semi")
     heads = markup.headline_text(car_pages, markup.CAR_LEVEL_PATH,
                                  key=["capture_seq", "car_third_id"])
     added = levels.assign_levels(links, cars, heads, level_dim, existing=existing,
                                  synonyms=synonyms)
-    totals = levels.reported_totals(rows, level="level_id", page="page")
+    totals = levels.reported_totals(rows.filter(F.col("level_id").isNotNull()), level="level_id", page="page",
+                                    seq="capture_seq")
     total = levels.grand_total(totals, added=added.filter(F.col("branch") == 1))
     return LevelResult(added, totals, total)

@@ -39,7 +39,7 @@ def level_dimension(spark: SparkSession, source: str | DataFrame,
     else:
         df = spark.table(source)
     return df.select(
-        F.col("id").cast("long").alias("id"),
-        F.col("level_id").cast("int").alias("level_id"),
+        F.col("id").try_cast("long").alias("id"),
+        F.col("level_id").try_cast("int").alias("level_id"),
         F.col("level_name").cast("string").alias("level_name"),
-        F.coalesce(F.col("parent_level_id").cast("int"), F.lit(0)).alias("parent_level_id"))
+        F.coalesce(F.col("parent_level_id").try_cast("int"), F.lit(0)).alias("parent_level_id"))

@@ -403,7 +403,7 @@ def _spec_source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label rows per order, in page order, as the tokeniser would emit them
     (labels still end with their colon).  Status P orders list only an
     unknown label and an empty one, so their document is '{}'."""
-    o = read_table(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders").repartition("o_orderkey")
     empty = F.array().cast("array<string>")
     no_col = F.array().cast("array<struct<title:string,style:string>>")
 
@@ -564,7 +564,9 @@ def q_spec_sheet_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2 end to end: spec sheet HTML -> tokeniser rule (J1) -> dictionary
     (C4) -> normalised values (H11-H13, H17) -> documents (D3, H15)."""
     from tidemark.plans import spec_documents
-    caps = _spec_page_html(read_table(spark, sf_dir, "orders"))
+    # dealt by key before the pages are made: the table may be one split
+    caps = _spec_page_html(read_table(spark, sf_dir, "orders").repartition(
+        spark.sparkContext.defaultParallelism, "o_orderkey"))
     return spec_documents.documents(caps, spec_dictionary(spark))
 
 

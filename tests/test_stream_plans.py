@@ -188,3 +188,41 @@ def test_snapshot_buckets_pruned(spark):
     assert "page_bucket" not in _read_snapshot(spark, sink, 1, one).columns
     p = _plan(_read_snapshot(spark, sink, 1, one))
     assert "PartitionFilters: [isnotnull(page_bucket" in p
+
+
+LATE = [(10, "seed", "p", "A", None), (5, "seed", "p", "B", None), (11, "seed", "p", "B", None)]
+
+
+def test_late_captures_follow_arrival(spark):
+    from tidemark.streaming.refresh import RefreshSink, refresh_batch
+    rows = [spark.createDataFrame([r], CAP) for r in LATE]
+    # snapshots off, after every batch, and in between
+    for every in (10, 1, 2):
+        sink = RefreshSink(shared_path(spark, f"t-late-{every}"), compact_every=every, state_buckets=4)
+        for i, df in enumerate(rows):
+            refresh_batch(df, i, sink)
+        assert sorted(r.capture_seq for r in spark.read.parquet(sink.log).collect()) == [5, 10]
+    state = None
+    logged = []
+    for df in rows:
+        res = rf.refresh(df, prior_state=state)
+        logged += [r.capture_seq for r in res.log_delta.collect()]
+        state = res.next_state.checkpoint()
+    assert logged == [10, 5]
+
+
+def test_captures_that_cannot_be_compared(spark):
+    from tidemark.streaming.refresh import RefreshSink, refresh_batch, rejected_captures
+    df = spark.createDataFrame(
+        [(1, "seed", "p", "A", None), (2, "seed", "p", None, None), (3, "seed", "p", "A", None),
+         (4, "seed", None, "A", None), (None, "seed", "p", "B", None)], CAP)
+    want = [(None, "null:capture_seq"), (2, "null:body"), (4, "null:url")]
+    key = lambda r: (r[0] is not None, r[0])
+    res = rf.refresh(df)
+    assert {r.capture_seq: r.status for r in res.decisions.collect()} == {1: "new", 3: "unchanged"}
+    assert sorted(map(tuple, res.quarantine.collect()), key=key) == want
+    sink = RefreshSink(shared_path(spark, "t-rejected"))
+    refresh_batch(df, 0, sink)
+    assert [r.capture_seq for r in spark.read.parquet(sink.log).collect()] == [1]
+    got = rejected_captures(spark, sink).select("capture_seq", "reason").collect()
+    assert sorted(map(tuple, got), key=key) == want

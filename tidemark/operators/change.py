@@ -56,22 +56,14 @@ def change_status(captures: DataFrame, page: str = "page_uid", digest: str = "da
                   bucket_span: int = DEFAULT_BUCKET_SPAN) -> DataFrame:
     """E2 + C6: add ``prev_digest`` and ``status`` (new / changed / unchanged).
 
-    ``prior_state`` holds (page, digest) of the latest logged capture per page
-    from earlier runs; it seeds the first capture of each page.  A page is new
-    only where no capture came before; a NULL digest (a NULL body) is one of its own.
+    ``prior_state`` holds (page, digest), one row per page: the latest logged
+    capture of earlier runs, which comes before every capture here whatever its
+    order value.  A page is new only where no capture came before; a NULL digest
+    (a NULL body) is one of its own.  Captures without a page or an order have no
+    place in a history and are left out: callers quarantine them (``rejected``).
     """
     cols = captures.columns
-    cur = captures.withColumn("_prior", F.lit(False))
-    if prior_state is not None:
-        # prior rows sort before every capture, whatever the order values are
-        seed = prior_state.select(
-            F.col(page), F.col(digest), F.lit(-(1 << 63)).cast("long").alias(order),
-            F.lit(True).alias("_prior"))
-        # prior rows only matter for pages captured now
-        seed = seed.join(captures.select(page).distinct(), page, "left_semi")
-        cur = cur.unionByName(seed, allowMissingColumns=True)
-    cur = cur.withColumn("_bucket", F.floor(F.col(order) / F.lit(bucket_span)).cast("long"))
-    # a capture has a page and an order
+    cur = captures.withColumn("_bucket", F.floor(F.col(order) / F.lit(bucket_span)).cast("long"))
     cur = cur.filter(F.col(page).isNotNull() & F.col("_bucket").isNotNull())
 
     in_bucket = Window.partitionBy(page, "_bucket").orderBy(order)
@@ -84,15 +76,32 @@ def change_status(captures: DataFrame, page: str = "page_uid", digest: str = "da
     summary = cur.groupBy(page, "_bucket").agg(F.max_by(seen, F.col(order)).alias("_last"))
     by_bucket = Window.partitionBy(page).orderBy("_bucket")
     summary = summary.select(page, "_bucket", F.lag("_last").over(by_bucket).alias("_carry"))
+    if prior_state is not None:
+        # the first bucket of a page carries what earlier runs logged: a join with
+        # one row per page and bucket, not with the captures
+        prior = prior_state.select(page, F.struct(F.col(digest).alias("digest")).alias("_prior"))
+        summary = summary.join(prior, page, "left").select(
+            page, "_bucket", F.coalesce("_carry", "_prior").alias("_carry"))
 
     out = cur.join(summary, [page, "_bucket"], "left")
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
     status = (F.when(prev.isNull(), F.lit(NEW))
                .when(prev["digest"].eqNullSafe(F.col(digest)), F.lit(UNCHANGED))
                .otherwise(F.lit(CHANGED)))
-    return (out.filter(~F.col("_prior"))
-               .select(*[F.col(c) for c in cols], prev["digest"].alias("prev_digest"),
-                       status.alias("status")))
+    return out.select(*[F.col(c) for c in cols], prev["digest"].alias("prev_digest"),
+                      status.alias("status"))
+
+
+def rejected(captures: DataFrame, page: str = "page_uid", digest: str = "data_uid",
+             order: str = "capture_seq") -> tuple[DataFrame, DataFrame]:
+    """A8 for captures: (those with url, body and order, the others with a ``reason``).
+    The digest of a NULL url or body is NULL, so fingerprints show what is missing."""
+    reason = F.concat_ws(",", F.when(F.col(page).isNull(), F.lit("null:url")),
+                         F.when(F.col(digest).isNull(), F.lit("null:body")),
+                         F.when(F.col(order).isNull(), F.lit("null:capture_seq")))
+    marked = captures.withColumn("reason", reason)
+    return (marked.filter(F.col("reason") == "").drop("reason"),
+            marked.filter(F.col("reason") != ""))
 
 
 def log_delta(status_df: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -102,9 +111,15 @@ def log_delta(status_df: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def compact_state(log: DataFrame, page: str = "page_uid", digest: str = "data_uid",
-                  order: str = "capture_seq") -> DataFrame:
-    """C6 state: latest logged digest per page (one row per page)."""
-    return latest_by_key(log.select(page, digest, order), page, order, [order, digest])
+                  order: str = "capture_seq", arrival: str | None = None) -> DataFrame:
+    """C6 state: latest logged digest per page (one row per page).
+
+    ``arrival`` numbers the run or batch that logged a row.  A later run logs
+    later, also where its captures bear smaller order values, so it comes first.
+    """
+    by = F.struct(*[F.col(c) for c in ([arrival] if arrival else []) + [order]])
+    pick = F.max_by(F.struct(order, digest), by)
+    return log.groupBy(page).agg(pick.alias("_latest")).select(page, "_latest.*")
 
 
 @dataclass(frozen=True)
@@ -130,6 +145,12 @@ CRAWL_POLICY: dict[str, KindPolicy] = {
 OTHER_POLICY = KindPolicy(True, False, False, False)
 
 
+def is_gated(kind: Column | str = "kind", policy: dict[str, KindPolicy] | None = None) -> Column:
+    """Whether captures of the kind consult the change log at all."""
+    k = F.col(kind) if isinstance(kind, str) else kind
+    return _policy_col(k, policy or CRAWL_POLICY, "gated")
+
+
 def _policy_col(kind: Column, policy: dict[str, KindPolicy], field: str) -> Column:
     m = F.create_map(*[x for k, p in policy.items()
                        for x in (F.lit(k), F.lit(getattr(p, field)))])

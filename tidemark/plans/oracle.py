@@ -105,6 +105,14 @@ ORACLE_SQL = {
     "fingerprints": "SELECT page_id, sha1(url) AS page_uid, sha1(html) AS data_uid FROM pages",
     "capture_status": f"SELECT event_id, page_uid, data_uid, status FROM ({_STATUS})",
     "log_delta": f"SELECT event_id, page_uid, data_uid FROM ({_STATUS}) WHERE status <> 'unchanged'",
+    "late_capture_log": f"""
+        WITH r AS (SELECT min(event_id) AS lo, (max(event_id) - min(event_id)) // 3 + 1 AS step FROM events),
+             c AS (SELECT e.*, CASE (event_id - lo) // step WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 2 END AS batch_id
+                   FROM ({_EVENT_CAPTURES}) e, r),
+             s AS (SELECT *, lag(data_uid) OVER (PARTITION BY page_uid ORDER BY batch_id, event_id) AS prev
+                   FROM c)
+        SELECT CAST(batch_id AS INTEGER) AS batch_id, event_id, page_uid, data_uid
+        FROM s WHERE prev IS NULL OR prev <> data_uid""",
     "resumed_log_delta": f"""
         SELECT event_id, page_uid, data_uid FROM ({_STATUS}) WHERE status <> 'unchanged'""",
     "fetch_decision": f"""

@@ -1,7 +1,8 @@
 """Incremental refresh -- captures vs the change log.
 
-Outputs decisions per capture (no bodies), the log delta and the next state.
-``gate`` keeps the captures or entity rows whose items are emitted.
+Outputs decisions per capture (no bodies), the log delta, the next state and
+the captures that cannot be compared, for quarantine.  ``gate`` keeps the
+captures or entity rows whose items are emitted.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ class RefreshResult:
     decisions: DataFrame     # capture_seq, kind, url, page_uid, data_uid, status, decision, ...
     log_delta: DataFrame     # rows to append to the change log
     next_state: DataFrame    # latest logged digest per page after this run
+    quarantine: DataFrame    # capture_seq, reason: captures without url, body or order
 
 
 def refresh(captures: DataFrame, prior_state: DataFrame | None = None,
@@ -30,19 +32,19 @@ def refresh(captures: DataFrame, prior_state: DataFrame | None = None,
     fp = change.add_fingerprints(captures.select("capture_seq", "kind", "url", "body")).drop("body")
     if materialize:
         fp = fp.checkpoint(eager=True)
+    fp, bad = change.rejected(fp)
     status = change.change_status(fp, prior_state=prior_state)
     decisions = change.fetch_decision(status, policy=policy)
-    gated = decisions.filter(
-        F.coalesce(F.element_at(F.create_map(*[x for k, p in (policy or change.CRAWL_POLICY).items()
-                                               for x in (F.lit(k), F.lit(p.gated))]),
-                                F.col("kind")), F.lit(True)))
-    delta = change.log_delta(gated).select(
+    delta = change.log_delta(decisions.filter(change.is_gated(policy=policy))).select(
         F.lit(None).cast("string").alias("page_name"), "page_uid",
         F.col("url").alias("page_url"), "data_uid", "capture_seq")
-    fresh = change.compact_state(delta)
-    nxt = fresh if prior_state is None else change.compact_state(
-        prior_state.select("page_uid", "data_uid", "capture_seq").unionByName(fresh))
-    return RefreshResult(decisions, delta, nxt)
+    # what this run logs comes after all that earlier runs logged, late captures included
+    state = ["page_uid", "data_uid", "capture_seq"]
+    logged = delta.select(*state, F.lit(1).alias("_run"))
+    if prior_state is not None:
+        logged = prior_state.select(*state, F.lit(0).alias("_run")).unionByName(logged)
+    nxt = change.compact_state(logged, arrival="_run")
+    return RefreshResult(decisions, delta, nxt, bad.select("capture_seq", "reason"))
 
 
 def gate(rows: DataFrame, decisions: DataFrame, flag: str = "emit_items",

@@ -627,6 +627,30 @@ def q_stream_log_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select(F.col("capture_seq").alias("event_id"), "page_uid", "data_uid")
 
 
+LATE_ORDER = (1, 2, 0)
+
+
+def q_late_capture_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1 + C6 with late captures: the three parts of the id range arrive middle
+    first, then last, then first.  A capture is compared with what arrived before
+    it, so the log follows (batch, id) order."""
+    from tidemark.session import shared_path
+    from tidemark.streaming.refresh import RefreshSink, refresh_batch
+
+    sink = RefreshSink(shared_path(spark, "late-capture-log"))
+    caps = event_captures(spark, sf_dir)
+    lo, hi = caps.agg(F.min("capture_seq"), F.max("capture_seq")).first()
+    if lo is None:                      # no captures: an empty log
+        return spark.createDataFrame([], "batch_id int, event_id long, page_uid string, data_uid string")
+    step = (hi - lo) // len(LATE_ORDER) + 1
+    for batch_id, i in enumerate(LATE_ORDER):
+        part = caps.filter((F.col("capture_seq") >= lo + i * step) &
+                           (F.col("capture_seq") < lo + (i + 1) * step))
+        refresh_batch(part, batch_id, sink)
+    return spark.read.parquet(sink.log).select(
+        "batch_id", F.col("capture_seq").alias("event_id"), "page_uid", "data_uid")
+
+
 H1_PATH = [markup.Step("h1")]
 
 
@@ -670,6 +694,7 @@ QUERIES = {
     "headline_text": q_headline_text,
     "spec_rows": q_spec_rows,
     "stream_log_delta": q_stream_log_delta,
+    "late_capture_log": q_late_capture_log,
     "level_pages": q_level_pages,
     "refresh_log": q_refresh_log,
     "fetch_plan": q_fetch_plan,

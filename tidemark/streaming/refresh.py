@@ -16,8 +16,10 @@
   the last digest per page lives in the state store as a value state; rows of
   a page within a micro-batch are processed in ``capture_seq`` order.
 
-Both compare captures in arrival order across batches, as the crawl does;
-batch and stream agree when arrival order is ``capture_seq`` order.
+Both compare captures in arrival order, as the crawl does: by batch, and by
+``capture_seq`` within one.  A late capture (a smaller ``capture_seq`` in a
+later batch) is compared with what the batches before it logged.  Captures
+without url, body or order are not compared; ``rejected_captures`` lists them.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from dataclasses import dataclass
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import change
@@ -76,7 +78,6 @@ class RefreshSink:
 
 def page_bucket(sink: RefreshSink):
     """Hash bucket of a page in the snapshot layout."""
-    from pyspark.sql import functions as F
     return F.pmod(F.xxhash64("page_uid"), F.lit(sink.state_buckets)).cast("int")
 
 
@@ -85,7 +86,6 @@ def _read_snapshot(spark: SparkSession, sink: RefreshSink, snap: int,
     """A snapshot, reading only the buckets the batch's pages fall in (the
     bucket list is bounded by ``state_buckets``; partition pruning skips the
     other folders)."""
-    from pyspark.sql import functions as F
     df = spark.read.parquet(sink.state_of(snap))
     if pages is not None:
         buckets = [r[0] for r in pages.select(page_bucket(sink).alias("b")).distinct().collect()]
@@ -100,13 +100,15 @@ def _merged_state(spark: SparkSession, sink: RefreshSink, batch_id: int,
     every part is first restricted to those pages (a semi join), so only
     the state of pages in the batch is shuffled and compacted."""
     snap = sink.last_snapshot_before(batch_id)
+    # every part bears the number of the batch that logged it
     parts: list[DataFrame] = []
     if snap is not None:
-        parts.append(_read_snapshot(spark, sink, snap, pages))
+        parts.append(_read_snapshot(spark, sink, snap, pages).withColumn("_batch", F.lit(snap)))
     elif sink.initial_state:
-        parts.append(spark.read.schema(STATE_SCHEMA).parquet(sink.initial_state))
+        parts.append(spark.read.schema(STATE_SCHEMA).parquet(sink.initial_state)
+                     .withColumn("_batch", F.lit(-1)))
     first_delta = (snap + 1) if snap is not None else 0
-    deltas = [spark.read.schema(STATE_SCHEMA).parquet(sink.delta_of(b))
+    deltas = [spark.read.schema(STATE_SCHEMA).parquet(sink.delta_of(b)).withColumn("_batch", F.lit(b))
               for b in range(first_delta, upto)]
     parts += deltas
     if not parts:
@@ -117,8 +119,8 @@ def _merged_state(spark: SparkSession, sink: RefreshSink, batch_id: int,
     for p in parts[1:]:
         merged = merged.unionByName(p)
     # a snapshot is one row per page; a log delta may hold several rows of a
-    # page, so anything with deltas in it is compacted to the latest row
-    return change.compact_state(merged) if deltas else merged
+    # page, so anything with deltas in it is compacted to the row logged last
+    return change.compact_state(merged, arrival="_batch") if deltas else merged.drop("_batch")
 
 
 def _prior_state(spark: SparkSession, sink: RefreshSink, batch_id: int,
@@ -135,17 +137,25 @@ def refresh_batch(batch: DataFrame, batch_id: int, sink: RefreshSink) -> None:
     # bodies are hashed once; the change window reads keys and digests only
     change.add_fingerprints(batch.select("capture_seq", "kind", "url", "body")).drop("body") \
         .write.mode("overwrite").parquet(sink.fingerprints_of(batch_id))
-    caps = spark.read.parquet(sink.fingerprints_of(batch_id))
+    caps, _ = change.rejected(spark.read.parquet(sink.fingerprints_of(batch_id)))
     prior = _prior_state(spark, sink, batch_id, caps.select("page_uid").distinct())
     status = change.change_status(caps, prior_state=prior)
     delta = change.log_delta(status).select(*LOG_COLUMNS)
     delta.write.mode("overwrite").parquet(sink.log_of(batch_id))
     if sink.is_snapshot(batch_id):
         snap = _merged_state(spark, sink, batch_id, batch_id + 1)
+        # one task for each bucket, so one file in each of its folders
         snap.select("page_uid", "capture_seq", "data_uid", page_bucket(sink).alias("page_bucket")) \
+            .repartition("page_bucket") \
             .write.mode("overwrite").partitionBy("page_bucket").parquet(sink.state_of(batch_id))
 
 
+def rejected_captures(spark: SparkSession, sink: RefreshSink) -> DataFrame:
+    """Captures of all batches that were not compared, with a reason."""
+    _, bad = change.rejected(spark.read.parquet(f"{sink.root}/fingerprints"))
+    return bad.select("batch_id", "capture_seq", "url", "reason")
+
+
 def start_refresh_stream(captures: DataFrame, sink: RefreshSink, checkpoint: str,
                          available_now: bool = True) -> StreamingQuery:
     """Run ``refresh_batch`` over a capture stream."""
@@ -174,13 +184,14 @@ def _processor_class():
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
             pdf = pd.concat(list(rows), ignore_index=True).sort_values("capture_seq")
-            prev = self.last.get()[0] if self.last.exists() else None
+            seen = self.last.exists()
+            prev = self.last.get()[0] if seen else None
             prevs, statuses = [], []
             for d in pdf["data_uid"]:
                 prevs.append(prev)
-                statuses.append(change.NEW if prev is None else
+                statuses.append(change.NEW if not seen else
                                 change.UNCHANGED if prev == d else change.CHANGED)
-                prev = d
+                seen, prev = True, d
             self.last.update((prev,))
             yield pd.DataFrame({"page_uid": key[0], "capture_seq": pdf["capture_seq"].values,
                                 "data_uid": pdf["data_uid"].values, "prev_digest": prevs,

@@ -88,11 +88,10 @@ def test_crawl_stream_equals_batch(spark):
         start_crawl_stream(read_captures(spark, f"{root}/in", stream=True), f"{root}/out",
                            f"{root}/ckpt", level_dim=dim).awaitTermination()
     batch = run_batch(spark, caps, f"{root}/batch", 0, None, level_dim=dim)
-    for t in ("brand", "car", "version", "version_attr"):
-        streamed = sorted(r[0] for r in spark.read.parquet(f"{root}/out/{t}").select(
-            spark.read.parquet(f"{root}/out/{t}").columns[0]).collect())
-        batched = sorted(r[0] for r in batch[t].select(batch[t].columns[0]).collect())
-        assert streamed == batched, t
+    for t in ("brand", "car", "version", "version_attr", "car2level", "change_log", "quarantine"):
+        stored = spark.read.parquet(f"{root}/out/{t}").drop("run_id", "created_time", "updated_time")
+        whole = spark.read.parquet(f"{root}/batch/{t}").select(*stored.columns)
+        assert sorted(map(repr, stored.collect())) == sorted(map(repr, whole.collect())), t
 
 
 def test_version_full_names(spark):
@@ -111,3 +110,32 @@ def test_run_quarantines_broken_list(spark):
     run_batch(spark, caps, root, 1)
     got = sorted((r.target, r.capture_seq, r.reason) for r in spark.read.parquet(f"{root}/quarantine").collect())
     assert got == [("capture", 1, "unparsable:car_list"), ("version", 2, "type:third_id")]
+
+
+def test_malformed_links_go_to_quarantine(spark):
+    root = shared_path(spark, "t-run-links")
+    dim = spark.createDataFrame(LEVELS, "id long, level_id int, level_name string, parent_level_id int")
+    url = "https://api.catalogue.example/levels/2/cars?page=1&size=100"
+    caps = spark.createDataFrame(
+        [(1, "level_search", url, SEARCH, "2"), (2, "level_search", url, SEARCH, "abc"),
+         (3, "level_search", url, '{"Count":1,"ResList":[{"SerialId":"x9"}]}', "2"),
+         (4, "level_search", url, "not json", "2"), (5, "level_search", url, SEARCH[:-3], "2"),
+         (6, "level_search", url, None, "2"), (7, "level_search", url, '{"ResList":[]}', "2"),
+         (8, "level_search", url, '{"Count":0,"ResList":[]}', "5"),
+         (9, "car_page", "u", _car_page("中型车第3名"), "?"), (10, "seed", "s", None, None)], CAP)
+    out = run_batch(spark, caps, root, 1, level_dim=dim)
+    assert [(r.car_third_id, r.level_id) for r in out["car2level"].collect()] == [(11, 2)]
+    got = sorted((r.capture_seq, r.target, r.reason) for r in spark.read.parquet(f"{root}/quarantine").collect())
+    assert got == [(2, "car2level", "type:level_id"), (3, "car2level", "type:car_third_id")] + \
+        [(i, "capture", "unparsable:level_search") for i in (4, 5, 6, 7)] + \
+        [(9, "car2level", "type:car_third_id"), (10, "capture", "null:body")]
+    # a broken page is not a page that reports nothing
+    assert {r.level_id: r.reported_count for r in out["level_totals"].collect()} == {2: 1, 5: 0}
+    start = {(r.kind, r.parent_id) for r in out["start"].collect()}
+    assert start == {("seed", None)} | {("level_search", str(r[1])) for r in LEVELS}
+
+
+def test_spec_page_line(spark):
+    root = shared_path(spark, "t-run-line")
+    out = run_batch(spark, _captures(spark, 0), root, 1)
+    assert "[车款配置] 甲 甲一 1.5L" in {r.line for r in out["audit"].collect()}

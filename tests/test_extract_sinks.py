@@ -1,6 +1,7 @@
 """Extraction (FIXTURES A.2-A.4, A.7) and sinks (A.10, A.11, A9 rules)."""
 
 
+from tidemark.config import DEFAULT_SITE
 from tidemark.operators import extract, sinks
 from tidemark.plans import catalogue
 from tidemark.schemas import ColumnRule
@@ -20,7 +21,7 @@ def test_seed_regex_and_edges(spark):
     got = [(r.pos, r.third_id, r.name, r.priority) for r in df.orderBy("pos").collect()]
     assert got == [(0, "9", "甲", 9999), (1, "10", "B B", 9998), (2, "11", "x y\r", 9997)]
     r0 = df.orderBy("pos").first()
-    assert r0.remote_logo.endswith("m_9_100.png")
+    assert r0.remote_logo == DEFAULT_SITE.brand_logo % "9"
 
 
 def test_seed_line_separators_and_empty_id(spark):

@@ -48,7 +48,9 @@ def main(argv: list[str] | None = None) -> int:
                         args.prior_run_id, level_dim=levels, manifest=manifest)
         plan_path = f"{args.out.rstrip('/')}/plan/run_id={args.run_id}"
         out["plan"].write.mode("overwrite").parquet(plan_path)
-        print(json.dumps({"run_id": args.run_id, "plan": plan_path}))
+        start_path = f"{args.out.rstrip('/')}/start"
+        out["start"].write.mode("overwrite").parquet(start_path)
+        print(json.dumps({"run_id": args.run_id, "plan": plan_path, "start": start_path}))
         return 0
     from tidemark.streaming.refresh import RefreshSink, start_refresh_stream
     stream = read_captures(spark, args.captures, stream=True,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, functions as F
 
 
 def from_template(template: str, *args: Column | str) -> Column:
-    """``template % args`` for '%s' / '%d' templates."""
+    """A format string ('%s'; '%1$s' where one argument is used again) over columns."""
     return F.format_string(template, *[F.col(a) if isinstance(a, str) else a for a in args])
 
 

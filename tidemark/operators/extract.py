@@ -20,7 +20,7 @@ BRAND_PATTERN = r'type:\"(.*?)\",id:(.*?),name:\"(.*?)\",url:\"(.*?)\",cur'
 BRAND_GROUPS = {"brand_type": 1, "third_id": 2, "name": 3, "brand_path": 4}
 CAR_FIELDS = ["id", "name", "showName", "urlSpell", "pid", "goid", "goname", "csSale"]
 VERSION_FIELDS = ["id", "name", "pid", "referprice", "salestate", "goname", "tt"]
-SEARCH_SCHEMA = "struct<Count: string, ResList: array<struct<SerialId: string>>>"
+SEARCH_SCHEMA = "Count string, ResList array<struct<SerialId: string>>"
 
 
 def string_struct(fields: list[str]) -> StructType:
@@ -83,14 +83,20 @@ def explode_json_array(df: DataFrame, body: str, schema: DataType | str, array_f
                        drop_body: bool = True, outer: bool = False) -> DataFrame:
     """H6: strict-shaped JSON object -> its array field, one row per element;
     other top-level fields listed in ``keep_fields`` are carried; ``outer``
-    keeps a document with an empty array as one row with a NULL element."""
+    keeps a document with an empty array as one row with a NULL element, and a
+    body that does not parse as one with ``parsed_ok`` false."""
     keep = [c for c in df.columns if not (drop_body and c == body)]
-    parsed = F.from_json(F.col(body), schema)
+    full = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    full = StructType(full.fields + [StructField("_bad", StringType())])
+    parsed = F.from_json(F.col(body), full, {"columnNameOfCorruptRecord": "_bad"})
     tmp = df.select(*keep, parsed.alias("_doc"))
-    extra = [F.col("_doc")[f].alias(f) for f in (keep_fields or [])]
+    ok = F.col("_doc").isNotNull() & F.col("_doc")["_bad"].isNull()
+    if not outer:
+        tmp = tmp.filter(ok)
+    extra = [F.when(ok, F.col("_doc")[f]).alias(f) for f in (keep_fields or [])]
     gen = F.posexplode_outer if outer else F.posexplode
-    src = tmp.filter(F.col("_doc").isNotNull()) if outer else tmp
-    return src.select(*keep, *extra, gen(F.col("_doc")[array_field]).alias(pos, element))
+    return tmp.select(*keep, *([ok.alias("parsed_ok")] if outer else []), *extra,
+                      gen(F.when(ok, F.col("_doc")[array_field])).alias(pos, element))
 
 
 def unparsable(df: DataFrame, body: str, schema: DataType, reason: str = "unparsable") -> DataFrame:
@@ -147,10 +153,12 @@ def version_rows(version_list_captures: DataFrame, body: str = "body",
 def search_rows(search_captures: DataFrame, body: str = "body") -> DataFrame:
     """Level search page -> (Count, SerialId) rows, typed with try_cast;
     a page with an empty list gives one row with a NULL car (its Count still
-    counts)."""
+    counts), one that does not parse or has no Count a row with ``parsed_ok``
+    false.  ``car_ref`` is the car's id as text."""
     m = explode_json_array(search_captures, body, SEARCH_SCHEMA, "ResList",
                            element="_row", keep_fields=["Count"], outer=True)
-    keep = [c for c in m.columns if c not in ("Count", "_row")]
-    return m.select(*keep,
+    keep = [c for c in m.columns if c not in ("Count", "_row", "parsed_ok")]
+    return m.select(*keep, (F.col("parsed_ok") & F.col("Count").isNotNull()).alias("parsed_ok"),
                     F.expr("try_cast(Count AS INT)").alias("reported_count"),
+                    F.col("_row.SerialId").alias("car_ref"),
                     F.expr("try_cast(_row.SerialId AS INT)").alias("car_third_id"))

@@ -17,8 +17,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.config import DEFAULT_SITE, SiteTemplates
-from tidemark.operators import extract, levels as lv, lineage, sinks
+from tidemark.operators import change, extract, levels as lv, lineage, sinks
 from tidemark.plans import catalogue, fetch_plan, level_assignment, refresh as rf, spec_documents
+from tidemark.schemas import CAR2LEVEL, CHANGE_LOG
 from tidemark.sources.dimensions import spec_dictionary
 
 TABLES = ("brand", "car", "version", "version_attr", "car2level", "change_log", "quarantine",
@@ -55,11 +56,13 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
               site: SiteTemplates = DEFAULT_SITE) -> dict[str, DataFrame]:
     """Process one batch of captures as run ``run_id``; ``prior_run_id`` names
     the run whose change state this one continues.  Returns the written
-    frames by name (and the fetch plan as ``plan``)."""
+    frames by name, the requests that follow from this batch as ``plan`` and
+    those that begin a crawl as ``start``."""
     p = RunPaths(out_root)
     _existing = lambda s, path: _earlier(s, path, run_id)
     state = _state(spark, p.table("state"), prior_run_id)
-    res = rf.refresh(captures, prior_state=state)
+    # kinds that never consult the change log are neither hashed nor compared
+    res = rf.refresh(captures.filter(change.is_gated()), prior_state=state)
     # one row per capture, used by every branch below: computed once
     decisions = res.decisions.select("capture_seq", "kind", "decision", "emit_items",
                                      "follow_children").checkpoint(eager=True)
@@ -83,7 +86,7 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
     v_rows = v_all.filter(F.col("pos").isNotNull()).drop("parsed_ok")
 
     out: dict[str, DataFrame] = {}
-    quarantine = []
+    quarantine = [res.quarantine.select(F.lit("capture").alias("target"), "capture_seq", "reason")]
     for name, fn in (("brand", lambda t: catalogue.store_brands(emitted(b_rows), manifest, t)),
                      ("car", lambda t: catalogue.store_cars(emitted(c_rows), t)),
                      ("version", lambda t: catalogue.store_versions(emitted(v_rows), t))):
@@ -104,7 +107,9 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
     # spec bodies), then tokenised; unchanged pages never reach Python
     spec_pages = emitted(captures.filter(F.col("kind") == "spec_page")
                          .select("capture_seq", "kind", "parent_id", "body"))
-    docs = spec_documents.documents(spec_pages, spec_dictionary(spark))
+    # one row a page, kept: the target rows, the rejects and the audit lines read it,
+    # so each page is tokenised once
+    docs = spec_documents.documents(spec_pages, spec_dictionary(spark)).checkpoint(eager=True)
     attrs, bad = spec_documents.store(docs, _existing(spark, p.table("version_attr")))
     sinks.append_rows(attrs.drop("capture_seq", "pos"), p.table("version_attr"), run_id)
     out["version_attr"] = attrs
@@ -116,10 +121,15 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
         if before is not None:
             cars_now = before.select("third_id", "en_name").unionByName(cars_now)
         links = _existing(spark, p.table("car2level"))
-        level_caps = emitted(captures.filter(F.col("kind").isin("level_search", "car_page"))
-                             .select("capture_seq", "kind", "url", "parent_id", "body"))
+        # never gated, so their bodies are not joined with the decisions
+        level_caps = captures.filter(F.col("kind").isin("level_search", "car_page")).select(
+            "capture_seq", "kind", "url", "parent_id", "body")
         lr = level_assignment.assign(level_caps, cars_now, level_dim, existing=links)
-        added_links = lr.added.select("car_third_id", F.col("level_id").try_cast("smallint"))
+        # kept: the target, the rejects and the plan read the links
+        added, bad = sinks.split_valid(sinks.conform(
+            lr.added.checkpoint(eager=True), CAR2LEVEL, carry=["capture_seq"]))
+        added_links = added.drop("capture_seq")
+        quarantine += [lr.quarantine, bad.select(F.lit("car2level").alias("target"), "capture_seq", "reason")]
         sinks.append_rows(added_links, p.table("car2level"), run_id)
         out["car2level"] = added_links
         out["level_totals"] = lr.totals
@@ -129,15 +139,17 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
             linked = links.select("car_third_id").unionByName(linked)
         out["unassigned"] = lv.unassigned(cars_now, linked)
 
+    log, bad = sinks.split_valid(sinks.conform(res.log_delta, CHANGE_LOG, carry=["capture_seq"]))
+    quarantine.append(bad.select(F.lit("change_log").alias("target"), "capture_seq", "reason"))
     q = quarantine[0]
     for x in quarantine[1:]:
         q = q.unionByName(x)
     sinks.append_rows(q, p.table("quarantine"), run_id)
 
     # log last, then the next state
-    sinks.append_rows(sinks.with_audit_columns(res.log_delta), p.table("change_log"), run_id)
+    sinks.append_rows(sinks.with_audit_columns(log), p.table("change_log"), run_id)
     res.next_state.write.mode("overwrite").parquet(f"{p.table('state')}/run_id={run_id}")
-    out["change_log"] = res.log_delta
+    out["change_log"] = log
 
     # B6/B7 + C5: the console lines as data -- one per entity of a non-dropped
     # capture, '+ ' when its items were emitted
@@ -153,12 +165,22 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
         lines.append(rows.join(shown, "capture_seq").select(
             "capture_seq", "pos",
             lineage.audit_label(lineage.kind_tag(F.lit(kind)), name, mark).alias("line")))
-    out["audit"] = lines[0].unionByName(lines[1]).unionByName(lines[2])
+    # spec pages are named through the stored version, car and brand; only new or
+    # changed ones reach this line, which bears no mark
+    full = lineage.version_full_names(*(spark.read.parquet(p.table(t)).filter(F.col("run_id") <= run_id)
+                                        for t in ("version", "car", "brand")))
+    named = docs.select("capture_seq", F.lit(0).alias("pos"),
+                        F.col("car_version_third_id").try_cast("int").alias("third_id")) \
+        .join(full.select("third_id", "full_name"), "third_id")
+    lines.append(named.select("capture_seq", "pos", lineage.audit_label(
+        lineage.kind_tag(F.lit("spec_page")), "full_name", F.lit(change.UNCHANGED)).alias("line")))
+    out["audit"] = lines[0].unionByName(lines[1]).unionByName(lines[2]).unionByName(lines[3])
 
     # children are followed per the decision table, also for flagged
     # (unchanged) list pages; positions restart in every response
     follow = decisions.filter(F.col("follow_children")).select("capture_seq")
     kids = lambda rows: rows.join(follow, "capture_seq", "left_semi")
+    out["start"] = fetch_plan.start_requests(spark, level_dim, site=site)
     out["plan"] = fetch_plan.next_requests(
         brands=kids(b_rows), cars=kids(c_rows), versions=kids(v_rows),
         search_totals=out.get("level_totals"), unassigned_cars=out.get("unassigned"),

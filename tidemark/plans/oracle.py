@@ -1,6 +1,5 @@
 """DuckDB SQL equal to each registered query (same column names)."""
 
-from tidemark.config import DEFAULT_SITE
 from tidemark.data.spec_labels import SPEC_LABELS
 
 
@@ -95,11 +94,14 @@ _STATUS = f"""
           FROM ({_EVENT_CAPTURES}))
 """
 
-_TPL_LOGO = DEFAULT_SITE.brand_logo
-_TPL_SEARCH = DEFAULT_SITE.level_search
-_TPL_SPEC = DEFAULT_SITE.spec_page
-_TPL_CARS = DEFAULT_SITE.car_list
-_TPL_VERSIONS = DEFAULT_SITE.version_list
+# spelled out here, so that a wrong template in the code shows
+_TPL_SEED = "https://api.catalogue.example/brands"
+_TPL_LOGO = "https://static.catalogue.example/logos/%s.png"
+_TPL_SEARCH = "https://api.catalogue.example/levels/%s/cars?page=%s&size=%s"
+_TPL_SPEC = "https://www.catalogue.example/versions/%s/specification"
+_TPL_CAR = "https://www.catalogue.example/cars/%s"
+_TPL_CARS = "https://api.catalogue.example/brands/%s/cars"
+_TPL_VERSIONS = "https://api.catalogue.example/cars/%s/versions"
 
 ORACLE_SQL = {
     "fingerprints": "SELECT page_id, sha1(url) AS page_uid, sha1(html) AS data_uid FROM pages",
@@ -330,7 +332,7 @@ ORACLE_SQL = {
     "refresh_log": f"SELECT event_id, page_uid, data_uid FROM ({_STATUS}) WHERE status <> 'unchanged'",
     "fetch_plan": f"""
         SELECT CAST(n_nationkey AS VARCHAR) AS parent_id, 'car_list' AS kind,
-               printf('{_TPL_CARS}', CAST(n_nationkey AS VARCHAR), CAST(n_nationkey AS VARCHAR)) AS url,
+               printf('{_TPL_CARS}', CAST(n_nationkey AS VARCHAR)) AS url,
                CAST(10000 - row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS INTEGER)
                    AS priority,
                CAST(n_regionkey AS BIGINT) AS capture_seq,
@@ -338,11 +340,81 @@ ORACLE_SQL = {
         FROM nation
         UNION ALL
         SELECT CAST(c_custkey AS VARCHAR), 'version_list',
-               printf('{_TPL_VERSIONS}', CAST(c_custkey AS VARCHAR), CAST(c_custkey AS VARCHAR)),
+               printf('{_TPL_VERSIONS}', CAST(c_custkey AS VARCHAR)),
                CAST(9000 - row_number() OVER (PARTITION BY c_nationkey, floor(c_custkey / 100)
                                               ORDER BY c_custkey) AS INTEGER),
                CAST(c_nationkey AS BIGINT) * 1000000 + CAST(floor(c_custkey / 100) AS BIGINT),
                CAST(row_number() OVER (PARTITION BY c_nationkey, floor(c_custkey / 100)
                                        ORDER BY c_custkey) - 1 AS INTEGER)
         FROM customer""",
+    "fetch_plan_full": f"""
+        WITH seg AS (SELECT r_regionkey + 1 AS level_id FROM region
+                     UNION ALL SELECT n_nationkey + 100 FROM nation),
+             tot AS (SELECT c_nationkey + 100 AS level_id, count(*) AS n FROM customer GROUP BY 1),
+             nxt AS (SELECT level_id, unnest(generate_series(2, CAST(ceil(n / 100) AS BIGINT))) AS page FROM tot)
+        SELECT CAST(NULL AS VARCHAR) AS parent_id, 'seed' AS kind, '{_TPL_SEED}' AS url,
+               CAST(0 AS INTEGER) AS priority, CAST(0 AS BIGINT) AS capture_seq, CAST(0 AS INTEGER) AS pos
+        UNION ALL
+        SELECT CAST(level_id AS VARCHAR), 'level_search',
+               printf('{_TPL_SEARCH}', CAST(level_id AS VARCHAR), '1', '100'), 0, 0, 1 FROM seg
+        UNION ALL
+        SELECT CAST(level_id AS VARCHAR), 'level_search',
+               printf('{_TPL_SEARCH}', CAST(level_id AS VARCHAR), CAST(page AS VARCHAR), '100'),
+               0, 0, CAST(page AS INTEGER) FROM nxt
+        UNION ALL
+        SELECT CAST(event_id AS VARCHAR), 'spec_page', printf('{_TPL_SPEC}', CAST(event_id AS VARCHAR)),
+               0, event_id, 0
+        FROM events WHERE event_type <> 'error'
+        UNION ALL
+        SELECT CAST(c_custkey AS VARCHAR), 'car_page', printf('{_TPL_CAR}', lower(c_name)), 0, 0, 0
+        FROM customer WHERE c_mktsegment <> 'HOUSEHOLD' AND rtrim(lower(c_name)) > ''
+          AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')""",
+    "catalogue_versions": """
+        WITH v AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)
+        SELECT CAST(event_id AS INTEGER) AS car_third_id, CAST(user_id AS INTEGER) AS third_id,
+               event_type AS name, CAST(round(value * 100) AS BIGINT) AS refer_price,
+               strftime(ts, '%Y') AS year_type, upper(event_type) AS sale_state, event_id AS capture_seq
+        FROM v WHERE rn = 1
+          AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = user_id AND c_mktsegment = 'BUILDING')""",
+    "version_attr_store": f"""
+        WITH {_SPEC_SRC},
+        last AS (SELECT *, row_number() OVER (PARTITION BY page_id, grp, item ORDER BY pos DESC) AS rn
+                 FROM joined),
+        inner_docs AS (SELECT page_id, grp,
+                              '{{' || string_agg(to_json(item) || ':' ||
+                                  CASE WHEN is_flag THEN '1' ELSE to_json(value) END, ',' ORDER BY item)
+                              || '}}' AS m
+                       FROM last WHERE rn = 1 GROUP BY page_id, grp),
+        docs AS (SELECT page_id, '{{' || string_agg(to_json(grp) || ':' || m, ',' ORDER BY grp) || '}}'
+                        AS content FROM inner_docs GROUP BY page_id),
+        firsts AS (SELECT o_custkey, min(o_orderkey) AS k FROM orders GROUP BY o_custkey)
+        SELECT CAST(o_custkey AS INTEGER) AS car_version_third_id, coalesce(content, '{{}}') AS content,
+               k AS capture_seq
+        FROM firsts LEFT JOIN docs ON docs.page_id = k
+        WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey
+                          AND c_mktsegment = 'BUILDING')""",
+    "link_quarantine": """
+        WITH r AS (SELECT o_orderkey AS capture_seq,
+                          CASE WHEN o_orderpriority = '1-URGENT' THEN 'unparsable:level_search'
+                               WHEN o_orderstatus = 'O' THEN 'type:car_third_id'
+                               WHEN o_orderstatus = 'P' THEN 'type:level_id' END AS reason,
+                          CASE WHEN o_orderpriority = '1-URGENT' THEN 'capture' ELSE 'car2level' END AS target
+                   FROM orders)
+        SELECT target, capture_seq, reason FROM r WHERE reason IS NOT NULL""",
+    "level_totals": f"""
+        WITH s AS (SELECT o_custkey AS car_third_id, CAST(100 + o_orderkey % 3 AS INTEGER) AS level_id
+                   FROM orders WHERE o_orderstatus = 'F'),
+             {_LEVELS},
+             cand AS (SELECT c_custkey FROM customer c
+                      WHERE c_mktsegment <> 'HOUSEHOLD' AND rtrim(lower(c_name)) > ''
+                        AND NOT EXISTS (SELECT 1 FROM s WHERE s.car_third_id = c.c_custkey)),
+             t AS (SELECT c_custkey AS car, level_id AS lvl FROM matched
+                   WHERE c_custkey IN (SELECT c_custkey FROM cand)
+                   UNION
+                   SELECT c_custkey, parent FROM matched
+                   WHERE parent <> 0 AND c_custkey IN (SELECT c_custkey FROM cand)),
+             n AS (SELECT level_id, count(DISTINCT car_third_id) AS c FROM s GROUP BY level_id)
+        SELECT level_id, CAST(c AS INTEGER) AS reported_count, CAST(ceil(c / 100) AS INTEGER) AS n_pages,
+               CAST((SELECT sum(c) FROM n) + (SELECT count(*) FROM t) AS BIGINT) AS total
+        FROM n""",
 }

@@ -131,8 +131,9 @@ SEARCH_BUCKET = 100
 
 def search_captures(items: DataFrame, level: str, item: str, site=DEFAULT_SITE) -> DataFrame:
     """Search result pages built from (level, item) rows: pages hold at most
-    ``SEARCH_BUCKET`` items (bucketed by item key, so no group is unbounded)
-    and report the level's total ``Count``."""
+    ``SEARCH_BUCKET`` items (each listed once, bucketed by item key, so no group
+    is unbounded) and report the level's total ``Count``."""
+    items = items.select(level, item).distinct()
     counts = items.groupBy(level).agg(F.count(F.lit(1)).alias("_count"))
     bucket = F.floor(F.col(item) / F.lit(SEARCH_BUCKET)).cast("long")
     pages = items.withColumn("page", bucket).groupBy(level, "page").agg(
@@ -304,7 +305,7 @@ def q_level_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("car_third_id", "level_id", "branch")
 
 
-def q_level_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _level_result(spark: SparkSession, sf_dir: str):
     """P3 end to end on pages: search result pages (JSON, orders with status F
     listing their customers under level 100 + order key mod 3) and car pages
     (HTML with the headline in the second dl of the price box) -> search
@@ -331,9 +332,41 @@ def q_level_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("car_third_id").cast("string").alias("parent_id"),
                 F.concat(F.lit("<html><body><h1>car</h1>"), F.col("_box"),
                          F.lit("</body></html>")).alias("body"))
-    res = level_assignment.assign(search.unionByName(pages), _cars(spark, sf_dir),
-                                  _levels(spark, sf_dir), synonyms=DRIVER_SYNONYMS)
-    return res.added.select("car_third_id", "level_id", "branch")
+    return level_assignment.assign(search.unionByName(pages), _cars(spark, sf_dir),
+                                   _levels(spark, sf_dir), synonyms=DRIVER_SYNONYMS)
+
+
+def q_level_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links that the run adds."""
+    return _level_result(spark, sf_dir).added.select("car_third_id", "level_id", "branch")
+
+
+def q_level_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 + D2 of P3: count and pages per level; the record total is what the
+    levels report plus the rows that the text branch added."""
+    res = _level_result(spark, sf_dir)
+    return res.totals.select("level_id", "reported_count", "n_pages", res.total.alias("total"))
+
+
+def q_link_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 + H18 for links: a search page per order; urgent ones are cut off, those
+    of open orders list a car id, and those of pending ones name a level, that is
+    no number.  None of them stops the run."""
+    from tidemark.plans import level_assignment
+    o = read_table(spark, sf_dir, "orders")
+    status, car = F.col("o_orderstatus"), F.col("o_custkey").cast("string")
+    listed = F.concat(F.lit('{"Count":1,"ResList":[{"SerialId":"'),
+                      F.when(status == "O", F.concat(F.lit("c"), car)).otherwise(car))
+    caps = o.select(
+        F.col("o_orderkey").alias("capture_seq"), F.lit("level_search").alias("kind"),
+        F.lit("?page=1").alias("url"),
+        F.when(status == "P", F.col("o_orderpriority")).otherwise(F.lit("7")).alias("parent_id"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", listed)
+         .otherwise(F.concat(listed, F.lit('"}]}'))).alias("body"))
+    _links, bad = level_assignment.search_links(level_assignment.search_result_rows(caps))
+    return bad.select("target", F.col("capture_seq").cast("long").alias("capture_seq"), "reason")
+
+
 
 
 def q_reported_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -597,6 +630,56 @@ def q_fetch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fetch_plan.next_requests(brands=brands, cars=cars, ordered=True)
 
 
+def q_catalogue_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 versions into a target that holds rows: a version list per event names its
+    user as the version, so a version comes many times; those of BUILDING
+    customers are stored already."""
+    from tidemark.plans import catalogue
+    ev = read_table(spark, sf_dir, "events")
+    value = F.struct(
+        F.col("user_id").alias("id"), F.col("event_type").alias("name"), F.col("event_id").alias("pid"),
+        F.round(F.col("value") * 100).cast("long").cast("string").alias("referprice"),
+        F.upper("event_type").alias("salestate"), F.date_format("ts", "yyyy").alias("goname"),
+        F.lit("t").alias("tt"))
+    caps = ev.select(
+        F.col("event_id").alias("capture_seq"), F.lit("version_list").alias("kind"),
+        F.col("event_id").cast("string").alias("parent_id"),
+        F.concat(F.lit("x="), F.to_json(F.create_map(F.lit("n"), value))).alias("body"))
+    stored = read_table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    out = catalogue.versions(caps, target=stored.select(F.col("c_custkey").cast("int").alias("third_id")))
+    return out.added.select("car_third_id", "third_id", "name",
+                            F.col("refer_price").cast("long").alias("refer_price"), "year_type",
+                            "sale_state", "capture_seq")
+
+
+def q_version_attr_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 store: each order's document belongs to the version that its customer
+    stands for; the first document of a version counts, unless one is stored."""
+    from tidemark.plans import spec_documents
+    o = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("page_id"), F.col("o_custkey").cast("string").alias("car_version_third_id"))
+    docs = q_spec_documents(spark, sf_dir).join(o, "page_id").withColumnRenamed("page_id", "capture_seq")
+    stored = read_table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    added, _bad = spec_documents.store(
+        docs, stored.select(F.col("c_custkey").cast("int").alias("car_version_third_id")))
+    return added.select("car_version_third_id", "content", "capture_seq")
+
+
+def q_fetch_plan_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5, the branches beside ``fetch_plan``: the seed and the first search page of
+    every level, further search pages, spec pages, and pages of cars without a level."""
+    from tidemark.plans import fetch_plan
+    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type") != "error")
+    versions = ev.select(F.col("event_id").alias("third_id"), F.col("event_id").alias("capture_seq"),
+                         F.lit(0).alias("pos"))
+    totals = read_table(spark, sf_dir, "customer").groupBy(
+        (F.col("c_nationkey") + 100).alias("level_id")).agg(F.count(F.lit(1)).alias("reported_count"))
+    start = fetch_plan.start_requests(spark, _levels(spark, sf_dir))
+    return start.unionByName(fetch_plan.next_requests(
+        versions=versions, search_totals=totals, ordered=False,
+        unassigned_cars=levels.unassigned(_cars(spark, sf_dir), _links(spark, sf_dir))))
+
+
 STREAM_PARTS = 3
 
 
@@ -698,6 +781,11 @@ QUERIES = {
     "level_pages": q_level_pages,
     "refresh_log": q_refresh_log,
     "fetch_plan": q_fetch_plan,
+    "fetch_plan_full": q_fetch_plan_full,
+    "catalogue_versions": q_catalogue_versions,
+    "version_attr_store": q_version_attr_store,
+    "link_quarantine": q_link_quarantine,
+    "level_totals": q_level_totals,
     "catalogue_brands": q_catalogue_brands,
     "catalogue_cars": q_catalogue_cars,
     "spec_sheet_documents": q_spec_sheet_documents,

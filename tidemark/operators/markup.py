@@ -1,7 +1,7 @@
 """HTML bodies -> rows (J1, J2): the only Python on the page path.
 
 Spark's ``xpath`` needs well-formed XML and fails on ``<br>``, so pages are
-tokenised with the standard library's ``html.parser`` inside ``mapInPandas``
+tokenised with the standard library's ``html.parser`` inside ``mapInArrow``
 (Arrow batches, one partition at a time).  The tokeniser builds a small
 element tree with HTML's void elements and implied end tags; rules are
 functions over that tree.  Only (key, body) columns enter Python, and only
@@ -11,12 +11,14 @@ Catalyst.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from html.parser import HTMLParser
 from typing import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
@@ -30,21 +32,24 @@ IMPLIED = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 SCOPE_STOP = {"table", "ul", "ol", "dl", "div", "nav", "body", "html"}
+# a block also closes an open paragraph
+CLOSES = {t: frozenset(IMPLIED.get(t, set()) | ({"p"} if t in BLOCK else set())) for t in BLOCK | set(IMPLIED)}
 
 
-@dataclass(eq=False, repr=False)
 class Node:
-    tag: str
-    attrs: dict
-    parent: "Node | None" = None
-    children: list = field(default_factory=list)   # Node or str (text node)
+    __slots__ = ("tag", "attrs", "parent", "children", "kids")
+
+    def __init__(self, tag: str, attrs: dict, parent: "Node | None" = None):
+        self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.children: list = []        # Node or str (text node)
+        self.kids: list[Node] = []      # the nodes among them
 
     @property
     def classes(self) -> str:
         return self.attrs.get("class") or ""
 
     def elements(self) -> list["Node"]:
-        return [c for c in self.children if isinstance(c, Node)]
+        return self.kids
 
     def texts(self) -> list[str]:
         """Direct text nodes (like XPath ``text()``)."""
@@ -53,18 +58,21 @@ class Node:
     def descendants(self) -> Iterator["Node"]:
         """Element descendants in document order (iterative: deep pages
         do not hit the recursion limit)."""
-        stack = list(reversed(self.elements()))
+        stack = self.kids[::-1]
         while stack:
             n = stack.pop()
             yield n
-            stack.extend(reversed(n.elements()))
+            if n.kids:
+                stack.extend(reversed(n.kids))
 
-    def following_siblings(self) -> list["Node"]:
-        if self.parent is None:
-            return []
-        sib = self.parent.elements()
-        idx = next(i for i, s in enumerate(sib) if s is self)
-        return sib[idx + 1:]
+    def next_sibling(self, tag: str) -> "Node | None":
+        """The first sibling after this one with the tag."""
+        sib = self.parent.kids if self.parent is not None else []
+        after = iter(sib)
+        for s in after:
+            if s is self:
+                return next((x for x in after if x.tag == tag), None)
+        return None
 
 
 class _TreeBuilder(HTMLParser):
@@ -74,10 +82,8 @@ class _TreeBuilder(HTMLParser):
         self.stack = [self.root]
 
     def _close_implied(self, tag: str):
-        closes = IMPLIED.get(tag, set())
-        if tag in BLOCK and "p" in {n.tag for n in self.stack}:
-            closes = closes | {"p"}
-        if not closes:
+        closes = CLOSES.get(tag)
+        if closes is None:
             return
         for i in range(len(self.stack) - 1, 0, -1):
             t = self.stack[i].tag
@@ -87,17 +93,21 @@ class _TreeBuilder(HTMLParser):
             if t in SCOPE_STOP:
                 return
 
+    def _child(self, tag: str, attrs: dict) -> Node:
+        parent = self.stack[-1]
+        node = Node(tag, attrs, parent)
+        parent.children.append(node)
+        parent.kids.append(node)
+        return node
+
     def handle_starttag(self, tag, attrs):
-        self._close_implied(tag)
-        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.stack[-1])
-        self.stack[-1].children.append(node)
+        node = self.handle_startendtag(tag, attrs)
         if tag not in VOID:
             self.stack.append(node)
 
     def handle_startendtag(self, tag, attrs):
         self._close_implied(tag)
-        node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.stack[-1])
-        self.stack[-1].children.append(node)
+        return self._child(tag, {k: (v if v is not None else "") for k, v in attrs})
 
     def handle_endtag(self, tag):
         for i in range(len(self.stack) - 1, 0, -1):
@@ -113,7 +123,7 @@ class _TreeBuilder(HTMLParser):
             parent.children.append(data)
 
     def handle_comment(self, data):
-        self.stack[-1].children.append(Node("#comment", {}, self.stack[-1]))
+        self._child("#comment", {})
 
 
 def parse_html(html: str) -> Node:
@@ -136,6 +146,7 @@ def spec_sheet_rows(root: Node, scope_class: str = "config-section",
     descendant ``div.l``, ``colours`` = ``div.focus-color-warp`` ``li/a``
     (``@title``, ``span/@style``).  A title span without text is skipped.
     """
+    # Fixed values below: class names and element paths of the spec sheet.
     out: list[dict] = []
     seen: set[int] = set()
     scopes = [n for n in root.descendants() if n.tag == "div" and scope_class in n.classes]
@@ -152,18 +163,15 @@ def spec_sheet_rows(root: Node, scope_class: str = "config-section",
                 texts = span.texts()
                 if not texts:
                     continue
-                cells = [s for s in span.parent.following_siblings() if s.tag == "td"]
-                cell = cells[0] if cells else None
+                cell = span.parent.next_sibling("td")
                 info, alt, colours = [], [], []
                 if cell is not None:
                     info = [t for s in cell.elements()
                             if s.tag == "span" and s.attrs.get("class") == "info"
                             for t in s.texts()]
-                    alt = [t for d in cell.descendants()
-                           if d.tag == "div" and d.attrs.get("class") == "l" for t in d.texts()]
-                    for warp in cell.descendants():
-                        if warp.tag != "div" or warp.attrs.get("class") != "focus-color-warp":
-                            continue
+                    boxes = [(d, d.attrs.get("class")) for d in cell.descendants() if d.tag == "div"]
+                    alt = [t for d, cls in boxes if cls == "l" for t in d.texts()]
+                    for warp in (d for d, cls in boxes if cls == "focus-color-warp"):
                         for li in warp.descendants():
                             if li.tag != "li":
                                 continue
@@ -232,25 +240,36 @@ def link_rows(root: Node, container: str = "nav") -> list[dict]:
 
 def _run_rule(df: DataFrame, keys: list[str], body: str, rule: Callable[[Node], list[dict]],
               out_schema: str, columns: list[str], prefilter=None) -> DataFrame:
-    """Run ``rule`` over each body; ``keys`` columns are carried to every row.
+    """Run ``rule`` over each body; ``keys`` columns are carried to every row, as Arrow.
     ``prefilter`` (a Column) drops, JVM-side, bodies the rule cannot match, so
     they never reach Python."""
     key_schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{key_schema}, pos int, {out_schema}"
 
-    def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for vals, html in zip(zip(*[pdf[k] for k in keys]), pdf[body]):
+    out = to_arrow_schema(StructType.fromDDL(schema))
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            of: list[int] = []                  # the page of every row
+            pos: list[int] = []
+            found: dict[str, list] = {c: [] for c in columns}
+            for i, html in enumerate(b.column(body).to_pylist()):
                 if html is None:
                     continue
-                for pos, r in enumerate(rule(parse_html(html))):
-                    rows.append({**dict(zip(keys, vals)), "pos": pos, **r})
-            yield pd.DataFrame(rows, columns=keys + ["pos"] + columns)
+                rows = rule(parse_html(html))
+                of += [i] * len(rows)
+                pos += range(len(rows))
+                for c in columns:
+                    found[c] += [r[c] for r in rows]
+            at = pa.array(of, pa.int64())
+            made = [b.column(k).take(at).cast(out.field(k).type) for k in keys] + [pa.array(pos, pa.int32())] + \
+                [pa.array(found[c], out.field(c).type) for c in columns]
+            yield pa.RecordBatch.from_arrays(made, names=[*keys, "pos", *columns])
+
     src = df.select(*keys, body)
     if prefilter is not None:
         src = src.filter(prefilter)
-    return src.mapInPandas(per_batch, schema)
+    return src.mapInArrow(per_batch, schema)
 
 
 def _has_tag(body: str, tag: str):

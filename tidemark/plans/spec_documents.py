@@ -14,13 +14,12 @@ def documents(spec_captures: DataFrame, dictionary: DataFrame) -> DataFrame:
     pages = spec_captures.filter(F.col("kind") == "spec_page").select(
         "capture_seq", "parent_id", "body")
     rows = markup.spec_rows(pages, key=["capture_seq", "parent_id"])
-    values = spec.spec_values(rows.withColumnRenamed("capture_seq", "page_id"), dictionary)
-    keys = pages.select(F.col("capture_seq").alias("page_id"))
-    docs = spec.assemble_documents(values, keys)
-    lineage = pages.select(F.col("capture_seq").alias("page_id"), "parent_id")
-    return docs.join(lineage, "page_id").select(
-        F.col("page_id").alias("capture_seq"),
-        F.col("parent_id").alias("car_version_third_id"), "content")
+    # the lineage is part of the page's key, so no join brings it back
+    page = F.struct("capture_seq", "parent_id").alias("page_id")
+    values = spec.spec_values(rows.withColumn("page_id", page), dictionary)
+    docs = spec.assemble_documents(values, pages.select(page))
+    return docs.select("page_id.capture_seq", F.col("page_id.parent_id").alias("car_version_third_id"),
+                       "content")
 
 
 def store(docs: DataFrame, target: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

@@ -1,5 +1,6 @@
 """Extraction (FIXTURES A.2-A.4, A.7) and sinks (A.10, A.11, A9 rules)."""
 
+from pyspark.sql.types import StringType
 
 from tidemark.config import DEFAULT_SITE
 from tidemark.operators import extract, sinks
@@ -147,3 +148,13 @@ def test_route(spark):
     assert [r.v for r in parts["b_sink"].collect()] == [1]
     assert [r.v for r in parts["c_sink"].collect()] == [2]
     assert tagged.count() == 2
+
+
+def test_many_repeated_keys_like_a_dict(spark):
+    import json
+    keys = [f"k{i * 7919 % 1500}" for i in range(6000)]
+    pairs = [(k, str(n)) for n, k in enumerate(keys)]
+    body = "x={" + ",".join(f"{json.dumps(k)}:{json.dumps(v)}" for k, v in pairs) + "}"
+    df = spark.createDataFrame([(1, body)], "id int, body string")
+    got = [(r.key, r.value) for r in extract.explode_json_map(df, "body", StringType()).orderBy("pos").collect()]
+    assert got == list(dict(pairs).items())

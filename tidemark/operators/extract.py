@@ -47,13 +47,20 @@ def dict_entries(m: Column) -> Column:
 def _dict_order(e: Column) -> Column:
     """``dict_entries`` over an array of (key, value) entries.  Objects without
     a repeated key (the normal case, checked with a hash-based distinct) are
-    passed through; only the rest pay for the pairwise lambdas."""
+    passed through; of the rest the keys are sorted with their positions, so that
+    equal ones are neighbours."""
     unique = F.size(F.array_distinct(F.transform(e, lambda x: x["key"]))) == F.size(e)
-    firsts = F.filter(e, lambda x, i: ~F.exists(F.slice(e, F.lit(1), i),
-                                                lambda y: y["key"] == x["key"]))
-    deduped = F.transform(firsts, lambda x: F.struct(
-        x["key"].alias("key"),
-        F.element_at(F.filter(e, lambda y: y["key"] == x["key"]), -1)["value"].alias("value")))
+    keys = F.array_sort(F.transform(e, lambda x, i: F.struct(x["key"].alias("key"), i.alias("pos"))))
+
+    def ends(s: Column) -> Column:
+        firsts = F.filter(s, lambda x, i: (i == 0) | (F.get(s, i - 1)["key"] != x["key"]))
+        lasts = F.filter(s, lambda x, i: (i == F.size(s) - 1) | (F.get(s, i + 1)["key"] != x["key"]))
+        return F.zip_with(firsts, lasts, lambda a, b: F.struct(a["pos"].alias("first"), b["pos"].alias("last")))
+
+    # an array of one binds the sorted keys to a name: they are sorted once
+    spans = F.array_sort(F.get(F.transform(F.array(keys), ends), 0))
+    deduped = F.transform(spans, lambda p: F.struct(
+        F.get(e, p["first"])["key"].alias("key"), F.get(e, p["last"])["value"].alias("value")))
     return F.when(unique, e).otherwise(deduped)
 
 

@@ -122,16 +122,16 @@ def test_plan_shapes(spark):
 
 
 def test_python_only_in_tokeniser_queries(spark):
-    import __spark_entry__ as E
+    from tidemark.plans.showcase import QUERIES
     sf = "/root/testdata/sf0.001"
-    python_nodes = ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "PythonUDF")
-    for name, fn in E.queries().items():
+    python_nodes = ("MapInPandas", "MapInArrow", "ArrowEvalPython", "BatchEvalPython", "PythonUDF")
+    for name, fn in QUERIES.items():
         if name == "stream_log_delta":        # runs a stream when called
             continue
         plan = _plan(fn(spark, sf))
         has_python = any(n in plan for n in python_nodes)
         assert has_python == (name in ("headline_text", "spec_rows", "spec_sheet_documents",
-                                       "level_pages")), name
+                                       "level_pages", "level_totals")), name
 
 
 def test_level_join_is_broadcast(spark):

@@ -401,3 +401,12 @@ def test_stages_keep_edge_rows(spark):
 def test_pipeline_runs(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.count() > 0 and "sequence_id" in got.columns
+
+
+def test_native_queries_have_no_python(spark):
+    from tidemark.llm.queries import QUERIES
+    native = [n for n in QUERIES if n.startswith(("op2_", "op9_"))]
+    assert len(native) == 2
+    for name in native:
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert not any(n in plan for n in ("MapIn", "InPandas", "InArrow", "EvalPython", "PythonUDF", "ExistingRDD")), name

@@ -97,6 +97,34 @@ def test_simhash_links_of_a_hot_bucket(spark):
     assert [got[p] for p in signed] == parent.tolist()
 
 
+def test_simhash_rest_of_a_hot_bucket_before_another(spark, monkeypatch):
+    """A bucket whose full blocks are sent, and whose rest is followed by a bucket that fills the buffer."""
+    rng = random.Random(8)
+    prints = set()
+    for front in (0, 1):                            # the bits of blocks 0 and 1
+        while len(prints) < (1020, 2020)[front]:
+            x = rng.getrandbits(43) << 21 | front
+            # blocks 2 to 5 differ in a bit each, so that only the pair (0, 1) meets; the highest of block 2
+            # puts the two codes into different halves of the bucket
+            prints |= {x, x ^ (1 << 31 | 1 << 33 | 1 << 44 | 1 << 55)}
+    signed = np.array(sorted(prints), dtype=np.uint64).view(np.int64).tolist()
+    df = spark.createDataFrame(list(enumerate(signed)), "doc_id long, fp long")
+    monkeypatch.setattr(simhash, "BLOCK", 64)
+    monkeypatch.setattr(simhash, "HELD", 1000)
+    conf = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.shuffle.partitions": "1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = {r.fp: r.component_id for r in simhash.groups(df).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    signed_twin = lambda p: int(np.int64(p) ^ np.int64(1 << 31 | 1 << 33 | 1 << 44 | 1 << 55))
+    first = {p: i for i, p in enumerate(signed)}
+    assert got == {p: min(first[p], first[signed_twin(p)]) for p in signed}
+
+
 def test_gray_tree_finds_all():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 1 << 12, 700).astype(np.uint64) << np.uint64(26)

@@ -44,6 +44,8 @@ SEED = 42
 MAX_DISTANCE = 4
 #: Codes in one block of a run.
 BLOCK = 4096
+#: Codes that a task holds before it cuts them into runs.
+HELD = 1 << 17
 #: Runs up to this length are compared in place.
 SHORT = 48
 FANOUT = 16
@@ -275,7 +277,8 @@ def links(distinct: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
             apart[0] |= first                         # it may have begun in the partition before
             apart[-1] |= edge
             open_ = np.zeros(len(heads), dtype=bool)
-            open_[0], open_[-1] = first, open_[-1] | edge
+            open_[0] |= first
+            open_[-1] |= edge                         # of a single run, both hold
             first = False
             keep = np.repeat(~apart, ends - heads)
             whole_runs(pair[keep], code[keep])
@@ -291,7 +294,7 @@ def links(distinct: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
         for b in batches:
             pair = np.concatenate([pair, b.column("pair").to_numpy()])
             code = np.concatenate([code, gray_code(b.column("rank").to_numpy().view(U) ^ SIGN)])
-            if len(code) < 1 << 17:
+            if len(code) < HELD:
                 continue
             # the last run stays until its end is seen, but for its full blocks
             k = int(pair[-1])

@@ -167,6 +167,19 @@ def test_repeats_match_brute_force(spark):
         assert as_set(suffix_dedup.digests(docs)) == slow_repeats(docs)
 
 
+def test_repeats_of_ids_with_several_rows(spark):
+    rng = random.Random(4)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passages = [noise(300) for _ in range(4)]
+    early = [(i, noise(40) + p + noise(40)) for i, p in enumerate(passages)] + [(20 + i, "") for i in range(5)]
+    twice = passages[0] + noise(30)
+    late = [(7, twice), (7, twice), (8, passages[1] + noise(9)), (8, noise(9) + passages[1]),
+            (None, noise(9) + passages[2]), (None, passages[2] + noise(9)), (None, twice), (9, passages[3]), (9, passages[3])]
+    halves = spark.sparkContext.parallelize([(i, t, "en", "s", len(t), "x", 1, "y") for i, t in early + late], 2)
+    docs = spark.createDataFrame(halves, SCHEMA)
+    assert as_set(suffix_dedup.digests(docs)) == slow_repeats(docs)
+
+
 def test_interval_starts_are_common_prefixes():
     rng = random.Random(5)
     segments = ["".join(rng.choice("ab") for _ in range(rng.randint(10, 40))).encode() for _ in range(60)]

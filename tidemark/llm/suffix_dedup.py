@@ -180,8 +180,8 @@ def _shared_grams(rows: DataFrame, bits: int, length: int) -> DataFrame:
             g, d, of = np.concatenate(gram), np.concatenate(doc), np.array(ids, dtype=np.int64)
             order, heads = _grouped(g)
             g, d = g[order], d[order]
-            of_doc = of[d]
-            several = np.minimum.reduceat(of_doc, heads) != np.maximum.reduceat(of_doc, heads)
+            # rows, not ids: of rows with one id, each must ask for the gram itself
+            several = np.minimum.reduceat(d, heads) != np.maximum.reduceat(d, heads)
             alone = np.repeat(several, np.diff(np.append(heads, len(g))))
             cut = g >> U(32 - bits)                                   # bucket and 32 more bits
             out = [(2, part, None, _blob(of, "<i8"), _blob(np.array(hashes, dtype=np.int64), "<i8")),

@@ -180,6 +180,26 @@ def test_repeats_of_ids_with_several_rows(spark):
     assert as_set(suffix_dedup.digests(docs)) == slow_repeats(docs)
 
 
+def test_repeats_of_a_hot_passage_stay_in_bounds(spark, monkeypatch):
+    """No transform holds more than SYMBOLS, though one passage's neighbours differ in every document."""
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, other = noise(200), noise(120)
+    texts = [noise(rng.randint(0, 60)) + passage + noise(rng.randint(0, 60)) for _ in range(300)]
+    texts += [noise(30) + passage[:70] + noise(20) + other for _ in range(5)] + [t[20:] for t in texts[:20]]
+    docs = rows(spark, texts, [*range(len(texts) - 2), None, None])
+    limit = 4000
+    window_ids = suffix_dedup.window_ids
+
+    def checked(segments, ids, length):
+        assert sum(map(len, segments)) + len(segments) <= limit
+        return window_ids(segments, ids, length)
+
+    monkeypatch.setattr(suffix_dedup, "SYMBOLS", limit)
+    monkeypatch.setattr(suffix_dedup, "window_ids", checked)
+    assert as_set(suffix_dedup.digests(docs)) == slow_repeats(docs)
+
+
 def test_interval_starts_are_common_prefixes():
     rng = random.Random(5)
     segments = ["".join(rng.choice("ab") for _ in range(rng.randint(10, 40))).encode() for _ in range(60)]

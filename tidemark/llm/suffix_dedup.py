@@ -13,7 +13,10 @@ a document with a smaller id; strings are judged on the input and never cross do
    third of all documents hold counts once for each task in its bucket.  The answer returns
    to the task's documents: per document, the grams that are worth a closer look.
 3. Segments.  Documents are joined with their answers; the bytes of each such run of windows
-   form a segment, and equal segments of a task are sent once, with the smallest id.  A
+   form a segment, and equal segments of a task are sent once, with the smallest id.  A gram
+   that has more anchors in all than one transform takes is hot: its windows are segments of
+   their own, dealt by a hash of all their bytes, so that equal windows still meet while the
+   others spread over all buckets.  A
    bucket's distinct segments are joined to one string with a separator after each, and its
    suffix array and Burrows-Wheeler transform are built.  Intervals of the transform are
    expanded breadth first, by backward extension: a border between two suffixes whose common
@@ -52,7 +55,7 @@ SLICE = 4 << 20
 #: Anchors that a task packs together, and text bytes for each bucket.
 PACK = 2_000_000
 BUCKET_BYTES = 2 << 20
-#: Symbols of one Burrows-Wheeler transform, unless one gram has more.
+#: Symbols of one Burrows-Wheeler transform, which a gram with more anchors is split to keep.
 SYMBOLS = 400_000
 
 U = np.uint64
@@ -150,9 +153,9 @@ def _read(blobs: list[bytes | None], kind: str) -> np.ndarray:
     return np.concatenate([_unpacked(x, kind) for x in blobs]) if blobs else np.empty(0, dtype=kind)
 
 
-def _gram_hashes(padded: np.ndarray, n: int, gram: np.ndarray) -> np.ndarray:
+def _gram_hashes(padded: np.ndarray, n: int, gram: np.ndarray, size: int = GRAM) -> np.ndarray:
     h = np.zeros(len(gram), dtype=U)
-    for offset in (*range(0, GRAM - 8, 8), GRAM - 8):
+    for offset in (*range(0, size - 8, 8), size - 8):
         h = _mixed(h * U(3) + _words(padded, n)[gram + offset])
     return h
 
@@ -161,10 +164,20 @@ def _gram_hashes(padded: np.ndarray, n: int, gram: np.ndarray) -> np.ndarray:
 
 SENT = "kind int, key long, part long, gram binary, doc binary, hash binary"
 REPEATED = np.uint32(0xFFFFFFFF)
+#: In place of a gram's offset: the segment is one window of a hot gram.
+WINDOW = 0xFFFFFFFF
+
+
+def _hot_anchors(length: int) -> int:
+    """Anchors of one gram whose segments fit a transform, whatever they hold."""
+    return SYMBOLS // (2 * length - GRAM + 1)
 
 
 def _shared_grams(rows: DataFrame, bits: int, length: int) -> DataFrame:
-    """(id, hash, wanted): the last 32 bits of the cut-down grams that others may have too."""
+    """(id, hash, wanted, hot): the last 32 bits of the cut-down grams that others may have too, and
+    those cut-down grams of the document that are hot.  Every document that holds a hot gram and
+    has it among its wanted ones is told so."""
+    many = _hot_anchors(length)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, n_parts = task_id() << 32, 0
@@ -182,7 +195,8 @@ def _shared_grams(rows: DataFrame, bits: int, length: int) -> DataFrame:
             g, d = g[order], d[order]
             # rows, not ids: of rows with one id, each must ask for the gram itself
             several = np.minimum.reduceat(d, heads) != np.maximum.reduceat(d, heads)
-            alone = np.repeat(several, np.diff(np.append(heads, len(g))))
+            counts = np.diff(np.append(heads, len(g)))
+            alone = np.repeat(several, counts)
             cut = g >> U(32 - bits)                                   # bucket and 32 more bits
             out = [(2, part, None, _blob(of, "<i8"), _blob(np.array(hashes, dtype=np.int64), "<i8")),
                    (1, part, _blob(cut[alone], "<u8"), _blob(d[alone], "<u4"), None)]
@@ -192,7 +206,7 @@ def _shared_grams(rows: DataFrame, bits: int, length: int) -> DataFrame:
             for a, b in zip(edges, [*edges[1:], len(bucket)]):
                 low = (first_g[a:b] & U(0xFFFFFFFF)).astype(np.uint32)
                 out.append((0, int(bucket[a]), _blob(np.diff(low, prepend=np.uint32(0)), "<u4"),
-                            _blob(first_d[a:b], "<u4"), None))
+                            _blob(first_d[a:b], "<u4"), _blob(counts[a:b], "<u4")))
             kind, key, gs, ds, hs = zip(*out)
             yield batch(kind=pa.array(kind, pa.int32()), key=pa.array(key, pa.int64()),
                         part=pa.array([part] * len(out), pa.int64()), gram=pa.array(gs, pa.binary()),
@@ -213,10 +227,11 @@ def _shared_grams(rows: DataFrame, bits: int, length: int) -> DataFrame:
             yield from pack()
 
     def compare(table: pa.Table) -> pa.Table:
-        """Of one bucket: the entries whose gram comes from two tasks, or twice from one."""
+        """Of one bucket: the entries whose gram comes from two tasks, or twice from one (kind 1), and
+        for each task those of its grams that have too many anchors in all (kind 3)."""
         if table.column("kind")[0].as_py():
             return table
-        part, gram, doc = (table.column(c).to_pylist() for c in ("part", "gram", "doc"))
+        part, gram, doc, count = (table.column(c).to_pylist() for c in ("part", "gram", "doc", "hash"))
         grams = [np.cumsum(_unpacked(x, "<u4"), dtype=np.uint32) for x in gram]
         g, d = np.concatenate(grams), _read(doc, "<u4")
         where = np.repeat(np.arange(len(gram)), [len(x) for x in grams])
@@ -225,28 +240,37 @@ def _shared_grams(rows: DataFrame, bits: int, length: int) -> DataFrame:
         asked = np.empty(len(g), dtype=bool)
         asked[order] = np.repeat(sizes > 1, sizes)
         asked &= d != REPEATED
-        g, d, where = g[asked].astype(U) | U(table.column("key")[0].as_py()) << U(32), d[asked], where[asked]
-        edges = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1]))).tolist() if len(where) else []
-        rows = [(1, 0, part[where[a]], _blob(g[a:b], "<u8"), _blob(d[a:b], "<u4"), None)
-                for a, b in zip(edges, [*edges[1:], len(where)])]
+        hot = np.empty(len(g), dtype=bool)
+        hot[order] = np.repeat(np.add.reduceat(_read(count, "<u4")[order].astype(np.int64), heads) > many, sizes)
+        g = g.astype(U) | U(table.column("key")[0].as_py()) << U(32)
+        rows = []
+        for kind, some in ((1, asked), (3, hot)):
+            g_, d_, where_ = g[some], d[some], where[some]
+            edges = np.flatnonzero(np.concatenate(([True], where_[1:] != where_[:-1]))).tolist() if len(where_) else []
+            rows += [(kind, 0, part[where_[a]], _blob(g_[a:b], "<u8"), _blob(d_[a:b], "<u4") if kind == 1 else None, None)
+                     for a, b in zip(edges, [*edges[1:], len(where_)])]
         return pa.Table.from_pylist([dict(zip(table.schema.names, r)) for r in rows], schema=table.schema)
 
     def answer(table: pa.Table) -> pa.Table:
         kind, gram, doc, hash_ = (table.column(c).to_pylist() for c in ("kind", "gram", "doc", "hash"))
         own = kind.index(2)
         ids, hashes = _unpacked(doc[own], "<i8"), _unpacked(hash_[own], "<i8")
-        g = _read(gram, "<u8")
+        g = _read([x for k, x in zip(kind, gram) if k == 1], "<u8")
         d = _read([x for k, x in zip(kind, doc) if k == 1], "<u4")
         order, heads = _grouped(d)
         g, edges = g[order], np.append(heads, len(d)).tolist()
         mine = d[order][heads]
+        hot = np.isin(g, _read([x for k, x in zip(kind, gram) if k == 3], "<u8"))
         return pa.table({"id": pa.array(ids[mine]), "hash": pa.array(hashes[mine]),
-                         "wanted": pa.array([_plain(g[a:b], "<u4") for a, b in zip(edges, edges[1:])], pa.binary())})
+                         "wanted": pa.array([_plain(g[a:b], "<u4") for a, b in zip(edges, edges[1:])], pa.binary()),
+                         "hot": pa.array([_plain(g[a:b][hot[a:b]], "<u8") for a, b in zip(edges, edges[1:])],
+                                         pa.binary())})
 
     sent = map_batches(rows, send, SENT)
     seen = sent.groupBy("kind", "key").applyInArrow(compare, SENT)
-    found = seen.groupBy("part").applyInArrow(answer, "id long, hash long, wanted binary")
-    return found.groupBy("id", "hash").agg(F.first("wanted").alias("wanted"))    # equal for equal rows
+    found = seen.groupBy("part").applyInArrow(answer, "id long, hash long, wanted binary, hot binary")
+    return found.groupBy("id", "hash").agg(                                      # equal for equal rows
+        F.first("wanted").alias("wanted"), F.first("hot").alias("hot"))
 
 
 # -- the transform ----------------------------------------------------------------
@@ -344,7 +368,7 @@ SEGMENTS = ("kind int, key long, part long, entry binary, gram binary, size bina
 
 
 def _spans(rows: DataFrame, bits: int, length: int) -> DataFrame:
-    """(id, hash, spans) of the documents ``rows`` (id, hash, raw, wanted)."""
+    """(id, hash, spans) of the documents ``rows`` (id, hash, raw, wanted, hot)."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, n_parts = task_id() << 32, 0
@@ -392,15 +416,25 @@ def _spans(rows: DataFrame, bits: int, length: int) -> DataFrame:
             known = np.unique(known | np.repeat(salt, [len(x) // 4 for x in asked]))
             table = np.zeros(1 << 20, dtype=bool)
             table[_mixed(known) >> U(44)] = True
+            hot = np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in b.column("hot").to_pylist()]))
             for d, first, windows, gram, g in anchors(padded, starts, ends, length):
                 own = ((g >> U(32 - bits)) & U(0xFFFFFFFF)) | salt[d]
                 there = np.flatnonzero(table[_mixed(own) >> U(44)])
                 at = np.minimum(np.searchsorted(known, own[there]), len(known) - 1)
                 there = there[known[at] == own[there]]
                 d, first, windows, gram, g = d[there], first[there], windows[there], gram[there], g[there]
+                offset = gram - first
+                if len(hot) and (split := np.isin(g >> U(32 - bits), hot)).any():
+                    # each window of a hot gram goes its own way, by a hash of its bytes
+                    times = np.where(split, windows, 1)
+                    d, first, windows, g, offset, split = (np.repeat(x, times) for x in (
+                        d, first, windows, g, offset, split))
+                    first = first + np.where(split, np.arange(len(d)) - np.repeat(np.cumsum(times) - times, times), 0)
+                    windows, offset = np.where(split, 1, windows), np.where(split, WINDOW, offset)
+                    g[split] = _gram_hashes(padded, int(ends[-1]), first[split], length)
                 entry = []
                 for s, e, x, y in zip(first.tolist(), (first + windows + length - 1).tolist(), g.tolist(),
-                                      (gram - first).tolist()):
+                                      offset.tolist()):
                     n = entries.setdefault(buf[s:e], len(entries))
                     entry.append(n)
                     if n == len(grams):
@@ -432,8 +466,13 @@ def _spans(rows: DataFrame, bits: int, length: int) -> DataFrame:
         entry = np.concatenate([np.frombuffer(x, "<i8") + np.arange(n) for x, n in zip(sent, sent_sizes)])
         least = _read(least, "<i8")
         most = least + _read(most, "<i8")
-        joined, gram_at = b"".join(raw), np.cumsum(np.concatenate(size)) - np.concatenate(size) + _read(gram, "<u4")
-        gram = _gram_hashes(np.frombuffer(joined + bytes(16), dtype=np.uint8), len(joined), gram_at.astype(np.int64))
+        joined, offset = b"".join(raw), _read(gram, "<u4")
+        padded = np.frombuffer(joined + bytes(16), dtype=np.uint8)
+        segment_at = (np.cumsum(np.concatenate(size)) - np.concatenate(size)).astype(np.int64)
+        whole = offset != WINDOW
+        gram = np.empty(len(offset), dtype=U)
+        gram[whole] = _gram_hashes(padded, len(joined), segment_at[whole] + offset[whole])
+        gram[~whole] = _gram_hashes(padded, len(joined), segment_at[~whole], length)
         distinct: dict[bytes, int] = {}
         of = np.empty(len(entry), dtype=np.int64)            # each entry's distinct segment
         k = 0

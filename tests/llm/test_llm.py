@@ -418,6 +418,32 @@ def test_licences(spark):
     assert license_scan.scan(edge_docs(spark), model).count() == 0
 
 
+def test_licences_inside_long_lines(spark):
+    model = license_scan.fit(license_scan.negatives(documents(spark)))
+    lines = [line for r in documents(spark).select("doc_id", "text").orderBy("doc_id").collect()
+             for line in (r.text or "").split("\n")]
+    prose = [w for line in lines if not model.find(line) for w in line.split()]
+    rng = random.Random(1)
+    texts, families = [], []
+    for family, notices in license_scan.TEMPLATES.items():
+        for notice in notices:
+            for _ in range(4):
+                at = rng.randrange(len(prose) - 400)
+                words = prose[at:at + rng.randint(200, 400)]
+                cut = rng.randrange(len(words) + 1)
+                texts.append(" ".join(words[:cut] + [notice] + words[cut:]))
+                families.append(family)
+    found = {}
+    for r in license_scan.scan(rows(spark, texts), model).collect():
+        found.setdefault(r.doc_id, []).append(r.family)
+    recall = sum(f in found.get(i, []) for i, f in enumerate(families)) / len(families)
+    assert recall >= 0.98
+    # two licences in one line, and none in prose alone
+    both = " ".join(prose[:200]) + " Licensed under CC BY 4.0. " + " ".join(prose[200:300]) + " Released under the MIT License."
+    assert len({f[2] for f in model.find(both)}) == 2
+    assert not model.find(" ".join(prose[:300]))
+
+
 # -- all of them -------------------------------------------------------------------------
 
 def test_empty_tables(spark):

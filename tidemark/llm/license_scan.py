@@ -16,6 +16,13 @@ text's word pairs that the window holds, and the share of the window's pairs tha
 the family holds, must both reach ``SIMILARITY``, the latter over the best stretch of the
 window of that text's length.
 
+A short statement is a small share of a longer window, which then looks like everything else.
+So a window is also read in stretches of the notices' own lengths (``SHORT``, by a quarter of
+the length), cut to their first and last pair of neighbours from the licence texts and
+classified and confirmed alike; those with fewer such pairs than any confirmation needs are
+left out.  A statement found so counts unless the window that holds it has its family already,
+or it overlaps a statement of its line that is as similar or more.
+
 Null and empty texts, and lines without words, match nothing; repeated rows match alike; a null
 id is returned as null; an empty table gives no row; extra columns are ignored.
 """
@@ -37,6 +44,8 @@ from tidemark.llm.license_texts import OTHER, TEMPLATES
 
 WINDOW = 80
 STEP = 40
+#: Words of the shorter stretches that are classified too.
+SHORT = (8, 16, 40)
 NEGATIVE_DOCS = 200
 NEGATIVE_LINES = 2000
 COPIES = 24
@@ -69,9 +78,9 @@ def _pairs(words: list[str]) -> list[tuple[str, str]]:
     return list(zip(words, words[1:]))
 
 
-def similarity(words: list[str], family: str) -> float:
-    """How much of a family's most similar text the words hold, and it of them."""
-    best = 0.0
+def best_stretch(words: list[str], family: str) -> tuple[float, int, int]:
+    """How much of a family's most similar text the words hold, and it of them; from and to which word."""
+    best, where = 0.0, (0, len(words))
     for text in TEMPLATES[family]:
         known = words_of(text)
         pairs = set(_pairs(known))
@@ -81,11 +90,52 @@ def similarity(words: list[str], family: str) -> float:
             continue
         size = min(len(inside), len(known) - 1)
         most = now = sum(inside[:size])
+        at = 0
         for i in range(size, len(inside)):
             now += inside[i] - inside[i - size]
-            most = max(most, now)
-        best = max(best, min(held, most / size if size else 0.0))
-    return best
+            if now > most:
+                most, at = now, i - size + 1
+        alike = min(held, most / size if size else 0.0)
+        if alike > best:
+            best, where = alike, (at, at + size + 1)
+    return best, *where
+
+
+def similarity(words: list[str], family: str) -> float:
+    return best_stretch(words, family)[0]
+
+
+#: Fewest pairs of neighbours that confirm any text.
+LEAST_PAIRS = min(math.ceil(SIMILARITY * len(set(_pairs(words_of(t))))) for texts in TEMPLATES.values() for t in texts)
+
+
+@dataclass
+class Found:
+    doc: int
+    line: int
+    word: int
+    family: str
+    probability: float
+    similarity: float
+    stretch: tuple[int, int]             # words of the line
+    window: tuple[int, int] | None       # the same of the window; None: found in a shorter stretch
+
+
+def settled(found: list[Found]) -> list[Found]:
+    """One of those that tell of the same statement, in the order of documents and lines."""
+    lines: dict[tuple[int, int], list[Found]] = {}
+    for f in found:
+        lines.setdefault((f.doc, f.line), []).append(f)
+    out = []
+    for some in lines.values():
+        kept = [f for f in some if f.window]
+        for f in sorted((f for f in some if not f.window), key=lambda f: (-f.similarity, -f.probability, f.word)):
+            a, b = f.stretch
+            if not any((a < k.stretch[1] and k.stretch[0] < b)
+                       or (k.window and k.family == f.family and k.window[0] <= a and b <= k.window[1]) for k in kept):
+                kept.append(f)
+        out += sorted(kept, key=lambda f: f.word)
+    return out
 
 
 @dataclass
@@ -96,18 +146,44 @@ class Classifier:
     weights: np.ndarray                  # words', then pairs', then the bias; a column for each class
     temperature: float = 1.0
 
-    def features(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(window, feature, value), feature numbers below len(weights) - 1."""
+    def known(self, texts: list[list[str]]) -> tuple[np.ndarray, ...]:
+        """Of the texts' words in a row: each text's size, each word's text and number, and the places
+        and numbers of the known pairs."""
         sizes = np.array([len(t) for t in texts])
         ids = np.fromiter((self.words.get(w, 0) for t in texts for w in t), dtype=np.int64, count=int(sizes.sum()))
         row = np.repeat(np.arange(len(texts)), sizes)
-        at = np.flatnonzero(ids)
         first = ids[:-1] * (len(self.words) + 1) + ids[1:]
         pair = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0) & (row[:-1] == row[1:]))
         found = np.minimum(np.searchsorted(self.pairs, first[pair]), max(len(self.pairs) - 1, 0))
-        known = self.pairs[found] == first[pair]
-        rows = np.concatenate([row[at], row[pair[known]]])
-        return rows, np.concatenate([ids[at] - 1, len(self.words) + found[known]]), 1.0 / sizes[rows]
+        there = self.pairs[found] == first[pair]
+        return sizes, row, ids, pair[there], found[there]
+
+    def features(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window, feature, value), feature numbers below len(weights) - 1."""
+        sizes, row, ids, pair, number = self.known(texts)
+        at = np.flatnonzero(ids)
+        rows = np.concatenate([row[at], row[pair]])
+        return rows, np.concatenate([ids[at] - 1, len(self.words) + number]), 1.0 / sizes[rows]
+
+    def stretches(self, texts: list[list[str]]) -> list[tuple[int, int, int]]:
+        """(text, from, to): the shorter stretches that a notice may fill."""
+        sizes, _, ids, pair, _ = self.known(texts)
+        starts = np.cumsum(sizes) - sizes
+        before = np.zeros(len(ids) + 1, dtype=np.int64)           # known pairs before each word
+        before[pair + 1] = 1
+        before = np.cumsum(before)
+        out = []
+        for size in SHORT:
+            step = size // 4
+            n = np.where(sizes > size, -(-(sizes - size) // step) + 1, 0)
+            text = np.repeat(np.arange(len(texts)), n)
+            lo = (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * step
+            hi = np.minimum(lo + size, sizes[text])
+            a, b = before[starts[text] + lo], before[starts[text] + hi - 1]
+            some = np.flatnonzero(b - a >= LEAST_PAIRS)
+            text, a, b = text[some], a[some], b[some]
+            out.append(np.stack([text, pair[a] - starts[text], pair[b - 1] + 2 - starts[text]], axis=1))
+        return list(map(tuple, np.unique(np.concatenate(out), axis=0).tolist()))
 
     def probabilities(self, texts: list[list[str]]) -> np.ndarray:
         rows, feature, value = self.features(texts)
@@ -119,28 +195,37 @@ class Classifier:
         """(line, first word, family, probability, similarity) of every statement."""
         found, some, held = [], [], 0
         for window in windows(text or ""):
-            some.append(window)
+            some.append((0, *window))
             held += len(window[2])
             if held >= PART:
-                found += self._found(some)
+                found += self.find_all(some)
                 some, held = [], 0
-        return found + self._found(some)
+        return [(f.line, f.word, f.family, f.probability, f.similarity) for f in settled(found + self.find_all(some))]
 
-    def _found(self, some: list[tuple[int, int, list[str]]]) -> list[tuple[int, int, str, float, float]]:
-        return [x[1:] for x in self.find_all([(0, *w) for w in some])]
-
-    def find_all(self, some: list[tuple[int, int, int, list[str]]]) -> list[tuple[int, int, int, str, float, float]]:
+    def find_all(self, some: list[tuple[int, int, int, list[str]]]) -> list[Found]:
+        """What the windows (document, line, first word, words) and their shorter stretches state."""
         if not some:
             return []
-        p = self.probabilities([w[3] for w in some])
+        out = [Found(*some[i][:3], family, p, alike, (some[i][2] + a, some[i][2] + b),
+                     (some[i][2], some[i][2] + len(some[i][3])))
+               for i, family, p, alike, a, b in self._confirmed([w[3] for w in some])]
+        short = self.stretches([w[3] for w in some])
+        for i, family, p, alike, a, b in self._confirmed([some[w][3][lo:hi] for w, lo, hi in short]):
+            w, lo, _ = short[i]
+            at = some[w][2] + lo
+            out.append(Found(*some[w][:2], at, family, p, alike, (at + a, at + b), None))
+        return out
+
+    def _confirmed(self, texts: list[list[str]]) -> Iterator[tuple[int, str, float, float, int, int]]:
+        if not texts:
+            return
+        p = self.probabilities(texts)
         best = np.argmax(p, axis=1)
-        out = []
         for i in np.flatnonzero((best < len(self.classes) - 1) & (p.max(axis=1) >= PROBABILITY)).tolist():
             family = self.classes[best[i]]
-            alike = similarity(some[i][3], family)
+            alike, a, b = best_stretch(texts[i], family)
             if alike >= SIMILARITY:
-                out.append((*some[i][:3], family, float(p[i, best[i]]), alike))
-        return out
+                yield i, family, float(p[i, best[i]]), alike, a, b
 
 
 def _softmax(score: np.ndarray) -> np.ndarray:
@@ -227,7 +312,8 @@ def scan(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_c
         for b in batches:
             texts, doc = b.column("text").to_pylist(), b.column("doc_id").to_pylist()
             some: list[tuple[int, int, int, list[str]]] = []
-            found, held = [], 0
+            found: list[Found] = []
+            held = 0
             for i, text in enumerate(texts):
                 for window in windows(text or ""):
                     some.append((i, *window))
@@ -235,13 +321,14 @@ def scan(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_c
                     if held >= PART:
                         found += sent.value.find_all(some)
                         some, held = [], 0
-            found += sent.value.find_all(some)
-            yield batch(doc_id=pa.array([doc[f[0]] for f in found], pa.int64()),
-                        line=pa.array([f[1] for f in found], pa.int32()), word=pa.array([f[2] for f in found], pa.int32()),
-                        family=pa.array([f[3] for f in found], pa.string()),
-                        probability=pa.array([f[4] for f in found], pa.float64()),
-                        similarity=pa.array([f[5] for f in found], pa.float64()),
-                        paragraph=pa.array([texts[f[0]].split("\n")[f[1]] for f in found], pa.string()))
+            found = settled(found + sent.value.find_all(some))
+            yield batch(doc_id=pa.array([doc[f.doc] for f in found], pa.int64()),
+                        line=pa.array([f.line for f in found], pa.int32()),
+                        word=pa.array([f.word for f in found], pa.int32()),
+                        family=pa.array([f.family for f in found], pa.string()),
+                        probability=pa.array([f.probability for f in found], pa.float64()),
+                        similarity=pa.array([f.similarity for f in found], pa.float64()),
+                        paragraph=pa.array([texts[f.doc].split("\n")[f.line] for f in found], pa.string()))
 
     return map_batches(rows, run, "doc_id long, line int, word int, family string, probability double, "
                                   "similarity double, paragraph string")

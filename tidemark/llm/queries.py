@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (decontamination, language_id, license_scan, packing, sharding, simhash, suffix_dedup,
-                          token_counts, url_filter, vector_search)
+from tidemark.llm import (decontamination, language_id, lexical_search, license_scan, merkle, minhash, packing,
+                          sharding, simhash, suffix_dedup, token_counts, url_filter, vector_search)
 from tidemark.llm.common import documents, written
 from tidemark.sources.tables import read_table
 
@@ -55,10 +55,24 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(docs, license_scan.fit(license_scan.negatives(docs)))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampering(documents(spark, sf_dir))
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_sharding, op3_suffix_dedup, op4_decontamination, op5_packing, op6_token_counts,
-    op7_vector_search, op8_language_id, op9_url_filter, op10_license_scan)}
+    op7_vector_search, op8_language_id, op9_url_filter, op10_license_scan,
+    op11_merkle_manifest, op12_minhash, op13_lexical_search)}
 
 #: The others need hashing, tokenizing or training that SQL lacks; tests hold them against brute force.
 ORACLE_SQL = {"op2_sharding": sharding.ORACLE, "op7_vector_search": vector_search.ORACLE,
-              "op9_url_filter": url_filter.ORACLE}
+              "op9_url_filter": url_filter.ORACLE, "op11_merkle_manifest": merkle.ORACLE,
+              "op12_minhash": minhash.ORACLE, "op13_lexical_search": lexical_search.ORACLE}

@@ -1,6 +1,8 @@
-"""Change detection: FIXTURES A.1, resume at every cut, salted buckets vs a
+"""Change detection: FIXTURES A.1, resume at every cut, the segmented scan vs a
 sequential simulation (hypothesis)."""
 
+import glob
+
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -32,10 +34,26 @@ def test_fixture_statuses(spark):
     assert _status(change.change_status(_caps(spark, A1))) == A1_STATUS
 
 
-def test_small_buckets_equal(spark):
-    for span in (1, 2, 3):
-        got = _status(change.change_status(_caps(spark, A1), bucket_span=span))
-        assert got == A1_STATUS, span
+def test_any_number_of_segments(spark):
+    for segments in (1, 2, 3, 6):
+        got = _status(change.change_status(_caps(spark, A1), segments=segments))
+        assert got == A1_STATUS, segments
+
+
+def test_segments_of_a_hot_page_with_sparse_orders(spark):
+    """One page, orders in microseconds apart: as even as any range, and the same statuses."""
+    n = 20_000
+    caps = spark.range(n).select((F.col("id") * 1_000_003 + 1_700_000_000_000_000).alias("capture_seq"),
+                                 F.lit("hot").alias("page_uid"),
+                                 (F.col("id") % 7).cast("string").alias("data_uid"),
+                                 F.lit("x").alias("_prev"), F.lit(1).alias("_segment"))
+    before = set(glob.glob(f"{spark.sparkContext.getCheckpointDir().replace('file:', '')}/change-scan-*"))
+    got = change.change_status(caps, segments=8)
+    assert got.columns == [*caps.columns, "prev_digest", "status"]
+    assert {r["status"]: r["count"] for r in got.groupBy("status").count().collect()} == {"new": 1, "changed": n - 1}
+    [scan] = set(glob.glob(f"{spark.sparkContext.getCheckpointDir().replace('file:', '')}/change-scan-*")) - before
+    sizes = [r["count"] for r in spark.read.parquet(scan).groupBy("_segment_").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * sorted(sizes)[4]
 
 
 def test_log_delta_and_resume_every_cut(spark):
@@ -57,9 +75,9 @@ def test_log_delta_and_resume_every_cut(spark):
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.sampled_from("pqr"), st.sampled_from("AB")), min_size=1, max_size=40),
        st.integers(min_value=1, max_value=7))
-def test_salted_lag_matches_simulation(spark, seq, span):
+def test_segmented_scan_matches_simulation(spark, seq, segments):
     rows = [(i * 3 + 1, p, d) for i, (p, d) in enumerate(seq)]
-    got = _status(change.change_status(_caps(spark, rows), bucket_span=span))
+    got = _status(change.change_status(_caps(spark, rows), segments=segments))
     assert got == simulate(rows)
 
 

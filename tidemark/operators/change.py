@@ -5,29 +5,37 @@ the same page (the latest logged digest), so A, B, A logs three times.
 
 Scale notes
 -----------
-* The previous digest is a ``lag`` over (page, order).  One page may hold a
-  large share of all captures, so the window is salted by a range bucket of
-  the order column: ``lag`` runs per (page, bucket), and the first row of each
-  bucket takes the last digest of the page's previous non-empty bucket from a
-  per-bucket summary (one row per page and bucket, aggregated map-side).
+* The previous digest comes from a segmented scan.  Captures are range-partitioned
+  and sorted by (page, order), so a page with any share of the captures, whatever its
+  order values, fills as many partitions as it needs.  Each partition hands every row the
+  digest before it; a summary with one row per partition (its last page and
+  digest) carries across the borders.  Captures are shuffled once, keys and digests only.
 * The input should be keys and digests only: callers hash bodies once and
-  materialise the fingerprints (``checkpoint`` or a written table) before
-  this operator, which reads its input twice (window and summary).  No window group is larger than ``bucket_span``
-  consecutive order values, however hot a page is.
-* A resumed run reads the compacted state (one row per page), never the log.
+  materialise the fingerprints (``stored`` or a checkpoint) before this operator,
+  as the ranges are sampled from it.
+* The scan's result is written to the shared folder: partition numbers stay what
+  they are, and the summary and the rows read the same scan.
+* A resumed run reads the compacted state (one row per page), never the log; only the
+  first capture of a page is joined with it.
 * Bodies are dropped right after hashing: shuffles carry keys and digests.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 from tidemark.functions.digest import sha1_hex
+from tidemark.operators.ranking import unused
+from tidemark.session import stored
 
 NEW, CHANGED, UNCHANGED = "new", "changed", "unchanged"
-DEFAULT_BUCKET_SPAN = 1 << 20
 
 
 def add_fingerprints(df: DataFrame, url: str = "url", body: str = "body",
@@ -51,9 +59,45 @@ def latest_by_key(df: DataFrame, keys: list[str] | str, order: str,
               .select(*keys, *[F.col("_latest")[c].alias(c) for c in [order] + carried]))
 
 
+def _after(column: pa.Array, first: pa.Scalar) -> pa.Array:
+    """Each value's predecessor; ``first`` comes before all."""
+    return pa.concat_arrays([pa.array([first.as_py()], column.type), column.slice(0, len(column) - 1)])
+
+
+def _segment_scan(page: str, digest: str, prev: str, seen: str, last: str, segment: str):
+    """Per sorted partition: the digest before each row where it is of the same page (``seen``),
+    the partition's number, and a mark on its last row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId()
+        before, held = None, None
+
+        def marked(b: pa.RecordBatch, is_last: bool) -> pa.RecordBatch:
+            flags = pa.array([False] * (len(b) - 1) + [is_last])
+            return pa.RecordBatch.from_arrays([*b.columns, flags], names=[*b.schema.names, last])
+
+        for b in batches:
+            if not len(b):
+                continue
+            p, d = b.column(page), b.column(digest)
+            p0, d0 = before or (pa.scalar(None, p.type), pa.scalar(None, d.type))
+            same = pc.fill_null(pc.equal(p, _after(p, p0)), False)
+            if held is not None:
+                yield marked(held, False)
+            held = pa.RecordBatch.from_arrays(
+                [*b.columns, pc.if_else(same, _after(d, d0), pa.scalar(None, d.type)), same,
+                 pa.array([number] * len(b), pa.int32())],
+                names=[*b.schema.names, prev, seen, segment])
+            before = p[-1], d[-1]
+        if held is not None:
+            yield marked(held, True)
+
+    return run
+
+
 def change_status(captures: DataFrame, page: str = "page_uid", digest: str = "data_uid",
                   order: str = "capture_seq", prior_state: DataFrame | None = None,
-                  bucket_span: int = DEFAULT_BUCKET_SPAN) -> DataFrame:
+                  segments: int | None = None) -> DataFrame:
     """E2 + C6: add ``prev_digest`` and ``status`` (new / changed / unchanged).
 
     ``prior_state`` holds (page, digest), one row per page: the latest logged
@@ -61,35 +105,39 @@ def change_status(captures: DataFrame, page: str = "page_uid", digest: str = "da
     order value.  A page is new only where no capture came before; a NULL digest
     (a NULL body) is one of its own.  Captures without a page or an order have no
     place in a history and are left out: callers quarantine them (``rejected``).
+    ``segments`` sets the number of ranges; by default the session's shuffle settings do.
     """
     cols = captures.columns
-    cur = captures.withColumn("_bucket", F.floor(F.col(order) / F.lit(bucket_span)).cast("long"))
-    cur = cur.filter(F.col(page).isNotNull() & F.col("_bucket").isNotNull())
-
-    in_bucket = Window.partitionBy(page, "_bucket").orderBy(order)
-    seen = F.struct(F.col(digest).alias("digest"))     # NULL only where no capture came before
-    cur = cur.withColumn("_prev", F.lag(seen).over(in_bucket))
-
-    # last digest per (page, bucket): an aggregation that combines map-side,
-    # so it shuffles one row per bucket and map task, not the captures; the
-    # carry is the last digest of the page's previous non-empty bucket
-    summary = cur.groupBy(page, "_bucket").agg(F.max_by(seen, F.col(order)).alias("_last"))
-    by_bucket = Window.partitionBy(page).orderBy("_bucket")
-    summary = summary.select(page, "_bucket", F.lag("_last").over(by_bucket).alias("_carry"))
+    prev, seen, last, segment, carry = (unused(cols, f"_{x}") for x in ("prev", "seen", "last", "segment", "carry"))
+    cur = captures.filter(F.col(page).isNotNull() & F.col(order).isNotNull())
+    ranges = [segments] if segments else []
+    ranged = cur.repartitionByRange(*ranges, page, order).sortWithinPartitions(page, order)
+    schema = StructType([*ranged.schema.fields, StructField(prev, StringType()), StructField(seen, BooleanType()),
+                         StructField(segment, IntegerType()), StructField(last, BooleanType())])
+    scanned = stored(ranged.mapInArrow(_segment_scan(page, digest, prev, seen, last, segment), schema), "change-scan")
+
+    # one row per partition: what the partition before it ends with
+    ends = scanned.filter(F.col(last)).select(F.col(segment).alias("_s"), F.col(page).alias("_p"),
+                                              F.col(digest).alias("_d"))
+    by_segment = Window.orderBy("_s")
+    ends = ends.select("_s", F.lag("_p").over(by_segment).alias("_p"),
+                       F.struct(F.lag("_d").over(by_segment).alias("digest")).alias(carry))
+    # a page's first row in a partition follows the partition before, or else the prior state
+    heads = scanned.filter(~F.col(seen))
+    heads = heads.join(ends, (F.col(segment) == F.col("_s")) & (F.col(page) == F.col("_p")), "left")
+    before = F.col(carry)
     if prior_state is not None:
-        # the first bucket of a page carries what earlier runs logged: a join with
-        # one row per page and bucket, not with the captures
-        prior = prior_state.select(page, F.struct(F.col(digest).alias("digest")).alias("_prior"))
-        summary = summary.join(prior, page, "left").select(
-            page, "_bucket", F.coalesce("_carry", "_prior").alias("_carry"))
-
-    out = cur.join(summary, [page, "_bucket"], "left")
-    prev = F.coalesce(F.col("_prev"), F.col("_carry"))
-    status = (F.when(prev.isNull(), F.lit(NEW))
-               .when(prev["digest"].eqNullSafe(F.col(digest)), F.lit(UNCHANGED))
+        prior = prior_state.select(F.col(page).alias("_page"), F.struct(F.col(digest).alias("digest")).alias("_prior"))
+        heads = heads.join(prior, F.col(page) == F.col("_page"), "left")
+        before = F.coalesce(before, F.col("_prior"))
+    rows = heads.select(*cols, before.alias(prev)).unionByName(
+        scanned.filter(F.col(seen)).select(*cols, F.struct(F.col(prev).alias("digest")).alias(prev)))
+    known = F.col(prev)            # NULL only where no capture came before
+    status = (F.when(known.isNull(), F.lit(NEW))
+               .when(known["digest"].eqNullSafe(F.col(digest)), F.lit(UNCHANGED))
                .otherwise(F.lit(CHANGED)))
-    return out.select(*[F.col(c) for c in cols], prev["digest"].alias("prev_digest"),
-                      status.alias("status"))
+    return rows.select(*[F.col(c) for c in cols], known["digest"].alias("prev_digest"),
+                       status.alias("status"))
 
 
 def rejected(captures: DataFrame, page: str = "page_uid", digest: str = "data_uid",

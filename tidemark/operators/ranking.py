@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.session import shared_path
+from tidemark.session import stored
 
 #: ``monotonically_increasing_id`` is the partition, shifted by this, plus the row's place in it.
 PARTITION_SHIFT = 33
@@ -37,16 +37,13 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], group: Sequence[st
     ``group`` and ``order`` stay together, so ``order`` should tell rows apart.  Rows equal
     in both get any of their places.
     """
-    spark, names = df.sparkSession, df.columns
+    names = df.columns
     at, part, first, n, before, size = (unused(names, f"_{x}") for x in
                                         ("at", "part", "first", "n", "before", "size"))
     by = [*(F.col(g) for g in group), *(F.col(o) if isinstance(o, str) else o for o in order)]
     placed = df.repartitionByRange(*by).sortWithinPartitions(*by) \
                .withColumn(at, F.monotonically_increasing_id())
-    path = shared_path(spark, "ranked")
-    placed.write.parquet(path)
-    placed = spark.read.schema(placed.schema).parquet(path) \
-                  .withColumn(part, F.shiftright(at, PARTITION_SHIFT))
+    placed = stored(placed, "ranked").withColumn(part, F.shiftright(at, PARTITION_SHIFT))
     runs = placed.groupBy(*group, part).agg(F.min(at).alias(first), F.count(F.lit(1)).alias(n))
     # one row for each partition and group
     so_far = Window.partitionBy(*group).orderBy(part)

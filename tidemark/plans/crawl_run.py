@@ -63,9 +63,8 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
     state = _state(spark, p.table("state"), prior_run_id)
     # kinds that never consult the change log are neither hashed nor compared
     res = rf.refresh(captures.filter(change.is_gated()), prior_state=state)
-    # one row per capture, used by every branch below: computed once
-    decisions = res.decisions.select("capture_seq", "kind", "decision", "emit_items",
-                                     "follow_children").checkpoint(eager=True)
+    # one row per capture, used by every branch below: written once by refresh
+    decisions = res.decisions.select("capture_seq", "kind", "decision", "emit_items", "follow_children")
 
     def emitted(rows: DataFrame) -> DataFrame:
         return rows.join(decisions.filter(F.col("emit_items")).select("capture_seq"),

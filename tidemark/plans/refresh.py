@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators import change
+from tidemark.session import stored
 
 
 @dataclass
@@ -26,15 +27,17 @@ def refresh(captures: DataFrame, prior_state: DataFrame | None = None,
             policy: dict[str, change.KindPolicy] | None = None,
             materialize: bool = True) -> RefreshResult:
     """H1 + C6 + E2 + I2 + A5.  Bodies are hashed once and dropped; the
-    fingerprints (keys and digests only) are checkpointed into the shared
-    checkpoint folder, so the change window and its summary never re-read
-    bodies and a lost executor does not recompute the hashing."""
+    fingerprints (keys and digests only) are written to the shared folder, so the
+    change scan never re-reads bodies and a lost executor does not recompute the
+    hashing.  The decisions are written as well: the log, the state and every
+    caller's branch read one status."""
     fp = change.add_fingerprints(captures.select("capture_seq", "kind", "url", "body")).drop("body")
     if materialize:
-        fp = fp.checkpoint(eager=True)
+        fp = stored(fp, "fingerprints")
     fp, bad = change.rejected(fp)
-    status = change.change_status(fp, prior_state=prior_state)
-    decisions = change.fetch_decision(status, policy=policy)
+    decisions = change.fetch_decision(change.change_status(fp, prior_state=prior_state), policy=policy)
+    if materialize:
+        decisions = stored(decisions, "decisions")
     delta = change.log_delta(decisions.filter(change.is_gated(policy=policy))).select(
         F.lit(None).cast("string").alias("page_name"), "page_uid",
         F.col("url").alias("page_url"), "data_uid", "capture_seq")

@@ -18,6 +18,7 @@ from tidemark.functions.regex import regex_matches
 from tidemark.functions.urls import from_template, url_host, host_allowed
 from tidemark.operators import change, extract, frontier as fr, levels, lineage, markup, sinks, spec
 from tidemark.schemas import VERSION, ColumnRule
+from tidemark.session import stored
 from tidemark.sources.dimensions import spec_dictionary
 from tidemark.sources.tables import read_table
 
@@ -41,7 +42,8 @@ def event_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fingerprinted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return change.add_fingerprints(event_captures(spark, sf_dir)).drop("body")
+    """Hashed once: the change scan samples its ranges from the written fingerprints."""
+    return stored(change.add_fingerprints(event_captures(spark, sf_dir)).drop("body"), "fingerprints")
 
 
 def q_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +91,7 @@ def q_fetch_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_latest_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    caps = _fingerprinted_events(spark, sf_dir)
+    caps = change.add_fingerprints(event_captures(spark, sf_dir)).drop("body")
     return change.latest_by_key(caps, "page_uid", "capture_seq", ["capture_seq", "data_uid"])
 
 

@@ -22,12 +22,13 @@ def test_building_starts_no_job(spark):
 
 def test_unreadable_target_fails(spark):
     import pytest
-    from tidemark.plans.crawl_run import _earlier
+    from tidemark.schemas import BRAND
+    from tidemark.sources.bucketed import BucketedTarget
     root = shared_path(spark, "t-unreadable")
-    assert _earlier(spark, f"{root}/none", 1) is None
-    spark.createDataFrame([("x",)], "value string").write.text(f"{root}/text")
+    assert BucketedTarget(spark, f"{root}/none", BRAND, 1).earlier() is None
+    spark.createDataFrame([("x",)], "value string").write.text(f"{root}/text/key_bucket=1/run_id=0")
     with pytest.raises(Exception):
-        _earlier(spark, f"{root}/text", 1)
+        BucketedTarget(spark, f"{root}/text", BRAND, 1).earlier().collect()
 
 
 def test_null_digest_keeps_a_page_seen(spark):

@@ -2,7 +2,8 @@
 
 Positions come from ``posexplode`` inside one response body, so priorities
 need no shuffle.  The plan is ordered by (priority desc, order) with a range
-partitioned sort only when an ordered table is asked for.
+partitioned sort only when an ordered table is asked for, and numbered by ranges and
+offsets (``ranking``), never in one window over all requests.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.paging import page_count, page_numbers
 from tidemark.functions.urls import host_allowed
+from tidemark.operators.ranking import global_rank
 
 REQUEST_COLUMNS = ["parent_id", "kind", "url", "priority", "capture_seq", "pos"]
 
@@ -36,6 +38,12 @@ def expand_pages(df: DataFrame, count: str, page_size: int, page: str = "page")
     return df.select("*", F.explode(page_numbers(n)).alias(page))
 
 
+def ranked(requests_: DataFrame) -> DataFrame:
+    """the place of each request in the queue, from 1: priority (desc), arrival, position;
+    requests of one place in a response stand by kind, parent and url."""
+    return global_rank(requests_, [F.col("priority").desc(), "capture_seq", "pos", "kind", "parent_id", "url"])
+
+
 def frontier(parts: list[DataFrame], allowed_domains: list[str] | None = None,
              ordered: bool = False) -> DataFrame:
     """G2 (+ B9, F2): union of child requests of all kinds; off-domain URLs

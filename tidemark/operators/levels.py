@@ -66,21 +66,24 @@ def classify(headlines: DataFrame, levels: DataFrame, car_key: str = "car_third_
 
 def assign_levels(search_links: DataFrame, cars: DataFrame, headlines: DataFrame,
                   levels: DataFrame, existing: DataFrame | None = None,
-                  car_key: str = "third_id", synonyms: dict[str, str] | None = None) -> DataFrame:
+                  car_key: str = "third_id", synonyms: dict[str, str] | None = None,
+                  candidates: DataFrame | None = None) -> DataFrame:
     """Links to add to car2level (car_third_id, level_id, branch, ...).
 
     ``search_links`` (car_third_id, level_id, capture_seq, pos) come first;
     candidates for the text branch are cars with no link in ``existing``
-    UNION the search links, since the search branch commits first.
+    UNION the search links, since the search branch commits first; who has found
+    them already passes them as ``candidates`` (car_third_id).
     ``headlines`` is (car_third_id, capture_seq, headline).
     """
     search = search_links.select("car_third_id", F.col("level_id").cast("int").alias("level_id"),
                                  F.lit(0).alias("branch"), "capture_seq", "pos")
-    linked = search.select("car_third_id")
-    if existing is not None:
-        linked = linked.unionByName(existing.select("car_third_id"))
-    cand = unassigned(cars, linked, car_key=car_key).select(F.col(car_key).alias("car_third_id"))
-    texts = headlines.join(cand, "car_third_id", "left_semi")
+    if candidates is None:
+        linked = search.select("car_third_id")
+        if existing is not None:
+            linked = linked.unionByName(existing.select("car_third_id"))
+        candidates = unassigned(cars, linked, car_key=car_key).select(F.col(car_key).alias("car_third_id"))
+    texts = headlines.join(candidates, "car_third_id", "left_semi")
     by_text = classify(texts, levels, synonyms=synonyms).select(
         "car_third_id", F.col("level_id").cast("int").alias("level_id"), F.lit(1).alias("branch"),
         "capture_seq", F.col("link_pos").alias("pos"))

@@ -6,8 +6,9 @@ Scale notes
 * ``first_by_key`` is an aggregation (``min`` of a struct led by the order
   columns), so it combines map-side: a key holding a third of the rows costs
   one partial row per map task, never one task holding the group.
-* ``insert_if_absent`` reads only the key columns of the target, deduplicates
-  the source before the anti join, and lets the planner pick broadcast (small
+* ``insert_if_absent`` reads only the key columns of the target, and of a bucketed
+  target only the buckets that the batch's keys fall in; it deduplicates the
+  source before the anti join, and lets the planner pick broadcast (small
   target, size known from statistics) or a shuffled anti join.
 * ``attach_asset`` is a single left join: brands without a logo request pass
   through, brands with one need a successful asset.
@@ -16,10 +17,15 @@ Scale notes
 from __future__ import annotations
 
 from functools import reduce
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.schemas import ColumnRule, TargetSpec
+from tidemark.session import stored
+
+if TYPE_CHECKING:
+    from tidemark.sources.bucketed import BucketedTarget
 
 
 def _any(cols: list[Column]) -> Column:
@@ -86,7 +92,7 @@ def first_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return out.select(*keys, *[F.col("_first")[c].alias(c) for c in order + payload])
 
 
-def insert_if_absent(target: DataFrame | None, source: DataFrame, keys: list[str],
+def insert_if_absent(target: DataFrame | BucketedTarget | None, source: DataFrame, keys: list[str],
                      order: list[str]) -> DataFrame:
     """The source rows a first-write-wins insert would add.
 
@@ -94,6 +100,9 @@ def insert_if_absent(target: DataFrame | None, source: DataFrame, keys: list[str
     removed (anti join on equality, so NULL keys are never matched).
     """
     first = first_by_key(source, keys, order)
+    if target is not None and not isinstance(target, DataFrame):
+        first = stored(first, "first-rows")       # read for its buckets and for the join
+        target = target.holding(first)
     if target is None:
         return first
     # once each, combined map-side: a key that fills the target is one row here

@@ -4,22 +4,26 @@ P4 (change gate) -> P1 (brand, car, version) + P2 (version_attr) + P3
 (car2level) -> first-write-wins appends and quarantine -> change log ->
 P5 (next requests).  Every output is a parquet folder under ``out_root``
 partitioned by ``run_id``: run N reads only the folders of earlier runs as
-its targets and state, and overwrites only its own folder, so a failed or
+its targets and state, and overwrites only its own folders, so a failed or
 repeated run N rewrites the same rows and never reads its own first attempt.
 Entities are written before the log.
+
+A run's work follows its batch: the targets and the change state lie in key
+buckets (``sources.bucketed``), of which it reads and writes those that its keys fall in.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.config import DEFAULT_SITE, SiteTemplates
 from tidemark.operators import change, extract, levels as lv, lineage, sinks
 from tidemark.plans import catalogue, fetch_plan, level_assignment, refresh as rf, spec_documents
-from tidemark.schemas import CAR2LEVEL, CHANGE_LOG
+from tidemark.schemas import BRAND, CAR, CAR2LEVEL, CHANGE_LOG, VERSION, VERSION_ATTR
+from tidemark.session import stored
+from tidemark.sources.bucketed import KEY_BUCKETS, STATE_BUCKETS, BucketedState, BucketedTarget
 from tidemark.sources.dimensions import spec_dictionary
 
 TABLES = ("brand", "car", "version", "version_attr", "car2level", "change_log", "quarantine",
@@ -34,35 +38,21 @@ class RunPaths:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def _earlier(spark: SparkSession, path: str, run_id: int) -> DataFrame | None:
-    """Rows written by runs before ``run_id`` (partition pruning on run_id);
-    None when nothing was written yet."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return df.filter(F.col("run_id") < run_id).drop("run_id")
-
-
-def _state(spark: SparkSession, path: str, prior_run_id: int | None) -> DataFrame | None:
-    return None if prior_run_id is None else spark.read.parquet(f"{path}/run_id={prior_run_id}")
-
-
 def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: int,
               prior_run_id: int | None = None, level_dim: DataFrame | None = None,
               manifest: DataFrame | None = None,
-              site: SiteTemplates = DEFAULT_SITE) -> dict[str, DataFrame]:
+              site: SiteTemplates = DEFAULT_SITE, key_buckets: int = KEY_BUCKETS,
+              state_buckets: int = STATE_BUCKETS) -> dict[str, DataFrame]:
     """Process one batch of captures as run ``run_id``; ``prior_run_id`` names
     the run whose change state this one continues.  Returns the written
     frames by name, the requests that follow from this batch as ``plan`` and
     those that begin a crawl as ``start``."""
     p = RunPaths(out_root)
-    _existing = lambda s, path: _earlier(s, path, run_id)
-    state = _state(spark, p.table("state"), prior_run_id)
+    targets = {t.name: BucketedTarget(spark, p.table(t.name), t, run_id, key_buckets)
+               for t in (BRAND, CAR, VERSION, VERSION_ATTR, CAR2LEVEL)}
+    state = BucketedState(spark, p.table("state"), prior_run_id, state_buckets)
     # kinds that never consult the change log are neither hashed nor compared
-    res = rf.refresh(captures.filter(change.is_gated()), prior_state=state)
+    res = rf.refresh(captures.filter(change.is_gated()), prior_state=state.of)
     # one row per capture, used by every branch below: written once by refresh
     decisions = res.decisions.select("capture_seq", "kind", "decision", "emit_items", "follow_children")
 
@@ -89,10 +79,10 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
     for name, fn in (("brand", lambda t: catalogue.store_brands(emitted(b_rows), manifest, t)),
                      ("car", lambda t: catalogue.store_cars(emitted(c_rows), t)),
                      ("version", lambda t: catalogue.store_versions(emitted(v_rows), t))):
-        r = fn(_existing(spark, p.table(name)))
-        added = r.added.drop("capture_seq", "pos")
-        sinks.append_rows(sinks.with_audit_columns(added), p.table(name), run_id)
-        out[name] = added
+        r = fn(targets[name])
+        # kept: the target, the audit lines and the plan read it
+        out[name] = stored(r.added.drop("capture_seq", "pos"), name)
+        targets[name].append(sinks.with_audit_columns(out[name]))
         quarantine.append(r.quarantine.select(F.lit(name).alias("target"), "capture_seq",
                                               F.col("reason")))
     for kind, rows in (("car_list", c_all), ("version_list", v_all)):
@@ -109,27 +99,28 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
     # one row a page, kept: the target rows, the rejects and the audit lines read it,
     # so each page is tokenised once
     docs = spec_documents.documents(spec_pages, spec_dictionary(spark)).checkpoint(eager=True)
-    attrs, bad = spec_documents.store(docs, _existing(spark, p.table("version_attr")))
-    sinks.append_rows(attrs.drop("capture_seq", "pos"), p.table("version_attr"), run_id)
+    attrs, bad = spec_documents.store(docs, targets["version_attr"])
+    targets["version_attr"].append(attrs.drop("capture_seq", "pos"))
     out["version_attr"] = attrs
     quarantine.append(bad.select(F.lit("version_attr").alias("target"), "capture_seq", "reason"))
 
     if level_dim is not None:
-        before = _existing(spark, p.table("car"))
+        before = targets["car"].earlier()
         cars_now = out["car"].select("third_id", "en_name")
         if before is not None:
             cars_now = before.select("third_id", "en_name").unionByName(cars_now)
-        links = _existing(spark, p.table("car2level"))
+        links = targets["car2level"].earlier()
         # never gated, so their bodies are not joined with the decisions
         level_caps = captures.filter(F.col("kind").isin("level_search", "car_page")).select(
             "capture_seq", "kind", "url", "parent_id", "body")
-        lr = level_assignment.assign(level_caps, cars_now, level_dim, existing=links)
+        lr = level_assignment.assign(level_caps, cars_now, level_dim, existing=links,
+                                     target=targets["car2level"])
         # kept: the target, the rejects and the plan read the links
         added, bad = sinks.split_valid(sinks.conform(
             lr.added.checkpoint(eager=True), CAR2LEVEL, carry=["capture_seq"]))
         added_links = added.drop("capture_seq")
         quarantine += [lr.quarantine, bad.select(F.lit("car2level").alias("target"), "capture_seq", "reason")]
-        sinks.append_rows(added_links, p.table("car2level"), run_id)
+        targets["car2level"].append(added_links)
         out["car2level"] = added_links
         out["level_totals"] = lr.totals
         # cars still without a level after this run get their car page fetched
@@ -147,7 +138,7 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
 
     # log last, then the next state
     sinks.append_rows(sinks.with_audit_columns(log), p.table("change_log"), run_id)
-    res.next_state.write.mode("overwrite").parquet(f"{p.table('state')}/run_id={run_id}")
+    state.advance(res.log_delta, run_id)
     out["change_log"] = log
 
     # B6/B7 + C5: the console lines as data -- one per entity of a non-dropped
@@ -166,8 +157,7 @@ def run_batch(spark: SparkSession, captures: DataFrame, out_root: str, run_id: i
             lineage.audit_label(lineage.kind_tag(F.lit(kind)), name, mark).alias("line")))
     # spec pages are named through the stored version, car and brand; only new or
     # changed ones reach this line, which bears no mark
-    full = lineage.version_full_names(*(spark.read.parquet(p.table(t)).filter(F.col("run_id") <= run_id)
-                                        for t in ("version", "car", "brand")))
+    full = lineage.version_full_names(*(targets[t].upto(run_id) for t in ("version", "car", "brand")))
     named = docs.select("capture_seq", F.lit(0).alias("pos"),
                         F.col("car_version_third_id").try_cast("int").alias("third_id")) \
         .join(full.select("third_id", "full_name"), "third_id")

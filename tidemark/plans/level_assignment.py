@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators import extract, levels, markup, sinks
 from tidemark.schemas import CAR2LEVEL
+from tidemark.session import stored
 
 
 @dataclass
@@ -46,8 +47,11 @@ def search_links(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def assign(captures: DataFrame, cars: DataFrame, level_dim: DataFrame,
            existing: DataFrame | None = None,
-           synonyms: dict[str, str] | None = None) -> LevelResult:
-    rows = search_result_rows(captures)
+           synonyms: dict[str, str] | None = None, target=None) -> LevelResult:
+    """``existing`` holds all links of earlier runs; ``target`` (default: the same) is
+    what the insert compares with, and may be a bucketed target."""
+    # a search body is parsed once: links, rejects and totals read the rows
+    rows = stored(search_result_rows(captures), "search-rows")
     links, bad = search_links(rows)
     car_pages = captures.filter(F.col("kind") == "car_page").select(
         "capture_seq", F.col("parent_id").try_cast("int").alias("car_third_id"), "body")
@@ -57,12 +61,13 @@ def assign(captures: DataFrame, cars: DataFrame, level_dim: DataFrame,
     linked = links.select("car_third_id")
     if existing is not None:
         linked = linked.unionByName(existing.select("car_third_id"))
-    open_cars = levels.unassigned(cars, linked).select(F.col("third_id").alias("car_third_id"))
+    open_cars = stored(levels.unassigned(cars, linked).select(F.col("third_id").alias("car_third_id")),
+                       "open-cars")
     car_pages = car_pages.join(open_cars, "car_third_id", "left_semi")
     heads = markup.headline_text(car_pages, markup.CAR_LEVEL_PATH,
                                  key=["capture_seq", "car_third_id"])
-    added = levels.assign_levels(links, cars, heads, level_dim, existing=existing,
-                                 synonyms=synonyms)
+    added = levels.assign_levels(links, cars, heads, level_dim, existing=existing if target is None else target,
+                                 synonyms=synonyms, candidates=open_cars)
     totals = levels.reported_totals(rows.filter(F.col("level_id").isNotNull() & F.col("parsed_ok")), level="level_id", page="page",
                                     seq="capture_seq")
     total = levels.grand_total(totals, added=added.filter(F.col("branch") == 1))

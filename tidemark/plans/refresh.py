@@ -7,6 +7,7 @@ captures or entity rows whose items are emitted.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -23,18 +24,24 @@ class RefreshResult:
     quarantine: DataFrame    # capture_seq, reason: captures without url, body or order
 
 
-def refresh(captures: DataFrame, prior_state: DataFrame | None = None,
+def refresh(captures: DataFrame,
+            prior_state: DataFrame | Callable[[DataFrame], DataFrame | None] | None = None,
             policy: dict[str, change.KindPolicy] | None = None,
             materialize: bool = True) -> RefreshResult:
     """H1 + C6 + E2 + I2 + A5.  Bodies are hashed once and dropped; the
     fingerprints (keys and digests only) are written to the shared folder, so the
     change scan never re-reads bodies and a lost executor does not recompute the
     hashing.  The decisions are written as well: the log, the state and every
-    caller's branch read one status."""
+    caller's branch read one status.
+
+    ``prior_state`` may be a function from the batch's pages (page_uid) to their state;
+    ``next_state`` then holds those pages and the logged ones only."""
     fp = change.add_fingerprints(captures.select("capture_seq", "kind", "url", "body")).drop("body")
     if materialize:
         fp = stored(fp, "fingerprints")
     fp, bad = change.rejected(fp)
+    if callable(prior_state):
+        prior_state = prior_state(fp.select("page_uid").distinct())
     decisions = change.fetch_decision(change.change_status(fp, prior_state=prior_state), policy=policy)
     if materialize:
         decisions = stored(decisions, "decisions")

@@ -238,6 +238,64 @@ ORACLE_SQL = {
         SELECT CAST(page_id AS VARCHAR), 'spec_page', printf('{_TPL_SPEC}', CAST(page_id AS VARCHAR)),
                0, page_id, 0
         FROM pages""",
+    "frontier_rank": f"""
+        WITH r AS (
+          SELECT CAST(page_id AS VARCHAR) AS parent_id, 'link' AS kind, 'http://links.example' || h AS url,
+                 CAST(10000 - i AS INTEGER) AS priority, page_id AS capture_seq, CAST(i - 1 AS INTEGER) AS pos
+          FROM ({_ANCHORS})
+          UNION ALL
+          SELECT CAST(page_id AS VARCHAR), 'spec_page', printf('{_TPL_SPEC}', CAST(page_id AS VARCHAR)),
+                 0, page_id, 0
+          FROM pages)
+        SELECT *, row_number() OVER (ORDER BY priority DESC, capture_seq, pos, kind, parent_id, url) AS rank
+        FROM r""",
+    "state_store_log": f"""
+        WITH r AS (SELECT min(event_id) AS lo, (max(event_id) - min(event_id)) // 3 + 1 AS step FROM events),
+             c AS (SELECT e.*, CASE (event_id - lo) // step WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 2 END AS batch_id
+                   FROM ({_EVENT_CAPTURES}) e, r),
+             s AS (SELECT *, lag(data_uid) OVER (PARTITION BY page_uid ORDER BY batch_id, event_id) AS prev
+                   FROM c)
+        SELECT event_id, page_uid, data_uid FROM s WHERE prev IS NULL OR prev <> data_uid""",
+    "bucketed_target": """
+        WITH src AS (SELECT sha1(text) AS doc_key, doc_id, lang, source FROM documents),
+             one AS (SELECT 1 AS run_id, * FROM src WHERE lang = 'en'
+                     QUALIFY row_number() OVER (PARTITION BY doc_key ORDER BY doc_id) = 1),
+             two AS (SELECT 2 AS run_id, * FROM src WHERE doc_key NOT IN (SELECT doc_key FROM one)
+                     QUALIFY row_number() OVER (PARTITION BY doc_key ORDER BY doc_id) = 1)
+        SELECT *, true AS created, true AS never_updated FROM (SELECT * FROM one UNION ALL SELECT * FROM two)""",
+    "two_runs": f"""
+        WITH listed AS (SELECT 1 AS run_id, * FROM customer WHERE c_mktsegment <> 'BUILDING'
+                        UNION ALL SELECT 2, * FROM customer),
+             cars AS (SELECT *, CAST(floor(c_custkey / 100) AS BIGINT) AS block,
+                             bool_or(c_mktsegment = 'BUILDING')
+                                 OVER (PARTITION BY run_id, c_nationkey, floor(c_custkey / 100)) AS grown
+                      FROM listed),
+             emitted AS (SELECT *, coalesce(c_acctbal < 0, false) AS owes FROM cars WHERE run_id = 1 OR grown)
+        SELECT run_id, 'car' AS target, CAST(c_custkey AS VARCHAR) AS item, c_name AS detail
+        FROM emitted WHERE NOT owes AND (run_id = 1 OR c_mktsegment = 'BUILDING')
+        UNION ALL
+        SELECT DISTINCT run_id, 'change_log',
+               printf('{_TPL_CARS}', CAST(c_nationkey AS VARCHAR)) || '?block=' || CAST(block AS VARCHAR), NULL
+        FROM emitted
+        UNION ALL
+        SELECT run_id, 'quarantine/car',
+               CAST(run_id * 1000000000000 + CAST(c_nationkey AS BIGINT) * 1000000 + block AS VARCHAR),
+               'type:factory_third_id'
+        FROM emitted WHERE owes""",
+    "level_dimension": f"""
+        WITH {_LEVELS}
+        SELECT CAST(id AS BIGINT) AS id, CAST(level_id AS INTEGER) AS level_id, level_name,
+               CAST(parent AS INTEGER) AS parent_level_id FROM lv""",
+    "asset_pass_through": f"""
+        WITH m AS (SELECT o_custkey,
+                          arg_min(printf('full/%s.png', CAST(o_orderkey AS VARCHAR)), o_orderkey) AS logo
+                   FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey)
+        SELECT c_custkey AS third_id, CASE WHEN c_mktsegment <> 'HOUSEHOLD'
+                   THEN printf('{_TPL_LOGO}', CAST(c_custkey AS VARCHAR)) END AS remote_logo,
+               CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN m.logo END AS logo
+        FROM customer LEFT JOIN m ON m.o_custkey = c_custkey
+        WHERE m.logo IS NOT NULL OR c_mktsegment = 'HOUSEHOLD'""",
+    "utf8_bodies": "SELECT doc_id, length(text) AS n_chars, md5(text) AS digest FROM documents",
     "allowed_hosts": """
         SELECT page_id, host FROM (
           SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)) AS host

@@ -15,9 +15,10 @@ from pyspark.sql.types import StringType
 from tidemark.config import DEFAULT_SITE
 from tidemark.functions.digest import sha1_hex
 from tidemark.functions.regex import regex_matches
+from tidemark.functions.text import utf8_text
 from tidemark.functions.urls import from_template, url_host, host_allowed
 from tidemark.operators import change, extract, frontier as fr, levels, lineage, markup, sinks, spec
-from tidemark.schemas import VERSION, ColumnRule
+from tidemark.schemas import VERSION, ColumnRule, TargetSpec
 from tidemark.session import stored
 from tidemark.sources.dimensions import spec_dictionary
 from tidemark.sources.tables import read_table
@@ -365,7 +366,8 @@ def q_link_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(status == "P", F.col("o_orderpriority")).otherwise(F.lit("7")).alias("parent_id"),
         F.when(F.col("o_orderpriority") == "1-URGENT", listed)
          .otherwise(F.concat(listed, F.lit('"}]}'))).alias("body"))
-    _links, bad = level_assignment.search_links(level_assignment.search_result_rows(caps))
+    # parsed once, as in a run: links and rejects read the rows
+    _links, bad = level_assignment.search_links(stored(level_assignment.search_result_rows(caps), "search-rows"))
     return bad.select("target", F.col("capture_seq").cast("long").alias("capture_seq"), "reason")
 
 
@@ -393,9 +395,9 @@ def q_page_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(str(DEFAULT_SITE.page_size))).alias("url"))
 
 
-def q_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E3 + G2 + F2: link children (priority by position in the page) and
-    one spec-page child per page (priority 0), ordered."""
+def _page_requests(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Link children (priority by position in the page) and one spec-page child per
+    page (priority 0)."""
     a = _anchors(spark, sf_dir).withColumn("capture_seq", F.col("page_id"))
     links = fr.requests(a, "link", from_template("http://links.example%s", F.col("href")),
                         fr.position_priority(10000), "page_id")
@@ -404,7 +406,17 @@ def q_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = fr.requests(pages, "spec_page",
                         from_template(DEFAULT_SITE.spec_page, F.col("page_id").cast("string")),
                         F.lit(0), "page_id")
-    return fr.frontier([links, specs], ordered=True)
+    return [links, specs]
+
+
+def q_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 + G2 + F2: the requests of all pages, ordered."""
+    return fr.frontier(_page_requests(spark, sf_dir), ordered=True)
+
+
+def q_frontier_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the place of every request in the queue."""
+    return fr.ranked(fr.frontier(_page_requests(spark, sf_dir)))
 
 
 def q_allowed_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -520,16 +532,15 @@ def q_catalogue_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.added.select("third_id", "name", "remote_logo", "logo", "capture_seq", "pos")
 
 
-def car_list_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Brand car lists (JSONP, dynamic keys) built from customers: one page
-    per nation and block of 100 customer keys, so no page is unbounded."""
-    c = read_table(spark, sf_dir, "customer")
+def _car_list_pages(c: DataFrame, goid) -> DataFrame:
+    """(c_nationkey, _block, body): a JSONP list with dynamic keys per nation and block of
+    100 customer keys, so no page is unbounded."""
     value = F.struct(
         F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
         F.concat_ws(" ", "c_name", "c_mktsegment").alias("showName"),
         F.lower(F.regexp_replace("c_name", "#", "")).alias("urlSpell"),
         F.col("c_nationkey").cast("string").alias("pid"),
-        (F.col("c_nationkey") * 10).cast("string").alias("goid"),
+        goid.alias("goid"),
         F.col("c_mktsegment").alias("goname"), F.lit("0").alias("csSale"))
     block = F.floor(F.col("c_custkey") / F.lit(100)).cast("long")
     pages = c.withColumn("_block", block).groupBy("c_nationkey", "_block").agg(
@@ -538,10 +549,15 @@ def car_list_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
             value.alias("v")))).alias("_e"))
     entries = F.transform("_e", lambda x: F.struct(x["k"].alias("key"), x["v"].alias("value")))
     body = F.concat(F.lit('requestDatalist["x"]='), F.to_json(F.map_from_entries(entries)), F.lit(";"))
+    return pages.select("c_nationkey", "_block", body.alias("body"))
+
+
+def car_list_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brand car lists built from customers."""
+    pages = _car_list_pages(read_table(spark, sf_dir, "customer"), (F.col("c_nationkey") * 10).cast("string"))
     return pages.select(
         (F.col("c_nationkey").cast("long") * 1000000 + F.col("_block")).alias("capture_seq"),
-        F.lit("car_list").alias("kind"), F.col("c_nationkey").cast("string").alias("parent_id"),
-        body.alias("body"))
+        F.lit("car_list").alias("kind"), F.col("c_nationkey").cast("string").alias("parent_id"), "body")
 
 
 def q_catalogue_cars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -736,6 +752,131 @@ def q_late_capture_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "batch_id", F.col("capture_seq").alias("event_id"), "page_uid", "data_uid")
 
 
+def q_state_store_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1, state-store form, with late captures: the middle third of the ids is an earlier
+    run, whose compacted log is the initial state; the last third and then the first arrive
+    as a stream.  The log of all three follows arrival."""
+    from tidemark.session import shared_path
+    from tidemark.streaming.refresh import STATE_STORE_CONF, stateful_changes
+
+    log = ["capture_seq", "page_uid", "data_uid"]
+    caps = _fingerprinted_events(spark, sf_dir).select(*log)
+    lo, hi = caps.agg(F.min("capture_seq"), F.max("capture_seq")).first()
+    if lo is None:                      # no captures: an empty log
+        return spark.createDataFrame([], "event_id long, page_uid string, data_uid string")
+    step = (hi - lo) // len(LATE_ORDER) + 1
+    early, *rest = [caps.filter((F.col("capture_seq") >= lo + i * step) & (F.col("capture_seq") < lo + (i + 1) * step))
+                    for i in LATE_ORDER]
+    first = stored(change.log_delta(change.change_status(early), keep=log), "first-log")
+    state = stored(change.compact_state(first), "compacted-log")
+    for k, v in STATE_STORE_CONF.items():
+        spark.conf.set(k, v)
+    root = shared_path(spark, "state-store-log")
+    for part in rest:
+        part.write.mode("append").parquet(f"{root}/inbox")
+        arriving = spark.readStream.schema(caps.schema).parquet(f"{root}/inbox")
+        (stateful_changes(arriving, state).writeStream.format("parquet")
+         .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/out")
+         .trigger(availableNow=True).start().awaitTermination())
+    streamed = change.log_delta(spark.read.parquet(f"{root}/out"), keep=log)
+    return first.unionByName(streamed).withColumnRenamed("capture_seq", "event_id")
+
+
+# --------------------------------------------------------------------------
+# runs that follow each other on stored targets
+# --------------------------------------------------------------------------
+
+DOCUMENT_SPEC = TargetSpec("document", (
+    ColumnRule("doc_key", "string"), ColumnRule("doc_id", "bigint"),
+    ColumnRule("lang", "string"), ColumnRule("source", "string")), keys=("doc_key",))
+
+
+def q_bucketed_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 + C7 + H19 on a bucketed target: run 1 stores the English documents by text digest,
+    run 2 brings all of them and reads back the buckets of its keys."""
+    from tidemark.session import shared_path
+    from tidemark.sources.bucketed import BucketedTarget
+    docs = read_table(spark, sf_dir, "documents")
+    src = stored(docs.select(sha1_hex("text").alias("doc_key"), "doc_id", "lang", "source"), "document-keys")
+    path = shared_path(spark, "bucketed-target")
+    for run_id, rows in ((1, src.filter(F.col("lang") == "en")), (2, src)):
+        target = BucketedTarget(spark, path, DOCUMENT_SPEC, run_id, buckets=32)
+        target.append(sinks.with_audit_columns(sinks.insert_if_absent(target, rows, ["doc_key"], ["doc_id"])))
+    return BucketedTarget(spark, path, DOCUMENT_SPEC, 3, buckets=32).upto(2).select(
+        F.col("run_id").cast("int").alias("run_id"), "doc_key", "doc_id", "lang", "source",
+        F.col("created_time").isNotNull().alias("created"), F.col("updated_time").isNull().alias("never_updated"))
+
+
+def q_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1-P5 gated end to end, twice: car lists without the BUILDING customers, then with
+    them.  Cars with a debt bear a factory id that is no number.  What the targets, the change log and
+    the quarantine hold in the end, by run."""
+    from tidemark.plans.crawl_run import RunPaths, run_batch
+    from tidemark.schemas import CAR
+    from tidemark.session import shared_path
+    from tidemark.sources.bucketed import BucketedTarget
+    paths = RunPaths(shared_path(spark, "two-runs"))
+    c = read_table(spark, sf_dir, "customer")
+    goid = F.when(F.col("c_acctbal") < 0, F.lit("n/a")).otherwise((F.col("c_nationkey") * 10).cast("string"))
+    for run_id, listed in ((1, c.filter(F.col("c_mktsegment") != "BUILDING")), (2, c)):
+        caps = _car_list_pages(listed, goid).select(
+            (F.lit(run_id * 10 ** 12) + F.col("c_nationkey").cast("long") * 1000000 + F.col("_block")).alias("capture_seq"),
+            F.lit("car_list").alias("kind"),
+            F.concat(from_template(DEFAULT_SITE.car_list, F.col("c_nationkey").cast("string")), F.lit("?block="),
+                     F.col("_block").cast("string")).alias("url"),
+            F.col("c_nationkey").cast("string").alias("parent_id"), "body")
+        run_batch(spark, stored(caps, "captures"), paths.root, run_id, run_id - 1 or None,
+                  key_buckets=8, state_buckets=8)
+
+    def held(df: DataFrame, target, item, detail) -> DataFrame:
+        return df.select(F.col("run_id").cast("int").alias("run_id"), target.alias("target"),
+                         item.cast("string").alias("item"), detail.cast("string").alias("detail"))
+
+    cars = BucketedTarget(spark, paths.table("car"), CAR, 3).upto(2)
+    log = spark.read.parquet(paths.table("change_log"))
+    bad = spark.read.parquet(paths.table("quarantine"))
+    return held(cars, F.lit("car"), F.col("third_id"), F.col("name")) \
+        .unionByName(held(log, F.lit("change_log"), F.col("page_url"), F.lit(None))) \
+        .unionByName(held(bad, F.concat(F.lit("quarantine/"), F.col("target")), F.col("capture_seq"), F.col("reason")))
+
+
+# --------------------------------------------------------------------------
+# scans and items beside the main path
+# --------------------------------------------------------------------------
+
+def q_level_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: levels from a stored table whose ids are text and whose top levels name no parent."""
+    from tidemark.session import shared_path
+    from tidemark.sources.dimensions import level_dimension
+    path = shared_path(spark, "levels")
+    _levels(spark, sf_dir).select(
+        F.col("id").cast("string").alias("id"), F.col("level_id").cast("string").alias("level_id"), "level_name",
+        F.when(F.col("parent_level_id") != 0, F.col("parent_level_id")).cast("string").alias("parent_level_id"),
+        F.lit("x").alias("unread")).write.parquet(path)
+    return level_dimension(spark, path)
+
+
+def q_asset_pass_through(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Household customers ask for no logo and pass; of the others those whose
+    asset was stored."""
+    cust = read_table(spark, sf_dir, "customer")
+    logo = from_template(DEFAULT_SITE.brand_logo, F.col("c_custkey").cast("string"))
+    brands = cust.select(F.col("c_custkey").alias("third_id"),
+                         F.when(F.col("c_mktsegment") != "HOUSEHOLD", logo).alias("remote_logo"))
+    manifest = read_table(spark, sf_dir, "orders").select(
+        from_template(DEFAULT_SITE.brand_logo, F.col("o_custkey").cast("string")).alias("url"),
+        F.col("o_orderkey").alias("pos"), (F.col("o_orderstatus") == "F").alias("ok"),
+        F.format_string("full/%s.png", F.col("o_orderkey").cast("string")).alias("path"))
+    return sinks.attach_asset(brands, manifest)
+
+
+def q_utf8_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies that landed as bytes, decoded."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("body"))
+    text = utf8_text("body")
+    return docs.select("doc_id", F.char_length(text).cast("long").alias("n_chars"), F.md5(text).alias("digest"))
+
+
 H1_PATH = [markup.Step("h1")]
 
 
@@ -791,4 +932,11 @@ QUERIES = {
     "catalogue_brands": q_catalogue_brands,
     "catalogue_cars": q_catalogue_cars,
     "spec_sheet_documents": q_spec_sheet_documents,
+    "frontier_rank": q_frontier_rank,
+    "state_store_log": q_state_store_log,
+    "bucketed_target": q_bucketed_target,
+    "two_runs": q_two_runs,
+    "level_dimension": q_level_dimension,
+    "asset_pass_through": q_asset_pass_through,
+    "utf8_bodies": q_utf8_bodies,
 }

@@ -13,8 +13,9 @@
   replayed batch rewrites the same rows.  Written tables also cut lineage.
 
 ``transformWithStateInPandas`` form (``stateful_changes``):
-  the last digest per page lives in the state store as a value state; rows of
-  a page within a micro-batch are processed in ``capture_seq`` order.
+  the last digest per page lives in the state store as a value state, which starts from
+  the compacted log of earlier runs; rows of a page within a micro-batch are processed in
+  ``capture_seq`` order.
 
 Both compare captures in arrival order, as the crawl does: by batch, and by
 ``capture_seq`` within one.  A late capture (a smaller ``capture_seq`` in a
@@ -27,6 +28,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -169,10 +171,21 @@ def start_refresh_stream(captures: DataFrame, sink: RefreshSink, checkpoint: str
 
 # --------------------------------------------------------- state-store form
 
+#: Rows in one frame of the state-store form's output.
+OUT_ROWS = 1 << 14
 STATUS_SCHEMA = ("page_uid string, capture_seq long, data_uid string, "
                  "prev_digest string, status string")
 
 
+#: Settings that the state-store form needs (a session may set them from the start).
+STATE_STORE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # incremental checkpoints: a micro-batch uploads its changes, not the whole state
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def _processor_class():
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor
     from pyspark.sql.types import StringType, StructField, StructType
@@ -182,20 +195,31 @@ def _processor_class():
             self.last = handle.getValueState(
                 "last_digest", StructType([StructField("digest", StringType(), True)]))
 
+        def handleInitialState(self, key, initialState, timerValues) -> None:
+            """What earlier runs logged of the page: one row."""
+            for d in initialState["data_uid"]:
+                self.last.update((d,))
+
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            pdf = pd.concat(list(rows), ignore_index=True).sort_values("capture_seq")
+            # the store hands over a page's rows of one micro-batch in any order: only order
+            # values and digests are kept, as arrays, until all are there
+            parts = [(pdf["capture_seq"].to_numpy(), pdf["data_uid"].to_numpy(dtype=object)) for pdf in rows]
+            seqs, digests = (np.concatenate(x) for x in zip(*parts))
+            at = np.argsort(seqs, kind="stable")
             seen = self.last.exists()
-            prev = self.last.get()[0] if seen else None
-            prevs, statuses = [], []
-            for d in pdf["data_uid"]:
-                prevs.append(prev)
-                statuses.append(change.NEW if not seen else
-                                change.UNCHANGED if prev == d else change.CHANGED)
-                seen, prev = True, d
-            self.last.update((prev,))
-            yield pd.DataFrame({"page_uid": key[0], "capture_seq": pdf["capture_seq"].values,
-                                "data_uid": pdf["data_uid"].values, "prev_digest": prevs,
-                                "status": statuses})
+            first = self.last.get()[0] if seen else None
+            for i in range(0, len(at), OUT_ROWS):
+                some = at[i:i + OUT_ROWS]
+                d = digests[some]
+                prev = np.concatenate(([first], d[:-1]))
+                same = np.array([a == b for a, b in zip(prev, d)])
+                status = np.where(same, change.UNCHANGED, change.CHANGED).astype(object)
+                if not seen:
+                    status[0], seen = change.NEW, True
+                first = d[-1]
+                yield pd.DataFrame({"page_uid": key[0], "capture_seq": seqs[some], "data_uid": d,
+                                    "prev_digest": prev, "status": status})
+            self.last.update((first,))
 
         def close(self) -> None:
             pass
@@ -203,9 +227,14 @@ def _processor_class():
     return LastDigest
 
 
-def stateful_changes(fingerprinted: DataFrame) -> DataFrame:
-    """I1 with a value state per page (needs a state store provider that
-    supports ``transformWithState``, e.g. RocksDB)."""
+def stateful_changes(fingerprinted: DataFrame, initial_state: DataFrame | None = None) -> DataFrame:
+    """I1 with a value state per page (needs ``STATE_STORE_CONF``).  ``initial_state``
+    (page_uid, data_uid), one row per page, is the compacted log of earlier runs; the first
+    micro-batch loads it.  A page's rows of one micro-batch are held by one task, as two arrays:
+    ``maxFilesPerTrigger`` bounds them."""
+    initial = None if initial_state is None else \
+        initial_state.select("page_uid", "data_uid").groupBy("page_uid")
     return (fingerprinted.select("page_uid", "capture_seq", "data_uid")
             .groupBy("page_uid")
-            .transformWithStateInPandas(_processor_class()(), STATUS_SCHEMA, "Append", "None"))
+            .transformWithStateInPandas(_processor_class()(), STATUS_SCHEMA, "Append", "None",
+                                        initialState=initial))

@@ -147,43 +147,52 @@ def spec_sheet_rows(root: Node, scope_class: str = "config-section",
     (``@title``, ``span/@style``).  A title span without text is skipped.
     """
     # Fixed values below: class names and element paths of the spec sheet.
-    out: list[dict] = []
-    seen: set[int] = set()
-    scopes = [n for n in root.descendants() if n.tag == "div" and scope_class in n.classes]
-    for scope in scopes:
-        for inner in scope.descendants():
-            if not (inner.tag == "div" and inner_class in inner.classes) or id(inner) in seen:
+    found: list[list[dict]] = []          # the rows of each inner box, in document order
+    # one walk; a node knows whether it is in scope and which inner boxes hold it
+    stack: list[tuple[Node, bool, tuple]] = [(root, False, ())]
+    while stack:
+        n, scoped, boxes = stack.pop()
+        if n.tag == "div":
+            if scoped and inner_class in n.classes:
+                found.append([])
+                boxes = (*boxes, found[-1])
+            scoped = scoped or scope_class in n.classes
+        elif boxes and n.tag == "span" and n.attrs.get("class") == "title" and n.parent.tag == "td":
+            texts = n.texts()
+            if texts:
+                row = {"label": texts[0], **_cell(n.parent.next_sibling("td"))}
+                for rows in boxes:
+                    rows.append(row)
+        if n.kids:
+            stack.extend([(k, scoped, boxes) for k in reversed(n.kids)])
+    return [row for rows in found for row in rows]
+
+
+def _cell(cell: Node | None) -> dict:
+    """``info``, ``alt`` and ``colours`` of a value cell."""
+    info, alt, colours = [], [], []
+    if cell is not None:
+        info = [t for s in cell.elements()
+                if s.tag == "span" and s.attrs.get("class") == "info"
+                for t in s.texts()]
+        for d in cell.descendants():
+            if d.tag != "div":
                 continue
-            seen.add(id(inner))
-            for span in inner.descendants():
-                if span.tag != "span" or span.attrs.get("class") != "title":
-                    continue
-                if span.parent is None or span.parent.tag != "td":
-                    continue
-                texts = span.texts()
-                if not texts:
-                    continue
-                cell = span.parent.next_sibling("td")
-                info, alt, colours = [], [], []
-                if cell is not None:
-                    info = [t for s in cell.elements()
-                            if s.tag == "span" and s.attrs.get("class") == "info"
-                            for t in s.texts()]
-                    boxes = [(d, d.attrs.get("class")) for d in cell.descendants() if d.tag == "div"]
-                    alt = [t for d, cls in boxes if cls == "l" for t in d.texts()]
-                    for warp in (d for d, cls in boxes if cls == "focus-color-warp"):
-                        for li in warp.descendants():
-                            if li.tag != "li":
-                                continue
-                            for a in li.elements():
-                                if a.tag != "a" or "title" not in a.attrs:
-                                    continue
-                                styles = [s.attrs["style"] for s in a.elements()
-                                          if s.tag == "span" and "style" in s.attrs]
-                                if styles:
-                                    colours.append({"title": a.attrs["title"], "style": styles[0]})
-                out.append({"label": texts[0], "info": info, "alt": alt, "colours": colours})
-    return out
+            cls = d.attrs.get("class")
+            if cls == "l":
+                alt += d.texts()
+            elif cls == "focus-color-warp":
+                for li in d.descendants():
+                    if li.tag != "li":
+                        continue
+                    for a in li.elements():
+                        if a.tag != "a" or "title" not in a.attrs:
+                            continue
+                        styles = [s.attrs["style"] for s in a.elements()
+                                  if s.tag == "span" and "style" in s.attrs]
+                        if styles:
+                            colours.append({"title": a.attrs["title"], "style": styles[0]})
+    return {"info": info, "alt": alt, "colours": colours}
 
 
 @dataclass(frozen=True)
@@ -196,32 +205,40 @@ class Step:
     nth: int | None = None
 
 
-def _match(node: Node, step: Step) -> bool:
-    if node.tag != step.tag:
-        return False
-    if step.cls is not None and node.attrs.get("class") != step.cls:
-        return False
-    if step.nth is not None:
-        same = [s for s in (node.parent.elements() if node.parent else []) if s.tag == step.tag]
-        if len(same) < step.nth or same[step.nth - 1] is not node:
-            return False
-    return True
+def reached(root: Node, path: list[Step]) -> Iterator[Node]:
+    """The elements that ``path`` reaches, in document order: one walk, in which bit k of a
+    node's mask says that the first k + 1 steps end in it."""
+    last = 1 << (len(path) - 1)
+    stack: list[tuple[Node, int]] = [(root, 0)]
+    while stack:
+        node, mask = stack.pop()
+        if mask & last:
+            yield node
+        if not node.kids:
+            continue
+        count: dict[str, int] = {}
+        marked = []
+        for kid in node.kids:
+            nth = count[kid.tag] = count.get(kid.tag, 0) + 1
+            own = 0
+            for k, step in enumerate(path):
+                if (kid.tag == step.tag and (k == 0 or mask >> (k - 1) & 1)
+                        and (step.nth is None or step.nth == nth)
+                        and (step.cls is None or kid.attrs.get("class") == step.cls)):
+                    own |= 1 << k
+            marked.append((kid, own))
+        stack.extend(reversed(marked))
 
 
 def path_texts(root: Node, path: list[Step]) -> list[str]:
     """Direct text nodes of the elements reached by ``path``, in document order."""
-    frontier = [n for n in root.descendants() if _match(n, path[0])]
-    for step in path[1:]:
-        frontier = [c for n in frontier for c in n.elements() if _match(c, step)]
-    order = {id(n): i for i, n in enumerate(root.descendants())}
-    frontier.sort(key=lambda n: order[id(n)])
-    return [t for n in frontier for t in n.texts()]
+    return [t for n in reached(root, path) for t in n.texts()]
 
 
 def first_path_text(root: Node, path: list[Step]) -> list[dict]:
-    """The first text node reached by ``path`` (no row when there is none)."""
-    texts = path_texts(root, path)
-    return [{"text": texts[0]}] if texts else []
+    """The first text node reached by ``path`` (no row when there is none); the walk
+    ends there."""
+    return next(([{"text": t}] for n in reached(root, path) for t in n.texts()), [])
 
 
 def link_rows(root: Node, container: str = "nav") -> list[dict]:

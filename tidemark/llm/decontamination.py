@@ -18,8 +18,9 @@ The benchmark is read in blocks of at most ``BLOCK_CHARS`` characters on average
 number grows with it: each block is sent to all tasks, and documents are scanned once for
 each.  Texts are scanned whole, slice by slice.
 
-Items that are null or have fewer than ``MIN_CHARS`` characters can't tell a leak from
-common words and are not searched.  Null and empty texts have no match; repeated rows have
+Items of fewer than ``MIN_CHARS`` characters are found only as they are, at word borders (no
+letter or digit on either side).  Items that are null or have fewer than a q-gram's characters
+can't tell a leak from common words and are not searched.  Null and empty texts have no match; repeated rows have
 the same matches; a null id is returned as null; with an empty benchmark or table there is
 no row; extra columns are ignored (``clean`` keeps them).
 """
@@ -39,6 +40,8 @@ Q = 8
 RATE = 0.1
 MIN_CHARS = 24
 BLOCK_CHARS = 2_000_000
+#: Hits counted at a time; more are counted in overlapping parts of the text.
+HITS = 1 << 21
 #: Characters of text scanned at a time; a longer text is scanned in overlapping parts.
 PART = 1 << 20
 #: Cells that a batch of alignments may hold.
@@ -111,6 +114,17 @@ def start_of(item: np.ndarray, text: np.ndarray, edits: int) -> int:
     return len(text) - int(np.flatnonzero(cost == edits)[-1])
 
 
+def bounded(text: str, item: str, at: int) -> int:
+    """The first occurrence from ``at`` with no letter or digit beside it; -1 without one."""
+    while at >= 0:
+        end = at + len(item)
+        if not (at and text[at - 1].isalnum() and item[0].isalnum()) and \
+                not (end < len(text) and text[end].isalnum() and item[-1].isalnum()):
+            return at
+        at = text.find(item, at + 1)
+    return -1
+
+
 class Matcher:
     """Items of one block of the benchmark, ready to be searched for."""
 
@@ -120,6 +134,7 @@ class Matcher:
         self.edits = np.array([min(int(len(p) * rate), len(p) // Q - 1) for p in self.items], dtype=np.int64)
         sizes = np.array([len(p) for p in self.items], dtype=np.int64)
         self.sizes = sizes
+        self.edits[sizes < MIN_CHARS] = 0
         self.least = sizes + 1 - Q * (self.edits + 1)
         self.shift = np.ceil(np.log2(self.edits + 1)).astype(np.int64)          # band: 2^shift > k diagonals
         self.shift += (1 << self.shift) <= self.edits
@@ -143,6 +158,32 @@ class Matcher:
         found = np.minimum(found, len(self.gram) - 1)
         same = self.gram[found] == gram[at]
         at, found = at[same], found[same]
+        parts = [self._counted(at[i:j], found[i:j], text_ends) for i, j in self._slices(at, found)]
+        if len(parts) == 1:
+            return parts[0]
+        # an occurrence may show in two parts
+        both = np.unique(np.stack([np.concatenate(x) for x in zip(*parts)]), axis=1)
+        return both[0], both[1], both[2]
+
+    def _slices(self, at: np.ndarray, found: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Ranges of grams with ``HITS`` hits or so each, which overlap by the longest occurrence."""
+        hits = np.cumsum(self.first[found + 1] - self.first[found])
+        start = 0
+        while True:
+            before = hits[start - 1] if start else 0
+            end = int(np.searchsorted(hits, before + HITS, "right"))
+            if end >= len(at):
+                yield start, len(at)
+                return
+            # at least as far again as the parts overlap
+            end = max(end, int(np.searchsorted(at, at[start] + 2 * self.longest, "right")))
+            yield start, end
+            if end >= len(at):
+                return
+            start = int(np.searchsorted(at, at[end] - self.longest))
+
+    def _counted(self, at: np.ndarray, found: np.ndarray, text_ends: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``bands`` of grams at ``at``, which are the items' grams ``found``."""
         n = self.first[found + 1] - self.first[found]
         hit = np.repeat(self.first[found] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         item, at = self.owner[hit], np.repeat(at, n)
@@ -203,9 +244,11 @@ class Matcher:
         low = {i: texts[i].lower() for i in {w[0] for w in waiting}}
         for i, item in sorted({w[:2] for w in waiting}):
             at = low[i].find(self.texts[item])                   # an alignment without edits
+            if self.sizes[item] < MIN_CHARS:
+                at = bounded(low[i], self.texts[item], at)
             if at >= 0:
                 found[i, item] = (0, at, at + int(self.sizes[item]))
-        inexact = [w for w in set(waiting) if w[:2] not in found]
+        inexact = [w for w in set(waiting) if w[:2] not in found and self.sizes[w[1]] >= MIN_CHARS]
         self._verify(points, inexact, found)
         return found
 
@@ -248,7 +291,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list
     """The items to search for, block by block; the driver never holds more than one."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"),
                              F.col(text_col).cast("string").alias("text")) \
-        .filter(F.char_length("text") >= MIN_CHARS)
+        .filter(F.char_length("text") >= Q)
     chars = items.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
     n = -(-chars // BLOCK_CHARS)
     for k in range(n):

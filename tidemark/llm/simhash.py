@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import LAST_ID, batch, map_batches, task_id, texts, written
@@ -362,10 +362,15 @@ def one_of_each(docs: DataFrame, max_distance: int = MAX_DISTANCE, shingle: int
     prints = written(fingerprints(docs, id_col, text_col, shingle, seed), "document-fingerprints")
     found = groups(prints, max_distance)
     kept = prints.join(found, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
-        F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("__id"), F.col("h").alias("__h"))).alias("kept"))
-    # a text is moved once, by the id and text that the join and the window share
-    rows = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)),
-                             "__h": F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))})
-    rows = rows.join(kept.select("kept.*"), ["__id", "__h"], "left_semi")
-    n = F.row_number().over(Window.partitionBy("__id", "__h").orderBy(F.hash(*docs.columns)))
-    return rows.withColumn("__n", n).filter("__n = 1").select(*docs.columns)
+        F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "h")).alias("kept")).select("kept.*")
+    # the columns go by their places: any names, any types (a map has no hash, its JSON has)
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
+                       F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")).alias("h"),
+                       *[F.col(c).alias(k) for c, k in zip(docs.columns, names)])
+    rows = rows.join(kept, ["id", "h"], "left_semi")
+    by = F.xxhash64(*[F.to_json(F.struct(k)) if "map<" in rows.schema[k].dataType.simpleString() else F.col(k)
+                      for k in names])
+    # repeated rows are combined where they are read
+    one = rows.groupBy("id", "h").agg(F.min_by(F.struct(*names), by).alias("row"))
+    return one.select(*[F.col("row")[k].alias(c) for c, k in zip(docs.columns, names)])

@@ -16,6 +16,10 @@ for each distinct vector, one byte for each dimension.
 Equal vectors are one entry of the file, with the k + 1 smallest of their ids: no more can
 be returned.  Queries come in blocks of about ``BLOCK``, whose number grows with them.
 
+Scores are exact integers: longs where a bound on the components proves that a long holds
+them, else decimals.  A component's integer is held within +-``MOST`` (2^55), and a score that
+no long holds is returned as the nearest long, but ranked by its own value.
+
 Vectors that are null or empty, or hold null or non-finite components, and rows without an
 id, take no part.  Repeated rows count once; of different vectors with the same id the least
 counts.  A query is only compared with vectors of its length.  An empty table gives no row;
@@ -39,6 +43,9 @@ SAMPLE = 4096
 BLOCK = 4096
 #: Vectors scored at a time.
 ROWS = 1024
+#: Integers of components: products of two of them, summed, fit a decimal of 38 digits.
+MOST = 1 << 55
+LONG = (-(1 << 63), (1 << 63) - 1)
 
 
 def integers(table: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
@@ -47,7 +54,8 @@ def integers(table: DataFrame, id_col: str, vector_col: str, scale: int = SCALE)
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
     rows = table.filter(F.col(id_col).isNotNull() & vector.isNotNull() & (F.size(vector) > 0) & ~bad).select(
         F.col(id_col).cast("long").alias("vec_id"),
-        F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"))
+        F.transform(vector, lambda x: F.floor(F.greatest(F.least(x.cast("double") * scale, F.lit(float(MOST))),
+                                                         F.lit(-float(MOST)))).cast("long")).alias("v"))
     return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
@@ -130,9 +138,11 @@ def _scan(file: DataFrame, cells: Cells, dim: int, ids: list[int], queries: np.n
     return map_batches(file, run, "query_id long, entry long, lower double, upper double")
 
 
-def _exact(candidates: DataFrame, vectors: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query_id, entry, score) of candidates (query_id, entry)."""
-    score = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
+def _exact(candidates: DataFrame, vectors: DataFrame, queries: DataFrame, wide: bool) -> DataFrame:
+    """(query_id, entry, score) of candidates (query_id, entry); ``wide``: a long may not hold a score."""
+    factor, total = ("decimal(18,0)", "decimal(38,0)") if wide else ("long", "long")
+    score = F.aggregate(F.zip_with("q", "v", lambda a, b: a.cast(factor) * b.cast(factor)), F.lit(0).cast(total),
+                        lambda s, x: (s + x).cast(total))
     return candidates.join(queries, "query_id").join(vectors.select("entry", "v"), "entry").select(
         "query_id", "entry", score.alias("score"))
 
@@ -145,11 +155,13 @@ def search(table: DataFrame, k: int, is_query, id_col: str = "vec_id", vector_co
     vectors = written(integers(table, id_col, vector_col, scale), "vectors")
     distinct = written(entries(vectors, k), "vector-entries")
     queries = vectors.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    keep, found = k + 1, []
+    keep, found, any_wide = k + 1, [], False
     for dim, n in sorted((r.dim, r.n) for r in queries.groupBy(F.size("q").alias("dim")).agg(
             F.count(F.lit(1)).alias("n")).collect()):                                 # a row for each length
         same = distinct.filter(F.size("v") == dim)
         cells = _cells(same, dim)
+        wide = dim * int(max(abs(cells.low).max(initial=0), abs(cells.high).max(initial=0)) + 1) ** 2 >= 1 << 62
+        any_wide |= wide
         file = written(approximations(same, cells, dim), "approximations")
         blocks = -(-n // BLOCK)
         for block in range(blocks):
@@ -165,10 +177,10 @@ def search(table: DataFrame, k: int, is_query, id_col: str = "vec_id", vector_co
             left = seen.join(floor, "query_id").filter((F.col("n") < keep) | (F.col("upper") >= F.col("floor")))
             order = F.row_number().over(by.orderBy(F.desc("upper"), "entry"))
             left = written(left.select("query_id", "entry", "upper", order.alias("n")), "vectors-to-read")
-            first = written(_exact(left.filter(F.col("n") <= keep), same, mine), "vectors-read")
+            first = written(_exact(left.filter(F.col("n") <= keep), same, mine, wide), "vectors-read")
             sure = first.groupBy("query_id").agg(F.min("score").alias("sure"))
             rest = left.filter(F.col("n") > keep).join(sure, "query_id").filter(F.col("upper") >= F.col("sure"))
-            found.append(first.unionByName(_exact(rest, same, mine)))
+            found.append(first.unionByName(_exact(rest, same, mine, wide)))
     if not found:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     best = found[0]
@@ -179,8 +191,11 @@ def search(table: DataFrame, k: int, is_query, id_col: str = "vec_id", vector_co
     ids = best.join(distinct.select("entry", "ids"), "entry").select(
         "query_id", F.explode("ids").alias("vec_id"), "score").filter("vec_id != query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    score = F.col("score")
+    if any_wide:
+        score = F.greatest(F.least(score, F.lit(LONG[1])), F.lit(LONG[0])).cast("long").alias("score")
     return ids.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+        "query_id", "rank", "vec_id", score)
 
 
 #: DuckDB: every query against every row.

@@ -379,7 +379,7 @@ def test_sharding(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         db.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     found = db.execute(queries.ORACLE_SQL[name])
     columns = [c[0] for c in found.description]

@@ -1,13 +1,12 @@
-"""Skew check for the change window: a third of all captures on one page.
+"""Skew check for the change scan: a third of all captures on one page, orders far apart.
 
-Captures are derived from ``lineitem`` (page = supplier, except every
-third line goes to one hot page; digest = return flag; order = line id).
-``change_status`` runs once with salting (range buckets of the order) and
-once with one bucket for everything, and the largest number of shuffle
-records read by one task is taken from Spark's event log (written to a
-scratch folder).  Results must be equal; the salted maximum must be small.
+Captures are derived from ``lineitem`` (page = supplier, except every third line goes to one
+hot page; digest = return flag; order = line id in microseconds).  ``change_status`` runs once
+in 16 segments and once in a single one, and the largest number of shuffle records read by one
+task is taken from Spark's event log (written to a scratch folder).  Results must be equal; the
+first maximum must be near a sixteenth of the captures.
 
-Usage: python scripts/skew_check.py [sf_dir] [bucket_span]
+Usage: python scripts/skew_check.py [sf_dir] [segments]
 """
 
 from __future__ import annotations
@@ -47,7 +46,7 @@ def max_task_records(log_dir: str) -> dict[int, int]:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    span = int(sys.argv[2]) if len(sys.argv) > 2 else 4096
+    segments = int(sys.argv[2]) if len(sys.argv) > 2 else 16
     log_dir = tempfile.mkdtemp(prefix="skew-eventlog-", dir="/tmp")
     from pyspark.sql import functions as F
     from tidemark.operators import change
@@ -60,15 +59,16 @@ def main() -> None:
                                "spark.eventLog.compress": "false",
                                "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     li = read_table(spark, sf_dir, "lineitem")
-    seq = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    page = F.when(seq % 3 == 0, F.lit("hot")).otherwise(F.col("l_suppkey").cast("string"))
+    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    seq = line * 1_000_003
+    page = F.when(line % 3 == 0, F.lit("hot")).otherwise(F.col("l_suppkey").cast("string"))
     caps = li.select(seq.alias("capture_seq"), change.sha1_hex(page).alias("page_uid"),
                      change.sha1_hex("l_returnflag").alias("data_uid")).checkpoint(eager=True)
     total = caps.count()
     results = {}
-    for group, bucket in ((1, span), (2, 1 << 62)):
-        spark.sparkContext.setJobDescription(f"{group}:bucket={bucket}")
-        st = change.change_status(caps, bucket_span=bucket)
+    for group, n in ((1, segments), (2, 1)):
+        spark.sparkContext.setJobDescription(f"{group}:segments={n}")
+        st = change.change_status(caps, segments=n)
         results[group] = st.groupBy("status").count().orderBy("status").collect()
     # first write wins with one key holding a third of the rows (copies)
     from tidemark.operators import sinks
@@ -83,10 +83,10 @@ def main() -> None:
     spark.stop()
     mx = max_task_records(log_dir)
     print(json.dumps({
-        "captures": total, "hot_page_share": 1 / 3, "bucket_span": span,
+        "captures": total, "hot_page_share": 1 / 3, "segments": segments,
         "equal_results": results[1] == results[2],
-        "max_task_shuffle_records_salted": mx.get(1),
-        "max_task_shuffle_records_unsalted": mx.get(2),
+        "max_task_shuffle_records_segmented": mx.get(1),
+        "max_task_shuffle_records_one_segment": mx.get(2),
         "status_counts": {r["status"]: r["count"] for r in results[1]},
         "first_by_key_rows": firsts,
         "max_task_shuffle_records_first_by_key": mx.get(3),

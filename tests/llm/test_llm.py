@@ -402,6 +402,44 @@ def test_url_edges(spark):
     assert got[9][2:] == ("org/fr/", "allow") and got[10][2] is None
 
 
+def judged_as_in_sql(spark, urls):
+    """Verdicts by url, the same from the SQL."""
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict, r.purity) for r in url_filter.judged(df).collect()}
+    db = duckdb.connect()
+    db.register("pages", df.toPandas())
+    sql = db.execute(f"select page_id, rule, verdict, purity from ({url_filter.ORACLE})").fetchall()
+    assert got == {i: tuple(rest) for i, *rest in sql} and len(got) == len(urls)
+    return got
+
+
+def test_urls_beside_a_rule_are_left_alone(spark):
+    """One of many like folders has a rule: its siblings under the same wildcard stay."""
+    folders = ["de", *(f"{a}{b}" for a in "fghijk" for b in "stuvwx")]
+    urls = [f"http://www.example.com/{lang}/home?n={k}" for lang in folders for k in range(30)]
+    got = judged_as_in_sql(spark, urls)
+    assert [got[i][1] for i in range(30)] == ["block"] * 30
+    assert all(got[i][:2] == (None, "allow") for i in range(30, len(urls)))
+
+
+def test_urls_of_a_blocked_template_are_blocked(spark):
+    """Most of a template is blocked by rules, so the rest of it is too; other templates of the host aren't."""
+    rules = [("block", f"shop.test/ads/{k}") for k in range(1, 10)]
+    urls = [f"http://shop.test/ads/{k}" for k in range(1, 200)] + ["http://shop.test/ads/0", "http://shop.test/ads/0/9"]
+    urls += [f"http://shop.test/news/{k}" for k in range(50)]
+    df = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id long, url string, label boolean")
+    got = {urls[r.page_id]: (r.rule, r.verdict) for r in url_filter.judged(df, rules).collect()}
+    assert got["http://shop.test/ads/0"] == (None, "block")
+    assert all(got[u] == (None, "allow") for u in urls if "/news/" in u)
+    # labels of the rows themselves: most of a template known to be bad, and one of another to be good
+    urls = [f"http://a.test/x/{k}" for k in range(100)] + [f"http://a.test/y/{k}" for k in range(100)]
+    labels = [True if k < 80 else None for k in range(100)] + [False if k < 80 else None for k in range(100)]
+    df = spark.createDataFrame([(i, u, x) for i, (u, x) in enumerate(zip(urls, labels))],
+                               "page_id long, url string, label boolean")
+    got = [r.verdict for r in url_filter.judged(df, rules, blocked_col="label").orderBy("page_id").collect()]
+    assert got == ["block"] * 100 + ["allow"] * 100
+
+
 # -- licences ----------------------------------------------------------------------------
 
 def test_licences(spark):

@@ -13,8 +13,12 @@ Then, level by level below what the level above has merged:
 2. branches of a node are merged if they are statistically similar: the shares of their next
    segments, of labelled and of blocked urls all agree to the nearest quarter.
 
-A branch of the last level is a template.  Its purity is (blocked + 1) / (labelled + 5) over
-its labelled urls; urls without a rule are blocked where it is ``PURE`` or more.
+A branch of the last level is a template.  Its purity is (blocked + 1) / (labelled + 5), in which
+each url without a label counts as another 1 / ``UNSEEN`` labelled ones that are not blocked: the
+labels that a rule makes are no sample of a template, as they lie where the rule points.  Urls
+without a rule are blocked where the purity is ``PURE`` or more; with nothing but blocked labels
+that takes a few more than half of the template's urls.  Labels may also come with the rows
+(``blocked_col``; a rule's own goes first), as from a review of pages.
 
 A null url, or one without ``://``, has the empty host and path; no rule fits it, and it has a
 template like any other.  Repeated urls count each; an empty table gives no row; extra columns
@@ -35,6 +39,8 @@ DEPTH = 4
 CHILDREN = 8
 RARE = 20
 PURE = 0.8
+#: So many urls without a label weigh as much as one that is allowed.
+UNSEEN = 4
 #: Rules are compared one by one with each url.
 MAX_RULES = 10_000
 
@@ -105,26 +111,30 @@ def templates(counted: DataFrame) -> DataFrame:
         merged = total.select(*branch, F.md5(F.concat_ws("|", "template", signature).cast("binary")).alias("deeper"))
         tree = written(named.join(merged, branch).drop("template", "segment").withColumnRenamed("deeper", "template"),
                        "url-branches")
+    n, labelled, blocked = F.sum("n"), F.sum("labelled"), F.sum("blocked")
     purity = tree.groupBy("host", "template").agg(
-        ((F.sum("blocked") + 1) / (F.sum("labelled") + 5)).alias("purity"))
+        (UNSEEN * (blocked + 1) / (UNSEEN * (labelled + 5) + n - labelled)).alias("purity"))
     return tree.join(purity, ["host", "template"]).select("host", *SHAPES, "template", "purity")
 
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: str = "page_id",
-           url_col: str = "url") -> DataFrame:
-    """(page_id, host, path, rule, template, purity, verdict) of every row."""
+           url_col: str = "url", blocked_col: str | None = None) -> DataFrame:
+    """(page_id, host, path, rule, template, purity, verdict) of every row; ``blocked_col`` (boolean,
+    null: not known) labels rows that no rule decides, whose verdict is then the label's."""
     url = F.col(url_col).cast("string")
-    rows = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    known = F.lit(None).cast("boolean") if blocked_col is None else F.col(blocked_col)
+    rows = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"),
+                        F.when(known, "block").when(~known, "allow").alias("known"))
     rows = rows.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules)) \
-        .withColumns(dict(zip(SHAPES, shapes(F.col("path")))))
+        .withColumns({"label": F.coalesce("fit.verdict", "known"), **dict(zip(SHAPES, shapes(F.col("path"))))})
     counted = rows.groupBy("host", *SHAPES).agg(
-        F.count(F.lit(1)).alias("n"), F.count("fit").alias("labelled"),
-        F.count(F.when(F.col("fit.verdict") == "block", 1)).alias("blocked"))
+        F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"),
+        F.count(F.when(F.col("label") == "block", 1)).alias("blocked"))
     found = templates(counted)
     method = F.when(F.col("purity") >= PURE, "block").otherwise("allow")
     return rows.join(found, ["host", *SHAPES]).select(
         "page_id", "host", "path", F.col("fit.rule").alias("rule"), "template", "purity",
-        F.coalesce("fit.verdict", method).alias("verdict"))
+        F.coalesce("label", method).alias("verdict"))
 
 
 def _oracle(rules: Sequence[tuple[str, str]]) -> str:
@@ -170,7 +180,8 @@ share{d} AS (SELECT host, template, segment, array_to_string(list_sort(list(k ||
 tree{d + 1} AS (SELECT t.* EXCLUDE (template, segment), deeper AS template
     FROM named{d} t JOIN merged{d} USING (host, template, segment)),
 """
-    return sql + f"""pure AS (SELECT host, template, (sum(blocked) + 1) / (sum(labelled) + 5) AS purity
+    return sql + f"""pure AS (SELECT host, template,
+    {UNSEEN} * (sum(blocked) + 1) / ({UNSEEN} * (sum(labelled) + 5) + sum(n) - sum(labelled)) AS purity
     FROM tree{DEPTH} GROUP BY ALL)
 SELECT page_id, host, path, split_part(fit, ' ', 2) AS rule, template, CAST(purity AS DOUBLE) AS purity,
     coalesce(split_part(fit, ' ', 1), CASE WHEN purity >= {PURE} THEN 'block' ELSE 'allow' END) AS verdict

@@ -1,17 +1,19 @@
 """HTML bodies -> rows (J1, J2): the only Python on the page path.
 
 Spark's ``xpath`` needs well-formed XML and fails on ``<br>``, so pages are
-tokenised with the standard library's ``html.parser`` inside ``mapInArrow``
-(Arrow batches, one partition at a time).  The tokeniser builds a small
-element tree with HTML's void elements and implied end tags; rules are
-functions over that tree.  Only (key, body) columns enter Python, and only
+tokenised inside ``mapInArrow`` (Arrow batches, one partition at a time):
+well-formed markup by one regular expression, a page with anything else by the
+standard library's ``html.parser``.  Both build a small element tree with
+HTML's void elements and implied end tags; rules are functions over that tree.  Only (key, body) columns enter Python, and only
 the extracted rows leave it; normalisation, joins and assembly stay in
 Catalyst.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from html import unescape
 from html.parser import HTMLParser
 from typing import Callable, Iterator
 
@@ -75,62 +77,134 @@ class Node:
         return None
 
 
-class _TreeBuilder(HTMLParser):
+class _Tree:
+    """The element tree of a page, from its tags and texts in order."""
+
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.root = Node("#root", {})
         self.stack = [self.root]
 
-    def _close_implied(self, tag: str):
+    def open(self, tag: str, attrs: dict, empty: bool = False):
+        stack = self.stack
         closes = CLOSES.get(tag)
-        if closes is None:
-            return
-        for i in range(len(self.stack) - 1, 0, -1):
-            t = self.stack[i].tag
-            if t in closes:
-                del self.stack[i:]
-                return
-            if t in SCOPE_STOP:
+        if closes is not None:                      # implied end tags
+            for i in range(len(stack) - 1, 0, -1):
+                t = stack[i].tag
+                if t in closes:
+                    del stack[i:]
+                    break
+                if t in SCOPE_STOP:
+                    break
+        parent = stack[-1]
+        node = Node(tag, attrs, parent)
+        parent.children.append(node)
+        parent.kids.append(node)
+        if not empty and tag not in VOID:
+            stack.append(node)
+
+    def shut(self, tag: str):
+        stack = self.stack
+        for i in range(len(stack) - 1, 0, -1):
+            if stack[i].tag == tag:
+                del stack[i:]
                 return
 
-    def _child(self, tag: str, attrs: dict) -> Node:
+    def text(self, data: str):
+        children = self.stack[-1].children
+        if children and isinstance(children[-1], str):
+            children[-1] += data
+        else:
+            children.append(data)
+
+    def comment(self):
         parent = self.stack[-1]
-        node = Node(tag, attrs, parent)
+        node = Node("#comment", {}, parent)
         parent.children.append(node)
         parent.kids.append(node)
-        return node
+
+
+class _TreeBuilder(HTMLParser):
+    """Feeds a tree with what the standard library reads in any page."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.tree = _Tree()
 
     def handle_starttag(self, tag, attrs):
-        node = self.handle_startendtag(tag, attrs)
-        if tag not in VOID:
-            self.stack.append(node)
+        self.tree.open(tag, {k: (v if v is not None else "") for k, v in attrs})
 
     def handle_startendtag(self, tag, attrs):
-        self._close_implied(tag)
-        return self._child(tag, {k: (v if v is not None else "") for k, v in attrs})
+        self.tree.open(tag, {k: (v if v is not None else "") for k, v in attrs}, empty=True)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                del self.stack[i:]
-                return
+        self.tree.shut(tag)
 
     def handle_data(self, data):
-        parent = self.stack[-1]
-        if parent.children and isinstance(parent.children[-1], str):
-            parent.children[-1] += data
-        else:
-            parent.children.append(data)
+        self.tree.text(data)
 
     def handle_comment(self, data):
-        self._child("#comment", {})
+        self.tree.comment()
+
+
+# Well-formed markup, on whose reading all parsers agree: lower-case tags, attributes in double
+# quotes, comments without "--", scripts without "</" or "<!" inside; then the text up to the next "<".
+_ATTRS = r'((?:[ \n]+[a-z][a-z0-9-]*="(?:[^"&<>]|&amp;)*")*+)'
+_OWN_TEXT = "title|textarea|iframe|xmp|noembed|noframes|noscript"
+_PLAIN = re.compile(
+    r"<(?:/(?P<end>[a-z][a-z0-9]*)>"
+    rf"|(?P<start>(?!(?:script|style|plaintext|{_OWN_TEXT})[ \n/>])[a-z][a-z0-9]*){_ATTRS} ?(?P<empty>/?)>"
+    r"|!--(?P<comment>)(?!-?>)(?:[^-]|-(?!-))*+-->"
+    r"|!(?:doctype|DOCTYPE) [^<>\[]*>"
+    rf"|(?P<raw>script|style){_ATTRS}>(?P<inside>(?:[^<]|<(?![/!]))*+)</(?P=raw)>"
+    rf"|(?P<own>{_OWN_TEXT}){_ATTRS}>(?P<words>[^<&]*+)</(?P=own)>)"
+    r"(?P<text>[^<]*+)")
+_ATTR = re.compile(r'([a-z0-9-]+)="([^"]*)"')
+
+
+def _plain_tree(html: str) -> Node | None:
+    """The tree of a page in which all markup is plain; None for any other."""
+    tree = _Tree()
+    at = html.find("<")
+    at = len(html) if at < 0 else at
+    if at:
+        tree.text(unescape(html[:at]))
+    seen = {"": {}}                                 # attributes as written -> read; shared by nodes
+
+    def read(attrs: str) -> dict:
+        found = seen.get(attrs)
+        if found is None:
+            found = seen[attrs] = {k: v.replace("&amp;", "&") for k, v in _ATTR.findall(attrs)}
+        return found
+
+    for m in _PLAIN.finditer(html, at):
+        if m.start() != at:
+            return None
+        at = m.end()
+        end, start, attrs, empty, comment, raw, raw_attrs, inside, own, own_attrs, words, text = m.groups()
+        if start is not None:
+            tree.open(start, read(attrs), empty == "/")
+        elif end is not None:
+            tree.shut(end)
+        elif comment is not None:
+            tree.comment()
+        elif raw is not None or own is not None:
+            tree.open(raw or own, read(raw_attrs if own is None else own_attrs))
+            if inside or words:
+                tree.text(inside or words)
+            tree.shut(raw or own)
+        if text:
+            tree.text(unescape(text) if "&" in text else text)
+    return tree.root if at == len(html) else None
 
 
 def parse_html(html: str) -> Node:
+    root = _plain_tree(html or "")
+    if root is not None:
+        return root
     b = _TreeBuilder()
-    b.feed(html or "")
+    b.feed(html)
     b.close()
-    return b.root
+    return b.tree.root
 
 
 # ------------------------------------------------------------------ rules

@@ -482,6 +482,43 @@ def test_licences_inside_long_lines(spark):
     assert not model.find(" ".join(prose[:300]))
 
 
+#: Notices that license_texts doesn't have: sentences of their own around names as people write them.
+SENTENCES = ("This module is free software under the {}.", "You can use it under the conditions of the {}",
+             "All files in this directory are covered by the {} unless noted.", "License = {}",
+             "We release all of our scripts under the {}, with thanks to everybody who helped.",
+             "The library may be redistributed under the terms of the {}", "Copyright 2015 Jane Roe, licensed under {}",
+             "The licence for this dataset is the {}.", "Its source has been published under the {} since 2011",
+             "Unless stated otherwise, the contents of this site are available under the {}.")
+CALLED = (("MIT", "MIT Licence"), ("MIT", "Expat license"), ("Apache", "Apache 2.0 Licence"), ("Apache", "Apache-2.0"),
+          ("GPL", "GPLv2"), ("GPL", "GNU GPL v3"), ("GPL", "GNU General Public Licence v2"), ("LGPL", "LGPL v2.1"),
+          ("LGPL", "GNU Lesser General Public License"), ("BSD", "BSD 2-Clause Licence"), ("BSD", "3-clause BSD licence"),
+          ("MPL", "MPL 1.1"), ("MPL", "Mozilla Public License 1.1"), ("CC-BY-NC", "CC BY-NC-SA 3.0"), ("CC-BY", "CC BY-SA 2.5"),
+          ("CC-BY", "Creative Commons Attribution 2.0 license"), ("public domain", "CC0 1.0"))
+#: Sentences with the same words that state no licence.
+OTHERWISE = ("The house was sold under the terms of the contract.", "He works at MIT under the supervision of a doctor.",
+             "She was licensed under the medical act of 1921.", "The film was released under the title Version 2.",
+             "Distributed under the seats were small bags of sweets.", "The Apache warriors were covered by the darkness.",
+             "The general public may use the library under the rules.", "It is available under the counter.",
+             "The license is on the wall of the kitchen.", "A driving license is needed to use the car.",
+             "The Mozilla foundation published its report in public.", "The creative work of the commons committee goes on.",
+             "Attribution of the painting to the master is uncertain.", "Prisoners were released under the amnesty of 1987.",
+             "The project is governed by the council and its members.", "The domain of the king was open to the public.",
+             "Books published under the old law are rare.", "He lost his gaming license in May.",
+             "All waste must be distributed under the supervision of the city.", "The GNU is an animal of the plains.")
+
+
+def test_licences_in_other_words(spark):
+    model = license_scan.fit(license_scan.negatives(documents(spark)))
+    wordings = [(family, s.format(name)) for family, name in CALLED for s in SENTENCES]
+    found = [[f[2] for f in model.find(text)] for _, text in wordings]
+    assert len(wordings) >= 100
+    hits = sum(family in got for (family, _), got in zip(wordings, found))
+    wrong = sum(any(g != family for g in got) for (family, _), got in zip(wordings, found))
+    wrong += sum(bool(model.find(text)) for text in OTHERWISE)
+    print(f"recall {hits}/{len(wordings)}, wrong {wrong}")
+    assert hits >= 0.9 * len(wordings) and hits >= 0.95 * (hits + wrong)
+
+
 # -- all of them -------------------------------------------------------------------------
 
 def test_empty_tables(spark):

@@ -5,7 +5,8 @@ windows of that many.  Features are words and pairs of neighbouring words, as sh
 window's words, of those that occur in the licence texts (``license_texts``); all other words
 only count into the length.  Multinomial logistic regression over the licence families and the
 class of everything else is trained on the licence texts, whole, cropped and with words left
-out, against ``NEGATIVE_LINES`` lines at most from the ``NEGATIVE_DOCS`` documents with the
+out, and on short notices (frames like "distributed under the terms of" around a licence's names,
+and around what is none), alone and between other words, against ``NEGATIVE_LINES`` lines at most from the ``NEGATIVE_DOCS`` documents with the
 least hashed ids and hand-written look-alikes (a bounded sample, drawn alike from any corpus;
 lines that resemble a licence text are left out of it).  A fifth of the examples is kept from
 the fit; a temperature that makes the probabilities right on these is divided out, so that a
@@ -14,7 +15,8 @@ family's probability can be read as such: below ``PROBABILITY`` a window stays u
 A prediction is confirmed by comparison with the family's texts: the share of the most similar
 text's word pairs that the window holds, and the share of the window's pairs that any text of
 the family holds, must both reach ``SIMILARITY``, the latter over the best stretch of the
-window of that text's length.
+window of that text's length.  The short notices are compared alike, and the window must hold the
+licence's name whole.  Versions count as one word, "licence" as "license".
 
 A short statement is a small share of a longer window, which then looks like everything else.
 So a window is also read in stretches of the notices' own lengths (``SHORT``, by a quarter of
@@ -40,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batch, map_batches
-from tidemark.llm.license_texts import OTHER, TEMPLATES
+from tidemark.llm.license_texts import DEDICATIONS, FRAMES, NAMES, NO_NAMES, OTHER, TEMPLATES
 
 WINDOW = 80
 STEP = 40
@@ -48,7 +50,7 @@ STEP = 40
 SHORT = (8, 16, 40)
 NEGATIVE_DOCS = 200
 NEGATIVE_LINES = 2000
-COPIES = 24
+COPIES = 72
 PROBABILITY = 0.5
 SIMILARITY = 0.6
 NONE = "none"
@@ -56,10 +58,13 @@ NONE = "none"
 PART = 200_000
 
 _words = re.compile(r"[^\W_]+(?:\.\d+)*")
+#: "2.0" and "v3" are versions, "gplv3" and "gpl3" names with one; neither changes the number of words.
+_versions = re.compile(r"(?<![^\W_])(?:v?|([a-z]{3,4})v?)[0-9]+(?:\.[0-9]+)*(?![^\W_])")
 
 
 def words_of(line: str) -> list[str]:
-    return _words.findall(line.lower())
+    line = _versions.sub(lambda m: m[1] or "0", line.lower())
+    return _words.findall(line.replace("licence", "license"))
 
 
 def windows(text: str) -> Iterator[tuple[int, int, list[str]]]:
@@ -78,16 +83,32 @@ def _pairs(words: list[str]) -> list[tuple[str, str]]:
     return list(zip(words, words[1:]))
 
 
+def short_notices(family: str) -> list[tuple[str, str]]:
+    """(notice, the name in it) of every frame and name."""
+    named = [(frame.format(name), name) for name in NAMES[family] for frame in FRAMES]
+    return named + [(d, "") for d in DEDICATIONS] if family == "public domain" else named
+
+
+def _known(text: str, name: str) -> tuple[list[str], frozenset, str]:
+    words = words_of(text)
+    return words, frozenset(_pairs(words)), " ".join(words_of(name))
+
+
+#: By family: words, pairs and name (empty: none is asked for) of what a window is compared with.
+KNOWN = {family: [_known(t, "") for t in texts] + [_known(t, n) for t, n in short_notices(family)]
+         for family, texts in TEMPLATES.items()}
+
+
 def best_stretch(words: list[str], family: str) -> tuple[float, int, int]:
     """How much of a family's most similar text the words hold, and it of them; from and to which word."""
     best, where = 0.0, (0, len(words))
-    for text in TEMPLATES[family]:
-        known = words_of(text)
-        pairs = set(_pairs(known))
-        inside = [p in pairs for p in _pairs(words)]
-        held = len(pairs & set(_pairs(words))) / len(pairs)
-        if held <= best:
+    own = _pairs(words)
+    distinct, line = set(own), f" {' '.join(words)} "
+    for known, pairs, name in KNOWN[family]:
+        held = len(pairs & distinct) / len(pairs)
+        if held <= best or f" {name} " not in line and name:
             continue
+        inside = [p in pairs for p in own]
         size = min(len(inside), len(known) - 1)
         most = now = sum(inside[:size])
         at = 0
@@ -106,7 +127,7 @@ def similarity(words: list[str], family: str) -> float:
 
 
 #: Fewest pairs of neighbours that confirm any text.
-LEAST_PAIRS = min(math.ceil(SIMILARITY * len(set(_pairs(words_of(t))))) for texts in TEMPLATES.values() for t in texts)
+LEAST_PAIRS = min(math.ceil(SIMILARITY * len(pairs)) for known in KNOWN.values() for _, pairs, _ in known)
 
 
 @dataclass
@@ -251,7 +272,13 @@ def _examples(negatives: list[str]) -> tuple[list[list[str]], list[int]]:
                 if some:
                     texts.append(some[:WINDOW])
                     labels.append(c)
-    for line in [*OTHER] * 4 + negatives:
+        for notice, _ in short_notices(family):
+            for k in (0, 3, 9):                      # alone, and between words of no weight
+                words = words_of(notice)
+                front = int(rng.integers(0, k + 1))
+                texts.append([""] * front + words + [""] * (k - front))
+                labels.append(c)
+    for line in [*OTHER] * 4 + [f.format(n) for f in FRAMES for n in NO_NAMES] + negatives:
         for _, _, words in windows(line):
             texts.append(words)
             labels.append(len(TEMPLATES))
@@ -260,7 +287,7 @@ def _examples(negatives: list[str]) -> tuple[list[list[str]], list[int]]:
 
 def fit(negatives: list[str]) -> Classifier:
     """Trains on the licence texts against ``negatives`` (lines)."""
-    licence = [words_of(t) for texts in TEMPLATES.values() for t in texts]
+    licence = [known for texts in KNOWN.values() for known, _, _ in texts]
     words = {w: i for i, w in enumerate(sorted({w for t in licence for w in t}), 1)}
     pairs = np.array(sorted({words[a] * (len(words) + 1) + words[b] for t in licence for a, b in _pairs(t)}))
     classes = [*TEMPLATES, NONE]

@@ -73,6 +73,56 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
 }
 
+#: Names by which a short notice calls a licence; 0 stands for any version.
+NAMES: dict[str, tuple[str, ...]] = {
+    "MIT": ("MIT", "MIT license", "Expat license", "X11 license"),
+    "Apache": ("Apache license", "Apache 0", "Apache license 0", "Apache 0 license", "Apache software license",
+               "Apache license version 0", "ASL 0"),
+    "GPL": ("GPL", "GPL 0", "GPL license", "GNU GPL", "GNU GPL version 0", "GNU general public license",
+            "GNU general public license version 0", "GPL version 0", "GPL 0 or later"),
+    "LGPL": ("LGPL", "LGPL 0", "LGPL license", "GNU LGPL", "GNU LGPL version 0", "GNU lesser general public license",
+             "GNU lesser general public license version 0", "GNU library general public license", "LGPL 0 or later"),
+    "BSD": ("BSD", "BSD license", "BSD 0 clause", "BSD 0 clause license", "0 clause BSD license", "BSD style license",
+            "new BSD license", "simplified BSD license", "modified BSD license"),
+    "MPL": ("MPL", "MPL 0", "Mozilla public license", "Mozilla public license version 0", "Mozilla public license 0"),
+    "CC-BY-NC": ("CC BY NC", "CC BY NC 0", "CC BY NC SA", "CC BY NC SA 0", "CC BY NC ND", "CC BY NC ND 0",
+                 "creative commons attribution noncommercial", "creative commons attribution noncommercial license",
+                 "creative commons attribution noncommercial 0 international license",
+                 "creative commons attribution non commercial license",
+                 "creative commons attribution noncommercial sharealike 0 license"),
+    "CC-BY": ("CC BY", "CC BY 0", "CC BY SA", "CC BY SA 0", "creative commons attribution", "CC BY license",
+              "creative commons attribution license", "creative commons attribution 0 international license",
+              "creative commons attribution 0", "creative commons attribution sharealike license",
+              "creative commons attribution share alike license", "creative commons attribution sharealike 0 license"),
+    "public domain": ("CC0", "CC0 0", "CC0 license", "unlicense", "CC0 0 universal", "public domain dedication"),
+}
+
+#: What short notices say around a name.
+FRAMES: tuple[str, ...] = (
+    "licensed under the {}", "licensed under {}", "released under the {}", "released under {}",
+    "distributed under the {}", "distributed under {}", "distributed under the terms of the {}", "available under the {}",
+    "available under {}", "made available under {}", "published under {}", "published under the {}", "provided under the {}",
+    "offered under the {}", "shared under {}", "covered by the {}", "governed by the {}", "subject to the {}",
+    "uses the {}", "under the terms of the {}", "under the terms of {}", "license {}", "the license is {}", "{} licensed",
+    "license is the {}", "code is under the {}", "SPDX license identifier {}", "see the {} for details",
+    "redistribute it under the {}", "use is permitted under the {}",
+)
+
+#: Short notices that name no licence but the public domain.
+DEDICATIONS: tuple[str, ...] = (
+    "places this work in the public domain", "placed in the public domain", "released into the public domain",
+    "dedicated to the public domain", "this work is in the public domain", "puts this code in the public domain",
+    "released to the public domain", "waived all copyright and related rights",
+)
+
+#: What stands in the same places without being a licence.
+NO_NAMES: tuple[str, ...] = (
+    "new law", "contract", "agreement", "treaty of 0", "city council", "ministry", "act of 0", "pressure", "roof",
+    "hunting license", "driving license", "general rules", "public authority", "name of the family", "supervision of the court",
+    "software agreement", "version 0 of the plan", "apache chief", "library rules", "commons committee", "creative director",
+    "state of emergency", "terms of the lease", "international treaty", "fishing license", "gaming license",
+)
+
 #: Texts with the same words that state no licence.
 OTHER: tuple[str, ...] = (
     "The driver must hold a valid license and carry it in the vehicle.",

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -343,6 +344,74 @@ def test_language_models_sum_to_one_and_predict(spark):
         assert sum(p) == pytest.approx(1, abs=1e-6)
 
 
+def word_symbols(text):
+    """Each word of a text, between spaces."""
+    return [f" {w} " for w in "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()]
+
+
+def slow_model(texts, order, share):
+    """The probability of a symbol after what is before it in its word, by counting strings."""
+    n = [Counter() for _ in range(order + 1)]
+    for word in (w for t in texts for w in word_symbols(t)):
+        for at in range(1, len(word)):
+            for k in range(1, min(at + 1, order) + 1):
+                n[k][word[at - k + 1:at + 1]] += 1
+    m = [dict(c) for c in n]
+    for k in range(1, order):
+        before = Counter(g[1:] for g in n[k + 1])
+        m[k] = {g: n[k][g] if k > 1 and g[0] == " " or not before[g] else before[g] for g in n[k]}
+    least, kept, left = share * sum(n[1].values()), [{}], [{}]
+    for k in range(1, order + 1):
+        n1, n2 = (sum(x == y for x in m[k].values()) for y in (1, 2))
+        d = min(max(n1 / (n1 + 2 * n2) if n1 and n2 else 0.5, 0.1), 0.95)
+        whole = Counter()
+        for g, x in m[k].items():
+            whole[g[:-1]] += x
+        kept.append({g: (x - d) / whole[g[:-1]] for g, x in m[k].items() if n[k][g] >= least})
+        rest = {}
+        for g, p in kept[k].items():
+            rest[g[:-1]] = rest.get(g[:-1], 1.0) - p
+        left.append(rest)
+
+    def p(gram):
+        k = len(gram)
+        below = p(gram[1:]) if k > 1 else 1 / (len(n[1]) + 1)
+        return kept[k].get(gram, 0.0) + max(left[k].get(gram[:-1], 1.0), 1e-9) * below
+
+    return p
+
+
+@pytest.mark.parametrize("share", [0.0, 0.004])
+def test_language_models_match_brute_force(spark, share):
+    rng = random.Random(11)
+    letters = {"aa": "abcdeé", "bb": "cdefgß", "cc": "abxyzñ"}
+    texts = []
+    for i in range(240):
+        lang = rng.choice(sorted(letters))
+        words = ["".join(rng.choice(letters[lang]) for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 30))]
+        texts.append((i, rng.choice([" ", ", ", "² ", "½", "7"]).join(words).title(), lang))
+    docs = spark.createDataFrame([*texts, (900, "日本 q", None), (901, None, "aa")], "doc_id long, text string, lang string")
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    model = language_id.train(docs, share=share)
+    slow = {x: slow_model([t for i, t, y in texts if y == x and fold(i) not in (0, 1)], language_id.ORDER, share) for x in letters}
+    got = {r.doc_id: r for r in language_id.identify(docs, model).collect()}
+    assert len(got) == 242 and model.langs == sorted(slow)
+    for i, text, _ in [*texts, (900, "日本 q", None)]:
+        symbols = [w[max(0, at - language_id.ORDER + 1):at + 1] for w in word_symbols(text) for at in range(1, len(w))]
+        bits = {x: -sum(np.log2(p(g)) for g in symbols) / len(symbols) for x, p in slow.items()}
+        assert got[i].bits == pytest.approx(min(bits.values()), rel=1e-9)
+        assert got[i].lang_pred in [x for x in bits if bits[x] <= min(bits.values()) + 1e-9]
+
+
+def test_language_noise_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.train(docs)
+    rng = random.Random(3)
+    noise = ["".join(rng.choice("qxzjvkwyß ") for _ in range(900)), "Ωμέγα και άλφα " * 60, "12 34 ½", "", None]
+    left = language_id.accepted(rows(spark, [*noise, docs.filter("lang = 'en'").orderBy("doc_id").first().text]), model)
+    assert [r.doc_id for r in left.collect()] == [len(noise)]
+
+
 def test_language_edges(spark):
     model = language_id.train(edge_docs(spark))
     got = {r.doc_id: r.lang_pred for r in language_id.identify(edge_docs(spark), model).collect()}

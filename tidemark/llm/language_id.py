@@ -52,7 +52,9 @@ WORDS = 200_000
 TOGETHER = 1 << 18
 
 U = np.uint64
-_letters = re.compile(r"[^\W\d_]+")
+#: What ``isalpha`` holds for: without the digits and numbers that are no decimals, as in "m²" and "½".
+_letters = re.compile(r"[^\W\d_%s]+" % "".join(c for c in map(chr, range(0x110000))
+                                               if c.isnumeric() and not c.isalpha() and not c.isdecimal()))
 _is_letter = np.array([chr(c).isalpha() for c in range(0x10000)])
 
 

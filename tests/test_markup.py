@@ -43,3 +43,27 @@ def test_plain_pages_take_the_short_way():
     assert root is not None and shape(root) == shape(by_library(page))
     assert markup._plain_tree(page.replace("<br/>", "<BR>")) is None
     assert all(n.parent is not None for n in root.descendants())
+
+
+SHEET = ['<div class="config-section">', '<div class="a config-section b">', '<div class="special-layout-18">', "<div>", "</div>",
+         "<table>", "</table>", "<tr>", "<td>", "</td>", '<td><span class="title">label：</span></td><td><span class="info">x</span></td>',
+         '<span class="title">', '<span class="info">', "</span>", "t：", "x &amp; y", "<p>", "<br>", '<div class="l">', "</ul>", "<li>",
+         '<div class="focus-color-warp"><ul><li><a title="red"><span style="b#ffffff"></span></a></ul>', "<!-- c -->",
+         "<script>var a;</script>", '<div class="config-section"/>', '<DIV class="config-section">', '<div class="config&#45;section">',
+         "<title>x</title>", "&nbsp;"]
+OPEN = ['<div class="config-section"><div class="special-layout-18"><table><tr>', '<div class="special-layout-18">', ""]
+
+
+@settings(max_examples=3000, deadline=None)
+@given(st.sampled_from(OPEN), st.lists(st.sampled_from(SHEET), max_size=16).map("".join), st.sampled_from(OPEN),
+       st.lists(st.sampled_from(SHEET), max_size=8).map("".join))
+def test_sheet_rows_need_only_their_scope(first, html, second, more):
+    page = first + html + second + more
+    whole = markup.spec_sheet_rows(by_library(page))
+    assert markup.spec_sheet_rows(markup.parse_html(page, "config-section")) == whole
+
+
+def test_what_is_outside_the_scope_is_not_built():
+    scope = '<div class="box config-section"><p>one<p>two</div>'
+    root = markup._plain_tree(f"<nav><ul><li>a<li>b</ul></nav>{scope}<p>{scope}<footer>end<b a=1>", "config-section")
+    assert [n.tag for n in root.descendants()] == ["div", "p", "p"] * 2

@@ -161,44 +161,94 @@ _PLAIN = re.compile(
 _ATTR = re.compile(r'([a-z0-9-]+)="([^"]*)"')
 
 
-def _plain_tree(html: str) -> Node | None:
-    """The tree of a page in which all markup is plain; None for any other."""
-    tree = _Tree()
+def _plain_tree(html: str, scope: str | None = None) -> Node | None:
+    """The tree of a page in which all markup is plain; None for any other.
+
+    With ``scope``, only the divs whose class contains it are built, as children of the root,
+    with all that is inside them; reading ends with the last of them.  What is outside is
+    followed by its tags alone."""
+    if scope is not None and "&" in scope:          # written otherwise in the page
+        scope = None
+    root = Node("#root", {})
+    stack: list[Node | None] = [root]               # open elements; None for one that isn't built
+    tags = ["#root"]
+    inside = 0                                      # where in the stack the outermost scope is; 0: nowhere
+    built = scope is None
     at = html.find("<")
     at = len(html) if at < 0 else at
-    if at:
-        tree.text(unescape(html[:at]))
+    if at and built:
+        root.children.append(unescape(html[:at]))
     seen = {"": {}}                                 # attributes as written -> read; shared by nodes
-
-    def read(attrs: str) -> dict:
-        found = seen.get(attrs)
-        if found is None:
-            found = seen[attrs] = {k: v.replace("&amp;", "&") for k, v in _ATTR.findall(attrs)}
-        return found
-
     for m in _PLAIN.finditer(html, at):
         if m.start() != at:
             return None
         at = m.end()
-        end, start, attrs, empty, comment, raw, raw_attrs, inside, own, own_attrs, words, text = m.groups()
-        if start is not None:
-            tree.open(start, read(attrs), empty == "/")
-        elif end is not None:
-            tree.shut(end)
+        end, start, attrs, empty, comment, raw, raw_attrs, script, own, own_attrs, words, text = m.groups()
+        if end is not None:
+            if tags[-1] == end:
+                del tags[-1], stack[-1]
+            else:
+                for i in range(len(tags) - 1, 0, -1):
+                    if tags[i] == end:
+                        del tags[i:], stack[i:]
+                        break
         elif comment is not None:
-            tree.comment()
-        elif raw is not None or own is not None:
-            tree.open(raw or own, read(raw_attrs if own is None else own_attrs))
-            if inside or words:
-                tree.text(inside or words)
-            tree.shut(raw or own)
-        if text:
-            tree.text(unescape(text) if "&" in text else text)
-    return tree.root if at == len(html) else None
-
-
-def parse_html(html: str) -> Node:
-    root = _plain_tree(html or "")
+            if built:
+                node = Node("#comment", {}, stack[-1])
+                stack[-1].children.append(node)
+                stack[-1].kids.append(node)
+        elif start is not None or raw is not None or own is not None:
+            if start is None:
+                start, attrs = (raw, raw_attrs) if raw is not None else (own, own_attrs)
+            if start in CLOSES:                     # implied end tags
+                closes = CLOSES[start]
+                for i in range(len(tags) - 1, 0, -1):
+                    if tags[i] in closes:
+                        del tags[i:], stack[i:]
+                        break
+                    if tags[i] in SCOPE_STOP:
+                        break
+                if inside >= len(tags):
+                    inside, built = 0, False
+            node = None
+            enters = not built and start == "div" and scope in attrs
+            if built or enters:
+                read = seen.get(attrs)
+                if read is None:
+                    read = seen[attrs] = {k: v.replace("&amp;", "&") for k, v in _ATTR.findall(attrs)}
+                enters = enters and scope in read.get("class", "")
+                if built or enters:
+                    parent = stack[-1] if built else root
+                    node = Node(start, read, parent)
+                    parent.children.append(node)
+                    parent.kids.append(node)
+            if raw is not None or own is not None:
+                if node is not None and (script or words):
+                    node.children.append(script or words)
+            elif not empty and start not in VOID:
+                if enters:
+                    inside, built = len(tags), True
+                stack.append(node)
+                tags.append(start)
+        if inside and inside >= len(tags):          # the scope has ended
+            inside, built = 0, False
+            # an attribute may be written with character references, so none may follow either
+            if html.find(scope, at) < 0 and html.find("&", at) < 0:
+                return root
+        if built and text:
+            children = stack[-1].children
+            if "&" in text:
+                text = unescape(text)
+            if children and children[-1].__class__ is str:
+                children[-1] += text
+            else:
+                children.append(text)
+    return root if at == len(html) else None
+
+
+def parse_html(html: str, scope: str | None = None) -> Node:
+    """The element tree of a page; of a plain page, only the ``scope`` divs if one is named."""
+    root = _plain_tree(html or "", scope)
     if root is not None:
         return root
     b = _TreeBuilder()
@@ -330,8 +380,9 @@ def link_rows(root: Node, container: str = "nav") -> list[dict]:
 # ------------------------------------------------------------------ Spark jobs
 
 def _run_rule(df: DataFrame, keys: list[str], body: str, rule: Callable[[Node], list[dict]],
-              out_schema: str, columns: list[str], prefilter=None) -> DataFrame:
+              out_schema: str, columns: list[str], prefilter=None, scope: str | None = None) -> DataFrame:
     """Run ``rule`` over each body; ``keys`` columns are carried to every row, as Arrow.
+    ``scope`` names the class of the divs outside of which the rule looks at nothing.
     ``prefilter`` (a Column) drops, JVM-side, bodies the rule cannot match, so
     they never reach Python."""
     key_schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
@@ -347,7 +398,7 @@ def _run_rule(df: DataFrame, keys: list[str], body: str, rule: Callable[[Node],
             for i, html in enumerate(b.column(body).to_pylist()):
                 if html is None:
                     continue
-                rows = rule(parse_html(html))
+                rows = rule(parse_html(html, scope))
                 of += [i] * len(rows)
                 pos += range(len(rows))
                 for c in columns:
@@ -388,7 +439,7 @@ def spec_rows(pages: DataFrame, key: str | list[str] = "page_id", body: str = "b
     inner = opts.get("inner_class", "special-layout-18")
     pre = (F.instr(F.col(body), scope) > 0) & (F.instr(F.col(body), inner) > 0)
     return _run_rule(pages, _keys(key), body, lambda r: spec_sheet_rows(r, **opts), schema,
-                     ["label", "info", "alt", "colours"], prefilter=pre)
+                     ["label", "info", "alt", "colours"], prefilter=pre, scope=scope)
 
 
 def headline_text(pages: DataFrame, path: list[Step], key: str | list[str] = "page_id",

@@ -379,6 +379,10 @@ def link_rows(root: Node, container: str = "nav") -> list[dict]:
 
 # ------------------------------------------------------------------ Spark jobs
 
+#: Pages whose rows are held as Python objects at a time.
+TOGETHER = 256
+
+
 def _run_rule(df: DataFrame, keys: list[str], body: str, rule: Callable[[Node], list[dict]],
               out_schema: str, columns: list[str], prefilter=None, scope: str | None = None) -> DataFrame:
     """Run ``rule`` over each body; ``keys`` columns are carried to every row, as Arrow.
@@ -391,11 +395,12 @@ def _run_rule(df: DataFrame, keys: list[str], body: str, rule: Callable[[Node],
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (b.slice(at, TOGETHER) for b in batches for at in range(0, b.num_rows, TOGETHER)):
             of: list[int] = []                  # the page of every row
             pos: list[int] = []
             found: dict[str, list] = {c: [] for c in columns}
-            for i, html in enumerate(b.column(body).to_pylist()):
+            for i, html in enumerate(b.column(body)):
+                html = html.as_py()
                 if html is None:
                     continue
                 rows = rule(parse_html(html, scope))

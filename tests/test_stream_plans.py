@@ -228,3 +228,38 @@ def test_captures_that_cannot_be_compared(spark):
     assert [r.capture_seq for r in spark.read.parquet(sink.log).collect()] == [1]
     got = rejected_captures(spark, sink).select("capture_seq", "reason").collect()
     assert sorted(map(tuple, got), key=key) == want
+
+
+def test_state_store_round_trips():
+    """A page costs one read of the store, and one write only where its last digest is another."""
+    from pyspark.sql import Row
+    from tidemark.streaming.refresh import _processor_class
+
+    class Value:
+        def __init__(self):
+            self.held, self.calls = None, []
+
+        def exists(self):
+            self.calls.append("exists")
+            return self.held is not None
+
+        def get(self):
+            self.calls.append("get")
+            return self.held
+
+        def update(self, value):
+            self.calls.append("update")
+            self.held = value
+
+    def run(*rows):
+        value.calls.clear()
+        out = list(p.handleInputRows(("p",), iter([Row(capture_seq=s, data_uid=d) for s, d in rows]), None))
+        return [(r.capture_seq, r.data_uid, r.prev_digest, r.status) for r in out], list(value.calls)
+
+    p = _processor_class()()
+    p.last = value = Value()
+    assert run((3, "A"), (1, "A"), (2, "B")) == (
+        [(1, "A", None, "new"), (2, "B", "A", "changed"), (3, "A", "B", "changed")], ["get", "update"])
+    assert run((5, "A"), (4, "A")) == ([(4, "A", "A", "unchanged"), (5, "A", "A", "unchanged")], ["get"])
+    p.handleInitialState(("p",), Row(page_uid="p", data_uid="C"), None)
+    assert run((6, "C"), (None, "D")) == ([(6, "C", "C", "unchanged"), (None, "D", "C", "changed")], ["get", "update"])

@@ -12,7 +12,7 @@
   id with overwrite, and a batch reads only outputs of earlier ids, so a
   replayed batch rewrites the same rows.  Written tables also cut lineage.
 
-``transformWithStateInPandas`` form (``stateful_changes``):
+``transformWithState`` form (``stateful_changes``):
   the last digest per page lives in the state store as a value state, which starts from
   the compacted log of earlier runs; rows of a page within a micro-batch are processed in
   ``capture_seq`` order.
@@ -25,12 +25,13 @@ without url, body or order are not compared; ``rejected_captures`` lists them.
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
+from itertools import chain
 from typing import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import change
@@ -171,8 +172,6 @@ def start_refresh_stream(captures: DataFrame, sink: RefreshSink, checkpoint: str
 
 # --------------------------------------------------------- state-store form
 
-#: Rows in one frame of the state-store form's output.
-OUT_ROWS = 1 << 14
 STATUS_SCHEMA = ("page_uid string, capture_seq long, data_uid string, "
                  "prev_digest string, status string")
 
@@ -197,29 +196,33 @@ def _processor_class():
 
         def handleInitialState(self, key, initialState, timerValues) -> None:
             """What earlier runs logged of the page: one row."""
-            for d in initialState["data_uid"]:
-                self.last.update((d,))
+            self.last.update((initialState["data_uid"],))
 
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
             # the store hands over a page's rows of one micro-batch in any order: only order
-            # values and digests are kept, as arrays, until all are there
-            parts = [(pdf["capture_seq"].to_numpy(), pdf["data_uid"].to_numpy(dtype=object)) for pdf in rows]
-            seqs, digests = (np.concatenate(x) for x in zip(*parts))
-            at = np.argsort(seqs, kind="stable")
-            seen = self.last.exists()
-            first = self.last.get()[0] if seen else None
-            for i in range(0, len(at), OUT_ROWS):
-                some = at[i:i + OUT_ROWS]
-                d = digests[some]
-                prev = np.concatenate(([first], d[:-1]))
-                same = np.array([a == b for a, b in zip(prev, d)])
-                status = np.where(same, change.UNCHANGED, change.CHANGED).astype(object)
-                if not seen:
-                    status[0], seen = change.NEW, True
-                first = d[-1]
-                yield pd.DataFrame({"page_uid": key[0], "capture_seq": seqs[some], "data_uid": d,
-                                    "prev_digest": prev, "status": status})
-            self.last.update((first,))
+            # values and digests are kept, equal digests once, until all are there
+            seqs, digests, once = array("q"), [], {}
+            unplaced = []                           # without an order value: after all others
+            for r in rows:
+                d = once.setdefault(r["data_uid"], r["data_uid"])
+                if r["capture_seq"] is None:
+                    unplaced.append(d)
+                else:
+                    seqs.append(r["capture_seq"])
+                    digests.append(d)
+            placed = ((int(seqs[i]), digests[i]) for i in np.argsort(np.frombuffer(seqs, np.int64), kind="stable")) \
+                if seqs else ()
+            # each call to the store is a round trip: one to read, one to write what is new
+            stored = self.last.get()
+            prev = stored[0] if stored is not None else None
+            status = change.NEW if stored is None else None
+            for seq, d in chain(placed, ((None, d) for d in unplaced)):
+                if status is None:
+                    status = change.UNCHANGED if prev is not None and prev == d else change.CHANGED
+                yield Row(page_uid=key[0], capture_seq=seq, data_uid=d, prev_digest=prev, status=status)
+                prev, status = d, None
+            if stored is None or stored[0] != prev:
+                self.last.update((prev,))
 
         def close(self) -> None:
             pass
@@ -230,11 +233,12 @@ def _processor_class():
 def stateful_changes(fingerprinted: DataFrame, initial_state: DataFrame | None = None) -> DataFrame:
     """I1 with a value state per page (needs ``STATE_STORE_CONF``).  ``initial_state``
     (page_uid, data_uid), one row per page, is the compacted log of earlier runs; the first
-    micro-batch loads it.  A page's rows of one micro-batch are held by one task, as two arrays:
-    ``maxFilesPerTrigger`` bounds them."""
+    micro-batch loads it.  A page's rows of one micro-batch are held by one task, as order values and
+    references to digests: ``maxFilesPerTrigger`` bounds them.  Rows go in and out as they are:
+    most pages have few of them, and a frame for each page costs more than its rows."""
     initial = None if initial_state is None else \
         initial_state.select("page_uid", "data_uid").groupBy("page_uid")
     return (fingerprinted.select("page_uid", "capture_seq", "data_uid")
             .groupBy("page_uid")
-            .transformWithStateInPandas(_processor_class()(), STATUS_SCHEMA, "Append", "None",
-                                        initialState=initial))
+            .transformWithState(_processor_class()(), STATUS_SCHEMA, "Append", "None",
+                                initialState=initial))

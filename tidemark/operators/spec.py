@@ -2,12 +2,11 @@
 
 Long form in: ``spec_rows(page_id, pos, label, info, alt, colours)`` from the
 page tokeniser.  Values are normalised with built-ins, labels are joined to
-the dictionary (a fixed 142-row table; the planner broadcasts it by its
-statistics), and each page's entries
+the dictionary (a fixed 142-row table, always broadcast), and each page's entries
 are assembled into a two-level map written as JSON text with sorted keys.
 
-Scale notes: the only shuffle is one ``repartition`` by page; the three
-aggregation levels (page, grp, item) -> (page, grp) -> page all reuse it.
+Scale notes: the only shuffle is that of one aggregation by page, which collects a
+page's entries on the map side first; the two levels of its map are made inside the row.
 A page's entries come from one body, so every group is bounded by a page.
 """
 
@@ -61,15 +60,28 @@ def spec_values(rows: DataFrame, dictionary: DataFrame, page: str = "page_id",
     value, is_flag = normalise_marker(text)
     normalised = prepared.select(page, "pos", "label", value.alias("value"),
                                  is_flag.alias("is_flag"))
-    # the dictionary is tiny (142 rows) and its size is known from statistics,
-    # so the planner broadcasts it; a larger one falls back to a shuffled join
-    joined = normalised.join(dictionary, "label", "inner")
+    # the dictionary is a fixed small table (142 rows), but made from rows it has no size the
+    # planner knows: without the hint the pages' rows are broadcast, or dealt by a few labels
+    joined = normalised.join(F.broadcast(dictionary), "label", "inner")
     return joined.select(page, "pos", "grp", "item", "value", "is_flag")
 
 
-def _sorted_map(entries: Column) -> Column:
-    """map_from_entries of (k, ...) structs sorted by k (keys are unique)."""
-    return F.map_from_entries(F.array_sort(entries))
+def _document(entries: Column) -> Column:
+    """The two-level map of entries in order of (grp, item, pos): the last of each (grp, item)."""
+    def of_item(x, i):
+        then = F.get(entries, i + 1)
+        return ~(then["grp"].eqNullSafe(x["grp"]) & then["item"].eqNullSafe(x["item"]))
+
+    last = F.filter(entries, of_item)
+    groups = F.array_distinct(F.transform(last, lambda x: x["grp"]))
+
+    def items(g):
+        mine = F.filter(last, lambda x: (x["grp"] == g) & x["item"].isNotNull())
+        return F.map_from_entries(F.transform(mine, lambda x: F.struct(
+            x["item"].alias("key"),
+            F.when(x["is_flag"], F.lit(1).cast("variant")).otherwise(x["value"].cast("variant")).alias("value"))))
+
+    return F.map_from_entries(F.transform(groups, lambda g: F.struct(g.alias("key"), items(g).alias("value"))))
 
 
 def assemble_documents(values: DataFrame, pages: DataFrame | None = None,
@@ -86,23 +98,7 @@ def assemble_documents(values: DataFrame, pages: DataFrame | None = None,
             F.lit(None).cast("string").alias("item"), F.lit(None).cast("string").alias("value"),
             F.lit(None).cast("boolean").alias("is_flag"))
         v = v.unionByName(marker)
-    v = v.repartition(page)
-    last = v.groupBy(page, "grp", "item").agg(
-        F.max_by(F.struct("value", "is_flag"), "pos").alias("_v"))
-    # (item, text, flag) structs sort by item; the variant is built after sorting
-    entry = F.when(F.col("item").isNotNull(),
-                   F.struct(F.col("item").alias("k"), F.col("_v.value").alias("t"),
-                            F.col("_v.is_flag").alias("f")))
-    inner = last.groupBy(page, "grp").agg(F.collect_list(entry).alias("_e"))
-    as_variant = F.transform(F.array_sort("_e"), lambda e: F.struct(
-        e["k"].alias("key"),
-        F.when(e["f"], F.lit(1).cast("variant")).otherwise(e["t"].cast("variant")).alias("value")))
-    inner = inner.select(page, "grp", F.map_from_entries(as_variant).alias("_m"))
-    outer = inner.groupBy(page).agg(F.collect_list(
-        F.when(F.col("grp").isNotNull(), F.struct(F.col("grp").alias("k"), F.col("_m").alias("m")))
-    ).alias("_g"))
-    by_key = F.array_sort("_g", lambda a, b: F.when(a["k"] < b["k"], -1)
-                          .when(a["k"] > b["k"], 1).otherwise(0))
-    doc = F.map_from_entries(F.transform(by_key,
-                                         lambda g: F.struct(g["k"].alias("key"), g["m"].alias("value"))))
-    return outer.select(page, F.to_json(doc).alias(content))
+    # one list of entries per page, combined before the shuffle
+    e = F.struct("grp", "item", "pos", "value", "is_flag")
+    docs = v.groupBy(page).agg(F.array_sort(F.collect_list(F.when(F.col("grp").isNotNull(), e))).alias("_e"))
+    return docs.select(page, F.to_json(_document(F.col("_e"))).alias(content))

@@ -263,3 +263,6 @@ def test_state_store_round_trips():
     assert run((5, "A"), (4, "A")) == ([(4, "A", "A", "unchanged"), (5, "A", "A", "unchanged")], ["get"])
     p.handleInitialState(("p",), Row(page_uid="p", data_uid="C"), None)
     assert run((6, "C"), (None, "D")) == ([(6, "C", "C", "unchanged"), (None, "D", "C", "changed")], ["get", "update"])
+    # a NULL digest is one of its own
+    assert run((8, None), (9, None)) == ([(8, None, "D", "changed"), (9, None, None, "unchanged")], ["get", "update"])
+    assert run((10, None)) == ([(10, None, None, "unchanged")], ["get"])

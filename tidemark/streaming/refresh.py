@@ -218,7 +218,7 @@ def _processor_class():
             status = change.NEW if stored is None else None
             for seq, d in chain(placed, ((None, d) for d in unplaced)):
                 if status is None:
-                    status = change.UNCHANGED if prev is not None and prev == d else change.CHANGED
+                    status = change.UNCHANGED if prev == d else change.CHANGED
                 yield Row(page_uid=key[0], capture_seq=seq, data_uid=d, prev_digest=prev, status=status)
                 prev, status = d, None
             if stored is None or stored[0] != prev:
